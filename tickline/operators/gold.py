@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, WindowSpec
+from pyspark.sql import Column, DataFrame, WindowSpec
 from pyspark.sql import functions as F
 
 from tickline.operators.series import last_rows, over_series, rank_within
@@ -12,6 +12,16 @@ from tickline.operators.silver import SERIES
 from tickline.schemas import ROLLING_ROWS
 
 
+def settled_mean(mean: Column, digits: int) -> Column:
+    """A mean rounded to `digits`, the same whatever order its rows were summed in.
+
+    Partial sums meet in no fixed order, which moves the last bits of a double.
+    They are rounded off first, or a mean that lies half-way would round up in
+    one run and down in the next.
+    """
+    return F.round(F.round(mean, digits + 5), digits)
+
+
 def _existing(df: DataFrame, *names: str) -> list[str]:
     return [n for n in names if n in df.columns]
 
@@ -65,10 +75,10 @@ def price_performance(df: DataFrame, order: Sequence[str] = ("event_timestamp",)
 def daily_trends(df: DataFrame) -> DataFrame:
     """Average, highest and lowest price and average volume per day."""
     return df.groupBy("date", "coin_id").agg(
-        F.round(F.avg("price_usd"), 4).alias("daily_avg_price"),
+        settled_mean(F.avg("price_usd"), 4).alias("daily_avg_price"),
         F.round(F.max("price_usd"), 4).alias("daily_max_price"),
         F.round(F.min("price_usd"), 4).alias("daily_min_price"),
-        F.round(F.avg("volume_24h"), 2).alias("daily_avg_volume"),
+        settled_mean(F.avg("volume_24h"), 2).alias("daily_avg_volume"),
         F.count(F.lit(1)).alias("record_count"),
     )
 
@@ -89,8 +99,8 @@ def daily_partials(df: DataFrame) -> DataFrame:
 
 def merge_daily_partials(df: DataFrame) -> DataFrame:
     """Daily trends of all the parts together."""
-    def mean(total: str, count: str, digits: int):
-        return F.round(F.try_divide(F.sum(total), F.sum(count)), digits)
+    def mean(total: str, count: str, digits: int) -> Column:
+        return settled_mean(F.try_divide(F.sum(total), F.sum(count)), digits)
 
     return df.groupBy("date", "coin_id").agg(
         mean("price_sum", "price_count", 4).alias("daily_avg_price"),

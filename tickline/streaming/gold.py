@@ -124,10 +124,10 @@ def daily_trends_stream(silver: DataFrame, watermark: str | None = None) -> Data
         silver = silver.withWatermark("event_timestamp", watermark)
     day = F.window("event_timestamp", "1 day")
     totals = silver.groupBy(day, "coin_id").agg(
-        F.round(F.avg("price_usd"), 4).alias("daily_avg_price"),
+        gold.settled_mean(F.avg("price_usd"), 4).alias("daily_avg_price"),
         F.round(F.max("price_usd"), 4).alias("daily_max_price"),
         F.round(F.min("price_usd"), 4).alias("daily_min_price"),
-        F.round(F.avg("volume_24h"), 2).alias("daily_avg_volume"),
+        gold.settled_mean(F.avg("volume_24h"), 2).alias("daily_avg_volume"),
         F.count(F.lit(1)).alias("record_count"))
     return totals.select(F.to_date("window.start").alias("date"), "coin_id",
                          "daily_avg_price", "daily_max_price", "daily_min_price",
