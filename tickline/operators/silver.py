@@ -117,8 +117,12 @@ def stamp(df: DataFrame, as_of: dt.datetime | Column | None = None) -> DataFrame
 
 
 def clean_snapshots(df: DataFrame, coins: Sequence[str] = INSTRUMENTS,
-                    order: Sequence[str] = ("ingested_at",)) -> DataFrame:
-    """Snapshot documents to unique, typed price rows (all but flag and stamp)."""
+                    order: Sequence[str] = ("ingested_at", "price_usd", "market_cap",
+                                            "volume_24h")) -> DataFrame:
+    """Snapshot documents to unique, typed price rows (all but flag and stamp).
+
+    The values themselves break ties, so a repeated run picks the same row.
+    """
     long = clean_prices(unpivot_snapshot(normalise_snapshot(df, coins), coins))
     return dedup_latest(add_ingestion_delay(add_event_columns(long)), order=order)
 
