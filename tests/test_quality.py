@@ -1,0 +1,216 @@
+import datetime as dt
+import json
+
+import pytest
+from conftest import rows
+from pyspark.sql import functions as F
+
+from tickline import sources
+from tickline.operators import quality
+from tickline.schemas import CHECK_RESULT, INSTRUMENTS
+
+SILVER = ("coin_id string, event_timestamp timestamp, price_usd double, price_change_flag string, "
+          "ingestion_delay_seconds bigint, date date")
+
+
+def by_check(results):
+    found = {r["check"]: r for r in results.collect()}
+    assert len(found) == results.count()
+    return found
+
+
+@pytest.fixture
+def clean(spark, at):
+    data = [("bitcoin", at(m), 50_000.0 + m, "UP", 3, at(m).date()) for m in range(5)]
+    return spark.createDataFrame(data, SILVER)
+
+
+def bronze(spark, tmp_path, *documents):
+    for i, document in enumerate(documents):
+        (tmp_path / f"batch_{i}.json").write_text(
+            document if isinstance(document, str) else json.dumps(document, indent=2))
+    return sources.read_snapshots(spark, str(tmp_path))
+
+
+def document(ingested_at="2024-01-01T00:00:00", without=()):
+    quotes = {c: {"usd": 1.0} for c in INSTRUMENTS if c not in without}
+    return {**quotes, "ingestion_metadata": {"ingested_at": ingested_at}}
+
+
+def test_bronze_passes(spark, tmp_path):
+    results = quality.bronze_checks(bronze(spark, tmp_path, document()))
+    assert results.schema.simpleString() == CHECK_RESULT.simpleString()
+    assert {r.status for r in results.collect()} == {"pass"}
+    assert results.count() == 3 + len(INSTRUMENTS)
+    quality.gate(results)
+
+
+def test_bronze_corrupt_file_stops_the_run(spark, tmp_path):
+    results = quality.bronze_checks(bronze(spark, tmp_path, document(), '{"bitcoin": {'))
+    found = by_check(results)
+    assert (found["corrupt_json"].metric, found["corrupt_json"].status) == (1.0, "fail")
+    with pytest.raises(quality.QualityError, match="corrupt_json"):
+        quality.gate(results)
+
+
+def test_bronze_missing_coins_only_warn(spark, tmp_path):
+    near = document(without=["near", "stellar"])
+    half = document(without=["stellar", "bitcoin"])
+    found = by_check(quality.gate(quality.bronze_checks(bronze(spark, tmp_path, near, half))))
+    assert (found["missing_coins"].metric, found["missing_coins"].severity) == (1.0, "warn")
+    assert found["null_price stellar"].status == "skip"
+    assert (found["null_price near"].status, found["null_price near"].metric) == ("fail", 1.0)
+    assert found["null_price solana"].status == "pass"
+
+
+@pytest.mark.parametrize("stamp", [None, ""])
+def test_bronze_missing_metadata_stops_the_run(spark, tmp_path, stamp):
+    with pytest.raises(quality.QualityError, match="missing_metadata"):
+        quality.gate(quality.bronze_checks(bronze(spark, tmp_path, document(stamp))))
+
+
+def test_silver_passes(clean, at):
+    results = quality.silver_checks(clean, as_of=at(30))
+    assert results.schema.simpleString() == CHECK_RESULT.simpleString()
+    assert {r.status for r in results.collect()} == {"pass", "info"}
+    found = by_check(results)
+    assert found["freshness_minutes"].metric == 26.0
+    assert found["date_partitions"].metric == found["instruments"].metric == 1.0
+
+
+def test_silver_faults(spark, clean, at):
+    bad = spark.createDataFrame([
+        ("bitcoin", at(4), 9_999.0, "SIDEWAYS", -1, at(4).date()),
+        ("near", at(1), None, None, 1, at(1).date()),
+        ("near", at(2), 10.0, "UP", 1, at(2).date()),
+        ("near", at(3), 12.0, "UP", 1, at(3).date()),
+        ("near", at(5), 14.41, "UP", 1, at(5).date()),
+    ], SILVER)
+    found = by_check(quality.silver_checks(clean.unionByName(bad), as_of=at(100)))
+    metric = {name: r.metric for name, r in found.items()}
+    assert metric["null_prices"] == 1 and metric["unknown_flags"] == 2
+    assert metric["price_outliers"] == 1 and metric["negative_delay"] == 1
+    assert metric["duplicate_keys"] == 1 and metric["instruments"] == 2
+    assert found["freshness_minutes"].status == "fail"
+    # 10 -> 12 is exactly 20 %, 12 -> 14.41 just over; bitcoin falls to 9,999 and may come back
+    assert metric["price_jumps"] >= 2
+
+
+def test_jump_of_exactly_the_ratio_does_not_count(spark, at):
+    def jumps(*prices):
+        df = spark.createDataFrame([("a", at(i), p) for i, p in enumerate(prices)],
+                                   "coin_id string, event_timestamp timestamp, price_usd double")
+        return [(r.prev_price, r.price_usd) for r in quality.price_jumps(df).collect()]
+    assert jumps(10.0, 12.0) == []
+    assert jumps(10.0, 12.01) == [(10.0, 12.01)]
+    assert jumps(10.0, 7.99) == [(10.0, 7.99)]
+    assert jumps(0.0, 5.0) == []
+    assert jumps(5.0) == []
+
+
+def test_silver_empty(spark, at):
+    found = by_check(quality.silver_checks(spark.createDataFrame([], SILVER), as_of=at(0)))
+    assert found["freshness_minutes"].status == "error"
+    assert found["null_prices"].status == "pass"
+
+
+def test_fatal_is_a_choice(clean, at):
+    late = quality.silver_checks(clean, as_of=at(1000))
+    quality.gate(late)
+    with pytest.raises(quality.QualityError, match="freshness"):
+        quality.gate(quality.silver_checks(clean, as_of=at(1000), fatal=["freshness_minutes"]))
+
+
+def test_freshness(clean, spark, at):
+    assert quality.freshness(clean, as_of=at(34)).first().status == "pass"
+    late = quality.freshness(clean, as_of=at(35)).first()
+    assert (late.status, late.delay_mins, late.latest_ts) == ("fail", 31.0, at(4))
+    assert quality.freshness(clean).first().status == "fail"
+    assert quality.freshness(spark.createDataFrame([], SILVER)).first().status == "error"
+
+
+def test_counting_blocks(clean, at):
+    twice = clean.unionByName(clean.filter(F.col("event_timestamp") == F.lit(at(2))))
+    assert rows(quality.duplicate_keys(twice)) == [("bitcoin", at(2), 2)]
+    assert rows(quality.volume_per_key(twice)) == [("bitcoin", 6)]
+    assert rows(quality.distinct_values(twice)) == [("UP",)]
+    assert rows(quality.partition_count(twice)) == [(1,)]
+    assert rows(quality.partition_count(twice, approximate=True)) == [(1,)]
+
+
+def test_missing_keys(clean):
+    missing = quality.missing_keys(clean)
+    assert [r[0] for r in rows(missing)] == sorted(set(INSTRUMENTS) - {"bitcoin"})
+
+
+def test_stream_checks(spark):
+    df = spark.createDataFrame([("a", 1.0, 1), ("a", 0.0, 2), ("a", -1.0, 3), (None, None, -4)],
+                               "symbol string, price double, ingestion_delay_seconds bigint")
+    assert rows(quality.corrupt_counts(df)) == [(4, 3, 2, 1)]
+    metric = {name: r.metric for name, r in by_check(quality.stream_silver_checks(df)).items()}
+    assert metric == {"corrupt_price": 3, "corrupt_symbol": 1, "negative_delay": 1}
+    assert rows(quality.delay_stats(df), "symbol", "max_delay_secs", "avg_delay_secs") == [
+        ("a", 3, 2.0), (None, -4, -4.0)]
+
+
+GOLD = ("coin_id string, event_timestamp timestamp, price_usd double, moving_avg_price double, "
+        "market_cap_rank int")
+
+
+def gold_tables(spark, at, snapshot_price=2.0):
+    perf = spark.createDataFrame([("bitcoin", at(0), 1.0, 1.0, 1), ("near", at(0), 5.0, 5.0, 2),
+                                  ("bitcoin", at(1), 2.0, 1.5, 1)], GOLD)
+    snap = spark.createDataFrame([("bitcoin", at(1), snapshot_price), ("near", at(0), 5.0)],
+                                 "coin_id string, event_timestamp timestamp, price_usd double")
+    return perf, snap
+
+
+def test_gold_passes(spark, at):
+    results = quality.gold_checks(*gold_tables(spark, at))
+    assert results.schema.simpleString() == CHECK_RESULT.simpleString()
+    assert {r.status for r in results.collect()} == {"pass"}
+
+
+def test_gold_out_of_sync(spark, at):
+    found = by_check(quality.gold_checks(*gold_tables(spark, at, 2.04)))
+    assert found["out_of_sync"].metric == 1.0 and found["out_of_sync"].status == "fail"
+    found = by_check(quality.gold_checks(*gold_tables(spark, at, 2.04), tolerance=0.05))
+    assert found["out_of_sync"].status == "pass"
+    found = by_check(quality.gold_checks(*gold_tables(spark, at, 2.04), coins=["near"]))
+    assert found["out_of_sync"].status == "pass"
+    found = by_check(quality.gold_checks(*gold_tables(spark, at), coins=["absent"]))
+    assert found["out_of_sync"].status == "skip"
+
+
+def test_gold_ties_warn_and_duplicates_fail(spark, at):
+    perf, snap = gold_tables(spark, at)
+    tied = spark.createDataFrame([("tied", at(1), 2.0, None, 1)], GOLD)
+    found = by_check(quality.gold_checks(perf.unionByName(tied), snap))
+    assert (found["tied_ranks"].severity, found["tied_ranks"].metric) == ("warn", 1.0)
+    assert found["duplicate_keys"].status == "pass"
+    assert found["null_moving_average"].metric == 1.0
+    assert found["missing_in_one_table"].metric == 1.0
+    repeated = perf.unionByName(perf.filter("coin_id = 'near'"))
+    assert by_check(quality.gold_checks(repeated, snap))["duplicate_keys"].status == "fail"
+
+
+def test_cross_table_sync(spark, at):
+    perf, snap = gold_tables(spark, at, 3.0)
+    perf = perf.unionByName(spark.createDataFrame([("p", at(0), 1.0, 1.0, 3), ("n", at(0), None, 1.0, 4)], GOLD))
+    snap = snap.unionByName(spark.createDataFrame([("s", at(0), 1.0), ("n", at(0), None)], snap.schema))
+    assert rows(quality.cross_table_sync(snap, perf), "coin_id", "status") == [
+        ("bitcoin", "out_of_sync"), ("n", "in_sync"), ("near", "in_sync"),
+        ("p", "missing_in_snapshot"), ("s", "missing_in_performance")]
+
+
+def test_gate_message_names_every_fatal_failure(spark):
+    df = spark.createDataFrame([(1,)], "x int")
+    results = quality.run_checks(df, {"a": F.col("x") == 1, "b": F.col("x") == 1, "c": F.col("x") == 2},
+                                 fatal=["a", "b", "c"])
+    with pytest.raises(quality.QualityError) as error:
+        quality.gate(results)
+    assert "a: 1.0" in str(error.value) and "b: 1.0" in str(error.value) and "c" not in str(error.value)
+
+
+def test_freshness_of_local_moment(clean):
+    assert quality.freshness(clean, as_of=dt.datetime(2024, 1, 1, 0, 4)).first().delay_mins == 0

@@ -42,9 +42,9 @@ TICK = T.StructType([
 ])
 
 CHECK_RESULT = T.StructType([
-    T.StructField("check", T.StringType(), False),
-    T.StructField("severity", T.StringType(), False),
-    T.StructField("status", T.StringType(), False),
+    T.StructField("check", T.StringType()),
+    T.StructField("severity", T.StringType()),
+    T.StructField("status", T.StringType()),
     T.StructField("metric", T.DoubleType()),
     T.StructField("threshold", T.DoubleType()),
 ])
