@@ -1,0 +1,93 @@
+"""What the physical plans must look like to hold at volume."""
+
+import re
+
+import pytest
+from conftest import SF_DIR
+from pyspark.sql import functions as F
+
+from tickline import fixtures, sinks, sources
+from tickline.operators import gold, quality, silver
+from tickline.plans import queries
+
+
+def plan(df, final=False):
+    if final:
+        df.collect()
+    return df._jdf.queryExecution().executedPlan().toString()
+
+
+@pytest.fixture(scope="module")
+def prices(spark):
+    return queries.prices(spark, SF_DIR)
+
+
+@pytest.fixture(scope="module")
+def table(spark, prices, tmp_path_factory):
+    path = f"{tmp_path_factory.mktemp('plans')}/prices"
+    sinks.overwrite_table(prices, path, ["date"])
+    return sources.read_table(spark, path)
+
+
+@pytest.mark.parametrize("build", [
+    lambda df: silver.dedup_latest(df, order=fixtures.NEWEST), gold.latest_snapshot])
+def test_latest_rows_are_limited_before_the_shuffle(spark, build):
+    text = plan(build(fixtures.ticks(spark, SF_DIR)))
+    assert re.search(r"Exchange hashpartitioning.*\n.*WindowGroupLimit.*Partial", text)
+
+
+def test_no_frame_window_holds_a_whole_series(prices):
+    """Only the summary with one row per chunk is windowed by instrument alone."""
+    text = plan(gold.rolling_metrics(prices))
+    rolling = [line for line in text.splitlines() if "Window [" in line and "avg(" in line]
+    assert rolling and all("__chunk" in line.split("windowspecdefinition(")[1] for line in rolling)
+    by_coin = [line for line in text.splitlines()
+               if "Window [" in line and "collect_list" in line]
+    assert by_coin and all("__tail" in line for line in by_coin)
+
+
+def test_rolling_metrics_share_the_dedup_exchange(prices):
+    assert "ReusedExchange" in plan(gold.price_performance(prices), final=True)
+
+
+def test_average_and_deviation_share_one_window(prices):
+    text = plan(gold.rolling_metrics(prices))
+    lines = [line for line in text.splitlines() if "Window [" in line and "avg(" in line]
+    assert len(lines) == 1 and "stddev" in lines[0]
+
+
+def test_daily_trends_combine_before_the_shuffle(table):
+    text = plan(gold.daily_trends(table))
+    assert text.count("Exchange") == 1
+    assert len(re.findall(r"HashAggregate\(", text)) == 2 and "partial_avg" in text
+
+
+def test_scans_read_only_what_they_need(table):
+    text = plan(gold.daily_trends(table.drop("market_cap")))
+    schema = re.search(r"ReadSchema: struct<(.*?)>", text).group(1)
+    assert {c.split(":")[0] for c in schema.split(",")} == {"coin_id", "price_usd", "volume_24h"}
+
+
+def test_filters_reach_the_scan(table):
+    day = F.lit("2024-01-05").cast("date")
+    text = plan(table.filter((F.col("date") == day) & (F.col("coin_id") == "view-0")))
+    assert "PushedFilters: [IsNotNull(coin_id), EqualTo(coin_id,view-0)]" in text
+    assert "PartitionFilters: [isnotnull(date" in text
+
+
+def test_instrument_filter_goes_below_the_rolling_window(table):
+    text = plan(gold.rolling_metrics(table).filter("coin_id = 'view-0'"))
+    assert text.count("EqualTo(coin_id,view-0)") == 2
+
+
+def test_checks_of_a_table_are_one_pass(table):
+    results = quality.run_checks(table, {f"check {n}": F.col("price_usd") < n for n in range(12)})
+    text = plan(results)
+    assert text.count("FileScan") == 1 and text.count("Exchange") == 1
+
+
+@pytest.mark.parametrize("name", ["price_performance", "price_change_flag", "price_jumps",
+                                  "cross_table_sync", "missing_keys", "daily_trends"])
+def test_no_cross_join(spark, name):
+    text = plan(queries.QUERIES[name](spark, SF_DIR))
+    assert "CartesianProduct" not in text and "BroadcastNestedLoopJoin" not in text
