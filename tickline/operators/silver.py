@@ -130,8 +130,12 @@ def clean_snapshots(df: DataFrame, coins: Sequence[str] = INSTRUMENTS,
 # -- stream ticks -----------------------------------------------------------
 
 def parse_ticks(df: DataFrame, value: str = "value") -> DataFrame:
-    """Message payloads to tick columns; unreadable JSON gives nulls."""
-    return df.select(F.from_json(F.col(value).cast("string"), TICK).alias("data")).select("data.*")
+    """Message payloads to tick columns; unreadable JSON gives nulls.
+
+    `inline` keeps later filters from being moved below the parsing, where
+    each column they use would parse the payload once more.
+    """
+    return df.select(F.inline(F.array(F.from_json(F.col(value).cast("string"), TICK))))
 
 
 def valid_ticks(df: DataFrame,
