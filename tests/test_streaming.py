@@ -98,7 +98,7 @@ def test_ticks_of_the_future_go(run):
     assert rows(got, "timestamp") == [(EPOCH + 1000,)]
 
 
-@pytest.mark.parametrize("options", [{}, {"watermark": "1 hour"}, {"collapse_copies": True}])
+@pytest.mark.parametrize("options", [{}, {"watermark": "1 hour"}, {"collapse": False}])
 def test_repeats_within_and_across_runs(run, options):
     run.send(tick("near", 1, 2.0), tick("near", 1, 2.0), tick("near", 1.5, 2.0), tick("stellar", 1, 2.0))
     assert run.silver(**options).count() == 3
@@ -106,6 +106,17 @@ def test_repeats_within_and_across_runs(run, options):
     assert run.silver(**options).count() == 4
 
 
+def test_collapse_keeps_one_of_each_key_per_task(spark):
+    data = [(s, t, float(i)) for i, (s, t) in enumerate([("a", 1), ("a", 1), ("b", None), ("b", None),
+                                                         (None, 2), (None, 2), ("a", 2)])]
+    df = spark.createDataFrame(data, "symbol string, timestamp bigint, price double").coalesce(1)
+    got = streaming.collapse_copies(df, ["symbol", "timestamp"])
+    assert got.schema == df.schema
+    assert rows(got, "price") == [(0.0,), (2.0,), (4.0,), (6.0,)]
+    many = df.withColumn("n", F.explode(F.sequence(F.lit(1), F.lit(25_000)))).drop("n")
+    assert streaming.collapse_copies(many, ["symbol", "timestamp"]).count() < 100
+
+
 FIRST = [tick("a", 0, 1.0), tick("a", 5, 2.0), tick("b", 5, 9.0)]
 SECOND = [tick("a", 10, 6.0), tick("b", 10, 1.0)]
 

@@ -7,6 +7,7 @@ from tickline.streaming.gold import (
 )
 from tickline.streaming.layers import (
     bronze_stream,
+    collapse_copies,
     dedup,
     replay_checkpoint,
     run_bronze,
@@ -15,7 +16,7 @@ from tickline.streaming.layers import (
 )
 
 __all__ = [
-    "bronze_stream", "daily_trends_stream", "dedup", "gold_fanout", "read_daily_trends",
+    "bronze_stream", "collapse_copies", "daily_trends_stream", "dedup", "gold_fanout", "read_daily_trends",
     "read_performance", "read_snapshot", "replay_checkpoint", "run_bronze", "run_silver",
     "silver_stream",
 ]

@@ -6,7 +6,7 @@ import datetime as dt
 import uuid
 from collections.abc import Iterator, Mapping, Sequence
 
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql.streaming import StreamingQuery
 
@@ -20,24 +20,33 @@ def bronze_stream(messages: DataFrame) -> DataFrame:
     return silver.parse_ticks(messages)
 
 
+def collapse_copies(df: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Drop repeats of a key inside each input batch of a task.
+
+    Spark shuffles a stream by key before it drops repeats and cannot combine
+    them first, so a key sent very many times would keep one task busy with
+    its copies. This leaves that task one row per input batch.
+    """
+    keys = list(keys)
+
+    def first_of_each(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            table = pa.Table.from_batches([batch])
+            numbered = table.append_column("__row", pa.array(range(batch.num_rows), pa.int64()))
+            first = numbered.group_by(keys).aggregate([("__row", "min")])["__row_min"]
+            yield from table.take(first).combine_chunks().to_batches()
+
+    return df.mapInArrow(first_of_each, df.schema)
+
+
 def dedup(df: DataFrame, keys: Sequence[str] = ("coin_id", "timestamp"),
-          watermark: str | None = None, event_time: str = "event_timestamp",
-          collapse_copies: bool = False) -> DataFrame:
+          watermark: str | None = None, event_time: str = "event_timestamp") -> DataFrame:
     """Keep the first arrival of each key, across runs of one checkpoint.
 
-    watermark         how late a repeat may come; bounds the state. Without
-                      it the state keeps every key for good
-    collapse_copies   drop repeats inside each input batch of a task before
-                      the shuffle; worth its cost if few keys are sent very
-                      many times
+    watermark   how late a repeat may come; bounds the state. Without it the
+                state keeps every key for good
     """
     keys = list(keys)
-    if collapse_copies:
-        def collapse(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-            for batch in batches:
-                yield batch.drop_duplicates(keys)
-
-        df = df.mapInPandas(collapse, df.schema)
     if watermark is None:
         return df.dropDuplicates(keys)
     return df.withWatermark(event_time, watermark).dropDuplicatesWithinWatermark(keys)
@@ -46,16 +55,19 @@ def dedup(df: DataFrame, keys: Sequence[str] = ("coin_id", "timestamp"),
 def silver_stream(bronze: DataFrame,
                   bounds: Mapping[str, tuple[float, float]] | DataFrame = PRICE_BOUNDS,
                   precision: str = "second", fractional_delay: bool = False,
-                  watermark: str | None = None, collapse_copies: bool = False,
+                  watermark: str | None = None, collapse: bool = True,
                   as_of: dt.datetime | Column | None = None) -> DataFrame:
     """Valid, typed, de-duplicated ticks with their delay and load time.
 
-    The tick filter runs before the de-duplication, so bad ticks reach neither
-    the shuffle nor the state.
+    Bad ticks and copies go while the rows are still narrow, before the
+    shuffle and the state. collapse=False leaves out the Python step that
+    drops copies early, for sources that do not repeat themselves.
     """
-    ticks = silver.clean_ticks(silver.valid_ticks(bronze, bounds),
-                               precision, fractional_delay, as_of)
-    unique = dedup(ticks, watermark=watermark, collapse_copies=collapse_copies)
+    valid = silver.valid_ticks(bronze, bounds)
+    if collapse:
+        valid = collapse_copies(valid, ["symbol", "timestamp"])
+    ticks = silver.clean_ticks(valid, precision, fractional_delay, as_of)
+    unique = dedup(ticks, watermark=watermark)
     return silver.stamp(silver.drop_negative_delay(unique), as_of)
 
 
