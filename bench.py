@@ -16,6 +16,7 @@ import time
 from pyspark.sql import SparkSession
 
 from tickline.plans.queries import QUERIES
+from tickline.session import drop_shared
 
 HEADLINE = [
     "dedup_latest", "price_change_flag", "clean_snapshots", "parse_ticks", "valid_ticks",
@@ -51,6 +52,7 @@ def main() -> None:
     for name in names:
         timed(spark, name, sf_dir)
         seconds[name] = round(statistics.median(timed(spark, name, sf_dir) for _ in range(runs)), 3)
+    drop_shared(spark)
     spark.stop()
     print(json.dumps({"metric": "total_query_seconds", "value": round(sum(seconds.values()), 3),
                       "unit": "sec", "queries": seconds, "sf": os.path.basename(sf_dir.rstrip("/")),

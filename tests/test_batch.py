@@ -7,7 +7,7 @@ from conftest import rows
 
 from tickline import sources
 from tickline.operators import gold, quality
-from tickline.plans.batch import Tables, build_silver, run_batch
+from tickline.plans.batch import Tables, build_silver, run_batch, run_increment
 from tickline.schemas import INSTRUMENTS
 
 AS_OF = dt.datetime(2024, 1, 1, 2, 10)
@@ -87,3 +87,45 @@ def test_build_silver_matches_gold_invariants(spark, tables):
     assert quality.rank_duplicates(ranks).isEmpty()
     daily = gold.daily_trends(silver)
     assert daily.filter("daily_min_price > daily_avg_price OR daily_avg_price > daily_max_price").isEmpty()
+
+
+def write(path, number, body):
+    os.makedirs(path, exist_ok=True)
+    with open(f"{path}/batch_{number}.json", "w") as out:
+        json.dump(body, out, indent=4)
+
+
+@pytest.mark.parametrize("new", [[60, 61], [47, 49, 3], [100]])
+def test_increment_equals_rebuild(spark, tmp_path, new):
+    """Later days, a gap that is filled, an old moment quoted again, a long pause."""
+    kept = [n for n in range(60) if n not in new]
+    parts, whole = Tables(str(tmp_path / "parts")), Tables(str(tmp_path / "whole"))
+    for n in kept:
+        write(parts.bronze, n, document(n))
+        write(whole.bronze, n, document(n))
+    again = document(50)
+    again["bitcoin"]["usd"] = 11_111.0
+    again["ingestion_metadata"]["ingested_at"] = "2024-01-05T00:00:00"
+    for n, body in [*((n, document(n)) for n in new), (999, again)]:
+        write(f"{parts.root}/new", n, body)
+        write(whole.bronze, n, body)
+    run_batch(spark, parts, as_of=AS_OF)
+    results = run_increment(spark, parts, f"{parts.root}/new", as_of=AS_OF)
+    failed = results.filter("status = 'fail' AND severity IN ('error', 'fatal')")
+    assert rows(failed, "check") == []
+    assert rows(results.filter("check = 'missing_in_one_table'"), "status") == [("pass",)]
+    run_batch(spark, whole, as_of=AS_OF)
+    for name in ("silver", "snapshot", "performance", "daily"):
+        got = sources.read_table(spark, getattr(parts, name))
+        expected = sources.read_table(spark, getattr(whole, name))
+        columns = sorted(expected.columns)
+        assert rows(got, *columns) == rows(expected, *columns), name
+
+
+def test_increment_without_prices_changes_nothing(spark, tables):
+    run_batch(spark, tables, as_of=AS_OF)
+    before = rows(sources.read_table(spark, tables.silver))
+    empty = {c: {} for c in INSTRUMENTS} | {"ingestion_metadata": {"ingested_at": "2024-01-01T00:00:00"}}
+    write(f"{tables.root}/new", 0, empty)
+    run_increment(spark, tables, f"{tables.root}/new", as_of=AS_OF)
+    assert rows(sources.read_table(spark, tables.silver)) == before

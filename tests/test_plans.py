@@ -6,8 +6,8 @@ import pytest
 from conftest import SF_DIR
 from pyspark.sql import functions as F
 
-from tickline import fixtures, sinks, sources
-from tickline.operators import gold, quality, silver
+from tickline import fixtures, sinks, sources, streaming
+from tickline.operators import gold, quality, reports, silver
 from tickline.plans import queries
 
 
@@ -91,3 +91,18 @@ def test_checks_of_a_table_are_one_pass(table):
 def test_no_cross_join(spark, name):
     text = plan(queries.QUERIES[name](spark, SF_DIR))
     assert "CartesianProduct" not in text and "BroadcastNestedLoopJoin" not in text
+
+
+def test_recent_rows_of_merged_stream_tables_prune_old_days(spark, table, tmp_path):
+    """Ranks are taken on reading; the filter on days still reaches the scan."""
+    rolled = gold.rolling_metrics(table).select(
+        "coin_id", "event_timestamp", "price_usd", "volume_24h", "moving_avg_price",
+        "price_volatility", "date")
+    sinks.write_batch_idempotent(rolled, f"{tmp_path}/{streaming.gold.PERFORMANCE}", 0, ["date"])
+    merged = streaming.read_performance(spark, str(tmp_path), "merge")
+    day = F.lit("2024-01-20").cast("date")
+    text = plan(merged.filter(F.col("date") >= day))
+    assert "PartitionFilters: [isnotnull(date" in text
+    report = reports.performance_recent(merged, 24)
+    assert report.count() > 0
+    assert plan(report).count("PartitionFilters: [isnotnull(date") >= 1

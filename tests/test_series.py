@@ -99,7 +99,7 @@ def test_unknown_layout(spark):
     with pytest.raises(ValueError):
         series.over_series(frame(spark, []), ["k"], ["t"], 1, {}, layout="x")
     with pytest.raises(ValueError):
-        series.rank_within(frame(spark, []), "k", "v", "r", "x")
+        series.rank_within(frame(spark, []), ["k"], "v", "r", "x")
 
 
 @settings(max_examples=12, deadline=None,
@@ -119,6 +119,6 @@ def test_rank_with_ties_and_nulls(spark, layout):
     df = frame(spark, [(rng.choice(["a", "b", None]), START, i, rng.choice(values))
                        for i in range(120)])
     spec = Window.partitionBy("k").orderBy(F.col("v").desc())
-    got = series.rank_within(df, "k", "v", "r", layout, max_group_rows=10)
+    got = series.rank_within(df, ["k"], "v", "r", layout, max_group_rows=10)
     assert same(got, df.withColumn("r", F.rank().over(spec)))
     assert dict(got.dtypes)["r"] == "int"

@@ -179,3 +179,21 @@ def test_materialise(spark):
     df = session.materialise(spark.range(10).withColumn("x", F.col("id") * 2))
     assert rows(df, "x") == [(2 * i,) for i in range(10)] or df.count() == 10
     assert df.select("x").inputFiles()
+
+
+def test_drop_shared_deletes_only_what_was_made_here(spark):
+    path = session.shared_dir(spark, "x")
+    base = os.path.dirname(os.path.dirname(path))
+    spark.range(1).write.parquet(path)
+    spark.range(1).write.parquet(f"{base}/other")
+    assert session.drop_shared(spark) >= 1
+    assert not os.path.exists(os.path.dirname(path)) and os.path.exists(f"{base}/other")
+    assert session.drop_shared(spark) == 0
+
+
+def test_sorted_write(spark, tmp_path):
+    df = spark.range(1000).select((F.col("id") % 2).alias("date"), (1000 - F.col("id")).alias("k"))
+    sinks.overwrite_table(df, f"{tmp_path}/t", ["date"], sort_by=["k"])
+    for file in glob.glob(f"{tmp_path}/t/date=*/*.parquet"):
+        keys = [r.k for r in spark.read.parquet(file).collect()]
+        assert keys == sorted(keys)

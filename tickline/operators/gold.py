@@ -55,8 +55,13 @@ def rolling_metrics(df: DataFrame, order: Sequence[str] = ("event_timestamp",),
 
 def market_cap_rank(df: DataFrame, rank_by: str = "market_cap",
                     layout: str = "plain") -> DataFrame:
-    """Add `market_cap_rank`, the position among the instruments of a moment."""
-    return rank_within(df, "event_timestamp", rank_by, "market_cap_rank", layout)
+    """Add `market_cap_rank`, the position among the instruments of a moment.
+
+    The moment's date is part of the group where there is one, so a filter on
+    days reaches the scan.
+    """
+    moment = [*_existing(df, "date"), "event_timestamp"]
+    return rank_within(df, moment, rank_by, "market_cap_rank", layout)
 
 
 def price_performance(df: DataFrame, order: Sequence[str] = ("event_timestamp",),

@@ -122,7 +122,7 @@ def over_series(
 
 def rank_within(
     df: DataFrame,
-    group: str,
+    group: Sequence[str],
     value: str,
     name: str,
     layout: str = "plain",
@@ -136,30 +136,36 @@ def rank_within(
               even chunks, and the ranks are joined back;
               "auto": counts the largest group and picks one
     """
+    group = list(group)
     if layout == "auto":
-        layout = "range" if largest_group(df, group) > max_group_rows else "plain"
+        layout = "range" if largest_group(df, *group) > max_group_rows else "plain"
     if layout == "plain":
-        spec = Window.partitionBy(group).orderBy(F.col(value).desc())
+        spec = Window.partitionBy(*group).orderBy(F.col(value).desc())
         return df.withColumn(name, F.rank().over(spec))
     if layout != "range":
         raise ValueError(f"layout must be 'plain', 'range' or 'auto', not {layout!r}")
 
-    ties = df.groupBy(group, value).agg(F.count(F.lit(1)).alias("__n"))
-    cut = range_chunks(ties, [group, F.col(value).desc()])
-    per_chunk = cut.groupBy(group, _CHUNK).agg(F.sum("__n").alias("__sum"))
-    chunks_above = (Window.partitionBy(group).orderBy(_CHUNK)
+    ties = df.groupBy(*group, value).agg(F.count(F.lit(1)).alias("__n"))
+    cut = range_chunks(ties, [*group, F.col(value).desc()])
+    chunks_above = (Window.partitionBy(*group).orderBy(_CHUNK)
                     .rowsBetween(Window.unboundedPreceding, -1))
-    offsets = per_chunk.select(
-        F.col(group).alias("__group"), F.col(_CHUNK).alias("__at"),
-        F.coalesce(F.sum("__sum").over(chunks_above), F.lit(0)).alias("__offset"))
-    values_above = (Window.partitionBy(group, _CHUNK).orderBy(F.col(value).desc())
+    values_above = (Window.partitionBy(*group, _CHUNK).orderBy(F.col(value).desc())
                     .rowsBetween(Window.unboundedPreceding, -1))
-    ranked = (cut
-              .withColumn("__above", F.coalesce(F.sum("__n").over(values_above), F.lit(0)))
-              .join(offsets, F.col(group).eqNullSafe(F.col("__group"))
-                    & (F.col(_CHUNK) == F.col("__at")))
-              .select(F.col(group).alias("__group"), F.col(value).alias("__value"),
+
+    def above(total: str, spec: WindowSpec) -> Column:
+        return F.coalesce(F.sum(total).over(spec), F.lit(0))
+
+    offsets = (cut.groupBy(*group, _CHUNK).agg(F.sum("__n").alias("__sum"))
+               .withColumn("__offset", above("__sum", chunks_above)).drop("__sum"))
+    ranked = (_join_nulls(cut.withColumn("__above", above("__n", values_above)),
+                          offsets, [*group, _CHUNK])
+              .select(*group, value,
                       (F.col("__above") + F.col("__offset") + 1).cast("int").alias(name)))
-    return (df.join(ranked, F.col(group).eqNullSafe(F.col("__group"))
-                    & F.col(value).eqNullSafe(F.col("__value")))
-              .drop("__group", "__value"))
+    return _join_nulls(df, ranked, [*group, value])
+
+
+def _join_nulls(left: DataFrame, right: DataFrame, on: Sequence[str]) -> DataFrame:
+    """Inner join on columns of the same names, where a null equals a null."""
+    renamed = right.withColumnsRenamed({c: f"__right_{c}" for c in on})
+    same = [F.col(c).eqNullSafe(F.col(f"__right_{c}")) for c in on]
+    return left.join(renamed, same).drop(*[f"__right_{c}" for c in on])

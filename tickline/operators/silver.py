@@ -14,6 +14,7 @@ from tickline.operators.series import last_rows, over_series
 from tickline.schemas import INSTRUMENTS, PRICE_BOUNDS, QUOTE, TICK
 
 SERIES = ["coin_id"]
+LATEST_INGESTED = ("ingested_at", "price_usd", "market_cap", "volume_24h")
 
 
 # -- batch snapshots --------------------------------------------------------
@@ -98,13 +99,17 @@ def dedup_latest(df: DataFrame, keys: Sequence[str] = ("coin_id", "event_timesta
 
 
 def add_price_change_flag(df: DataFrame, order: Sequence[str] = ("event_timestamp",),
-                          layout: str = "time", unit: str = "day") -> DataFrame:
-    """`price_change_flag` against the instrument's previous row."""
+                          layout: str = "time", unit: str = "day",
+                          prior: DataFrame | None = None) -> DataFrame:
+    """`price_change_flag` against the instrument's previous row.
+
+    prior   the latest row per instrument from before `df`, if there is one
+    """
     return over_series(
         df, SERIES, order, 1,
         {"price_change_flag": lambda w: C.change_flag(
             F.col("price_usd"), F.lag("price_usd").over(w))},
-        carry=["price_usd"], layout=layout, unit=unit)
+        carry=["price_usd"], layout=layout, unit=unit, prior=prior)
 
 
 def drop_negative_delay(df: DataFrame) -> DataFrame:
@@ -117,8 +122,7 @@ def stamp(df: DataFrame, as_of: dt.datetime | Column | None = None) -> DataFrame
 
 
 def clean_snapshots(df: DataFrame, coins: Sequence[str] = INSTRUMENTS,
-                    order: Sequence[str] = ("ingested_at", "price_usd", "market_cap",
-                                            "volume_24h")) -> DataFrame:
+                    order: Sequence[str] = LATEST_INGESTED) -> DataFrame:
     """Snapshot documents to unique, typed price rows (all but flag and stamp).
 
     The values themselves break ties, so a repeated run picks the same row.

@@ -7,12 +7,16 @@ from collections.abc import Sequence
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from tickline import sources
-from tickline.operators import gold, quality, silver
-from tickline.schemas import INSTRUMENTS
+from tickline.operators import gold, quality, series, silver
+from tickline.schemas import INSTRUMENTS, ROLLING_ROWS
 from tickline.session import materialise
-from tickline.sinks import overwrite_table
+from tickline.sinks import overwrite_partitions, overwrite_table
+
+SORTED = ["coin_id", "event_timestamp"]
+PRICED = ["coin_id", "event_timestamp", "price_usd", "market_cap", "volume_24h", "date"]
 
 
 @dataclass(frozen=True)
@@ -55,10 +59,49 @@ def build_silver(documents: DataFrame, coins: Sequence[str] = INSTRUMENTS,
 
 def write_gold(prices: DataFrame, tables: Tables) -> None:
     overwrite_table(gold.latest_snapshot(prices), tables.snapshot)
-    overwrite_table(gold.price_performance(prices), tables.performance, ["date"])
+    overwrite_table(gold.price_performance(prices), tables.performance, ["date"], sort_by=SORTED)
     overwrite_table(gold.daily_trends(prices), tables.daily, ["date"])
 
 
+def refresh_gold(prices: DataFrame, tables: Tables, since: dt.date) -> None:
+    """Bring gold up to date after changes to silver from the day `since` on.
+
+    Earlier days give only the last rows per instrument, which Spark picks
+    before any shuffle; their gold partitions stay as they are.
+    """
+    recent = prices.filter(_from(since))
+    earlier = materialise(
+        series.last_rows(prices.filter(F.col("date") < F.lit(since)), silver.SERIES,
+                         ["event_timestamp"], ROLLING_ROWS - 1), "earlier_prices")
+    held = [c for c in PRICED if c in prices.columns]
+    overwrite_partitions(gold.price_performance(recent, prior=earlier.select(*held)),
+                         tables.performance, sort_by=SORTED)
+    overwrite_partitions(gold.daily_trends(recent), tables.daily)
+    overwrite_table(gold.latest_snapshot(recent.unionByName(earlier)), tables.snapshot)
+
+
+def _from(since: dt.date) -> Column:
+    """Rows of `since` or later, and those without a date."""
+    return (F.col("date") >= F.lit(since)) | F.col("date").isNull()
+
+
+def _checked(results: DataFrame, name: str) -> DataFrame:
+    """Check results, computed once and stored; stops the run if a fatal one failed."""
+    return quality.gate(materialise(results, name))
+
+
+def _check_gold(spark: SparkSession, tables: Tables, fatal: Sequence[str],
+                since: dt.date | None = None) -> DataFrame:
+    """Gold checks, on request only of the days and instruments with news."""
+    performance = sources.read_table(spark, tables.performance)
+    snapshot = sources.read_table(spark, tables.snapshot)
+    if since is not None:
+        performance = performance.filter(_from(since))
+        snapshot = (snapshot.withColumn("date", F.to_date("event_timestamp"))
+                    .filter(_from(since)).drop("date"))
+    return _checked(quality.gold_checks(performance, snapshot, fatal=fatal), "gold_checks")
+
+
 def run_batch(spark: SparkSession, tables: Tables, coins: Sequence[str] = INSTRUMENTS,
               as_of: dt.datetime | None = None, multi_line: bool = True,
               fatal: Sequence[str] = ("corrupt_json", "missing_metadata")) -> DataFrame:
@@ -68,17 +111,43 @@ def run_batch(spark: SparkSession, tables: Tables, coins: Sequence[str] = INSTRU
     named in `fatal` stops the run there.
     """
     documents = sources.read_snapshots(spark, f"{tables.bronze}/*", coins, multi_line)
-    bronze = materialise(quality.bronze_checks(documents, coins, fatal), "bronze_checks")
-    quality.gate(bronze)
+    landed = _checked(quality.bronze_checks(documents, coins, fatal), "bronze_checks")
 
-    overwrite_table(build_silver(documents, coins, as_of), tables.silver, ["date"])
+    overwrite_table(build_silver(documents, coins, as_of), tables.silver, ["date"], sort_by=SORTED)
     prices = sources.read_table(spark, tables.silver)
-    cleaned = materialise(quality.silver_checks(prices, as_of, fatal=fatal), "silver_checks")
-    quality.gate(cleaned)
+    cleaned = _checked(quality.silver_checks(prices, as_of, fatal=fatal), "silver_checks")
 
     write_gold(prices, tables)
-    finished = materialise(quality.gold_checks(
-        sources.read_table(spark, tables.performance),
-        sources.read_table(spark, tables.snapshot), fatal=fatal), "gold_checks")
-    quality.gate(finished)
-    return quality.union(bronze, cleaned, finished)
+    return quality.union(landed, cleaned, _check_gold(spark, tables, fatal))
+
+
+def run_increment(spark: SparkSession, tables: Tables, landed_path: str,
+                  coins: Sequence[str] = INSTRUMENTS, as_of: dt.datetime | None = None,
+                  multi_line: bool = True,
+                  fatal: Sequence[str] = ("corrupt_json", "missing_metadata")) -> DataFrame:
+    """Add newly landed documents to the tables of an earlier run.
+
+    Gives the tables `run_batch` would rebuild from all documents, but rewrites
+    only the days from the first new event on, and checks only those.
+    """
+    documents = sources.read_snapshots(spark, landed_path, coins, multi_line)
+    landed = _checked(quality.bronze_checks(documents, coins, fatal), "bronze_checks")
+    fresh = materialise(silver.clean_snapshots(documents, coins), "fresh_prices")
+    since = fresh.agg(F.min("date")).first()[0]
+    if since is None:
+        return landed
+
+    stored = sources.read_table(spark, tables.silver).drop("price_change_flag", "load_timestamp")
+    merged = materialise(
+        silver.dedup_latest(stored.filter(_from(since)).unionByName(fresh),
+                            order=silver.LATEST_INGESTED), "merged_prices")
+    before = series.last_rows(stored.filter(F.col("date") < F.lit(since)), silver.SERIES,
+                              ["event_timestamp"], 1)
+    flagged = silver.add_price_change_flag(merged, prior=materialise(before, "previous_prices"))
+    overwrite_partitions(silver.stamp(flagged, as_of), tables.silver, sort_by=SORTED)
+
+    prices = sources.read_table(spark, tables.silver)
+    cleaned = _checked(quality.silver_checks(prices.filter(_from(since)), as_of, fatal=fatal),
+                       "silver_checks")
+    refresh_gold(prices, tables, since)
+    return quality.union(landed, cleaned, _check_gold(spark, tables, fatal, since))

@@ -11,7 +11,7 @@ from tickline import fixtures as X
 from tickline import functions as C
 from tickline import sinks, sources, streaming
 from tickline.operators import gold, quality, reports, series, silver
-from tickline.plans.batch import Tables, run_batch
+from tickline.plans.batch import Tables, run_batch, run_increment
 from tickline.schemas import CHECK_RESULT
 from tickline.session import materialise, shared_dir, use_rocksdb
 from tickline.sinks.versions import write_version
@@ -271,7 +271,7 @@ CAST(rank() OVER (PARTITION BY event_timestamp ORDER BY price_usd DESC NULLS LAS
 def rank_of_every_tick(spark, sf_dir):
     """All ticks of an hour against each other: groups grow with the data, so
     the ranks come from even chunks of the distinct values."""
-    return (series.rank_within(X.ticks(spark, sf_dir), "event_timestamp", "price_usd",
+    return (series.rank_within(X.ticks(spark, sf_dir), ["event_timestamp"], "price_usd",
                                "price_rank", "range")
             .select("event_id", "event_timestamp", "price_usd", "price_rank"))
 
@@ -681,6 +681,31 @@ def batch_run(spark, sf_dir):
     return sources.read_table(spark, tables.daily)
 
 
+@query(_slots("minute") + """, prices AS (
+  SELECT coin_id, event_timestamp, price_usd, market_cap, volume_24h,
+         CAST(event_timestamp AS DATE) AS date
+  FROM slots QUALIFY row_number() OVER (
+    PARTITION BY coin_id, event_timestamp ORDER BY slot DESC) = 1)""" + """
+SELECT coin_id, event_timestamp, price_usd, market_cap, volume_24h,
+  round(avg(price_usd) OVER w, 4) AS moving_avg_price,
+  round(coalesce(stddev_samp(price_usd) OVER w, 0.0), 6) AS price_volatility,
+  CAST(rank() OVER (PARTITION BY event_timestamp ORDER BY market_cap DESC NULLS LAST) AS INTEGER)
+    AS market_cap_rank, date
+FROM prices WINDOW w AS (PARTITION BY coin_id ORDER BY event_timestamp
+                         ROWS BETWEEN 6 PRECEDING AND CURRENT ROW)""")
+def batch_increment(spark, sf_dir):
+    """A batch run on the first arrivals, then the last arrival added to it."""
+    tables = Tables(shared_dir(spark, "run"))
+    documents = X.documents(spark, sf_dir)
+    late = F.col("ingestion_metadata.ingested_at") >= X.SLICES[1]
+    sources.land_snapshots(documents.filter(~late), tables.bronze, one_per_file=False)
+    run_batch(spark, tables, X.INSTRUMENTS, multi_line=False)
+    arrived = sources.land_snapshots(documents.filter(late), f"{tables.root}/arrived",
+                                     one_per_file=False)
+    run_increment(spark, tables, arrived, X.INSTRUMENTS, multi_line=False)
+    return sources.read_table(spark, tables.performance)
+
+
 # == streaming ==============================================================
 
 def _messages(spark: SparkSession, sf_dir: str) -> DataFrame:

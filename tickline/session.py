@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 
 _local_base: str | None = None
+_made: list[str] = []
 
 
 def shared_dir(spark: SparkSession, name: str) -> str:
@@ -27,7 +28,21 @@ def shared_dir(spark: SparkSession, name: str) -> str:
         if _local_base is None:
             _local_base = tempfile.mkdtemp(prefix="tickline-")
         base = _local_base
-    return f"{base.rstrip('/')}/tickline-{uuid.uuid4().hex}/{name}"
+    root = f"{base.rstrip('/')}/tickline-{uuid.uuid4().hex}"
+    _made.append(root)
+    return f"{root}/{name}"
+
+
+def drop_shared(spark: SparkSession) -> int:
+    """Delete the shared directories this process made; returns how many.
+
+    For the end of a job: DataFrames that still read them stop working.
+    """
+    count = len(_made)
+    while _made:
+        root = spark._jvm.org.apache.hadoop.fs.Path(_made.pop())
+        root.getFileSystem(spark._jsc.hadoopConfiguration()).delete(root, True)
+    return count
 
 
 def materialise(df: DataFrame, name: str = "stage") -> DataFrame:

@@ -28,15 +28,20 @@ def align_schema(df: DataFrame, target: T.StructType | DataFrame, merge: bool =
     return df.select(*known, *new)
 
 
-def _spread(df: DataFrame, partition_by: Sequence[str]) -> DataFrame:
+def _spread(df: DataFrame, partition_by: Sequence[str], sort_by: Sequence[str] = ()) -> DataFrame:
     """Gather each table partition into few files, and split large ones."""
-    return df.hint("rebalance", *partition_by) if partition_by else df
+    if partition_by:
+        df = df.hint("rebalance", *partition_by)
+    return df.sortWithinPartitions(*partition_by, *sort_by) if sort_by else df
 
 
 def overwrite_table(df: DataFrame, path: str | None = None, partition_by: Sequence[str] = (),
-                    table: str | None = None) -> None:
-    """Replace a whole table: at a path, in the catalog, or both (external)."""
-    writer = _spread(df, partition_by).write.format("parquet").mode("overwrite")
+                    table: str | None = None, sort_by: Sequence[str] = ()) -> None:
+    """Replace a whole table: at a path, in the catalog, or both (external).
+
+    Rows sorted by what readers filter on let them skip parts of the files.
+    """
+    writer = _spread(df, partition_by, sort_by).write.format("parquet").mode("overwrite")
     if partition_by:
         writer = writer.partitionBy(*partition_by)
     if table is None:
@@ -47,9 +52,10 @@ def overwrite_table(df: DataFrame, path: str | None = None, partition_by: Sequen
     writer.saveAsTable(table)
 
 
-def overwrite_partitions(df: DataFrame, path: str, partition_by: Sequence[str] = ("date",)) -> None:
+def overwrite_partitions(df: DataFrame, path: str, partition_by: Sequence[str] = ("date",),
+                         sort_by: Sequence[str] = ()) -> None:
     """Replace only the table partitions that occur in `df`."""
-    (_spread(df, partition_by).write.mode("overwrite")
+    (_spread(df, partition_by, sort_by).write.mode("overwrite")
      .option("partitionOverwriteMode", "dynamic")
      .partitionBy(*partition_by).parquet(path))
 
