@@ -69,4 +69,6 @@ def test_change(spark, price, previous, flag, ratio):
 def test_load_time_may_be_fixed(spark):
     moment = dt.datetime(2024, 5, 1, 12)
     assert one(spark, C.load_time(moment)) == moment
+    zoned = moment.replace(tzinfo=dt.timezone(dt.timedelta(hours=2)))
+    assert one(spark, C.load_time(zoned)) == dt.datetime(2024, 5, 1, 10)
     assert one(spark, C.load_time()) is not None

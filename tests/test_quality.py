@@ -69,6 +69,15 @@ def test_bronze_missing_metadata_stops_the_run(spark, tmp_path, stamp):
         quality.gate(quality.bronze_checks(bronze(spark, tmp_path, document(stamp))))
 
 
+def test_bronze_without_any_metadata_is_skipped(spark, tmp_path):
+    bare = {k: v for k, v in document().items() if k != "ingestion_metadata"}
+    assert by_check(quality.gate(quality.bronze_checks(bronze(spark, tmp_path, bare))))[
+        "missing_metadata"].status == "skip"
+    (tmp_path / "two").mkdir()
+    with pytest.raises(quality.QualityError, match="missing_metadata"):
+        quality.gate(quality.bronze_checks(bronze(spark, tmp_path / "two", bare, document())))
+
+
 def test_silver_passes(clean, at):
     results = quality.silver_checks(clean, as_of=at(30))
     assert results.schema.simpleString() == CHECK_RESULT.simpleString()

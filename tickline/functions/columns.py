@@ -39,10 +39,13 @@ def parse_time(text: Column) -> Column:
 
 
 def load_time(as_of: dt.datetime | Column | None = None) -> Column:
-    """The time of the run, or the given moment for repeatable runs."""
+    """The time of the run, or the given moment for repeatable runs.
+
+    A moment without a zone is in the session's time zone.
+    """
     if as_of is None:
         return F.current_timestamp()
-    return as_of if isinstance(as_of, Column) else F.lit(as_of).cast("timestamp")
+    return as_of if isinstance(as_of, Column) else F.lit(as_of.isoformat()).cast("timestamp")
 
 
 def ingestion_delay(ingested_at: Column, epoch: Column, unit: str = "s",

@@ -189,11 +189,15 @@ def cross_table_sync(snapshot: DataFrame, performance: DataFrame,
 
 def bronze_checks(df: DataFrame, coins: Sequence[str] = INSTRUMENTS,
                   fatal: Collection[str] = ("corrupt_json", "missing_metadata")) -> DataFrame:
-    """Raw documents read by `sources.read_snapshots`: one pass for all checks."""
+    """Raw documents read by `sources.read_snapshots`: one pass for all checks.
+
+    Where no document has metadata at all, that check is skipped.
+    """
     stamp = C.nested("ingestion_metadata", "ingested_at")
     counted = {
         "corrupt_json": F.count_if(C.nested(CORRUPT).isNotNull()),
         "missing_metadata": F.count_if(stamp.isNull() | (stamp == "")),
+        "seen metadata": F.count("ingestion_metadata"),
         **{f"seen {coin}": F.count(C.nested(coin)) for coin in coins},
         **{f"null {coin}": F.count_if(C.nested(coin, "usd").isNull()) for coin in coins},
     }
@@ -205,7 +209,9 @@ def bronze_checks(df: DataFrame, coins: Sequence[str] = INSTRUMENTS,
         _result("corrupt_json", _severity("corrupt_json", "error", fatal), F.col("corrupt_json")),
         _result("missing_coins", _severity("missing_coins", "warn", fatal), absent),
         _result("missing_metadata", _severity("missing_metadata", "error", fatal),
-                F.col("missing_metadata")),
+                F.col("missing_metadata"),
+                status=F.when(C.nested("seen metadata") == 0, "skip")
+                        .when(F.col("missing_metadata") == 0, "pass").otherwise("fail")),
         *[_result(f"null_price {coin}", _severity("null_price", "warn", fatal),
                   C.nested(f"null {coin}"),
                   status=F.when(C.nested(f"seen {coin}") == 0, "skip")
