@@ -247,15 +247,19 @@ def silver_checks(df: DataFrame, as_of: dt.datetime | Column | None = None,
                 float(sla_minutes),
                 F.when(age.isNull(), "error").when(age > sla_minutes, "fail").otherwise("pass")))
 
-    def counted(check: str, rows: DataFrame, severity: str, threshold: float | None = 0.0):
-        return _rows(rows.agg(F.count(F.lit(1)).alias("n")),
-                     _result(check, _severity(check, severity, fatal), F.col("n"), threshold))
-
+    # One pass over the keys gives the repeats and the instruments.
+    keys = (df.groupBy("coin_id", "event_timestamp").agg(F.count(F.lit(1)).alias("n"))
+            .agg(F.count_if(F.col("n") > 1).alias("duplicate_keys"),
+                 F.count_distinct("coin_id").alias("instruments")))
+    jumps = price_jumps(df, ratio, order, layout).agg(F.count(F.lit(1)).alias("price_jumps"))
     return union(
         folded,
-        counted("duplicate_keys", duplicate_keys(df), "error"),
-        counted("instruments", df.select("coin_id").distinct(), "info", None),
-        counted("price_jumps", price_jumps(df, ratio, order, layout), "warn"))
+        _rows(keys,
+              _result("duplicate_keys", _severity("duplicate_keys", "error", fatal),
+                      F.col("duplicate_keys")),
+              _result("instruments", "info", F.col("instruments"), None)),
+        _rows(jumps, _result("price_jumps", _severity("price_jumps", "warn", fatal),
+                             F.col("price_jumps"))))
 
 
 def stream_silver_checks(df: DataFrame, fatal: Collection[str] = ()) -> DataFrame:
@@ -276,19 +280,25 @@ def gold_checks(performance: DataFrame, snapshot: DataFrame,
     Tied ranks are legitimate and only warn; a repeated instrument and moment
     is an error.
     """
-    def counted(check: str, rows: DataFrame, severity: str):
-        return _rows(rows.agg(F.count(F.lit(1)).alias("n")),
-                     _result(check, _severity(check, severity, fatal), F.col("n")))
-
+    # Null averages are counted in the pass over the ranks.
+    ranks = (performance.groupBy("event_timestamp", "market_cap_rank")
+             .agg(F.count(F.lit(1)).alias("n"),
+                  F.count_if(F.col("moving_avg_price").isNull()).alias("nulls"))
+             .agg(F.count_if(F.col("n") > 1).alias("tied_ranks"),
+                  F.coalesce(F.sum("nulls"), F.lit(0)).alias("null_moving_average")))
+    repeats = duplicate_keys(performance).agg(F.count(F.lit(1)).alias("duplicate_keys"))
     sync = cross_table_sync(snapshot, performance, tolerance, order, coins).agg(
         F.count(F.lit(1)).alias("compared"),
         F.count_if(F.col("status") == "out_of_sync").alias("off"),
         F.count_if(F.col("status").startswith("missing")).alias("missing"))
     nothing = F.when(F.col("compared") == F.col("missing"), "skip")
     return union(
-        counted("tied_ranks", rank_duplicates(performance), "warn"),
-        counted("duplicate_keys", duplicate_keys(performance), "error"),
-        run_checks(performance, {"null_moving_average": F.col("moving_avg_price").isNull()}, fatal),
+        _rows(ranks,
+              _result("tied_ranks", _severity("tied_ranks", "warn", fatal), F.col("tied_ranks")),
+              _result("null_moving_average", _severity("null_moving_average", "error", fatal),
+                      F.col("null_moving_average"))),
+        _rows(repeats, _result("duplicate_keys", _severity("duplicate_keys", "error", fatal),
+                               F.col("duplicate_keys"))),
         _rows(sync,
               _result("out_of_sync", _severity("out_of_sync", "error", fatal), F.col("off"),
                       status=nothing.when(F.col("off") == 0, "pass").otherwise("fail")),

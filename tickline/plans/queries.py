@@ -55,7 +55,7 @@ def prices(spark: SparkSession, sf_dir: str) -> DataFrame:
 def flagged(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Silver: prices with flag, and the delay to the half hour."""
     delay = F.unix_timestamp("ingested_at") - F.unix_timestamp("event_timestamp") - 1800
-    return (silver.add_price_change_flag(prices(spark, sf_dir))
+    return (silver.add_price_change_flag(materialise(prices(spark, sf_dir)))
             .withColumn("ingestion_delay_seconds", delay))
 
 
@@ -82,7 +82,9 @@ def dedup_latest(spark, sf_dir):
 
 @query(f"WITH {X.SQL_FLAGGED} SELECT {_TICK}, price_change_flag FROM flagged")
 def price_change_flag(spark, sf_dir):
-    return silver.add_price_change_flag(prices(spark, sf_dir))
+    """The unique rows are stored first, as in the batch run: the flag reads them
+    twice, the second time only by three columns."""
+    return silver.add_price_change_flag(materialise(prices(spark, sf_dir)))
 
 
 _SLOTS = """, slots AS (
@@ -462,16 +464,16 @@ def ma_completeness(spark, sf_dir):
                               {"null_moving_average": F.col("moving_avg_price").isNull()})
 
 
-# The compared tables differ: the snapshot is of the first three weeks and has
-# no signups, the performance table has no clicks of the first user group.
-_SYNC = f"""WITH {X.SQL_PRICES}, s AS (
-  SELECT coin_id, price_usd AS snapshot_price FROM prices
-  WHERE date < DATE '{X.SLICES[1]}' AND coin_id NOT LIKE 'signup%'
-  QUALIFY row_number() OVER (PARTITION BY coin_id ORDER BY event_timestamp DESC) = 1),
-p AS (
-  SELECT coin_id, price_usd AS performance_price FROM prices
-  WHERE coin_id <> 'click-0' AND (coin_id LIKE 'view%' OR date < DATE '{X.SLICES[1]}')
+# Both tables are whole. The snapshot has another price for signups, and another
+# name for one instrument, which is then missing on either side.
+_SYNC = f"""WITH {X.SQL_PRICES}, latest AS (
+  SELECT coin_id, price_usd FROM prices
   QUALIFY row_number() OVER (PARTITION BY coin_id ORDER BY event_timestamp DESC) = 1),
+s AS (
+  SELECT CASE WHEN coin_id = 'click-0' THEN 'renamed' ELSE coin_id END AS coin_id,
+         CASE WHEN coin_id LIKE 'signup%' THEN price_usd + 1 ELSE price_usd END AS snapshot_price
+  FROM latest),
+p AS (SELECT coin_id, price_usd AS performance_price FROM latest),
 synced AS (
   SELECT coin_id, snapshot_price, performance_price,
          CASE WHEN s.coin_id IS NULL THEN 'missing_in_snapshot'
@@ -483,10 +485,11 @@ synced AS (
 
 def _sync_inputs(spark, sf_dir):
     rows = prices(spark, sf_dir)
-    early = F.col("date") < F.lit(X.SLICES[1]).cast("date")
-    coin = F.col("coin_id")
-    return (rows.filter(early & ~coin.startswith("signup")),
-            rows.filter((coin != "click-0") & (coin.startswith("view") | early)))
+    coin, price = F.col("coin_id"), F.col("price_usd")
+    snapshot = gold.latest_snapshot(rows).withColumns({
+        "coin_id": F.when(coin == "click-0", "renamed").otherwise(coin),
+        "price_usd": F.when(coin.startswith("signup"), price + 1).otherwise(price)})
+    return snapshot, rows
 
 
 @query(_SYNC + " SELECT * FROM synced")
