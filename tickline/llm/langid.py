@@ -134,7 +134,7 @@ class LanguageModel:
 
 
 def fit(df: DataFrame, text_col: str = "text", lang_col: str = "lang", id_col: str = "doc_id",
-        centroids: int = 3, per_language: int = 400, slack: float = 0.6) -> LanguageModel:
+        centroids: int = 3, per_language: int = 400, slack: float = 0.3) -> LanguageModel:
     """Learn from all rows of `df` that have a text and a language.
 
     One pass counts rows by language, one counts documents by gram. The sample

@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tickline.llm import langid, pieces, pii
+from tickline.llm import langid, nearcopies, pieces, pii
 from tickline.llm.common import fold, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -39,3 +39,9 @@ def op10_language(spark: SparkSession, sf_dir: str) -> DataFrame:
         .withColumn("held_out", fold("doc_id", 5) == 0)
     model = langid.fit(docs.where("not held_out"))
     return langid.identify(docs.drop("lang"), model).drop("text")
+
+
+@query
+def op5_near_copies(spark: SparkSession, sf_dir: str) -> DataFrame:
+    links = nearcopies.link(table(spark, sf_dir, "documents"), shingle=4)
+    return links.select(F.col("id").alias("doc_id"), "n_shingles", "component_id", "kept")
