@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tickline.llm import langid, nearcopies, pieces, pii
+from tickline.llm import decontaminate, langid, nearcopies, pieces, pii
 from tickline.llm.common import fold, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -45,3 +45,34 @@ def op10_language(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op5_near_copies(spark: SparkSession, sf_dir: str) -> DataFrame:
     links = nearcopies.link(table(spark, sf_dir, "documents"), shingle=4)
     return links.select(F.col("id").alias("doc_id"), "n_shingles", "component_id", "kept")
+
+
+@query
+def op6_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = decontaminate.contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+    return found.select(F.col("id").alias("doc_id"), "n_words", "n_hit", F.size("items").cast("long").alias("n_items"),
+                        F.sha2(F.array_join("items", ","), 256).alias("items_sha256"), "contaminated")
+
+
+ORACLES["op6_decontaminate"] = r"""
+WITH b AS (SELECT CAST(item_id AS VARCHAR) AS item, regexp_extract_all(
+        translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+        '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM benchmark),
+br AS (SELECT DISTINCT item, l, array_to_string(w[i:i + l - 1], ' ') AS run
+    FROM (SELECT item, w, l, unnest(generate_series(1, len(w) - l + 1)) AS i
+          FROM (SELECT item, w, least(13, len(w)) AS l FROM b WHERE len(w) > 0))),
+ls AS (SELECT DISTINCT l FROM br),
+d AS (SELECT row_number() OVER () AS place, doc_id, regexp_extract_all(
+        translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+        '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM documents),
+dr AS (SELECT place, l, i, array_to_string(w[i:i + l - 1], ' ') AS run
+    FROM (SELECT place, w, l, unnest(generate_series(1, len(w) - l + 1)) AS i FROM d, ls WHERE len(w) >= l)),
+found AS (SELECT place, l, i, item FROM dr JOIN br USING (l, run)),
+covered AS (SELECT place, count(DISTINCT p) AS n_hit
+    FROM (SELECT place, unnest(generate_series(i, i + l - 1)) AS p FROM found) GROUP BY place),
+its AS (SELECT place, count(*) AS n_items, string_agg(item, ',' ORDER BY item) AS items
+    FROM (SELECT DISTINCT place, item FROM found WHERE item IS NOT NULL) GROUP BY place)
+SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items,
+    sha256(coalesce(items, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AND 20 * coalesce(n_hit, 0) >= len(w) AS contaminated
+FROM d LEFT JOIN covered USING (place) LEFT JOIN its USING (place)
+"""
