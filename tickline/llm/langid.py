@@ -145,7 +145,9 @@ def fit(df: DataFrame, text_col: str = "text", lang_col: str = "lang", id_col: s
                      F.col(f"`{lang_col}`").cast("string").alias("lang"),
                      F.xxhash64(F.col(f"`{id_col}`").cast("string")).alias("key")) \
         .where("text is not null and lang is not null and lang <> ''")
-    sizes = rows.groupBy("lang").count()
+    sizes = written(rows.groupBy("lang").count(), "langid_sizes")
+    if sizes.count() <= 10_000:  # else joined by shuffle
+        sizes = F.broadcast(sizes)
     chosen = (rows.join(sizes, "lang")
               .where(F.col("key").bitwiseAND(F.lit((1 << 31) - 1))
                      < F.lit(float(1 << 31)) * per_language / F.col("count")))
