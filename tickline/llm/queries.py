@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tickline.llm import decontaminate, langid, nearcopies, pieces, pii
+from tickline.llm import decontaminate, langid, nearcopies, pieces, pii, warc
 from tickline.llm.common import fold, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -76,3 +76,12 @@ SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, coalesce(n_hit, 0) AS n_hit, c
     sha256(coalesce(items, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AND 20 * coalesce(n_hit, 0) >= len(w) AS contaminated
 FROM d LEFT JOIN covered USING (place) LEFT JOIN its USING (place)
 """
+
+
+@query
+def op8_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages = table(spark, sf_dir, "pages")
+    archives, _ = warc.write(pages)
+    return warc.read(archives).select(
+        F.col("id").cast(pages.schema["page_id"].dataType).alias("page_id"), "payload_bytes", "payload_digest",
+        "record_type", F.col("refers_to").cast(pages.schema["page_id"].dataType).alias("refers_to"))
