@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tickline.llm import decontaminate, langid, nearcopies, pieces, pii, warc
+from tickline.llm import decontaminate, langid, nearcopies, ngrams, pieces, pii, warc
 from tickline.llm.common import fold, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -85,3 +85,10 @@ def op8_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return warc.read(archives).select(
         F.col("id").cast(pages.schema["page_id"].dataType).alias("page_id"), "payload_bytes", "payload_digest",
         "record_type", F.col("refers_to").cast(pages.schema["page_id"].dataType).alias("refers_to"))
+
+
+@query
+def op4_backoff(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    scored = ngrams.score(docs, fold("doc_id", 7) != 2)
+    return scored.withColumn("held_out", ~F.col("training")).drop("training")
