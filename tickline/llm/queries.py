@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tickline.llm import decontaminate, langid, nearcopies, ngrams, pieces, pii, warc
+from tickline.llm import bitslices, decontaminate, langid, nearcopies, ngrams, pieces, pii, warc
 from tickline.llm.common import fold, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -92,3 +92,8 @@ def op4_backoff(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     scored = ngrams.score(docs, fold("doc_id", 7) != 2)
     return scored.withColumn("held_out", ~F.col("training")).drop("training")
+
+
+@query
+def op1_bit_slices(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return bitslices.search(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 100 == 0)
