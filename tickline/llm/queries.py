@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tickline.llm import bitslices, decontaminate, langid, nearcopies, ngrams, pieces, pii, warc
+from tickline.llm import bitslices, decontaminate, langid, nearcopies, ngrams, ordering, pieces, pii, recount, warc
 from tickline.llm.common import fold, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -97,3 +97,21 @@ def op4_backoff(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op1_bit_slices(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bitslices.search(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 100 == 0)
+
+
+@query
+def op2_recount(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    counted = recount.recount(docs, recount.sample_edits(), public_tokenizers.path("byte_bpe_50k.tiktoken"))
+    return counted.select("doc_id", "n_before", "n_after", "n_pretokens", "n_encoded",
+                          F.sha2(F.coalesce("edited", F.lit("")), 256).alias("edited_sha256"))
+
+
+@query
+def op9_order(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    folder, _ = ordering.write(ordering.coded(docs, public_tokenizers.path("byte_bpe_50k.tiktoken")), key=20240117)
+    own = F.slice("ids", F.lit(1), F.col("used"))
+    return ordering.read(spark, folder).select(
+        F.col("document").alias("doc_id"), "part", "slot", F.col("used").cast("long").alias("n_tokens"),
+        F.sha2(F.array_join(own.cast("array<string>"), " "), 256).alias("ids_sha256"))
