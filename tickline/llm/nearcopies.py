@@ -234,7 +234,8 @@ def block_links(members: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
 
 def link(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = 5, percent: int = 80,
          bands: int = 52, rows: int = 7) -> DataFrame:
-    """id, n_shingles, component_id, kept and place (the row's own number) of every row of `df`."""
+    """id, place (the row's own number), group (the component's own number, null
+    without words), n_shingles, component_id and kept of every row of `df`."""
     docs = df.select(F.col(f"`{id_col}`").alias("id"), F.col(f"`{text_col}`").cast("string").alias("text"))
     docs = docs.withColumn("place", F.monotonically_increasing_id())
     base = written(sketches(docs.select(F.struct("id", "place").alias("id"), "text"), shingle, bands, rows)
@@ -274,6 +275,6 @@ def link(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle:
         .withColumn("group", F.coalesce(F.col("component"), F.col("node")))
     lowest = rows_.where("group is not null").groupBy("group").agg(F.min("id").alias("lowest"))
     return (rows_.join(lowest, "group", "left")
-            .select("id", "place", F.col("n").alias("n_shingles"),
+            .select("id", "place", "group", F.col("n").alias("n_shingles"),
                     F.when(F.col("group").isNull(), F.col("id")).otherwise(F.col("lowest")).alias("component_id"))
             .withColumn("kept", F.col("id").eqNullSafe(F.col("component_id"))))

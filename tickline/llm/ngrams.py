@@ -9,23 +9,24 @@ shorter context:
 with u' the context u without its first token, and (c(w) + 1) / (N + V + 1)
 under the empty context; it sums to one over the V tokens seen and one unseen.
 The weight l depends on the order and on how often the context occurs (a class
-per power of two). It is the value on a grid under which all training tokens,
-each left out of the counts in turn, are likeliest.
+per power of two). It is the value on a grid under which all training tokens
+are likeliest, each left out of the counts in turn; these counts are taken
+within slices of the input of `SLICE_BYTES`, so that one pass gives them.
 As an automaton: a state per context seen, an arc per n-gram seen, weighted
-log10 p, and a failure arc from u to u' weighted log10 l.
-A text is read once from left to right: take the arc of the next token if
-there is one, else fail and try again.
+log10 p, and a failure arc from u to u' weighted log10 l. A text is read once
+from left to right: take the arc of the next token if there is one, else fail
+and try again. The state at a place depends on the last order - 1 tokens only,
+so a block's texts are walked all at once, from the shortest contexts up.
 
 How it is spread out. Documents are dealt into blocks by a hash. A block needs
-the counts of its own n-grams only. It sends their hashes (64 bits) and its
-own training counts, sorted and packed, to buckets of the hash space; a bucket
-adds the counts up over all blocks and sends each block the totals of what it
-asked for, in the order asked. The block then adds its share to the weights'
-likelihoods (a table of fixed size), builds its part of the automaton and
-scores its texts. No table of n-grams is held whole anywhere, n-grams come
+the counts of its own n-grams only. It sends their hashes and its own training
+counts, sorted and packed, to buckets of the hash space; a bucket adds the
+counts up over all blocks and sends each block the totals of what it asked for,
+in the order asked. No table of n-grams is held whole anywhere, n-grams come
 from all training texts, and both blocks and buckets have a bounded size
 whatever the corpus: their number grows. A frequent n-gram is one entry per
-block, as any other.
+block, as any other. Words have 64-bit hashes, longer n-grams ones of
+`MARGIN` bits more than the count of tokens needs.
 
 Null and empty texts are one end token. Ids are not used but for the fold, so
 repeated and null ids are rows like others. Without training rows, N = V = 0.
@@ -37,67 +38,170 @@ import math
 
 import numpy as np
 import pyarrow as pa
+import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tickline.llm.common import slices, written
-from tickline.llm.nearcopies import word_hashes
+from tickline.llm.common import slices
 
 BLOCK_BYTES = 6 << 20       # of text in a block
-BUCKET_GRAMS = 1_000_000    # distinct n-grams in a bucket, about
-END, BEGIN = np.uint64(1), np.uint64(2)
+SLICE_BYTES = 4 << 20       # of text in a slice for the weights
+BUCKET_GRAMS = 1_000_000    # n-grams that a bucket gets, about, over the number of blocks that ask for each
+MARGIN = 22
+END, BEGIN = 1, 2
 GRID = np.array([0.005, 0.02, 0.05, 0.1, 0.2, 0.35, 0.5, 0.65, 0.8, 0.9, 0.96, 0.99, 0.999])
 _ODD = np.uint64(0x9E3779B97F4A7C15)
 
 
-def tokens(text: str | None) -> np.ndarray:
-    return np.append(word_hashes(text), END)
-
-
-def extended(context: np.ndarray, token: np.ndarray) -> np.ndarray:
+class _Words(dict):
+    """Word -> 64-bit hash, computed once while it is held."""
+
+    def __missing__(self, word: bytes) -> int:
+        if len(self) >= 300_000:
+            self.clear()
+        self[word] = value = xxhash.xxh3_64_intdigest(word) if word else END
+        return value
+
+
+_words = _Words()
+
+
+class Text:
+    """The tokens of a block's texts in one row, and n-grams that end at each place."""
+
+    def __init__(self, texts: list[str | None], order: int):
+        words: list[bytes] = []
+        ends = []
+        for text in texts:
+            if text:  # ASCII letters and blanks only
+                words += text.encode("utf-8", "surrogatepass").lower().split()
+            words.append(b"")
+            ends.append(len(words))
+        self.token = np.fromiter(map(_words.__getitem__, words), np.uint64, len(words))
+        self.ends = np.array(ends, np.int64)
+        self.starts = np.concatenate([[0], self.ends[:-1]]).astype(np.int64)
+        first = np.zeros(len(words), np.int64)
+        first[self.starts] = self.starts
+        self.inside = np.arange(len(words)) - np.maximum.accumulate(first)  # place within its text
+        self.order = order
+
+    def grams(self, bits: int) -> list[tuple[np.ndarray, np.ndarray]]:
+        """Per order from 2 on: the places that have one, and its hash there.
+        A text begins with one begin mark."""
+        found, longer = [], self.token
+        for k in range(2, self.order + 1):
+            context = np.concatenate([np.full(1, BEGIN, np.uint64), longer[:-1]])
+            context[self.inside == 0] = BEGIN
+            longer = _extended(context, self.token)
+            at = np.flatnonzero(self.inside >= k - 2)
+            found.append((at, longer[at] >> np.uint64(64 - bits)))
+        return found
+
+
+def _extended(context: np.ndarray, token: np.ndarray) -> np.ndarray:
     """Hash of the n-gram that is `context` followed by `token`."""
     x = (context ^ (context >> np.uint64(31))) * _ODD + token
     x = (x ^ (x >> np.uint64(29))) * np.uint64(0xBF58476D1CE4E5B9)
     return x ^ (x >> np.uint64(32))
 
 
-def grams(token: np.ndarray, order: int) -> list[np.ndarray]:
-    """Per order k: the hash of the k tokens that end at each place. Texts begin with
-    one begin mark, so orders above 2 start later: there the hash is 0."""
-    padded = np.concatenate([[BEGIN], token])
-    found, last = [token], padded
-    for _ in range(2, order + 1):
-        last = extended(last[:-1], padded[len(padded) - len(last) + 1:])
-        found.append(np.concatenate([np.zeros(len(token) - len(last), np.uint64), last]))
-    return found
+class Counted:
+    """Distinct n-grams of a block by order, sorted, and where each place's one is."""
+
+    def __init__(self, text: Text, bits: int):
+        self.text = text
+        begins = np.full(len(text.ends), BEGIN, np.uint64)
+        self.keys, self.place, self.at = [], [], []
+        for k, (at, values) in enumerate([(None, text.token), *text.grams(bits)]):
+            joined = np.concatenate([values, begins]) if k == 0 else values
+            keys, place = np.unique(joined, return_inverse=True)
+            self.keys.append(keys)
+            self.place.append(place)
+            self.at.append(at)
+
+    def counts(self, training: np.ndarray) -> list[np.ndarray]:
+        """Training counts, aligned with the keys; `training` is per text."""
+        learn = np.repeat(training, self.text.ends - self.text.starts).astype(float)
+        weights = [np.concatenate([learn, training.astype(float)]), *(learn[at] for at in self.at[1:])]
+        return [np.bincount(p, weights=w, minlength=len(k)).astype(np.int64)
+                for p, w, k in zip(self.place, weights, self.keys, strict=True)]
+
+    def at_places(self, totals: list[np.ndarray]):
+        """Per order: each place's count of its n-gram and of that one's context (0: none)."""
+        n = len(self.text.token)
+        times = [totals[0][self.place[0][:n]]]
+        begin = totals[0][self.place[0][n]] if len(self.place[0]) > n else 0
+        contexts = [np.zeros(0)]
+        for k in range(1, len(totals)):
+            here = np.zeros(n, np.int64)
+            here[self.at[k]] = totals[k][self.place[k]]
+            times.append(here)
+            # The k tokens before the place; at most one of them is the begin mark.
+            context = np.concatenate([[0], times[k - 1][:-1]])[:n]
+            context[self.text.inside < k - 1] = 0
+            if k == 1:
+                context[self.text.inside == 0] = begin
+            contexts.append(context)
+        return times, contexts
+
+
+def _class(counts: np.ndarray) -> np.ndarray:
+    return np.frexp(counts.astype(float))[1]
+
+
+def likelihoods(counted: Counted, training: np.ndarray) -> dict[tuple[int, int], np.ndarray]:
+    """By order and context class: the sum of log p of the training tokens under
+    each weight of the grid, each token left out of the counts."""
+    counts = counted.counts(training)
+    times, contexts = counted.at_places(counts)
+    learn = np.repeat(training, counted.text.ends - counted.text.starts)
+    whole = int(learn.sum()) + len(counts[0]) + 1
+    sums: dict[tuple[int, int], np.ndarray] = {}
+    for k in range(1, counted.text.order):
+        here = learn & (contexts[k] > 0) & (times[k] > 0)
+        if not here.any():
+            continue
+        share = (times[k][here] - 1) / np.maximum(contexts[k][here] - 1, 1)
+        single, group = times[0][here] / whole, _class(contexts[k][here])
+        for g, weight in enumerate(GRID):
+            logs = np.bincount(group, weights=np.log(share * (1 - weight) + single * weight))
+            for c in np.unique(group):
+                sums.setdefault((k, int(c)), np.zeros(len(GRID)))[g] += logs[c]
+    return sums
 
 
-def _counted(texts: list[str | None], training: list[bool], order: int) -> tuple[np.ndarray, np.ndarray]:
-    """Distinct n-grams of a block, sorted, with their counts in its training texts."""
-    every, weight = [np.full(len(texts), BEGIN)], [np.array(training, np.int64)]
-    for text, learn in zip(texts, training, strict=True):
-        for g in grams(tokens(text), order):
-            g = g[g != 0]
-            every.append(g)
-            weight.append(np.full(len(g), int(learn)))
-    every, weight = np.concatenate(every), np.concatenate(weight)
-    keys, place = np.unique(every, return_inverse=True)
-    return keys, np.bincount(place, weights=weight, minlength=len(keys)).astype(np.int64)
+def _split(keys: np.ndarray, bits: int, buckets: int) -> tuple[np.ndarray, np.ndarray]:
+    """Which bucket (equal parts of the hash space) each sorted key is in, as runs."""
+    top = keys >> np.uint64(max(0, bits - 32))
+    number = top * np.uint64(buckets) >> np.uint64(min(bits, 32))
+    found, starts = np.unique(number, return_index=True)
+    return found.astype(np.int64), np.append(starts, len(keys))
 
 
-def _packed(values: np.ndarray) -> bytes:
-    """Differences of a sorted array, in as few bytes each as the largest needs."""
-    steps = np.diff(values, prepend=np.uint64(0)).astype("<u8")
-    width = max(1, (int(steps.max()).bit_length() + 7) // 8) if len(steps) else 1
-    return bytes([width]) + np.ascontiguousarray(steps.view(np.uint8).reshape(-1, 8)[:, :width]).tobytes()
+def _packed(keys: np.ndarray) -> bytes:
+    """Sorted keys: where many share their high 32 bits, the runs of equal high
+    bits and each one's low bits; else their differences, as wide as the largest."""
+    high, times = np.unique(keys >> np.uint64(32), return_counts=True)
+    if len(high) * 8 < len(keys):
+        return (np.array([0, len(high)], "<u4").tobytes() + high.astype("<u8").tobytes()
+                + times.astype("<u4").tobytes() + keys.astype("<u4").tobytes())
+    steps = np.diff(keys).astype("<u8")
+    width = max(1, (int(steps.max(initial=0)).bit_length() + 7) // 8)
+    return (np.array([width], "<u4").tobytes() + keys[:1].astype("<u8").tobytes()
+            + np.ascontiguousarray(steps.view(np.uint8).reshape(-1, 8)[:, :width]).tobytes())
 
 
 def _unpacked(data: bytes) -> np.ndarray:
-    width = data[0]
-    raw = np.frombuffer(data, np.uint8, offset=1).reshape(-1, width)
-    wide = np.zeros((len(raw), 8), np.uint8)
-    wide[:, :width] = raw
-    return np.cumsum(wide.reshape(-1).view("<u8"), dtype=np.uint64)
+    width = int(np.frombuffer(data, "<u4", 1)[0])
+    if width:
+        raw = np.frombuffer(data, np.uint8, offset=12).reshape(-1, width)
+        wide = np.zeros((len(raw), 8), np.uint8)
+        wide[:, :width] = raw
+        return np.cumsum(np.concatenate([np.frombuffer(data, "<u8", 1, 4), wide.reshape(-1).view("<u8")]), dtype=np.uint64)
+    n = int(np.frombuffer(data, "<u4", 1, 4)[0])
+    high, times = np.frombuffer(data, "<u8", n, 8), np.frombuffer(data, "<u4", n, 8 + 8 * n)
+    low = np.frombuffer(data, "<u4", offset=8 + 12 * n).astype(np.uint64)
+    return np.repeat(high, times) << np.uint64(32) | low
 
 
 def _small(values: np.ndarray) -> bytes:
@@ -111,79 +215,25 @@ def _counts(data: bytes) -> np.ndarray:
     return np.frombuffer(data, f"<u{data[:1].decode()}", offset=1).astype(np.int64)
 
 
-def _bucket_edges(keys: np.ndarray, buckets: int) -> tuple[np.ndarray, np.ndarray]:
-    """Which bucket (equal parts of the hash space) each sorted key is in, as runs."""
-    number = (keys >> np.uint64(32)) * np.uint64(buckets) >> np.uint64(32)
-    found, starts = np.unique(number, return_index=True)
-    return found.astype(np.int64), np.append(starts, len(keys))
+def walk(counted: Counted, totals: list[np.ndarray], n: int, v: int, weight: dict[tuple[int, int], float]):
+    """Per text: tokens, known tokens, base score and the model's score.
 
-
-def _class(counts: np.ndarray) -> np.ndarray:
-    return np.frexp(counts.astype(float))[1]
-
-
-def likelihoods(texts: list[str | None], training: list[bool], keys: np.ndarray, totals: np.ndarray,
-                whole: int, order: int) -> dict[tuple[int, int], np.ndarray]:
-    """By order and context class: the sum of log p of the training tokens under
-    each weight of the grid, each token left out of the counts."""
-    sums: dict[tuple[int, int], np.ndarray] = {}
-
-    def count(of):
-        return totals[np.searchsorted(keys, of)]
-
-    for text, learn in zip(texts, training, strict=True):
-        if not learn:
-            continue
-        token = tokens(text)
-        found = grams(token, order)
-        single = count(token) / whole
-        for k in range(1, order):
-            context = np.concatenate([[BEGIN if k == 1 else np.uint64(0)], found[k - 1][:-1]])
-            here = (found[k] != 0) & (context != 0)
-            seen, times = count(context[here]), count(found[k][here])
-            share = (times - 1) / np.maximum(seen - 1, 1)
-            logs = np.log(share[:, None] * (1 - GRID) + single[here][:, None] * GRID)
-            group = _class(seen)
-            for c in np.unique(group):
-                sums[k, int(c)] = sums.get((k, int(c)), 0) + logs[group == c].sum(0)
-    return sums
-
-
-class Automaton:
-    """The part of the model that a block's texts can reach."""
-
-    def __init__(self, keys: np.ndarray, totals: np.ndarray, n: int, v: int, order: int,
-                 weight: dict[tuple[int, int], float]):
-        known = totals > 0
-        self.count = dict(zip(keys[known].tolist(), totals[known].tolist(), strict=True))
-        self.n, self.v, self.order, self.weight = n, v, order, weight
-
-    def score(self, text: str | None) -> tuple[int, int, float, float]:
-        """Tokens, known tokens, base score and the model's score."""
-        token = tokens(text)
-        found = [g.tolist() for g in grams(token, self.order)]
-        get, weight, whole, log = self.count.get, self.weight, self.n + self.v + 1, math.log10
-        states = [int(BEGIN)] if self.order > 1 else []  # the contexts held, the shortest first
-        known, base, total = 0, [], []
-        for at in range(len(token)):
-            single = get(found[0][at], 0)
-            known += single > 0
-            p = (single + 1) / whole
-            base.append(log(p))
-            following = [found[0][at]]
-            for k, state in enumerate(states, 1):
-                seen = get(state)
-                if not seen:
-                    break
-                scale = weight.get((k, seen.bit_length()), 0.5)
-                gram = found[k][at]
-                p *= scale  # the failure arc; an arc adds the n-gram's own share
-                if times := get(gram):
-                    p += (1 - scale) * times / seen
-                following.append(gram)
-            total.append(log(p))
-            states = following[:self.order - 1]
-        return len(token), known, math.fsum(base), math.fsum(total)
+    Places fail or take their arcs order by order: where a context was seen,
+    the failure weight comes in, and the arc's share if there is an arc.
+    """
+    text = counted.text
+    times, contexts = counted.at_places(totals)
+    p = (times[0] + 1) / (n + v + 1)
+    base = np.log10(p)
+    for k in range(1, text.order):
+        seen = contexts[k] > 0
+        group = _class(contexts[k])
+        known = sorted(c for o, c in weight if o == k)
+        scale = np.array([weight[k, min(known, key=lambda x: abs(x - c))] if known else 0.5 for c in range(65)])[group]
+        p = np.where(seen, scale * p + (1 - scale) * times[k] / np.maximum(contexts[k], 1), p)
+    sums = [np.add.reduceat(x, text.starts) if len(text.starts) else np.zeros(0)
+            for x in ((times[0] > 0).astype(np.int64), base, np.log10(p))]
+    return text.ends - text.starts, *sums
 
 
 def score(df: DataFrame, training: Column, text_col: str = "text", keep: tuple[str, ...] = ("doc_id",),
@@ -191,87 +241,105 @@ def score(df: DataFrame, training: Column, text_col: str = "text", keep: tuple[s
     """`keep`, training, n_tokens, n_known, train_tokens (N), base_score and score of every row."""
     rows = df.select(*(F.col(f"`{c}`") for c in keep), training.alias("training"),
                      F.col(f"`{text_col}`").cast("string").alias("text"))
-    sizes = rows.agg(F.sum(F.length(F.coalesce("text", F.lit(""))) + 64), F.count("*")).first()
-    blocks = max(1, math.ceil((sizes[0] or 0) / BLOCK_BYTES))
-
-    def distinct(batches):
-        seen, total = np.zeros(0, np.uint64), 0
-        for batch in slices(batches, 0):
-            found = [tokens(t) for t in batch.column(0).to_pylist()]
-            total += sum(map(len, found))
-            seen = np.union1d(seen, np.concatenate(found))
+
+    def survey(batches):
+        """Distinct words (kind 0), the number of tokens (1) and of bytes (2), and the weights' likelihoods."""
+        seen, tokens, size = np.zeros(0, np.uint64), 0, 0
+        sums: dict[tuple[int, int], np.ndarray] = {}
+
+        def longs(kind, values):
+            for at in range(0, len(values), 1 << 16):
+                part = values[at:at + (1 << 16)]
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array([kind] * len(part), pa.int32()), pa.array(part, pa.int64()), pa.array([0.0] * len(part))],
+                    names=["kind", "value", "log_p"])
+
+        for batch in slices(batches, 0, SLICE_BYTES):
+            texts = batch.column(0).to_pylist()
+            learn = np.array(batch.column(1).to_pylist(), bool)
+            size += sum(len(t or "") for t in texts) + 64 * len(texts)
+            if not learn.any():
+                continue
+            counted = Counted(Text([t for t, x in zip(texts, learn, strict=True) if x], order), 64)
+            tokens += len(counted.text.token)
+            for at, logs in likelihoods(counted, np.ones(len(counted.text.ends), bool)).items():
+                sums[at] = sums.get(at, 0) + logs
+            seen = np.union1d(seen, counted.keys[0][counted.keys[0] != BEGIN])
             if len(seen) >= BUCKET_GRAMS:
-                yield from _longs(seen, total)
-                seen, total = seen[:0], 0
-        yield from _longs(seen, total)
-
-    def _longs(seen, total):
-        number = np.concatenate([[np.int64(total)], seen.view(np.int64)])
-        kind = np.arange(len(number)) == 0
-        for at in range(0, len(number), 1 << 16):
-            yield pa.RecordBatch.from_arrays([pa.array(number[at:at + (1 << 16)]), pa.array(kind[at:at + (1 << 16)])],
-                                             names=["token", "is_total"])
-
-    found = (rows.where("training").select("text").mapInArrow(distinct, "token long, is_total boolean")
-             .groupBy("token", "is_total").agg(F.count("*").alias("times")))
-    n, v = found.agg(F.sum(F.when(F.col("is_total"), F.col("token") * F.col("times"))),
-                     F.sum(F.when(~F.col("is_total"), F.lit(1)))).first()
-    n, v = n or 0, v or 0
-    # Beside its words, a block has about as many longer n-grams per order as tokens.
-    buckets = max(1, math.ceil((sizes[0] or 0) / 8 * order / BUCKET_GRAMS))
+                yield from longs(0, seen.view(np.int64))
+                seen = seen[:0]
+        yield from longs(0, seen.view(np.int64))
+        yield from longs(1, np.array([tokens]))
+        yield from longs(2, np.array([size]))
+        for (k, c), logs in sums.items():
+            yield pa.RecordBatch.from_arrays(
+                [pa.array([3] * len(GRID), pa.int32()), pa.array((k * 100 + c) * 100 + np.arange(len(GRID))), pa.array(logs)],
+                names=["kind", "value", "log_p"])
+
+    found = rows.select("text", "training").mapInArrow(survey, "kind int, value long, log_p double")
+    # One line per distinct word or grid point, then a table of fixed size.
+    once = found.groupBy("kind", "value").agg(F.count("*").alias("times"), F.sum("log_p").alias("log_p"))
+    point = F.when(F.col("kind") == 3, F.col("value"))
+    n = v = size = 0
+    best: dict[tuple[int, int], tuple[float, float]] = {}
+    for kind, at, count, total, log_p in once.groupBy("kind", point.alias("point")).agg(
+            F.count("*"), F.sum(F.when(F.col("kind").isin(1, 2), F.col("value") * F.col("times"))), F.sum("log_p")).collect():
+        v = count if kind == 0 else v
+        n = total if kind == 1 else n
+        size = total if kind == 2 else size
+        if kind == 3:
+            where = divmod(at // 100, 100)
+            best[where] = max(best.get(where, (-math.inf, 1.0)), (log_p, float(GRID[at % 100])))
+    weight = {at: w for at, (_, w) in best.items()}
+    blocks = max(1, math.ceil(size / BLOCK_BYTES))
+    buckets = max(1, math.ceil(size / 8 * order / BUCKET_GRAMS))
+    bits = min(64, max(n, 1).bit_length() + MARGIN)
+    widths = [64, *[bits] * (order - 1)]
 
     dealt = rows.withColumn("block", F.pmod(F.xxhash64("text", *keep), F.lit(blocks)).cast("int"))
 
+    def counted_of(table: pa.Table) -> Counted:
+        return Counted(Text(table.column("text").to_pylist(), order), bits)
+
     def ask(table: pa.Table) -> pa.Table:
-        keys, counts = _counted(table.column("text").to_pylist(), table.column("training").to_pylist(), order)
-        number, edges = _bucket_edges(keys, buckets)
-        cuts = list(zip(edges[:-1], edges[1:], strict=True))
-        return pa.table([pa.array(number), pa.array([table.column("block")[0].as_py()] * len(number), pa.int32()),
-                         pa.array([_packed(keys[a:b]) for a, b in cuts], pa.binary()),
-                         pa.array([_small(counts[a:b]) for a, b in cuts], pa.binary())],
-                        names=["bucket", "block", "keys", "counts"])
+        counted = counted_of(table)
+        counts = counted.counts(np.array(table.column("training").to_pylist(), bool))
+        asked = []
+        for k, (keys, times) in enumerate(zip(counted.keys, counts, strict=True)):
+            number, edges = _split(keys, widths[k], buckets)
+            asked += [(k, b, _packed(keys[i:j]), _small(times[i:j]))
+                      for b, i, j in zip(number.tolist(), edges[:-1], edges[1:], strict=True)]
+        k, bucket, keys, times = zip(*asked, strict=True)
+        return pa.table([pa.array(k, pa.int32()), pa.array(bucket, pa.int64()),
+                         pa.array([table.column("block")[0].as_py()] * len(asked), pa.int32()),
+                         pa.array(keys, pa.binary()), pa.array(times, pa.binary())],
+                        names=["k", "bucket", "block", "keys", "counts"])
 
     def answer(table: pa.Table) -> pa.Table:
         keys = [_unpacked(x) for x in table.column("keys").to_pylist()]
-        lengths = np.cumsum([0, *map(len, keys)])
-        joined = np.concatenate(keys)
-        _, place = np.unique(joined, return_inverse=True)
+        edges = np.cumsum([0, *map(len, keys)])
+        _, place = np.unique(np.concatenate(keys), return_inverse=True)
         counts = np.concatenate([_counts(x) for x in table.column("counts").to_pylist()])
         totals = np.bincount(place, weights=counts).astype(np.int64)[place]
-        return pa.table([table.column("block"), table.column("bucket"),
-                         pa.array([_small(totals[a:b]) for a, b in zip(lengths[:-1], lengths[1:], strict=True)], pa.binary())],
-                        names=["block", "bucket", "totals"])
+        return pa.table([table.column("block"), table.column("k"), table.column("bucket"),
+                         pa.array([_small(totals[i:j]) for i, j in zip(edges[:-1], edges[1:], strict=True)], pa.binary())],
+                        names=["block", "k", "bucket", "totals"])
 
     kept = [f for f in df.schema if f.name in keep]
     schema = ", ".join([*(f"`{f.name}` {f.dataType.simpleString()}" for f in kept), "training boolean", "n_tokens long",
                         "n_known long", "train_tokens long", "base_score double", "score double"])
 
-    def counted(texts: pa.Table, answers: pa.Table):
-        lists, learn = texts.column("text").to_pylist(), texts.column("training").to_pylist()
-        totals = np.concatenate([_counts(x) for x in answers.sort_by("bucket").column("totals").to_pylist()])
-        return lists, learn, _counted(lists, learn, order)[0], totals
-
-    def tune(texts: pa.Table, answers: pa.Table) -> pa.Table:
-        sums = likelihoods(*counted(texts, answers), n + v + 1, order)
-        rows = [(k, c, g, float(x)) for (k, c), logs in sums.items() for g, x in enumerate(logs)]
-        return pa.table([pa.array([r[i] for r in rows], pa.float64() if i == 3 else pa.int32()) for i in range(4)],
-                        names=["order", "class", "step", "log_p"])
-
     def read(texts: pa.Table, answers: pa.Table) -> pa.Table:
-        lists, _, keys, totals = counted(texts, answers)
-        automaton = Automaton(keys, totals, n, v, order, weight)
-        made = list(zip(*map(automaton.score, lists), strict=True))
-        return pa.table([*(texts.column(c) for c in keep), texts.column("training"), pa.array(made[0], pa.int64()),
-                         pa.array(made[1], pa.int64()), pa.array([n] * len(lists), pa.int64()),
+        answers = answers.sort_by([("k", "ascending"), ("bucket", "ascending")])
+        of, parts = answers.column("k").to_pylist(), answers.column("totals").to_pylist()
+        totals = [np.concatenate([np.zeros(0, np.int64), *(_counts(x) for o, x in zip(of, parts, strict=True) if o == k)])
+                  for k in range(order)]
+        made = walk(counted_of(texts), totals, n, v, weight)
+        return pa.table([*(texts.column(f.name) for f in kept), texts.column("training"), pa.array(made[0], pa.int64()),
+                         pa.array(made[1], pa.int64()), pa.array([n] * texts.num_rows, pa.int64()),
                          pa.array(made[2], pa.float64()), pa.array(made[3], pa.float64())],
-                        names=[*keep, "training", "n_tokens", "n_known", "train_tokens", "base_score", "score"])
+                        names=[*(f.name for f in kept), "training", "n_tokens", "n_known", "train_tokens", "base_score", "score"])
 
-    asked = dealt.groupBy("block").applyInArrow(ask, "bucket long, block int, keys binary, counts binary")
-    answered = written(asked.groupBy("bucket").applyInArrow(answer, "block int, bucket long, totals binary"), "ngram_totals")
-    both = dealt.groupBy("block").cogroup(answered.groupBy("block"))
-    best: dict[tuple[int, int], tuple[float, float]] = {}
-    for k, c, step, log_p in (both.applyInArrow(tune, "order int, class int, step int, log_p double")
-                              .groupBy("order", "class", "step").agg(F.sum("log_p")).collect()):
-        best[k, c] = max(best.get((k, c), (-math.inf, 1.0)), (log_p, float(GRID[step])))
-    weight = {at: w for at, (_, w) in best.items()}
-    return both.applyInArrow(read, schema)
+    asked = dealt.groupBy("block").applyInArrow(ask, "k int, bucket long, block int, keys binary, counts binary")
+    answered = asked.groupBy("k", "bucket").applyInArrow(answer, "block int, k int, bucket long, totals binary")
+    return dealt.groupBy("block").cogroup(answered.groupBy("block")).applyInArrow(read, schema)
