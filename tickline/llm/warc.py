@@ -110,7 +110,7 @@ def directory(read, size: int) -> dict[str, tuple[int, int, int]]:
     """
     tail_at = max(0, size - 22 - 0xFFFF - 20)
     tail = read(tail_at, size - tail_at)
-    at = tail.rfind(_END)
+    at = tail.rfind(_END, 0, len(tail) - 18)
     while at >= 0 and at + 22 + struct.unpack_from("<H", tail, at + 20)[0] != len(tail):
         at = tail.rfind(_END, 0, at)
     if at < 0:
