@@ -49,7 +49,7 @@ def sample(keys=3, n=300, hot=0.5, seed=1, span=20 * 24 * 60):
     return out
 
 
-@pytest.mark.parametrize("layout", ["time", "range", "auto"])
+@pytest.mark.parametrize("layout", ["time", "range"])
 @pytest.mark.parametrize("n", [1, 6])
 def test_equals_plain_window(spark, layout, n):
     df = frame(spark, sample())
@@ -72,13 +72,20 @@ def test_null_times_and_null_keys(spark):
 
 
 def test_all_rows_at_one_moment(spark):
-    """One moment of one key holds everything; the layout is found by counting."""
+    """One moment of one key holds everything; even chunks cut it all the same."""
     df = frame(spark, [("k", START, i, float(i)) for i in range(500)])
-    got = series.over_series(df, ["k"], ["t", "i"], 6, columns(6), layout="auto",
-                             max_group_rows=100)
+    got = series.over_series(df, ["k"], ["t", "i"], 6, columns(6), layout="range",
+                             chunk_rows=100)
     assert same(got, plain(df, 6))
 
 
+@pytest.mark.parametrize("rows", [50, 100, 1000])
+def test_chunks_grow_in_number_not_in_size(spark, rows):
+    cut = series.range_chunks(frame(spark, [("k", START, i, float(i)) for i in range(400)]), ["k", "i"], rows)
+    sizes = [n for _, n in cut.groupBy("__chunk").count().collect()]
+    assert len(sizes) == -(-400 // rows) and sum(sizes) == 400
+
+
 def test_columns_it_does_not_read_are_kept(spark):
     df = frame(spark, sample(n=50)).withColumn("note", F.concat("k", F.lit("!")))
     got = series.over_series(df, ["k"], ["t", "i"], 2, {"before": columns(2)["before"]}, carry=["v"])
@@ -112,13 +119,13 @@ def test_any_series(spark, drawn, n):
     assert same(series.over_series(df, ["k"], ["t", "i"], n, columns(n)), plain(df, n))
 
 
-@pytest.mark.parametrize("layout", ["plain", "range", "auto"])
+@pytest.mark.parametrize("layout", ["plain", "range"])
 def test_rank_with_ties_and_nulls(spark, layout):
     rng = random.Random(3)
     values = [None, 1.0, 2.0, 2.5, 7.0, 7.5, 9.0]
     df = frame(spark, [(rng.choice(["a", "b", None]), START, i, rng.choice(values))
                        for i in range(120)])
     spec = Window.partitionBy("k").orderBy(F.col("v").desc())
-    got = series.rank_within(df, ["k"], "v", "r", layout, max_group_rows=10)
+    got = series.rank_within(df, ["k"], "v", "r", layout, chunk_rows=10)
     assert same(got, df.withColumn("r", F.rank().over(spec)))
     assert dict(got.dtypes)["r"] == "int"

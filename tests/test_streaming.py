@@ -98,7 +98,7 @@ def test_ticks_of_the_future_go(run):
     assert rows(got, "timestamp") == [(EPOCH + 1000,)]
 
 
-@pytest.mark.parametrize("options", [{}, {"watermark": "1 hour"}, {"collapse": False}])
+@pytest.mark.parametrize("options", [{}, {"watermark": "1 hour"}, {"collapse": True}])
 def test_repeats_within_and_across_runs(run, options):
     run.send(tick("near", 1, 2.0), tick("near", 1, 2.0), tick("near", 1.5, 2.0), tick("stellar", 1, 2.0))
     assert run.silver(**options).count() == 3
@@ -179,7 +179,63 @@ def test_late_tick_does_not_replace_the_snapshot(run, spark):
     root = run.gold("merge")
     assert rows(streaming.read_snapshot(spark, root, "merge"), "price_usd") == [(1.0,)]
     assert rows(streaming.read_performance(spark, root, "merge"), "price_usd", "moving_avg_price") == [
-        (1.0, 1.0), (2.0, 2.0)]
+        (1.0, 1.5), (2.0, 2.0)]
+    check_merged(run, spark, root)
+
+
+def test_late_ticks_revise_the_windows_after_them(run, spark):
+    run.send(*[tick("a", 3600 * i, float(i)) for i in range(20, 30)], tick("b", 3600 * 25, 5.0))
+    run.gold("merge")
+    run.send(tick("a", 3600 * 5, 15.0), tick("a", 3600 * 22 + 60, 100.0), tick("b", 3600 * 26, 6.0), tick("c", 60, 1.0))
+    run.gold("merge")
+    run.send(tick("a", 3600 * 40, 1.0), tick("a", 3600 * 21 + 5, 7.0))
+    check_merged(run, spark, run.gold("merge"))
+
+
+def test_replay_does_not_double(run, spark):
+    run.send(*FIRST)
+    root = run.gold("merge")
+    run.send(*SECOND)
+    root = run.gold("merge")
+    again = run.source("silver")
+    with pytest.raises(Exception, match="another query's tables"):
+        streaming.gold_fanout(again, root, f"{run.base}/replay", mode="merge")
+    streaming.gold_fanout(again, root, f"{run.base}/replay2", mode="merge", replace=True)
+    check_merged(run, spark, root)
+    assert streaming.read_daily_trends(spark, root, "merge").agg(F.sum("record_count")).first()[0] == 5
+
+
+def test_rows_behind_the_watermark_are_counted(run, spark):
+    run.send(tick("a", 0, 1.0), tick("a", 86400, 2.0))
+    run.silver(watermark="1 hour")
+    run.send(tick("a", 86500, 2.5))
+    run.silver(watermark="1 hour")
+    run.send(tick("b", 5, 3.0), tick("a", 86600, 4.0))
+    source = run.source("bronze") if os.path.exists(f"{run.base}/bronze") else None
+    assert source is not None
+    kept = run.silver(watermark="1 hour").count()
+    assert kept == 4  # the late tick of b is gone, unique as it is
+    assert run.silver(watermark="1 hour").count() == kept
+
+
+@pytest.mark.parametrize("zone", ["America/New_York", "Asia/Tokyo"])
+@pytest.mark.parametrize("watermark", [None, "1 hour"])
+def test_stream_days_are_days_of_the_session_zone(run, spark, zone, watermark):
+    run.send(tick("a", 0, 1.0), tick("a", 12 * 3600, 3.0), tick("a", 5 * 86400, 5.0))
+    spark.conf.set("spark.sql.session.timeZone", zone)
+    try:
+        run.silver()
+        totals = streaming.daily_trends_stream(run.source("silver"), watermark=watermark)
+        out = f"{run.base}/zone"
+        (totals.writeStream.outputMode("append" if watermark else "complete")
+         .foreachBatch(lambda b, n: b.write.mode("append").parquet(out) if watermark else b.write.mode("overwrite").parquet(out))
+         .option("checkpointLocation", f"{out}_c").trigger(availableNow=True).start().awaitTermination())
+        expected = gold.daily_trends(run.table("silver").withColumn("date", F.to_date("event_timestamp")))
+        last = expected.agg(F.max("date")).first()[0]
+        got, expected = rows(spark.read.parquet(out), "date", "record_count"), rows(expected, "date", "record_count")
+        assert got == [r for r in expected if not watermark or r[0] < last]
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", "UTC")
 
 
 @pytest.mark.parametrize("mode", ["append", "merge"])

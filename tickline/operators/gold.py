@@ -77,15 +77,20 @@ def price_performance(df: DataFrame, order: Sequence[str] = ("event_timestamp",)
         *base, "moving_avg_price", "price_volatility", "market_cap_rank", "date")
 
 
-def daily_trends(df: DataFrame) -> DataFrame:
-    """Average, highest and lowest price and average volume per day."""
-    return df.groupBy("date", "coin_id").agg(
+def daily_columns() -> list[Column]:
+    """The figures of a day."""
+    return [
         settled_mean(F.avg("price_usd"), 4).alias("daily_avg_price"),
         F.round(F.max("price_usd"), 4).alias("daily_max_price"),
         F.round(F.min("price_usd"), 4).alias("daily_min_price"),
         settled_mean(F.avg("volume_24h"), 2).alias("daily_avg_volume"),
         F.count(F.lit(1)).alias("record_count"),
-    )
+    ]
+
+
+def daily_trends(df: DataFrame) -> DataFrame:
+    """Average, highest and lowest price and average volume per day."""
+    return df.groupBy("date", "coin_id").agg(*daily_columns())
 
 
 def daily_partials(df: DataFrame) -> DataFrame:

@@ -18,13 +18,7 @@ from tickline.session import materialise
 _CHUNK = "__chunk"
 _COPY = "__copy"
 
-MAX_GROUP_ROWS = 5_000_000
-
-
-def largest_group(df: DataFrame, *by: Column | str) -> int:
-    """Row count of the largest group (one pre-aggregated job)."""
-    top = df.groupBy(*by).agg(F.count(F.lit(1)).alias("n")).agg(F.max("n")).first()
-    return top[0] or 0
+CHUNK_ROWS = 1_000_000
 
 
 def time_chunk(time: str, unit: str = "day") -> Column:
@@ -32,29 +26,26 @@ def time_chunk(time: str, unit: str = "day") -> Column:
 
 
 def range_chunks(df: DataFrame, order: Sequence[Column | str],
-                 partitions: int | None = None) -> DataFrame:
+                 chunk_rows: int = CHUNK_ROWS) -> DataFrame:
     """Number `df`'s rows by range partition of `order`, and materialise.
 
     The numbers rise with `order` and the partitions are even however the keys
-    are spread, as for a global sort. Range bounds come from a sample, so the
-    numbers are only fixed once written.
+    are spread, as for a global sort; there is one for every `chunk_rows` rows,
+    so a chunk is as large for any input. Range bounds come from a sample, so
+    the numbers are only fixed once written.
     """
-    n = partitions or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    n = max(1, -(-df.count() // chunk_rows))
     ranged = df.repartitionByRange(n, *order).withColumn(_CHUNK, F.spark_partition_id())
     return materialise(ranged, "chunks")
 
 
 def _cut(df: DataFrame, keys: Sequence[str], order: Sequence[str], layout: str,
-         unit: str, max_group_rows: int) -> DataFrame:
-    chunk = time_chunk(order[0], unit)
-    if layout == "auto":
-        too_big = largest_group(df, *keys, chunk.alias(_CHUNK)) > max_group_rows
-        layout = "range" if too_big else "time"
+         unit: str, chunk_rows: int) -> DataFrame:
     if layout == "time":
-        return df.withColumn(_CHUNK, chunk)
+        return df.withColumn(_CHUNK, time_chunk(order[0], unit))
     if layout == "range":
-        return range_chunks(df, [*keys, *order])
-    raise ValueError(f"layout must be 'time', 'range' or 'auto', not {layout!r}")
+        return range_chunks(df, [*keys, *order], chunk_rows)
+    raise ValueError(f"layout must be 'time' or 'range', not {layout!r}")
 
 
 def last_rows(df: DataFrame, keys: Sequence[str], order: Sequence[str], n: int) -> DataFrame:
@@ -75,7 +66,7 @@ def over_series(
     layout: str = "time",
     unit: str = "day",
     prior: DataFrame | None = None,
-    max_group_rows: int = MAX_GROUP_ROWS,
+    chunk_rows: int = CHUNK_ROWS,
 ) -> DataFrame:
     """Add window columns that look back at most `preceding` rows per key.
 
@@ -86,16 +77,15 @@ def over_series(
     layout    "time": chunks of one `unit`. A chunk holds no more rows than
               distinct order values in a unit, so this is for series that are
               unique on (keys, order) at a bounded resolution;
-              "range": even chunks for any spread, at the price of a
-              materialised range shuffle;
-              "auto": counts the largest time chunk and picks one
+              "range": even chunks of `chunk_rows` rows for any spread, at the
+              price of a row count and a materialised range shuffle
     prior     earlier rows to look back on, not part of the result
     """
     names = df.columns
     rows = df.withColumn(_COPY, F.lit(False))
     if prior is not None:
         rows = rows.unionByName(prior.withColumn(_COPY, F.lit(True)), allowMissingColumns=True)
-    rows = _cut(rows, keys, order, layout, unit, max_group_rows)
+    rows = _cut(rows, keys, order, layout, unit, chunk_rows)
 
     held = [c for c in dict.fromkeys([*order, *(carry or names)]) if c not in keys]
     tails = last_rows(rows.select(*keys, _CHUNK, *held), [*keys, _CHUNK], order, preceding)
@@ -126,27 +116,24 @@ def rank_within(
     value: str,
     name: str,
     layout: str = "plain",
-    max_group_rows: int = MAX_GROUP_ROWS,
+    chunk_rows: int = CHUNK_ROWS,
 ) -> DataFrame:
     """Add `rank()` of `value`, largest first and nulls last, within `group`.
 
     layout    "plain": one window; a group is one task's work, so this is for
               groups of bounded size, such as the instruments of one moment;
               "range": ties are counted first, the distinct values are cut into
-              even chunks, and the ranks are joined back;
-              "auto": counts the largest group and picks one
+              even chunks of `chunk_rows`, and the ranks are joined back
     """
     group = list(group)
-    if layout == "auto":
-        layout = "range" if largest_group(df, *group) > max_group_rows else "plain"
     if layout == "plain":
         spec = Window.partitionBy(*group).orderBy(F.col(value).desc())
         return df.withColumn(name, F.rank().over(spec))
     if layout != "range":
-        raise ValueError(f"layout must be 'plain', 'range' or 'auto', not {layout!r}")
+        raise ValueError(f"layout must be 'plain' or 'range', not {layout!r}")
 
     ties = df.groupBy(*group, value).agg(F.count(F.lit(1)).alias("__n"))
-    cut = range_chunks(ties, [*group, F.col(value).desc()])
+    cut = range_chunks(ties, [*group, F.col(value).desc()], chunk_rows)
     chunks_above = (Window.partitionBy(*group).orderBy(_CHUNK)
                     .rowsBetween(Window.unboundedPreceding, -1))
     values_above = (Window.partitionBy(*group, _CHUNK).orderBy(F.col(value).desc())

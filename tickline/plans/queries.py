@@ -296,14 +296,14 @@ def rolling_every_tick(spark, sf_dir):
   o_totalprice - lag(o_totalprice) OVER w AS change
 FROM orders WINDOW w AS (PARTITION BY o_orderpriority ORDER BY o_orderdate, o_orderkey)""")
 def change_of_every_order(spark, sf_dir):
-    """Look-back of one row; the largest day decides the layout."""
+    """Look-back of one row, in even chunks."""
     raw = X.table(spark, sf_dir, "orders").select(
         F.col("o_orderpriority").alias("coin_id"), "o_orderkey",
         F.col("o_orderdate").alias("event_timestamp"), "o_totalprice")
     price = F.col("o_totalprice")
     return series.over_series(
         raw, silver.SERIES, ("event_timestamp", "o_orderkey"), 1,
-        {"change": lambda w: price - F.lag(price).over(w)}, layout="auto").drop("o_totalprice")
+        {"change": lambda w: price - F.lag(price).over(w)}, layout="range").drop("o_totalprice")
 
 
 @query(f"WITH {X.SQL_PRICES}, {X.SQL_DAILY} SELECT * FROM daily")

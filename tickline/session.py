@@ -2,37 +2,35 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
 ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 
-_local_base: str | None = None
 _made: list[str] = []
 
 
 def shared_dir(spark: SparkSession, name: str) -> str:
     """A new, unused directory in the folder all executors share.
 
-    The folder is the session's `spark.checkpoint.dir` (or a checkpoint
-    directory already set on the context). Only a local-mode session may fall
-    back to a temporary folder of this machine.
+    The folder is the session's `spark.checkpoint.dir`, a checkpoint directory
+    set on the context, or else the warehouse, which executors share as well.
     """
-    global _local_base
-    base = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
-    if not base:
-        if not spark.sparkContext.master.startswith("local"):
-            raise ValueError("set spark.checkpoint.dir to a folder shared by all executors")
-        if _local_base is None:
-            _local_base = tempfile.mkdtemp(prefix="tickline-")
-        base = _local_base
+    base = (spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
+            or f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/scratch")
     root = f"{base.rstrip('/')}/tickline-{uuid.uuid4().hex}"
     _made.append(root)
     return f"{root}/{name}"
 
 
+def _delete(spark: SparkSession, root: str) -> None:
+    path = spark._jvm.org.apache.hadoop.fs.Path(root)
+    path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+
+
 def drop_shared(spark: SparkSession) -> int:
     """Delete the shared directories this process made; returns how many.
 
@@ -40,11 +38,23 @@ def drop_shared(spark: SparkSession) -> int:
     """
     count = len(_made)
     while _made:
-        root = spark._jvm.org.apache.hadoop.fs.Path(_made.pop())
-        root.getFileSystem(spark._jsc.hadoopConfiguration()).delete(root, True)
+        _delete(spark, _made.pop())
     return count
 
 
+@contextmanager
+def stages(spark: SparkSession) -> Iterator[None]:
+    """Delete the stages made inside once the block is left: their consumers
+    have committed by then. Other directories of the process stay."""
+    before = len(_made)
+    try:
+        yield
+    finally:
+        for root in _made[before:]:
+            _delete(spark, root)
+        del _made[before:]
+
+
 def materialise(df: DataFrame, name: str = "stage") -> DataFrame:
     """Write `df` once to the shared folder and read it back.
 

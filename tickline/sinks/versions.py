@@ -1,8 +1,9 @@
 """Keyed upsert into plain Parquet by writing a new version each time.
 
-A table is a directory of numbered versions. A version counts once Spark has
-committed it (its `_SUCCESS` file), so readers never see a half-written one,
-and a failed run leaves the current version as it was.
+A table is a directory of numbered versions. A version counts once it holds
+the mark that is written after its job (Spark's own `_SUCCESS` file can be
+switched off), so readers never see a half-written one, and a failed run leaves
+the current version as it was.
 """
 
 from __future__ import annotations
@@ -22,14 +23,21 @@ def _files(spark: SparkSession, path: str):
     return root.getFileSystem(spark._jsc.hadoopConfiguration()), root, jvm_path
 
 
-def _versions(spark: SparkSession, path: str) -> list[int]:
-    fs, root, jvm_path = _files(spark, path)
+MARK = "_COMMITTED"
+
+
+def _numbers(spark: SparkSession, path: str) -> list[int]:
+    """The version directories, complete or not, from the newest down."""
+    fs, root, _ = _files(spark, path)
     if not fs.exists(root):
         return []
     names = [s.getPath().getName() for s in fs.listStatus(root)]
-    return sorted(int(n[1:]) for n in names
-                  if n.startswith("v") and n[1:].isdigit()
-                  and fs.exists(jvm_path(f"{path}/{n}/_SUCCESS")))
+    return sorted((int(n[1:]) for n in names if n.startswith("v") and n[1:].isdigit()), reverse=True)
+
+
+def _complete(spark: SparkSession, path: str, version: int) -> bool:
+    fs, _, jvm_path = _files(spark, path)
+    return fs.exists(jvm_path(f"{_at(path, version)}/{MARK}"))
 
 
 def _at(path: str, version: int) -> str:
@@ -37,9 +45,15 @@ def _at(path: str, version: int) -> str:
 
 
 def current_version(spark: SparkSession, path: str, below: int | None = None) -> int | None:
-    """The newest complete version (older than `below`), or None."""
-    found = [v for v in _versions(spark, path.rstrip("/")) if below is None or v < below]
-    return found[-1] if found else None
+    """The newest complete version (older than `below`), or None if there is no
+    version at all. Versions of which none is complete are an error: a writer
+    would otherwise begin again over them."""
+    path = path.rstrip("/")
+    numbers = [v for v in _numbers(spark, path) if below is None or v < below]
+    found = next((v for v in numbers if _complete(spark, path, v)), None)
+    if found is None and numbers:
+        raise ValueError(f"no complete version among {numbers} in {path}; remove them to begin anew")
+    return found
 
 
 def read_current(spark: SparkSession, path: str, below: int | None = None) -> DataFrame | None:
@@ -50,7 +64,11 @@ def read_current(spark: SparkSession, path: str, below: int | None = None) -> Da
 
 
 def write_version(df: DataFrame, path: str, version: int) -> None:
-    df.write.mode("overwrite").parquet(_at(path.rstrip("/"), version))
+    """Write one version, then its mark; an earlier attempt's files and mark go first."""
+    spark, at = df.sparkSession, _at(path.rstrip("/"), version)
+    df.write.mode("overwrite").parquet(at)
+    fs, _, jvm_path = _files(spark, at)
+    fs.create(jvm_path(f"{at}/{MARK}"), True).close()
 
 
 def upsert(df: DataFrame, path: str, keys: Sequence[str], order: Sequence[str],
@@ -85,7 +103,7 @@ def prune_versions(spark: SparkSession, path: str, keep: int = 2) -> list[int]:
         raise ValueError("keep must be at least 1")
     path = path.rstrip("/")
     fs, _, jvm_path = _files(spark, path)
-    old = _versions(spark, path)[:-keep]
+    old = sorted([v for v in _numbers(spark, path) if _complete(spark, path, v)][keep:])
     for version in old:
         fs.delete(jvm_path(_at(path, version)), True)
     return old

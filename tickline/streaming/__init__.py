@@ -9,6 +9,7 @@ from tickline.streaming.layers import (
     bronze_stream,
     collapse_copies,
     dedup,
+    late_rows,
     replay_checkpoint,
     run_bronze,
     run_silver,
@@ -16,7 +17,8 @@ from tickline.streaming.layers import (
 )
 
 __all__ = [
-    "bronze_stream", "collapse_copies", "daily_trends_stream", "dedup", "gold_fanout", "read_daily_trends",
+    "bronze_stream", "collapse_copies", "daily_trends_stream", "dedup", "gold_fanout", "late_rows",
+    "read_daily_trends",
     "read_performance", "read_snapshot", "replay_checkpoint", "run_bronze", "run_silver",
     "silver_stream",
 ]

@@ -6,7 +6,9 @@ mode="merge"    the tables stay equal to those of one batch run over all rows:
                 snapshots are upserted, rolling windows continue over earlier
                 micro-batches, daily figures are kept as mergeable partials
 
-Both are safe to retry: all writes of a micro-batch are named by its id.
+Both are safe to retry: all writes of a micro-batch are named by its id. These
+ids start again under a new checkpoint, so a root takes micro-batches of one
+query only; a replay fills a new root, or replaces the old one if asked to.
 """
 
 from __future__ import annotations
@@ -22,8 +24,9 @@ from tickline.operators import gold
 from tickline.operators.series import last_rows
 from tickline.operators.silver import SERIES
 from tickline.schemas import ROLLING_ROWS
+from tickline.session import materialise
 from tickline.sinks import read_current, upsert, write_batch_idempotent
-from tickline.sinks.versions import write_version
+from tickline.sinks.versions import prune_versions, write_version
 
 SNAPSHOT = "latest_snapshot"
 PERFORMANCE = "price_performance"
@@ -39,6 +42,35 @@ def _append_all(batch: DataFrame, batch_id: int, root: str, order: Sequence[str]
     write_batch_idempotent(gold.daily_trends(batch), f"{root}/{DAILY}", batch_id, ["date"])
 
 
+def _revised(batch: DataFrame, root: str, tail: DataFrame, order: Sequence[str], held: Sequence[str],
+             rows: int, unit: str, batch_id: int) -> DataFrame | None:
+    """Windows of instruments with late ticks, from the first late moment on.
+
+    None if no tick is older than what the tail holds of its instrument. Rows
+    already stored are recomputed together with the late ones; readers take the
+    newest batch's row of each key.
+    """
+    spark = batch.sparkSession
+    newest = tail.groupBy("coin_id").agg(F.max(F.struct(*order)).alias("newest"))
+    late = (batch.join(newest, "coin_id").filter(F.struct(*order) <= F.col("newest"))
+            .groupBy("coin_id").agg(F.min(F.struct(*order)).alias("first_late")))
+    if late.isEmpty():
+        return None
+    stored = _newest_rows(spark.read.parquet(f"{root}/{PERFORMANCE}").filter(F.col("batch_id") < batch_id),
+                          order).select(*held)
+    known = stored.join(late, "coin_id")
+    after = known.filter(F.struct(*order) >= F.col("first_late")).drop("first_late")
+    before = last_rows(known.filter(F.struct(*order) < F.col("first_late")).drop("first_late"),
+                       SERIES, order, rows - 1)
+    fresh = batch.join(late, "coin_id", "left_semi").select(*held)
+    return gold.rolling_metrics(after.unionByName(fresh), order, rows, unit=unit, prior=before)
+
+
+def _newest_rows(stored: DataFrame, order: Sequence[str]) -> DataFrame:
+    """Of rows that were written again, the newest."""
+    return last_rows(stored, [*SERIES, *order], ["batch_id"], 1)
+
+
 def _merge_all(batch: DataFrame, batch_id: int, root: str, order: Sequence[str], rows: int,
                rank_by: str, unit: str) -> None:
     spark = batch.sparkSession
@@ -49,22 +81,52 @@ def _merge_all(batch: DataFrame, batch_id: int, root: str, order: Sequence[str],
     # micro-batches.
     held = [c for c in ("coin_id", "event_timestamp", "price_usd", "market_cap", "volume_24h",
                         "date") if c in batch.columns]
-    narrow = batch.select(*dict.fromkeys([*held, *order]))
+    held = list(dict.fromkeys([*held, *order]))
+    narrow = batch.select(*held)
     earlier = read_current(spark, f"{root}/{_TAIL}", below=batch_id)
-    rolled = gold.rolling_metrics(narrow, order, rows, unit=unit, prior=earlier)
+    revised = None if earlier is None else _revised(narrow, root, earlier, order, held, rows, unit, batch_id)
+    if revised is None:
+        rolled = gold.rolling_metrics(narrow, order, rows, unit=unit, prior=earlier)
+    else:
+        metrics = [*held, "moving_avg_price", "price_volatility"]
+        revised = materialise(revised.select(*metrics), "revised")
+        rest = narrow.join(revised.select("coin_id").distinct(), "coin_id", "left_anti")
+        rolled = gold.rolling_metrics(rest, order, rows, unit=unit, prior=earlier).join(
+            revised.select("coin_id").distinct(), "coin_id", "left_anti").select(*metrics).unionByName(revised)
     write_batch_idempotent(rolled.select(*held, "moving_avg_price", "price_volatility"),
                            f"{root}/{PERFORMANCE}", batch_id, ["date"])
     known = narrow if earlier is None else narrow.unionByName(earlier)
     write_version(last_rows(known, SERIES, order, rows - 1), f"{root}/{_TAIL}", batch_id)
 
     write_batch_idempotent(gold.daily_partials(batch), f"{root}/{DAILY}", batch_id, ["date"])
+    # A retry of this micro-batch needs the version before it.
+    for table in (SNAPSHOT, _TAIL):
+        prune_versions(spark, f"{root}/{table}", keep=3)
+
+
+def _claim(spark: SparkSession, root: str, replace: bool) -> None:
+    """Note the query that fills `root`; another one's micro-batches do not mix with it."""
+    query = spark.sparkContext.getLocalProperty("sql.streaming.queryId") or "none"
+    jvm_path = spark._jvm.org.apache.hadoop.fs.Path
+    folder = jvm_path(root)
+    fs = folder.getFileSystem(spark._jsc.hadoopConfiguration())
+    mine = jvm_path(f"{root}/_query_{query}")
+    if fs.exists(mine):
+        return
+    others = [s.getPath().getName() for s in fs.listStatus(folder)] if fs.exists(folder) else []
+    if any(not n.startswith(".") for n in others):
+        if not replace:
+            raise ValueError(f"{root} holds another query's tables; give a replay a new root or replace=True")
+        fs.delete(folder, True)
+    fs.create(mine, True).close()
 
 
 def process_batch(root: str, mode: str = "append", order: Sequence[str] = ("timestamp",),
                   rows: int = ROLLING_ROWS, rank_by: str = "price_usd",
-                  unit: str = "hour") -> Callable[[DataFrame, int], None]:
+                  unit: str = "hour", replace: bool = False) -> Callable[[DataFrame, int], None]:
     """The function `foreachBatch` calls. `order` must start with the event time
-    or an epoch that rises with it."""
+    or an epoch that rises with it. replace=True lets a query with a new
+    checkpoint delete what another one left in `root`."""
     handlers = {"append": _append_all, "merge": _merge_all}
     if mode not in handlers:
         raise ValueError(f"mode must be one of {sorted(handlers)}, not {mode!r}")
@@ -75,6 +137,7 @@ def process_batch(root: str, mode: str = "append", order: Sequence[str] = ("time
         batch = batch.persist(StorageLevel.MEMORY_AND_DISK)
         try:
             if not batch.isEmpty():
+                _claim(batch.sparkSession, root.rstrip("/"), replace)
                 handlers[mode](batch, batch_id, root.rstrip("/"), windows, rows, rank_by, unit)
         finally:
             batch.unpersist()
@@ -101,10 +164,12 @@ def read_snapshot(spark: SparkSession, root: str, mode: str = "append") -> DataF
 
 
 def read_performance(spark: SparkSession, root: str, mode: str = "append",
-                     rank_by: str = "price_usd") -> DataFrame:
-    stored = spark.read.parquet(f"{root.rstrip('/')}/{PERFORMANCE}").drop("batch_id")
+                     rank_by: str = "price_usd", order: Sequence[str] = ("timestamp",)) -> DataFrame:
+    """`order` is the stream's own; in merge mode its columns tell rows apart."""
+    stored = spark.read.parquet(f"{root.rstrip('/')}/{PERFORMANCE}")
     if mode == "append":
-        return stored
+        return stored.drop("batch_id")
+    stored = _newest_rows(stored, list(dict.fromkeys(["event_timestamp", *order]))).drop("batch_id", "timestamp")
     columns = [c for c in stored.columns if c != "date"]
     return gold.market_cap_rank(stored, rank_by).select(*columns, "market_cap_rank", "date")
 
@@ -120,15 +185,12 @@ def daily_trends_stream(silver: DataFrame, watermark: str | None = None) -> Data
     Without a watermark for the update and complete output modes; with one, a
     day can also be appended once, when it is over.
     """
-    if watermark is not None:
-        silver = silver.withWatermark("event_timestamp", watermark)
-    day = F.window("event_timestamp", "1 day")
-    totals = silver.groupBy(day, "coin_id").agg(
-        gold.settled_mean(F.avg("price_usd"), 4).alias("daily_avg_price"),
-        F.round(F.max("price_usd"), 4).alias("daily_max_price"),
-        F.round(F.min("price_usd"), 4).alias("daily_min_price"),
-        gold.settled_mean(F.avg("volume_24h"), 2).alias("daily_avg_volume"),
-        F.count(F.lit(1)).alias("record_count"))
-    return totals.select(F.to_date("window.start").alias("date"), "coin_id",
-                         "daily_avg_price", "daily_max_price", "daily_min_price",
-                         "daily_avg_volume", "record_count")
+    # Days of the session's zone, as in batch: window() alone cuts days in UTC.
+    if watermark is None:
+        return gold.daily_trends(silver.withColumn("date", F.to_date("event_timestamp")))
+    zone = silver.sparkSession.conf.get("spark.sql.session.timeZone")
+    local = (silver.withColumn("__local", F.from_utc_timestamp("event_timestamp", zone))
+             .withWatermark("__local", watermark))
+    totals = local.groupBy(F.window("__local", "1 day").alias("__day"), "coin_id").agg(*gold.daily_columns())
+    return totals.select(F.to_date(F.to_utc_timestamp("__day.start", zone)).alias("date"),
+                         *[c for c in totals.columns if c != "__day"])
