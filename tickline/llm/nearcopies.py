@@ -273,7 +273,8 @@ def link(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle:
 
     rows_ = base.select("id", "place", "n", "node").join(final, "node", "left") \
         .withColumn("group", F.coalesce(F.col("component"), F.col("node")))
-    lowest = rows_.where("group is not null").groupBy("group").agg(F.min("id").alias("lowest"))
+    # Written first: joined straight from its aggregate, a large group could not be split among tasks.
+    lowest = written(rows_.where("group is not null").groupBy("group").agg(F.min("id").alias("lowest")), "near_lowest")
     return (rows_.join(lowest, "group", "left")
             .select("id", "place", "group", F.col("n").alias("n_shingles"),
                     F.when(F.col("group").isNull(), F.col("id")).otherwise(F.col("lowest")).alias("component_id"))
