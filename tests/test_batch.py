@@ -8,7 +8,7 @@ from conftest import rows
 from tickline import sources
 from tickline.operators import gold, quality
 from tickline.plans.batch import Tables, build_silver, run_batch, run_increment
-from tickline.schemas import INSTRUMENTS
+from tickline.schemas import INSTRUMENTS, snapshot_schema
 
 AS_OF = dt.datetime(2024, 1, 1, 2, 10)
 EPOCH = 1704067200
@@ -129,3 +129,85 @@ def test_increment_without_prices_changes_nothing(spark, tables):
     write(f"{tables.root}/new", 0, empty)
     run_increment(spark, tables, f"{tables.root}/new", as_of=AS_OF)
     assert rows(sources.read_table(spark, tables.silver)) == before
+
+
+def test_json_lines_are_read_by_their_landed_layout(spark, tmp_path):
+    """Ten documents in one file: none is lost with the default arguments."""
+    lake = Tables(str(tmp_path))
+    lines = spark.createDataFrame([(json.dumps(document(n)),) for n in range(10)], "value string").coalesce(1)
+    schema = snapshot_schema(INSTRUMENTS)
+    landed = spark.read.schema(schema).json(lines.rdd.map(lambda r: r.value)).drop("_corrupt_record")
+    sources.land_snapshots(landed.coalesce(1), lake.bronze)
+    run_batch(spark, lake, as_of=AS_OF)
+    assert sources.read_table(spark, lake.silver).count() == 10 * 14 + 2
+
+
+def test_documents_behind_others_stop_the_run(spark, tmp_path):
+    lake = Tables(str(tmp_path))
+    os.makedirs(lake.bronze)
+    with open(f"{lake.bronze}/foreign.json", "w") as out:
+        out.write("\n".join(json.dumps(document(n)) for n in range(10)))
+    with pytest.raises(ValueError, match="9 documents"):
+        run_batch(spark, lake, as_of=AS_OF, fatal=[])
+    run_batch(spark, lake, as_of=AS_OF, multi_line=False)
+    assert sources.read_table(spark, lake.silver).count() == 10 * 14 + 2
+
+
+def test_increment_of_undated_quotes_equals_rebuild(spark, tmp_path):
+    parts, whole = Tables(str(tmp_path / "parts")), Tables(str(tmp_path / "whole"))
+    undated = document(7)
+    for quote in list(undated.values())[:-1]:
+        quote["last_updated_at"] = None
+    for lake in (parts, whole):
+        write(lake.bronze, 0, document(0))
+    write(f"{parts.root}/new", 1, undated)
+    write(whole.bronze, 1, undated)
+    run_batch(spark, parts, as_of=AS_OF)
+    run_increment(spark, parts, f"{parts.root}/new", as_of=AS_OF, fatal=[])
+    run_batch(spark, whole, as_of=AS_OF, fatal=[])
+    for name in ("silver", "performance", "daily"):
+        got, expected = (sources.read_table(spark, getattr(lake, name)) for lake in (parts, whole))
+        assert rows(got, *sorted(expected.columns)) == rows(expected, *sorted(expected.columns)), name
+    assert sources.read_table(spark, parts.silver).filter("date IS NULL").count() == 14
+
+
+def files(path):
+    return {f for d, _, names in os.walk(path) for n in names if n.endswith(".parquet") for f in [f"{d}/{n}"]}
+
+
+def test_stale_quote_leaves_other_days_alone(spark, tmp_path):
+    lake = Tables(str(tmp_path))
+    for n in range(0, 48 * 12, 16):
+        write(lake.bronze, n, document(n))
+    run_batch(spark, lake, as_of=AS_OF)
+    kept = {name: files(getattr(lake, name)) for name in ("silver", "performance", "daily")}
+    stale = document(48 * 12)
+    stale["dogecoin"] = {"usd": 1.0, "usd_market_cap": 1.0,
+                         "usd_24h_vol": 5.0, "last_updated_at": EPOCH}
+    write(f"{lake.root}/new", 0, stale)
+    run_increment(spark, lake, f"{lake.root}/new", as_of=AS_OF)
+    for name, before in kept.items():
+        rewritten = {os.path.basename(os.path.dirname(f)) for f in before - files(getattr(lake, name))}
+        assert rewritten <= {"date=2024-01-01", "date=2024-01-02"}, (name, rewritten)
+    # The same document once more holds no news at all.
+    now = files(lake.silver)
+    write(f"{lake.root}/again", 0, stale)
+    run_increment(spark, lake, f"{lake.root}/again", as_of=AS_OF)
+    assert files(lake.silver) == now
+
+
+def test_increment_takes_the_types_of_the_table(spark, tables):
+    run_batch(spark, tables, as_of=AS_OF)
+    silver = sources.read_table(spark, tables.silver)
+    other = silver.withColumn("ingestion_delay_seconds", silver.ingestion_delay_seconds.cast("double"))
+    other.write.partitionBy("date").parquet(f"{tables.root}/other")
+    moved = Tables(f"{tables.root}/moved")
+    overwrite = sources.read_table(spark, f"{tables.root}/other")
+    overwrite.write.partitionBy("date").parquet(moved.silver)
+    for name in ("performance", "daily"):
+        sources.read_table(spark, getattr(tables, name)).write.partitionBy("date").parquet(getattr(moved, name))
+    write(f"{tables.root}/new", 0, document(8))
+    run_increment(spark, moved, f"{tables.root}/new", as_of=AS_OF)
+    got = sources.read_table(spark, moved.silver)
+    assert dict(got.dtypes)["ingestion_delay_seconds"] == "double"
+    assert got.count() == silver.count() + 14

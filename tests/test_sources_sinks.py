@@ -14,7 +14,7 @@ from tickline.sinks.versions import write_version
 def test_land_one_document_per_file(spark, tmp_path):
     df = spark.sql("SELECT named_struct('usd', CAST(id AS DOUBLE)) AS bitcoin FROM range(5)")
     moment = dt.datetime(2024, 1, 2, 3, 4, 5)
-    target = sources.land_snapshots(df, str(tmp_path), as_of=moment)
+    target = sources.land_snapshots(df, str(tmp_path), as_of=moment, one_per_file=True)
     assert os.path.basename(target) == "batch_20240102_030405"
     written = [f for f in glob.glob(f"{target}/*.json") if os.path.getsize(f)]
     assert len(written) == 5
@@ -26,9 +26,12 @@ def test_land_one_document_per_file(spark, tmp_path):
 
 def test_land_json_lines(spark, tmp_path):
     df = spark.sql("SELECT named_struct('usd', 1.0D) AS near FROM range(5)").coalesce(1)
-    target = sources.land_snapshots(df, str(tmp_path), one_per_file=False)
+    target = sources.land_snapshots(df, str(tmp_path))
+    assert os.path.basename(target).startswith("lines_")
     assert len(glob.glob(f"{target}/*.json")) == 1
-    assert sources.read_snapshots(spark, target, ["near"], multi_line=False).count() == 5
+    assert sources.read_snapshots(spark, target, ["near"]).count() == 5
+    assert sources.hidden_documents(spark, target) == 0
+    assert sources.hidden_documents(spark, target, multi_line=True) == 4
 
 
 def test_landing_adds_to_what_is_there(spark, tmp_path):
@@ -142,12 +145,33 @@ def test_unfinished_version_is_not_seen(spark, tmp_path):
     path = f"{tmp_path}/snap"
     upsert(snapshot(spark, ("a", 1, 1.0)), path)
     write_version(snapshot(spark, ("a", 2, 2.0)), path, 1)
-    os.remove(f"{path}/v000000000001/_SUCCESS")
+    os.remove(f"{path}/v000000000001/_COMMITTED")
     assert rows(sinks.read_current(spark, path)) == [("a", 1, 1.0)]
     assert upsert(snapshot(spark, ("a", 3, 3.0)), path) == 1
     assert rows(sinks.read_current(spark, path)) == [("a", 3, 3.0)]
 
 
+def test_versions_do_not_need_the_success_file(spark, tmp_path):
+    path, conf = str(tmp_path / "t"), spark.sparkContext._jsc.hadoopConfiguration()
+    conf.set("mapreduce.fileoutputcommitter.marksuccessfuljobs", "false")
+    try:
+        upsert(snapshot(spark, ("a", 1, 1.0), ("b", 5, 2.0)), path)
+        upsert(snapshot(spark, ("a", 2, 9.0)), path)
+    finally:
+        conf.unset("mapreduce.fileoutputcommitter.marksuccessfuljobs")
+    assert rows(sinks.read_current(spark, path), "coin_id") == [("a",), ("b",)]
+
+
+def test_versions_without_a_complete_one_are_an_error(spark, tmp_path):
+    path = str(tmp_path / "t")
+    upsert(snapshot(spark, ("a", 1, 1.0)), path)
+    os.remove(f"{path}/v000000000000/_COMMITTED")
+    with pytest.raises(ValueError, match="no complete version"):
+        upsert(snapshot(spark, ("b", 1, 1.0)), path)
+    upsert(snapshot(spark, ("a", 1, 1.0)), path, version=0)  # the retry of the one that was cut off
+    assert sinks.current_version(spark, path) == 0
+
+
 def test_upsert_takes_new_columns_and_old_types(spark, tmp_path):
     path = f"{tmp_path}/snap"
     upsert(snapshot(spark, ("a", 1, 1.0)), path)

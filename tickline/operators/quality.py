@@ -274,11 +274,13 @@ def stream_silver_checks(df: DataFrame, fatal: Collection[str] = ()) -> DataFram
 def gold_checks(performance: DataFrame, snapshot: DataFrame,
                 tolerance: float = SYNC_TOLERANCE, coins: Sequence[str] | None = None,
                 fatal: Collection[str] = (),
-                order: Sequence[str] = ("event_timestamp",)) -> DataFrame:
+                order: Sequence[str] = ("event_timestamp",),
+                keys: Sequence[str] = ("coin_id", "event_timestamp")) -> DataFrame:
     """Gold: ranks, moving averages and agreement of the two tables.
 
-    Tied ranks are legitimate and only warn; a repeated instrument and moment
-    is an error.
+    Tied ranks are legitimate and only warn; a repeated key is an error. Rows
+    of a stream table are unique by millisecond, so their `keys` and `order`
+    have a column that tells the ticks of one second apart.
     """
     # Null averages are counted in the pass over the ranks.
     ranks = (performance.groupBy("event_timestamp", "market_cap_rank")
@@ -286,7 +288,7 @@ def gold_checks(performance: DataFrame, snapshot: DataFrame,
                   F.count_if(F.col("moving_avg_price").isNull()).alias("nulls"))
              .agg(F.count_if(F.col("n") > 1).alias("tied_ranks"),
                   F.coalesce(F.sum("nulls"), F.lit(0)).alias("null_moving_average")))
-    repeats = duplicate_keys(performance).agg(F.count(F.lit(1)).alias("duplicate_keys"))
+    repeats = duplicate_keys(performance, keys).agg(F.count(F.lit(1)).alias("duplicate_keys"))
     sync = cross_table_sync(snapshot, performance, tolerance, order, coins).agg(
         F.count(F.lit(1)).alias("compared"),
         F.count_if(F.col("status") == "out_of_sync").alias("off"),

@@ -12,8 +12,8 @@ from pyspark.sql import functions as F
 from tickline import sources
 from tickline.operators import gold, quality, series, silver
 from tickline.schemas import INSTRUMENTS, ROLLING_ROWS
-from tickline.session import materialise
-from tickline.sinks import overwrite_partitions, overwrite_table
+from tickline.session import materialise, stages
+from tickline.sinks import align_schema, overwrite_partitions, overwrite_table
 
 SORTED = ["coin_id", "event_timestamp"]
 PRICED = ["coin_id", "event_timestamp", "price_usd", "market_cap", "volume_24h", "date"]
@@ -63,26 +63,69 @@ def write_gold(prices: DataFrame, tables: Tables) -> None:
     overwrite_table(gold.daily_trends(prices), tables.daily, ["date"])
 
 
-def refresh_gold(prices: DataFrame, tables: Tables, since: dt.date) -> None:
-    """Bring gold up to date after changes to silver from the day `since` on.
+def refresh_gold(prices: DataFrame, tables: Tables, since: dt.date | None,
+                 days: Column, touched: Column) -> None:
+    """Bring gold up to date after changes to silver on `days`, the first of them `since`.
 
-    Earlier days give only the last rows per instrument, which Spark picks
-    before any shuffle; their gold partitions stay as they are.
+    Windows also change on `touched` days, which hold the next rows of changed
+    series. Earlier days give only the last rows per instrument, which Spark
+    picks before any shuffle; other days' gold partitions stay as they are.
     """
     recent = prices.filter(_from(since))
     earlier = materialise(
-        series.last_rows(prices.filter(F.col("date") < F.lit(since)), silver.SERIES,
+        series.last_rows(prices.filter(_before(since)), silver.SERIES,
                          ["event_timestamp"], ROLLING_ROWS - 1), "earlier_prices")
     held = [c for c in PRICED if c in prices.columns]
-    overwrite_partitions(gold.price_performance(recent, prior=earlier.select(*held)),
-                         tables.performance, sort_by=SORTED)
-    overwrite_partitions(gold.daily_trends(recent), tables.daily)
+    performance = gold.price_performance(recent, prior=earlier.select(*held)).filter(touched)
+    _replace_days(performance, tables.performance, sort_by=SORTED)
+    _replace_days(gold.daily_trends(recent.filter(days)), tables.daily)
     overwrite_table(gold.latest_snapshot(recent.unionByName(earlier)), tables.snapshot)
 
 
-def _from(since: dt.date) -> Column:
-    """Rows of `since` or later, and those without a date."""
-    return (F.col("date") >= F.lit(since)) | F.col("date").isNull()
+def _replace_days(df: DataFrame, path: str, sort_by: Sequence[str] = ()) -> None:
+    """Overwrite the days in `df`, in the column types that the table has."""
+    stored = sources.read_table(df.sparkSession, path)
+    overwrite_partitions(align_schema(df, stored, merge=True), path, sort_by=sort_by)
+
+
+def _from(since: dt.date | None) -> Column:
+    """Rows of `since` or later, and those without a date; all rows if it is None."""
+    return F.lit(True) if since is None else (F.col("date") >= F.lit(since)) | F.col("date").isNull()
+
+
+def _before(since: dt.date | None) -> Column:
+    return F.lit(False) if since is None else F.col("date") < F.lit(since)
+
+
+def _on(days: Sequence[dt.date | None]) -> Column:
+    return F.col("date").isin([d for d in days if d]) | (F.col("date").isNull() if None in days else F.lit(False))
+
+
+def _news(fresh: DataFrame, stored: DataFrame) -> DataFrame:
+    """Fresh rows that no stored row of their key equals or beats."""
+    held = stored.select(*[F.col(c).alias(f"__{c}") for c in (*silver.SERIES, "event_timestamp", "ingested_at")])
+    same = [F.col(c).eqNullSafe(F.col(f"__{c}")) for c in (*silver.SERIES, "event_timestamp")]
+    beaten = F.col("ingested_at").isNull() | (F.col("__ingested_at") >= F.col("ingested_at"))
+    return fresh.join(held, [*same, beaten], "left_anti")
+
+
+def _touched(merged: DataFrame, news: DataFrame, rows: int) -> list[dt.date | None]:
+    """Days of the news and of the next rows of their series, as far as windows reach."""
+    keys = [*silver.SERIES, "event_timestamp"]
+    marks = news.select(*keys, F.lit(True).alias("fresh"))
+    same = [F.col(c).eqNullSafe(F.col(f"__{c}")) for c in keys]
+    marked = merged.select(*keys, "date").join(marks.withColumnsRenamed({c: f"__{c}" for c in keys}), same, "left") \
+        .select(*keys, "date", F.coalesce("fresh", F.lit(False)).alias("fresh"))
+    near = series.over_series(marked, silver.SERIES, ["event_timestamp"], rows - 1, {
+        "near": lambda w: F.max("fresh").over(w.rowsBetween(-(rows - 1), 0))})
+    return [r[0] for r in near.filter("near").select("date").distinct().collect()]
+
+
+def _whole(spark: SparkSession, path: str, multi_line: bool | None) -> None:
+    """Stop before documents are lost to a wrong layout, whatever else is fatal."""
+    if lost := sources.hidden_documents(spark, path, multi_line):
+        raise ValueError(f"{lost} documents in {path} stand behind others in files read as one document; "
+                         "read them as JSON lines (multi_line=False)")
 
 
 def _checked(results: DataFrame, name: str) -> DataFrame:
@@ -103,17 +146,19 @@ def _check_gold(spark: SparkSession, tables: Tables, fatal: Sequence[str],
 
 
 def run_batch(spark: SparkSession, tables: Tables, coins: Sequence[str] = INSTRUMENTS,
-              as_of: dt.datetime | None = None, multi_line: bool = True,
+              as_of: dt.datetime | None = None, multi_line: bool | None = None,
               fatal: Sequence[str] = ("corrupt_json", "missing_metadata")) -> DataFrame:
     """Rebuild every table from the landed documents; returns all check results.
 
     Each layer is checked before the next one is built, and a failed check
     named in `fatal` stops the run there.
     """
+    _whole(spark, f"{tables.bronze}/*", multi_line)
     documents = sources.read_snapshots(spark, f"{tables.bronze}/*", coins, multi_line)
     landed = _checked(quality.bronze_checks(documents, coins, fatal), "bronze_checks")
 
-    overwrite_table(build_silver(documents, coins, as_of), tables.silver, ["date"], sort_by=SORTED)
+    with stages(spark):
+        overwrite_table(build_silver(documents, coins, as_of), tables.silver, ["date"], sort_by=SORTED)
     prices = sources.read_table(spark, tables.silver)
     cleaned = _checked(quality.silver_checks(prices, as_of, fatal=fatal), "silver_checks")
 
@@ -123,31 +168,37 @@ def run_batch(spark: SparkSession, tables: Tables, coins: Sequence[str] = INSTRU
 
 def run_increment(spark: SparkSession, tables: Tables, landed_path: str,
                   coins: Sequence[str] = INSTRUMENTS, as_of: dt.datetime | None = None,
-                  multi_line: bool = True,
+                  multi_line: bool | None = None,
                   fatal: Sequence[str] = ("corrupt_json", "missing_metadata")) -> DataFrame:
     """Add newly landed documents to the tables of an earlier run.
 
     Gives the tables `run_batch` would rebuild from all documents, but rewrites
-    only the days from the first new event on, and checks only those.
+    only days that change: those of quotes that are news, and those of the next
+    rows that flags and windows look back from. Checks cover the days from the
+    first changed one on.
     """
+    _whole(spark, landed_path, multi_line)
     documents = sources.read_snapshots(spark, landed_path, coins, multi_line)
     landed = _checked(quality.bronze_checks(documents, coins, fatal), "bronze_checks")
-    fresh = materialise(silver.clean_snapshots(documents, coins), "fresh_prices")
-    since = fresh.agg(F.min("date")).first()[0]
-    if since is None:
-        return landed
-
-    stored = sources.read_table(spark, tables.silver).drop("price_change_flag", "load_timestamp")
-    merged = materialise(
-        silver.dedup_latest(stored.filter(_from(since)).unionByName(fresh),
-                            order=silver.LATEST_INGESTED), "merged_prices")
-    before = series.last_rows(stored.filter(F.col("date") < F.lit(since)), silver.SERIES,
-                              ["event_timestamp"], 1)
-    flagged = silver.add_price_change_flag(merged, prior=materialise(before, "previous_prices"))
-    overwrite_partitions(silver.stamp(flagged, as_of), tables.silver, sort_by=SORTED)
-
-    prices = sources.read_table(spark, tables.silver)
+    with stages(spark):
+        stored = sources.read_table(spark, tables.silver).drop("price_change_flag", "load_timestamp")
+        fresh = silver.clean_snapshots(documents, coins)
+        news = materialise(_news(align_schema(fresh, stored, merge=True), stored), "fresh_prices")
+        dates = [r[0] for r in news.select("date").distinct().collect()]
+        if not dates:
+            return landed
+        since = None if None in dates else min(dates)  # undated rows stand before all others
+        merged = materialise(
+            silver.dedup_latest(stored.filter(_from(since)).unionByName(news, allowMissingColumns=True),
+                                order=silver.LATEST_INGESTED), "merged_prices")
+        before = series.last_rows(stored.filter(_before(since)), silver.SERIES, ["event_timestamp"], 1)
+        flagged = silver.add_price_change_flag(merged, prior=materialise(before, "previous_prices"))
+        # The flag looks back one row, the rolling figures a few more.
+        next_rows, window_rows = (_on(_touched(merged, news, n)) for n in (2, ROLLING_ROWS))
+        _replace_days(silver.stamp(flagged.filter(next_rows), as_of), tables.silver, sort_by=SORTED)
+
+        prices = sources.read_table(spark, tables.silver)
+        refresh_gold(prices, tables, since, _on(dates), window_rows)
     cleaned = _checked(quality.silver_checks(prices.filter(_from(since)), as_of, fatal=fatal),
                        "silver_checks")
-    refresh_gold(prices, tables, since)
     return quality.union(landed, cleaned, _check_gold(spark, tables, fatal, since))

@@ -680,7 +680,7 @@ def batch_run(spark, sf_dir):
     """Landed documents to gold by the whole batch run; gives the daily trends."""
     tables = Tables(shared_dir(spark, "run"))
     sources.land_snapshots(X.documents(spark, sf_dir), tables.bronze, one_per_file=False)
-    run_batch(spark, tables, X.INSTRUMENTS, multi_line=False)
+    run_batch(spark, tables, X.INSTRUMENTS)
     return sources.read_table(spark, tables.daily)
 
 
@@ -702,10 +702,10 @@ def batch_increment(spark, sf_dir):
     documents = X.documents(spark, sf_dir)
     late = F.col("ingestion_metadata.ingested_at") >= X.SLICES[1]
     sources.land_snapshots(documents.filter(~late), tables.bronze, one_per_file=False)
-    run_batch(spark, tables, X.INSTRUMENTS, multi_line=False)
+    run_batch(spark, tables, X.INSTRUMENTS)
     arrived = sources.land_snapshots(documents.filter(late), f"{tables.root}/arrived",
                                      one_per_file=False)
-    run_increment(spark, tables, arrived, X.INSTRUMENTS, multi_line=False)
+    run_increment(spark, tables, arrived, X.INSTRUMENTS)
     return sources.read_table(spark, tables.performance)
 
 

@@ -1,4 +1,5 @@
 from tickline.sources.snapshots import (
+    hidden_documents,
     land_snapshots,
     read_snapshot_documents,
     read_snapshots,
@@ -7,6 +8,6 @@ from tickline.sources.tables import read_table, stream_table
 from tickline.sources.ticks import kafka_options, tick_stream
 
 __all__ = [
-    "kafka_options", "land_snapshots", "read_snapshot_documents", "read_snapshots",
+    "hidden_documents", "kafka_options", "land_snapshots", "read_snapshot_documents", "read_snapshots",
     "read_table", "stream_table", "tick_stream",
 ]
