@@ -167,8 +167,8 @@ def test_order_is_a_permutation_that_holds_every_sequence(spark, texts):
     expected = []
     for doc, text in texts.items():
         ids = [*encoding.encode_ordinary(text), 50256]
-        expected += [(doc, p // 256, len(ids[p:p + 256]), hashlib.sha256(" ".join(map(str, ids[p:p + 256])).encode()).hexdigest())
-                     for p in range(0, len(ids), 256)]
+        expected += [(doc, p // 128, len(ids[p:p + 128]), hashlib.sha256(" ".join(map(str, ids[p:p + 128])).encode()).hexdigest())
+                     for p in range(0, len(ids), 128)]
     assert sorted((d, p, n, sha) for d, p, _, n, sha in got) == sorted(expected)
 
 

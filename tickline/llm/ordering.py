@@ -28,12 +28,13 @@ import uuid
 
 import numpy as np
 import pyarrow as pa
+import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tickline.llm.bytepairs import load
-from tickline.llm.common import map_texts, shared_dir, written
+from tickline.llm.common import map_texts, shared_dir, slices, written
 from tickline.llm.warc import file_system
 
 HEAD = np.dtype([("document", "<i8"), ("part", "<i4"), ("used", "<i4")])  # before the ids of each record
@@ -79,90 +80,110 @@ def number_of(slots: np.ndarray, n: int, key: int, rounds: int = 6) -> np.ndarra
     return numbers.astype(np.int64)
 
 
+def _planes(ids: np.ndarray) -> tuple[bytes, bytes]:
+    """Low and high bytes apart: each compresses far better alone."""
+    pairs = np.ascontiguousarray(ids, "<u2").view(np.uint8).reshape(-1, 2)
+    return pairs[:, 0].tobytes(), pairs[:, 1].tobytes()
+
+
+def _ids(low: bytes, high: bytes) -> np.ndarray:
+    return np.frombuffer(low, np.uint8).astype("<u2") | np.frombuffer(high, np.uint8).astype("<u2") << 8
+
+
 def coded(df: DataFrame, vocabulary_path: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """Every row's id and its ids with an end id, packed as uint16; a written table."""
+    """Every row's id and its ids with an end id, as low and high bytes; a written table."""
     def make():
         vocabulary = load(vocabulary_path)
         end = np.array([vocabulary.end], "<u2").tobytes()
-        return lambda texts: [[vocabulary.ids(t or "") + end for t in texts]]
+        return lambda texts: list(zip(*(_planes(np.frombuffer(vocabulary.ids(t or "") + end, "<u2")) for t in texts), strict=True))
 
     slim = df.select(F.col(f"`{id_col}`").cast("long").alias("document"), F.col(f"`{text_col}`").cast("string").alias("text"))
-    made = map_texts(slim, "text", T.StructType([T.StructField("ids", T.BinaryType())]), make).select("document", "ids")
+    results = T.StructType([T.StructField("low", T.BinaryType()), T.StructField("high", T.BinaryType())])
+    made = map_texts(slim, "text", results, make).select("document", "low", "high")
     path = shared_dir(df.sparkSession, "order_ids")
     made.write.option("compression", "zstd").parquet(path)
     return df.sparkSession.read.schema(made.schema).parquet(path)
 
 
-def write(ids: DataFrame, key: int, length: int = 256, shard_slots: int = 1 << 15,
+def write(ids: DataFrame, key: int, length: int = 128, shard_slots: int = 1 << 15,
           folder: str | None = None) -> tuple[str, int]:
     """Write the shards and a manifest; returns the folder and the number of sequences.
 
     Only one number per input partition reaches the driver (where its sequences
-    begin). Rows move once, to the shard that their slots are in.
+    begin). Sequences move once, to the shard that their slots are in; those of
+    some neighbouring documents that go to one shard travel together, compressed.
     """
     spark = ids.sparkSession
     folder = folder or shared_dir(spark, "shards")
-    rows = ids.select("document", "ids", F.monotonically_increasing_id().alias("place"))
-    parts = F.ceil(F.length("ids") / (2 * length))
+    rows = ids.select("document", "low", "high", F.monotonically_increasing_id().alias("place"))
+    parts = F.ceil(F.length("low") / length)
     begins, n = {}, 0
     for partition, count in sorted(rows.groupBy(F.shiftright("place", 33).alias("p")).agg(F.sum(parts)).collect()):
         begins[partition] = n
         n += count
     where = spark.sparkContext.broadcast(begins)
-    size = 2 * length
+    entry = np.dtype([("at", "<i4"), *HEAD.descr])
 
     def cut(batches):
         held = None
-        for batch in batches:
-            for at in range(0, batch.num_rows, 1024):
-                document, packed, place = (batch.slice(at, 1024).column(k) for k in range(3))
-                lengths = np.array([len(x.as_buffer()) for x in packed])
-                if held is None:
-                    held = where.value[place[0].as_py() >> 33]
-                counts = -(-lengths // size)
-                part = np.concatenate([np.arange(c) for c in counts])
-                row = np.repeat(np.arange(len(counts)), counts)
-                records = [packed[r].as_buffer()[p * size:(p + 1) * size].to_pybytes()
-                           for r, p in zip(row.tolist(), part.tolist(), strict=True)]
-                slots = slot_of(np.arange(held, held + len(row)), n, key)
-                held += len(row)
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(slots // shard_slots, pa.int32()), pa.array((slots % shard_slots).astype(np.int32)),
-                     document.take(pa.array(row)), pa.array(part, pa.int32()), pa.array(records, pa.binary())],
-                    names=["shard", "at", "document", "part", "ids"])
+        squeeze = zstandard.ZstdCompressor(level=1).compress
+        for batch in slices(batches, 1):
+            if held is None:
+                held = where.value[batch.column(3)[0].as_py() >> 33]
+            tokens = [_ids(x.as_buffer(), y.as_buffer()) for x, y in zip(batch.column(1), batch.column(2), strict=True)]
+            sizes = np.array([len(t) for t in tokens])
+            counts = -(-sizes // length)
+            row = np.repeat(np.arange(len(sizes)), counts)
+            part = np.concatenate([np.arange(c) for c in counts])
+            used = np.minimum(length, sizes[row] - part * length)
+            matrix = np.zeros((len(row), length), "<u2")
+            matrix[np.arange(length) < used[:, None]] = np.concatenate(tokens)
+            slots = slot_of(np.arange(held, held + len(row)), n, key)
+            held += len(row)
+            heads = np.zeros(len(row), entry)
+            heads["at"], heads["part"], heads["used"] = slots % shard_slots, part, used
+            heads["document"] = pa.compute.fill_null(batch.column(0), _NULL).to_numpy(zero_copy_only=False)[row]
+            shard = slots // shard_slots
+            order = np.argsort(shard, kind="stable")
+            found, starts = np.unique(shard[order], return_index=True)
+            groups = np.split(order, starts[1:])
+            planes = [_planes(matrix[g]) for g in groups]
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(found, pa.int32()), pa.array([squeeze(heads[g].tobytes()) for g in groups], pa.binary()),
+                 *(pa.array([squeeze(p[k]) for p in planes], pa.binary()) for k in (0, 1))],
+                names=["shard", "heads", "low", "high"])
 
     record = np.dtype([*HEAD.descr, ("ids", "<u2", (length,))])
     shards = max(1, math.ceil(n / shard_slots))
 
     def store(batches):
-        out = None
-        filled = 0
+        out, filled = None, 0
+        unpack = zstandard.ZstdDecompressor().decompress
         for batch in batches:
-            if out is None:
-                shard = batch.column(0)[0].as_py()
-                out = np.zeros(min(shard_slots, n - shard * shard_slots), record)
-            at = batch.column(1).to_numpy()
-            filled += len(at)
-            used = np.array([len(x.as_buffer()) // 2 for x in batch.column(4)])
-            packed = b"".join(x.as_buffer().to_pybytes().ljust(size, b"\0") for x in batch.column(4))
-            values = np.frombuffer(packed, "<u2").reshape(-1, length)
-            out["ids"][at] = values
-            out["document"][at] = pa.compute.fill_null(batch.column(2), _NULL).to_numpy()
-            out["part"][at], out["used"][at] = batch.column(3).to_numpy(), used
+            for shard, *packed in zip(*(batch.column(k).to_pylist() for k in range(4)), strict=True):
+                if out is None:
+                    number, out = shard, np.zeros(min(shard_slots, n - shard * shard_slots), record)
+                heads, low, high = map(unpack, packed)
+                heads = np.frombuffer(heads, entry)
+                for name in HEAD.names:
+                    out[name][heads["at"]] = heads[name]
+                out["ids"][heads["at"]] = _ids(low, high).reshape(-1, length)
+                filled += len(heads)
         if out is not None:
             if filled != len(out):
-                raise ValueError(f"shard {shard} has {filled} of {len(out)} sequences")
+                raise ValueError(f"shard {number} has {filled} of {len(out)} sequences")
             filesystem, root = file_system(folder)
             filesystem.create_dir(root, recursive=True)
-            name, new = f"{root}/shard-{shard:07d}.bin", f"{root}/.{uuid.uuid4().hex}"
+            name, new = f"{root}/shard-{number:07d}.bin", f"{root}/.{uuid.uuid4().hex}"
             with filesystem.open_output_stream(new) as stream:
                 stream.write(out.tobytes())
             filesystem.move(new, name)
-            yield pa.RecordBatch.from_arrays([pa.array([shard]), pa.array([len(out)], pa.int64())], names=["shard", "sequences"])
+            yield pa.RecordBatch.from_arrays([pa.array([number], pa.int64()), pa.array([len(out)], pa.int64())],
+                                             names=["shard", "sequences"])
 
-    cut_rows = rows.mapInArrow(cut, "shard int, at int, document long, part int, ids binary")
+    moved = rows.mapInArrow(cut, "shard int, heads binary, low binary, high binary")
     # One task per shard, whatever the default number of partitions.
-    stored = written(cut_rows.repartitionById(shards, F.col("shard")).mapInArrow(store, "shard long, sequences long"), "order_shards")
+    stored = written(moved.repartitionById(shards, F.col("shard")).mapInArrow(store, "shard long, sequences long"), "order_shards")
     done = stored.agg(F.count("*"), F.sum("sequences")).first()
     if n and (done[0], done[1]) != (shards, n):
         raise ValueError(f"{done[1]} of {n} sequences written")
