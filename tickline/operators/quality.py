@@ -171,7 +171,7 @@ def cross_table_sync(snapshot: DataFrame, performance: DataFrame,
     if coins is not None:
         snapshot = snapshot.filter(F.col("coin_id").isin(*coins))
         performance = performance.filter(F.col("coin_id").isin(*coins))
-    snap = latest_snapshot(snapshot, order).select(
+    snap = latest_snapshot(snapshot, [c for c in order if c in snapshot.columns]).select(
         "coin_id", F.col("price_usd").alias("snapshot_price"), F.lit(True).alias("__s"))
     perf = latest_snapshot(performance, order).select(
         "coin_id", F.col("price_usd").alias("performance_price"), F.lit(True).alias("__p"))

@@ -72,14 +72,21 @@ def write_batch_idempotent(df: DataFrame, path: str, batch_id: int,
     writer.parquet(f"{path.rstrip('/')}/batch_id={batch_id}")
 
 
-def append_stream(df: DataFrame, path: str, checkpoint: str,
-                  partition_by: Sequence[str] = (), wait: bool = True) -> StreamingQuery:
-    """Append all that is available to a Parquet table, then stop."""
+def append_stream(df: DataFrame, path: str | None, checkpoint: str,
+                  partition_by: Sequence[str] = (), wait: bool = True,
+                  table: str | None = None) -> StreamingQuery:
+    """Append all that is available to a Parquet table, then stop.
+
+    The table is at a path, in the catalog, or both (external).
+    """
     writer = (df.writeStream.format("parquet").outputMode("append")
               .option("checkpointLocation", checkpoint).trigger(availableNow=True))
     if partition_by:
         writer = writer.partitionBy(*partition_by)
-    query = writer.start(path)
+    if table is None:
+        query = writer.start(path)
+    else:
+        query = (writer if path is None else writer.option("path", path)).toTable(table)
     if wait:
         query.awaitTermination()
     return query

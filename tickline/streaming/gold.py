@@ -164,12 +164,16 @@ def read_snapshot(spark: SparkSession, root: str, mode: str = "append") -> DataF
 
 
 def read_performance(spark: SparkSession, root: str, mode: str = "append",
-                     rank_by: str = "price_usd", order: Sequence[str] = ("timestamp",)) -> DataFrame:
-    """`order` is the stream's own; in merge mode its columns tell rows apart."""
+                     rank_by: str = "price_usd", order: Sequence[str] = ("timestamp",),
+                     keep_order: bool = False) -> DataFrame:
+    """`order` is the stream's own; in merge mode its columns tell rows apart and
+    are part of the result with keep_order=True, as checks of the keys need them."""
     stored = spark.read.parquet(f"{root.rstrip('/')}/{PERFORMANCE}")
     if mode == "append":
         return stored.drop("batch_id")
-    stored = _newest_rows(stored, list(dict.fromkeys(["event_timestamp", *order]))).drop("batch_id", "timestamp")
+    stored = _newest_rows(stored, list(dict.fromkeys(["event_timestamp", *order]))).drop("batch_id")
+    if not keep_order:
+        stored = stored.drop(*[c for c in order if c != "event_timestamp"])
     columns = [c for c in stored.columns if c != "date"]
     return gold.market_cap_rank(stored, rank_by).select(*columns, "market_cap_rank", "date")
 
