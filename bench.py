@@ -15,6 +15,7 @@ import time
 
 from pyspark.sql import SparkSession
 
+from tickline.plans import whole  # noqa: F401  registers more queries
 from tickline.plans.queries import QUERIES
 from tickline.session import drop_shared
 
@@ -25,6 +26,8 @@ HEADLINE = [
     "duplicate_keys", "price_jumps", "silver_checks", "gold_checks", "cross_table_sync",
     "snapshot_report", "performance_recent_24h", "daily_report", "latest_rows",
     "upsert", "stream_bronze", "stream_silver", "stream_performance",
+    "flag_every_tick", "jumps_every_tick", "performance_every_tick", "silver_faults_every_tick",
+    "gold_faults_every_tick", "snapshot_scan", "batch_run", "batch_increment", "stream_rolling",
 ]
 
 
