@@ -42,16 +42,11 @@ def _letters() -> np.ndarray:
     global _fold
     if _fold is None:
         table = np.zeros(0x110000, np.uint32)
-        for block in range(0, 0x110000, 0x1000):
-            if 0xD800 <= block < 0xE000 or 0x30000 <= block:
-                chars = [c for c in range(block, block + 0x1000) if not 0xD800 <= c < 0xE000 and c < 0x32000]
-            else:
-                chars = range(block, block + 0x1000)
-            for c in chars:
-                char = chr(c)
-                if char.isalpha():
-                    low = char.lower()
-                    table[c] = ord(low) if len(low) == 1 else c
+        for c in range(0x32000):  # no letters lie beyond
+            char = chr(c)
+            if char.isalpha():
+                low = char.lower()
+                table[c] = ord(low) if len(low) == 1 else c
         _fold = table
     return _fold
 
