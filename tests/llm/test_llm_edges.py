@@ -360,6 +360,15 @@ def test_order_edges(odd, nothing, spark):
 
 # 10. Languages
 
+def test_gram_counts_do_not_depend_on_neighbours(prose):
+    texts = ["Ab c", "", None, "xyz", "12", "é.", prose(1, 50), "ending in a letter", None]
+    whole, letters = langid.gram_counts(texts)
+    for k, text in enumerate(texts):
+        alone, n = langid.gram_counts([text])
+        assert (whole[k] == alone[0]).all() and letters[k] == n[0]
+    assert whole[1].sum() == whole[2].sum() == whole[4].sum() == 0
+
+
 def test_language_edges(odd, nothing, table, prose):
     model = langid.fit(nothing)
     assert {(r.lang_pred, r.score, r.rejected) for r in langid.identify(odd, model).collect()} == {("und", 0.0, True)}

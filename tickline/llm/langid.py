@@ -42,7 +42,7 @@ def _letters() -> np.ndarray:
     global _fold
     if _fold is None:
         table = np.zeros(0x110000, np.uint32)
-        for c in range(0x32000):  # no letters lie beyond
+        for c in range(0x34000):  # no letters lie beyond
             char = chr(c)
             if char.isalpha():
                 low = char.lower()
@@ -72,11 +72,11 @@ def gram_counts(texts: list[str | None]) -> tuple[np.ndarray, np.ndarray]:
     pair = points[:-1] << np.uint64(21) | points[1:]
     triple = pair[:-1] << np.uint64(21) | points[2:]
     shift = np.uint64(64 - DIMS.bit_length() + 1)
-    for gram, first in ((pair, points[:-1]), (triple, points[:-2])):
-        # A gram counts for the text that its first letter is in; a gap only opens one.
-        real = points[1:len(gram) + 1] != _SPACE
-        real |= first != _SPACE
-        where = owner[1:len(gram) + 1][real] * DIMS + ((gram[real] * mix) >> shift).astype(np.int64)
+    first, second = points[:-1] != _SPACE, points[1:] != _SPACE
+    # A gram belongs to the text that its letter is in; triples have a letter in the middle.
+    for gram, real, of in ((pair, first | second, np.where(first, owner[:-1], owner[1:])),
+                           (triple, second[:-1], owner[1:-1])):
+        where = of[real] * DIMS + ((gram[real] * mix) >> shift).astype(np.int64)
         counts += np.bincount(where, minlength=n * DIMS).astype(np.float32)
     return counts.reshape(n, DIMS), letters
 
