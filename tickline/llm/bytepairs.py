@@ -4,7 +4,6 @@ from __future__ import annotations
 
 import base64
 
-import numpy as np
 import regex
 import tiktoken
 
