@@ -105,7 +105,8 @@ def contamination(df: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", t
 
 
 def clean(df: DataFrame, found: DataFrame) -> DataFrame:
-    """The rows of `df` that `contamination(df, ...)` did not mark.
+    """The rows of `df` that `contamination(df, ...)` did not mark. `df` must be a
+    table, or be written first: its rows are numbered by their place both times.
 
     The marked places are broadcast if there are at most 1,000,000 (8 MB).
     """

@@ -235,7 +235,11 @@ def block_links(members: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
 def link(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = 5, percent: int = 80,
          bands: int = 52, rows: int = 7) -> DataFrame:
     """id, place (the row's own number), group (the component's own number, null
-    without words), n_shingles, component_id and kept of every row of `df`."""
+    without words), n_shingles, component_id and kept of every row of `df`.
+
+    Rows are numbered by their place and read more than once, so `df` must be a
+    table, or be written first (`common.written`).
+    """
     docs = df.select(F.col(f"`{id_col}`").alias("id"), F.col(f"`{text_col}`").cast("string").alias("text"))
     docs = docs.withColumn("place", F.monotonically_increasing_id())
     base = written(sketches(docs.select(F.struct("id", "place").alias("id"), "text"), shingle, bands, rows)

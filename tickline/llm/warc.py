@@ -164,7 +164,11 @@ def plan(pages: DataFrame, id_col: str = "page_id", payload_col: str = "html", u
 
 def write(pages: DataFrame, folder: str | None = None, id_col: str = "page_id", payload_col: str = "html",
           url_col: str = "url", revisit_from: int = 0, archive_bytes: int = 64 << 20) -> tuple[DataFrame, str]:
-    """Write the archives; returns (uri, bytes, records) of each, as a written table, and the folder."""
+    """Write the archives; returns (uri, bytes, records) of each, as a written table, and the folder.
+
+    `pages` must be a table, or be written first: its rows are numbered by their
+    place, once for the digests and once for the payloads.
+    """
     spark = pages.sparkSession
     folder = folder or shared_dir(spark, "archives")
     rows = plan(pages, id_col, payload_col, url_col, revisit_from)
