@@ -38,22 +38,22 @@ def fold(id_col: str, modulus: int) -> Column:
 
 
 def slices(batches: Iterable[pa.RecordBatch], column: int,
-           chunk_bytes: int = CHUNK_BYTES) -> Iterator[pa.RecordBatch]:
-    """Cut record batches so that a piece's texts have about `chunk_bytes` bytes
-    (one row at least), whatever the length of the texts."""
+           chunk_bytes: int = CHUNK_BYTES, rows: int = 1 << 20) -> Iterator[pa.RecordBatch]:
+    """Cut record batches so that a piece has about `chunk_bytes` bytes of text (one
+    row at least) and at most `rows` rows, whatever the length of the texts."""
     for batch in batches:
         start = held = 0
         texts = batch.column(column)
         for i in range(batch.num_rows):
             held += len(texts[i].as_buffer() or b"") if texts[i].is_valid else 0
-            if held >= chunk_bytes or i + 1 == batch.num_rows:
+            if held >= chunk_bytes or i + 1 - start == rows or i + 1 == batch.num_rows:
                 yield batch.slice(start, i + 1 - start)
                 start, held = i + 1, 0
 
 
 def map_texts(df: DataFrame, text_col: str, results: T.StructType,
               make: Callable[[], Callable[[list[str | None]], list]],
-              chunk_bytes: int = CHUNK_BYTES, more: tuple[str, ...] = ()) -> DataFrame:
+              chunk_bytes: int = CHUNK_BYTES, more: tuple[str, ...] = (), rows: int = 1 << 20) -> DataFrame:
     """`df` with columns computed from its texts, one pass and no shuffle.
 
     `make()` is called once per task and returns the function from a chunk of
@@ -69,7 +69,7 @@ def map_texts(df: DataFrame, text_col: str, results: T.StructType,
 
     def run(batches):
         function = make()
-        for batch in slices(batches, 0, chunk_bytes):
+        for batch in slices(batches, 0, chunk_bytes, rows):
             made = function(*(batch.column(i).to_pylist() for i in range(n)))
             arrays = [x if isinstance(x, (pa.Array, pa.ChunkedArray)) else pa.array(x, t)
                       for x, t in zip(made, types, strict=True)]

@@ -32,6 +32,7 @@ from pyspark.sql import types as T
 from tickline.llm.common import map_texts, slices, written
 
 DIMS = 1 << 12
+CHUNK = (1 << 19, 256)  # bytes of text and rows that are counted at once
 UNKNOWN = "und"
 _SPACE = 32
 _fold: np.ndarray | None = None
@@ -150,7 +151,7 @@ def fit(df: DataFrame, text_col: str = "text", lang_col: str = "lang", id_col: s
 
     def frequencies(batches):
         found, total = np.zeros(DIMS, np.int64), 0
-        for batch in slices(batches, 0):
+        for batch in slices(batches, 0, *CHUNK):
             counts, _ = gram_counts(batch.column(0).to_pylist())
             found += (counts > 0).sum(0)
             total += batch.num_rows
@@ -176,7 +177,7 @@ def fit(df: DataFrame, text_col: str = "text", lang_col: str = "lang", id_col: s
                           np.array([r[1] for r in made], np.float32).reshape(-1, DIMS), idf, np.zeros(65))
 
     def lowest(batches):
-        for batch in slices(batches, 0):
+        for batch in slices(batches, 0, *CHUNK):
             texts = batch.column(0).to_pylist()
             _, score, _ = model.predict(texts)
             yield pa.RecordBatch.from_arrays([pa.array(band(gram_counts(texts)[1])), pa.array(score)],
@@ -195,4 +196,4 @@ def identify(df: DataFrame, model: LanguageModel, text_col: str = "text") -> Dat
     results = T.StructType([T.StructField("lang_pred", T.StringType()), T.StructField("score", T.DoubleType()),
                             T.StructField("rejected", T.BooleanType())])
     return map_texts(df, text_col, results, lambda: lambda texts: list(shared.value.predict(texts)),
-                     chunk_bytes=1 << 19)
+                     chunk_bytes=CHUNK[0], rows=CHUNK[1])

@@ -40,7 +40,7 @@ SMALL = 24        # members of a bucket that are paired as rows
 BLOCK = 256       # members of a larger bucket in one block
 BROADCAST = 1_000_000   # ids; 8 MB of them
 _ONE, _TWO, _ODD = np.uint32(0x7FEB352D), np.uint32(0x846CA68B), np.uint64(0x9E3779B97F4A7C15)
-_MEMO = 300_000
+_MEMO = 200_000
 _words: dict[bytes, int] = {}
 
 

@@ -60,8 +60,8 @@ class PieceModel:
     """The pieces of a SentencePiece BPE model with byte fallback and no normalisation."""
 
     path: str
-    memo_words: int = 400_000
-    memo_pairs: int = 1_000_000
+    memo_words: int = 250_000
+    memo_pairs: int = 300_000
     id_of: dict[str, int] = field(default_factory=dict, repr=False)
 
     def __post_init__(self):
