@@ -282,13 +282,15 @@ def gold_checks(performance: DataFrame, snapshot: DataFrame,
     of a stream table are unique by millisecond, so their `keys` and `order`
     have a column that tells the ticks of one second apart.
     """
-    # Null averages are counted in the pass over the ranks.
-    ranks = (performance.groupBy("event_timestamp", "market_cap_rank")
+    # One exchange by moment serves ranks and keys; null averages are counted on the way.
+    held = dict.fromkeys(["event_timestamp", "market_cap_rank", "moving_avg_price", *keys])
+    moments = performance.select(*held).repartition("event_timestamp")
+    ranks = (moments.groupBy("event_timestamp", "market_cap_rank")
              .agg(F.count(F.lit(1)).alias("n"),
                   F.count_if(F.col("moving_avg_price").isNull()).alias("nulls"))
              .agg(F.count_if(F.col("n") > 1).alias("tied_ranks"),
                   F.coalesce(F.sum("nulls"), F.lit(0)).alias("null_moving_average")))
-    repeats = duplicate_keys(performance, keys).agg(F.count(F.lit(1)).alias("duplicate_keys"))
+    repeats = duplicate_keys(moments, keys).agg(F.count(F.lit(1)).alias("duplicate_keys"))
     sync = cross_table_sync(snapshot, performance, tolerance, order, coins).agg(
         F.count(F.lit(1)).alias("compared"),
         F.count_if(F.col("status") == "out_of_sync").alias("off"),
