@@ -386,6 +386,26 @@ def test_language_edges(odd, nothing, table, prose):
     assert got[2].rejected
 
 
+def test_languages_reject_by_a_low_quantile(table, prose):
+    """One odd labelled row sets no floor, and the model may judge the rows it was fitted on."""
+    german = "und der die das nicht ist ein eine mit auf für von".split()
+    pick = random.Random(8)
+    rows = [(i, prose(i, 150) if i % 2 else " ".join(pick.choices(german, k=150)), "en" if i % 2 else "de", "", 0)
+            for i in range(300)]
+
+    def letters(alphabet, n):
+        return "".join(pick.choice(alphabet) for _ in range(n))
+
+    latin, greek, han = "abcdefghijklmnopqrstuvwxyz  ", "αβγδεζηθικλμνξοπρστυφχψω   ", [chr(0x4E00 + k) for k in range(2000)]
+    strange = [letters(x, n) for x in (latin, greek, han) for n in (60, 700, 20_000)]
+    odd_row = (1000, letters(latin, 900), "en", "", 0)
+    docs = table([*rows, odd_row, *((2000 + k, t, None, "", 0) for k, t in enumerate(strange))], DOCS)
+    got = {r.doc_id: r for r in langid.identify(docs, langid.fit(docs)).collect()}
+    assert all(got[2000 + k].rejected for k in range(len(strange)))
+    assert got[1000].rejected
+    assert not any(got[r[0]].rejected or got[r[0]].lang_pred != r[2] for r in rows)
+
+
 # Pipeline
 
 def test_pipeline_stages_on_odd_and_empty_documents(spark, odd, nothing, table, tmp_path):

@@ -5,12 +5,17 @@ anything else one space) in `DIMS` hashed columns, as log(1 + count) times the
 inverse document frequency, at unit length. Document frequencies cover all
 labelled rows offered for training. The centroids of a language are the
 clusters of a sample of at most about `per_language` of its rows, chosen by a
-hash of the id (spherical k-means). A text gets the language of the centroid
+hash of the id (spherical k-means; clusters of a few odd rows go). A text gets the language of the centroid
 with the largest cosine.
 
-Rejection is by distance: per band of text lengths, a text is rejected if its
-cosine is below `slack` times the smallest one of the training sample in that
-band. Bands without training rows reject nothing.
+Rejection is by distance: a text is rejected if its cosine is below `slack`
+times the `low` quantile of the cosines that all labelled rows of its language
+have in its band of text lengths, each row left out of its centroid. The
+quantiles come from histograms (language, band, `BINS` steps) that Spark adds
+up, so neither a few odd rows nor the size of the input decides. A band with
+under `least` rows takes the nearest bands' rows too, and a language with under
+`least` rows those of all languages; cosines of longer bands count less by the
+root of 2 a band, as a shorter text has fewer grams.
 
 A null text and one without a letter are `und`, rejected, with score 0. So is
 every text if there is no labelled row. Rows with a null or empty language are
@@ -33,6 +38,8 @@ from tickline.llm.common import map_texts, slices, written
 
 DIMS = 1 << 12
 CHUNK = (1 << 19, 256)  # bytes of text and rows that are counted at once
+BANDS = 65
+BINS = 200  # steps of the cosine in a histogram
 UNKNOWN = "und"
 _SPACE = 32
 _fold: np.ndarray | None = None
@@ -104,17 +111,55 @@ def cluster(points: np.ndarray, k: int, rounds: int = 12) -> np.ndarray:
     return centres
 
 
+def main_clusters(points: np.ndarray, k: int, share: float = 0.02, rounds: int = 3) -> tuple[np.ndarray, np.ndarray]:
+    """Centroids and the lengths of their rows' sums. Clusters of one row or under `share`
+    of the rows are odd rows: the others are clustered again without them."""
+    while True:
+        centres = cluster(points, k)
+        best = np.argmax(points @ centres.T, axis=1)
+        size = np.bincount(best, minlength=len(centres))
+        keep = size >= max(2, share * len(points))
+        keep[np.argmax(size)] = True
+        rounds -= 1
+        if keep.all() or not rounds:
+            sums = np.array([np.linalg.norm(points[best == c].sum(0)) for c in np.flatnonzero(keep)])
+            return centres[keep], sums
+        points = points[keep[best]]
+
+
 def band(letters: np.ndarray) -> np.ndarray:
     """Texts of like length share a band: the number of bits of their count of letters."""
     return np.ceil(np.log2(letters + 1.0)).astype(np.int64)
 
 
+def floors(histogram: np.ndarray, low: float, slack: float, least: int) -> np.ndarray:
+    """Smallest cosine accepted (languages x BANDS) from counts of rows (languages x BANDS x BINS)."""
+    found = np.zeros(histogram.shape[:2])
+    every = histogram.sum(0)
+    steps = np.arange(BINS) / BINS  # the lower edge of each bin
+    for number, own in enumerate(histogram):
+        counts = own if own.sum() >= least else every
+        held = np.flatnonzero(counts.sum(1))
+        for b in range(BANDS):
+            away = np.abs(held - b)
+            for width in np.unique(away):
+                use = held[away <= width]
+                if counts[use].sum() >= least:
+                    break
+            if len(held):
+                values = (steps * np.sqrt(2.0) ** np.minimum(0, b - use)[:, None]).ravel()
+                order = np.argsort(values, kind="stable")
+                ranks = np.cumsum(counts[use].ravel()[order])
+                found[number, b] = slack * values[order][np.searchsorted(ranks, low * ranks[-1], side="right")]
+    return found
+
+
 @dataclass
 class LanguageModel:
     languages: list[str]      # of each centroid
     centroids: np.ndarray     # centroids x DIMS
     idf: np.ndarray
-    floor: np.ndarray         # smallest cosine accepted, by band
+    floor: np.ndarray         # smallest cosine accepted, centroids x BANDS
 
     def predict(self, texts: list[str | None]) -> tuple[list[str], np.ndarray, np.ndarray]:
         """Language, score (cosine) and whether the text is rejected."""
@@ -126,15 +171,16 @@ class LanguageModel:
         score = np.clip(cosines[np.arange(len(texts)), best].astype(np.float64), 0, 1)
         some = letters > 0
         names = [self.languages[b] if s else UNKNOWN for b, s in zip(best, some, strict=True)]
-        return names, np.where(some, score, 0.0), ~some | (score < self.floor[band(letters)])
+        return names, np.where(some, score, 0.0), ~some | (score < self.floor[best, band(letters)])
 
 
 def fit(df: DataFrame, text_col: str = "text", lang_col: str = "lang", id_col: str = "doc_id",
-        centroids: int = 3, per_language: int = 400, slack: float = 0.3) -> LanguageModel:
+        centroids: int = 3, per_language: int = 400, slack: float = 0.7, low: float = 0.01,
+        least: int = 200) -> LanguageModel:
     """Learn from all rows of `df` that have a text and a language.
 
-    One pass counts rows by language, one counts documents by gram. The sample
-    is written to the shared folder; it and the centroids are small whatever
+    One pass counts rows by language, one counts documents by gram, one counts
+    cosines. The sample is written to the shared folder; it and the centroids are small whatever
     the input (`per_language` rows and `centroids` vectors per language).
     """
     rows = df.select(F.col(f"`{text_col}`").cast("string").alias("text"),
@@ -169,24 +215,40 @@ def fit(df: DataFrame, text_col: str = "text", lang_col: str = "lang", id_col: s
     def centres(group: pd.DataFrame) -> pd.DataFrame:
         points = np.concatenate([vectors(gram_counts(group.text[i:i + 64].tolist())[0], idf)
                                  for i in range(0, len(group), 64)])
-        found = cluster(points[np.lexsort(points.T[::-1][:8])], centroids)
-        return pd.DataFrame({"lang": group.lang.iloc[0], "centre": [c.tolist() for c in found]})
-
-    made = sorted(sample.groupBy("lang").applyInPandas(centres, "lang string, centre array<float>").collect())
-    model = LanguageModel([r[0] for r in made],
-                          np.array([r[1] for r in made], np.float32).reshape(-1, DIMS), idf, np.zeros(65))
-
-    def lowest(batches):
+        found, sums = main_clusters(points[np.lexsort(points.T[::-1][:8])], centroids)
+        return pd.DataFrame({"lang": group.lang.iloc[0], "centre": [c.tolist() for c in found], "length": sums})
+
+    made = sorted(sample.groupBy("lang").applyInPandas(centres, "lang string, centre array<float>, length double").collect())
+    model = LanguageModel([r[0] for r in made], np.array([r[1] for r in made], np.float32).reshape(-1, DIMS), idf,
+                          np.zeros((len(made), BANDS)))
+    if not made:
+        return model
+    languages, of = np.unique(model.languages, return_inverse=True)
+    number = {name: k for k, name in enumerate(languages.tolist())}
+    shared = df.sparkSession.sparkContext.broadcast((model, np.array([r[2] for r in made])))
+
+    def cosines(batches):
+        model, length = shared.value
+        seen: dict[int, int] = {}
         for batch in slices(batches, 0, *CHUNK):
-            texts = batch.column(0).to_pylist()
-            _, score, _ = model.predict(texts)
-            yield pa.RecordBatch.from_arrays([pa.array(band(gram_counts(texts)[1])), pa.array(score)],
-                                             names=["band", "score"])
-
-    if made:
-        for number, score in (sample.select("text").mapInArrow(lowest, "band long, score double")
-                              .groupBy("band").agg(F.min("score")).collect()):
-            model.floor[number] = slack * score
+            counts, letters = gram_counts(batch.column(0).to_pylist())
+            own = np.array([number.get(x, -1) for x in batch.column(1).to_pylist()])
+            # Taken out of the sum of a centroid's rows, whether it was among them or not.
+            cosine = vectors(counts, model.idf) @ model.centroids.T
+            left = (length * cosine - 1) / np.sqrt(np.maximum(length * length - 2 * length * cosine + 1, 1e-6))
+            score = np.clip(np.where(of == own[:, None], left, 0).max(1), 0, 1)
+            where = (own * BANDS + band(letters)) * BINS + np.minimum(score * BINS, BINS - 1).astype(np.int64)
+            for at, n in zip(*np.unique(where[(own >= 0) & (letters > 0)], return_counts=True), strict=True):
+                seen[int(at)] = seen.get(int(at), 0) + int(n)
+        if seen:
+            yield pa.RecordBatch.from_arrays([pa.array(list(seen), pa.int64()), pa.array(list(seen.values()), pa.int64())],
+                                             names=["at", "n"])
+
+    histogram = np.zeros(len(languages) * BANDS * BINS, np.int64)
+    for at, n in (rows.select("text", "lang").mapInArrow(cosines, "at long, n long")
+                  .groupBy("at").agg(F.sum("n")).collect()):
+        histogram[at] = n
+    model.floor = floors(histogram.reshape(-1, BANDS, BINS), low, slack, least)[of]
     return model
 
 
