@@ -1,5 +1,6 @@
 """Nulls, empty and long texts, ties, repeated rows, empty tables and clashing names, per operator."""
 
+import collections
 import io
 import random
 import zipfile
@@ -185,6 +186,57 @@ def test_next_token_probabilities_sum_to_one(order):
         assert p[at].sum() == pytest.approx(1.0)
 
 
+def plain_scores(texts, learn, order):
+    """Weights from the counts of all texts, and each text's score: n-grams as tuples, one token after the other."""
+    counts = collections.Counter()
+    padded = [["<s>", *t.split(), "</s>"] for t in texts]
+    for words, use in zip(padded, learn, strict=True):
+        if use:
+            counts["<s>",] += 1
+            counts.update(tuple(words[i - k + 1:i + 1]) for i in range(1, len(words)) for k in range(1, order + 1) if k <= i + 1)
+    n = sum(c for g, c in counts.items() if len(g) == 1 and g != ("<s>",))
+    whole = n + sum(len(g) == 1 and g != ("<s>",) for g in counts) + 1
+    logs = collections.defaultdict(lambda: np.zeros(len(ngrams.GRID)))
+    for words, use in zip(padded, learn, strict=True):
+        for i in range(1, len(words) if use else 0):
+            for k in range(1, min(order - 1, i) + 1):
+                seen, times = counts[tuple(words[i - k:i])], counts[tuple(words[i - k:i + 1])]
+                share = (times - 1) / max(seen - 1, 1)
+                logs[k, seen.bit_length()] += np.log(share * (1 - ngrams.GRID) + counts[words[i],] / whole * ngrams.GRID)
+    weight = {at: float(ngrams.GRID[np.argmax(x)]) for at, x in logs.items()}
+    scores = []
+    for words in padded:
+        total = 0.0
+        for i in range(1, len(words)):
+            p = (counts[words[i],] + 1) / whole
+            for k in range(1, min(order - 1, i) + 1):
+                if seen := counts[tuple(words[i - k:i])]:
+                    scale = weight[k, seen.bit_length()]
+                    p = scale * p + (1 - scale) * counts[tuple(words[i - k:i + 1])] / seen
+            total += np.log10(p)
+        scores.append(total)
+    return scores
+
+
+@pytest.mark.parametrize("order", [2, 3])
+def test_scores_equal_a_plain_model_under_any_batch_size(spark, table, monkeypatch, order):
+    pick = random.Random(6)
+    words = [f"w{k}" for k in range(60)]
+    texts = [" ".join(pick.choices(words, [1 / (k + 1) for k in range(60)], k=pick.randint(0, 40))) for _ in range(120)]
+    expected = plain_scores(texts, [i % 5 != 0 for i in range(120)], order)
+    docs = table([(i, t, "en", "a", 1) for i, t in enumerate(texts)], DOCS)
+    size = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before = spark.conf.get(size)
+    try:
+        for records, block in (("10000", 6 << 20), ("7", 5000)):
+            spark.conf.set(size, records)
+            monkeypatch.setattr(ngrams, "BLOCK_BYTES", block)
+            got = dict(ngrams.score(docs, F.col("doc_id") % 5 != 0, order=order).select("doc_id", "score").collect())
+            assert [got[i] for i in range(120)] == pytest.approx(expected, rel=1e-9)
+    finally:
+        spark.conf.set(size, before)
+
+
 # 5. Near copies
 
 def test_near_copies_edges(odd, nothing, prose, table):

@@ -1,7 +1,7 @@
 """Language-model scores from a weighted backoff automaton.
 
 Tokens are words (runs of anything but ASCII blanks, A-Z in lower case) and one
-end per text. end per text. The model is an n-gram model of `order`, interpolated with the next
+end per text. The model is an n-gram model of `order`, interpolated with the next
 shorter context:
 
     p(w | u) = (1 - l) * c(u w) / c(u) + l * p(w | u')
@@ -10,8 +10,7 @@ with u' the context u without its first token, and (c(w) + 1) / (N + V + 1)
 under the empty context; it sums to one over the V tokens seen and one unseen.
 The weight l depends on the order and on how often the context occurs (a class
 per power of two). It is the value on a grid under which all training tokens
-are likeliest, each left out of the counts in turn; these counts are taken
-within slices of the input of `SLICE_BYTES`, so that one pass gives them.
+are likeliest, each left out of the corpus counts in turn.
 As an automaton: a state per context seen, an arc per n-gram seen, weighted
 log10 p, and a failure arc from u to u' weighted log10 l. A text is read once
 from left to right: take the arc of the next token if there is one, else fail
@@ -22,7 +21,9 @@ How it is spread out. Documents are dealt into blocks by a hash. A block needs
 the counts of its own n-grams only. It sends their hashes and its own training
 counts, sorted and packed, to buckets of the hash space; a bucket adds the
 counts up over all blocks and sends each block the totals of what it asked for,
-in the order asked. No table of n-grams is held whole anywhere, n-grams come
+in the order asked. The counts at each place of a text are then written. One
+pass over them adds up the weights' likelihoods (a table of fixed size), and
+with the weights known a second one gives the scores. No table of n-grams is held whole anywhere, n-grams come
 from all training texts, and both blocks and buckets have a bounded size
 whatever the corpus: their number grows. A frequent n-gram is one entry per
 block, as any other. Words have 64-bit hashes, longer n-grams ones of
@@ -41,11 +42,12 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from tickline.llm.common import slices
+from tickline.llm.common import shared_dir, slices
 
 BLOCK_BYTES = 6 << 20       # of text in a block
-SLICE_BYTES = 4 << 20       # of text in a slice for the weights
+SLICE_BYTES = 4 << 20       # of text whose words are counted at once
 BUCKET_GRAMS = 1_000_000    # n-grams that a bucket gets, about, over the number of blocks that ask for each
 MARGIN = 22
 END, BEGIN = 1, 2
@@ -131,34 +133,36 @@ class Counted:
         n = len(self.text.token)
         times = [totals[0][self.place[0][:n]]]
         begin = totals[0][self.place[0][n]] if len(self.place[0]) > n else 0
-        contexts = [np.zeros(0)]
         for k in range(1, len(totals)):
             here = np.zeros(n, np.int64)
             here[self.at[k]] = totals[k][self.place[k]]
             times.append(here)
-            # The k tokens before the place; at most one of them is the begin mark.
-            context = np.concatenate([[0], times[k - 1][:-1]])[:n]
-            context[self.text.inside < k - 1] = 0
-            if k == 1:
-                context[self.text.inside == 0] = begin
-            contexts.append(context)
-        return times, contexts
+        return times, _contexts(times, self.text.inside, begin)
+
+
+def _contexts(times: list[np.ndarray], inside: np.ndarray, begin: int) -> list[np.ndarray]:
+    """Per order: the count of each place's context, which ends one place before."""
+    contexts = [np.zeros(0)]
+    for k in range(1, len(times)):
+        # The k tokens before the place; at most one of them is the begin mark.
+        context = np.concatenate([[0], times[k - 1][:-1]])[:len(inside)]
+        context[inside < k - 1] = 0
+        if k == 1:
+            context[inside == 0] = begin
+        contexts.append(context)
+    return contexts
 
 
 def _class(counts: np.ndarray) -> np.ndarray:
     return np.frexp(counts.astype(float))[1]
 
 
-def likelihoods(counted: Counted, training: np.ndarray) -> dict[tuple[int, int], np.ndarray]:
-    """By order and context class: the sum of log p of the training tokens under
+def likelihoods(times: list[np.ndarray], contexts: list[np.ndarray], whole: int) -> dict[tuple[int, int], np.ndarray]:
+    """By order and context class: the sum of log p of training tokens under
     each weight of the grid, each token left out of the counts."""
-    counts = counted.counts(training)
-    times, contexts = counted.at_places(counts)
-    learn = np.repeat(training, counted.text.ends - counted.text.starts)
-    whole = int(learn.sum()) + len(counts[0]) + 1
     sums: dict[tuple[int, int], np.ndarray] = {}
-    for k in range(1, counted.text.order):
-        here = learn & (contexts[k] > 0) & (times[k] > 0)
+    for k in range(1, len(times)):
+        here = (contexts[k] > 0) & (times[k] > 0)
         if not here.any():
             continue
         share = (times[k][here] - 1) / np.maximum(contexts[k][here] - 1, 1)
@@ -215,25 +219,36 @@ def _counts(data: bytes) -> np.ndarray:
     return np.frombuffer(data, f"<u{data[:1].decode()}", offset=1).astype(np.int64)
 
 
-def walk(counted: Counted, totals: list[np.ndarray], n: int, v: int, weight: dict[tuple[int, int], float]):
+class Places:
+    """Counts at the places of some written texts, one after the other."""
+
+    def __init__(self, batch: pa.RecordBatch, order: int, begin: int):
+        columns = [[_counts(x) for x in batch.column(f"times_{k}").to_pylist()] for k in range(order)]
+        self.times = [np.concatenate([np.zeros(0, np.int64), *column]) for column in columns]
+        self.lengths = np.array([len(x) for x in columns[0]], np.int64)
+        self.starts = np.cumsum(self.lengths) - self.lengths
+        inside = np.arange(len(self.times[0])) - np.repeat(self.starts, self.lengths)
+        self.contexts = _contexts(self.times, inside, begin)
+
+
+def walk(places: Places, n: int, v: int, weight: dict[tuple[int, int], float]):
     """Per text: tokens, known tokens, base score and the model's score.
 
     Places fail or take their arcs order by order: where a context was seen,
     the failure weight comes in, and the arc's share if there is an arc.
     """
-    text = counted.text
-    times, contexts = counted.at_places(totals)
+    times, contexts = places.times, places.contexts
     p = (times[0] + 1) / (n + v + 1)
     base = np.log10(p)
-    for k in range(1, text.order):
+    for k in range(1, len(times)):
         seen = contexts[k] > 0
         group = _class(contexts[k])
         known = sorted(c for o, c in weight if o == k)
         scale = np.array([weight[k, min(known, key=lambda x: abs(x - c))] if known else 0.5 for c in range(65)])[group]
         p = np.where(seen, scale * p + (1 - scale) * times[k] / np.maximum(contexts[k], 1), p)
-    sums = [np.add.reduceat(x, text.starts) if len(text.starts) else np.zeros(0)
+    sums = [np.add.reduceat(x, places.starts) if len(places.starts) else np.zeros(0)
             for x in ((times[0] > 0).astype(np.int64), base, np.log10(p))]
-    return text.ends - text.starts, *sums
+    return places.lengths, *sums
 
 
 def score(df: DataFrame, training: Column, text_col: str = "text", keep: tuple[str, ...] = ("doc_id",),
@@ -243,16 +258,14 @@ def score(df: DataFrame, training: Column, text_col: str = "text", keep: tuple[s
                      F.col(f"`{text_col}`").cast("string").alias("text"))
 
     def survey(batches):
-        """Distinct words (kind 0), the number of tokens (1) and of bytes (2), and the weights' likelihoods."""
-        seen, tokens, size = np.zeros(0, np.uint64), 0, 0
-        sums: dict[tuple[int, int], np.ndarray] = {}
+        """Distinct words (kind 0), the number of tokens (1), of bytes (2) and of training texts (3)."""
+        seen, tokens, size, learned = np.zeros(0, np.uint64), 0, 0, 0
 
         def longs(kind, values):
             for at in range(0, len(values), 1 << 16):
                 part = values[at:at + (1 << 16)]
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array([kind] * len(part), pa.int32()), pa.array(part, pa.int64()), pa.array([0.0] * len(part))],
-                    names=["kind", "value", "log_p"])
+                yield pa.RecordBatch.from_arrays([pa.array([kind] * len(part), pa.int32()), pa.array(part, pa.int64())],
+                                                 names=["kind", "value"])
 
         for batch in slices(batches, 0, SLICE_BYTES):
             texts = batch.column(0).to_pylist()
@@ -260,37 +273,24 @@ def score(df: DataFrame, training: Column, text_col: str = "text", keep: tuple[s
             size += sum(len(t or "") for t in texts) + 64 * len(texts)
             if not learn.any():
                 continue
-            counted = Counted(Text([t for t, x in zip(texts, learn, strict=True) if x], order), 64)
-            tokens += len(counted.text.token)
-            for at, logs in likelihoods(counted, np.ones(len(counted.text.ends), bool)).items():
-                sums[at] = sums.get(at, 0) + logs
-            seen = np.union1d(seen, counted.keys[0][counted.keys[0] != BEGIN])
+            token = Text([t for t, x in zip(texts, learn, strict=True) if x], 1).token
+            tokens += len(token)
+            learned += int(learn.sum())
+            seen = np.union1d(seen, token)
             if len(seen) >= BUCKET_GRAMS:
                 yield from longs(0, seen.view(np.int64))
                 seen = seen[:0]
         yield from longs(0, seen.view(np.int64))
-        yield from longs(1, np.array([tokens]))
-        yield from longs(2, np.array([size]))
-        for (k, c), logs in sums.items():
-            yield pa.RecordBatch.from_arrays(
-                [pa.array([3] * len(GRID), pa.int32()), pa.array((k * 100 + c) * 100 + np.arange(len(GRID))), pa.array(logs)],
-                names=["kind", "value", "log_p"])
-
-    found = rows.select("text", "training").mapInArrow(survey, "kind int, value long, log_p double")
-    # One line per distinct word or grid point, then a table of fixed size.
-    once = found.groupBy("kind", "value").agg(F.count("*").alias("times"), F.sum("log_p").alias("log_p"))
-    point = F.when(F.col("kind") == 3, F.col("value"))
-    n = v = size = 0
-    best: dict[tuple[int, int], tuple[float, float]] = {}
-    for kind, at, count, total, log_p in once.groupBy("kind", point.alias("point")).agg(
-            F.count("*"), F.sum(F.when(F.col("kind").isin(1, 2), F.col("value") * F.col("times"))), F.sum("log_p")).collect():
-        v = count if kind == 0 else v
-        n = total if kind == 1 else n
-        size = total if kind == 2 else size
-        if kind == 3:
-            where = divmod(at // 100, 100)
-            best[where] = max(best.get(where, (-math.inf, 1.0)), (log_p, float(GRID[at % 100])))
-    weight = {at: w for at, (_, w) in best.items()}
+        for kind, value in ((1, tokens), (2, size), (3, learned)):
+            yield from longs(kind, np.array([value]))
+
+    # One line per distinct word, then a table of fixed size.
+    once = (rows.select("text", "training").mapInArrow(survey, "kind int, value long")
+            .groupBy("kind", "value").agg(F.count("*").alias("times")))
+    found = {kind: (count, total) for kind, count, total in once.groupBy("kind").agg(
+        F.count("*"), F.sum(F.when(F.col("kind") > 0, F.col("value") * F.col("times")))).collect()}
+    v = found.get(0, (0, 0))[0]
+    n, size, begin = (found.get(kind, (0, 0))[1] for kind in (1, 2, 3))
     blocks = max(1, math.ceil(size / BLOCK_BYTES))
     buckets = max(1, math.ceil(size / 8 * order / BUCKET_GRAMS))
     bits = min(64, max(n, 1).bit_length() + MARGIN)
@@ -329,17 +329,50 @@ def score(df: DataFrame, training: Column, text_col: str = "text", keep: tuple[s
     schema = ", ".join([*(f"`{f.name}` {f.dataType.simpleString()}" for f in kept), "training boolean", "n_tokens long",
                         "n_known long", "train_tokens long", "base_score double", "score double"])
 
-    def read(texts: pa.Table, answers: pa.Table) -> pa.Table:
+    def place(texts: pa.Table, answers: pa.Table) -> pa.Table:
         answers = answers.sort_by([("k", "ascending"), ("bucket", "ascending")])
         of, parts = answers.column("k").to_pylist(), answers.column("totals").to_pylist()
         totals = [np.concatenate([np.zeros(0, np.int64), *(_counts(x) for o, x in zip(of, parts, strict=True) if o == k)])
                   for k in range(order)]
-        made = walk(counted_of(texts), totals, n, v, weight)
-        return pa.table([*(texts.column(f.name) for f in kept), texts.column("training"), pa.array(made[0], pa.int64()),
-                         pa.array(made[1], pa.int64()), pa.array([n] * texts.num_rows, pa.int64()),
-                         pa.array(made[2], pa.float64()), pa.array(made[3], pa.float64())],
-                        names=[*(f.name for f in kept), "training", "n_tokens", "n_known", "train_tokens", "base_score", "score"])
+        counted = counted_of(texts)
+        times, _ = counted.at_places(totals)
+        edges = list(zip(counted.text.starts.tolist(), counted.text.ends.tolist(), strict=True))
+        return pa.table([*(texts.column(f.name) for f in kept), texts.column("training"),
+                         *(pa.array([_small(x[i:j]) for i, j in edges], pa.binary()) for x in times)],
+                        names=[*(f.name for f in kept), "training", *(f"times_{k}" for k in range(order))])
+
+    def tune(batches):
+        sums: dict[tuple[int, int], np.ndarray] = {}
+        for batch in slices(batches, 0, SLICE_BYTES):
+            places = Places(batch, order, begin)
+            for at, logs in likelihoods(places.times, places.contexts, n + v + 1).items():
+                sums[at] = sums.get(at, 0) + logs
+        for (k, c), logs in sums.items():
+            yield pa.RecordBatch.from_arrays(
+                [pa.array([k] * len(GRID), pa.int32()), pa.array([c] * len(GRID), pa.int32()),
+                 pa.array(np.arange(len(GRID)), pa.int32()), pa.array(logs)], names=["k", "class", "step", "log_p"])
+
+    def read(batches):
+        first = len(kept) + 1
+        for batch in slices(batches, first, SLICE_BYTES):
+            made = walk(Places(batch, order, begin), n, v, weight)
+            yield pa.RecordBatch.from_arrays(
+                [*batch.columns[:first], pa.array(made[0], pa.int64()), pa.array(made[1], pa.int64()),
+                 pa.array([n] * batch.num_rows, pa.int64()), pa.array(made[2], pa.float64()), pa.array(made[3], pa.float64())],
+                names=[*(f.name for f in kept), "training", "n_tokens", "n_known", "train_tokens", "base_score", "score"])
 
     asked = dealt.groupBy("block").applyInArrow(ask, "k int, bucket long, block int, keys binary, counts binary")
     answered = asked.groupBy("k", "bucket").applyInArrow(answer, "block int, k int, bucket long, totals binary")
-    return dealt.groupBy("block").cogroup(answered.groupBy("block")).applyInArrow(read, schema)
+    fields = T.StructType([*kept, T.StructField("training", T.BooleanType()),
+                           *(T.StructField(f"times_{k}", T.BinaryType()) for k in range(order))])
+    path = shared_dir(df.sparkSession, "ngram_places")
+    dealt.groupBy("block").cogroup(answered.groupBy("block")).applyInArrow(place, fields) \
+        .write.option("compression", "zstd").parquet(path)
+    placed = df.sparkSession.read.schema(fields).parquet(path)
+    best: dict[tuple[int, int], tuple[float, float]] = {}
+    for k, c, step, log_p in (placed.where("training").select(*(f"times_{k}" for k in range(order)))
+                              .mapInArrow(tune, "k int, class int, step int, log_p double")
+                              .groupBy("k", "class", "step").agg(F.sum("log_p")).collect() if order > 1 else []):
+        best[k, c] = max(best.get((k, c), (-math.inf, 1.0)), (log_p, float(GRID[step])))
+    weight = {at: w for at, (_, w) in best.items()}
+    return placed.mapInArrow(read, schema)
