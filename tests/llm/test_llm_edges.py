@@ -237,6 +237,26 @@ def test_scores_equal_a_plain_model_under_any_batch_size(spark, table, monkeypat
         spark.conf.set(size, before)
 
 
+@pytest.mark.parametrize("order", [1, 2, 3, 4])
+def test_walks_take_arcs_and_fail_as_plain_lookups_do(order):
+    pick = random.Random(order)
+    texts = [" ".join(pick.choices("abcdefgh", [8, 7, 6, 5, 4, 3, 2, 1], k=pick.randint(0, 30))) for _ in range(60)] + ["", None, "unseen words"]
+    for learn in (0, 30, 60):
+        training = np.arange(len(texts)) < learn
+        counted = ngrams.Counted(ngrams.Text(texts, order), 60)
+        totals = counted.counts(training)
+        automaton = ngrams.Automaton(counted, totals)
+        assert (np.diff(automaton.arc) > 0).all()
+        depth = np.zeros(len(automaton.fail), int)
+        for s in range(1, len(depth)):
+            at, depth[s] = s, 0
+            while at:
+                at, depth[s] = automaton.fail[at], depth[s] + 1
+        assert depth.max() <= order - 1
+        for walked, looked in zip(automaton.walk(), counted.at_places(totals)[0], strict=True):
+            assert (walked == looked).all()
+
+
 # 5. Near copies
 
 def test_near_copies_edges(odd, nothing, prose, table):

@@ -11,11 +11,12 @@ under the empty context; it sums to one over the V tokens seen and one unseen.
 The weight l depends on the order and on how often the context occurs (a class
 per power of two). It is the value on a grid under which all training tokens
 are likeliest, each left out of the corpus counts in turn.
-As an automaton: a state per context seen, an arc per n-gram seen, weighted
-log10 p, and a failure arc from u to u' weighted log10 l. A text is read once
-from left to right: take the arc of the next token if there is one, else fail
-and try again. The state at a place depends on the last order - 1 tokens only,
-so a block's texts are walked all at once, from the shortest contexts up.
+Each block builds an automaton: a state per context seen, sorted arcs (state,
+word) with the n-gram's counts, and a failure link from u to u'. All texts of
+a block advance together, one token a step, each with its state: take the arc
+of the next token if there is one, else fail and try again. A failure weighs l,
+an arc its share; as l is learned from the walked counts themselves, walks note
+counts, and the weights are put on them afterwards.
 
 How it is spread out. Documents are dealt into blocks by a hash. A block needs
 the counts of its own n-grams only. It sends their hashes and its own training
@@ -129,7 +130,7 @@ class Counted:
                 for p, w, k in zip(self.place, weights, self.keys, strict=True)]
 
     def at_places(self, totals: list[np.ndarray]):
-        """Per order: each place's count of its n-gram and of that one's context (0: none)."""
+        """Per order: each place's count of its n-gram and of that one's context (0: none), looked up without a walk."""
         n = len(self.text.token)
         times = [totals[0][self.place[0][:n]]]
         begin = totals[0][self.place[0][n]] if len(self.place[0]) > n else 0
@@ -140,6 +141,80 @@ class Counted:
         return times, _contexts(times, self.text.inside, begin)
 
 
+class Automaton:
+    """The part of the model that a block's texts can reach. State 0 is the empty context."""
+
+    def __init__(self, counted: Counted, totals: list[np.ndarray]):
+        self.text, self.order = counted.text, counted.text.order
+        n = len(self.text.token)
+        self.word, self.words = counted.place[0][:n], len(counted.keys[0])
+        at = [np.arange(n), *counted.at[1:]]
+        gram = []  # by length: each place's n-gram
+        for where, place in zip(at, counted.place, strict=True):
+            gram.append(np.zeros(n, np.int64))
+            gram[-1][where] = place[:len(where)]
+        state, states = [], 1  # by length: each n-gram's state
+        for k in range(self.order - 1):
+            seen = totals[k] > 0
+            state.append(np.where(seen, states + np.cumsum(seen) - 1, 0))
+            states += int(seen.sum())
+        self.first = int(state[0][counted.place[0][n]]) if state and len(self.text.ends) else 0
+        self.fail = np.zeros(states, np.int64)
+        arcs, targets, labels = [], [], []
+        for k, (where, place) in enumerate(zip(at, counted.place, strict=True)):
+            example = np.full(len(counted.keys[k]), -1)
+            example[place[:len(where)]] = where  # a place that ends this n-gram
+            number = np.flatnonzero((totals[k] > 0) & (example >= 0))
+            example = example[number]
+            source = np.zeros(len(number), np.int64)
+            if k:
+                source = state[k - 1][gram[k - 1][example - 1]]
+                if k == 1:
+                    source[self.text.inside[example] == 0] = self.first
+            if k < self.order - 1:
+                target = state[k][number]
+                if k:
+                    self.fail[target] = state[k - 1][gram[k - 1][example]]
+            else:
+                target = state[k - 1][gram[k - 1][example]] if k else source
+            arcs.append(source * self.words + self.word[example])
+            targets.append(target)
+            labels.append(np.stack([totals[j][gram[j][example]] if j <= k else np.zeros(len(number), np.int64)
+                                    for j in range(self.order)], axis=1))
+        arcs = np.concatenate(arcs)
+        by = np.argsort(arcs)
+        # A last arc that no place takes stands for a token without one.
+        self.arc = np.append(arcs[by], np.iinfo(np.int64).max)
+        self.target = np.append(np.concatenate(targets)[by], 0)
+        self.label = np.concatenate([*labels, np.zeros((1, self.order), np.int64)])[np.append(by, len(by))]
+
+    def walk(self) -> list[np.ndarray]:
+        """Per order: each place's count of its n-gram (0: the walk failed to a shorter context)."""
+        starts, lengths = self.text.starts, self.text.ends - self.text.starts
+        by = np.argsort(-lengths, kind="stable")
+        starts, lengths = starts[by], lengths[by]
+        state = np.full(len(starts), self.first)
+        taken = np.zeros(len(self.text.token), np.int64)
+        none = len(self.arc) - 1
+        steps = int(lengths.max(initial=0))
+        for step, active in enumerate(np.searchsorted(-lengths, -np.arange(steps), side="left").tolist()):
+            at = starts[:active] + step
+            word, here = self.word[at], state[:active]
+            found = np.searchsorted(self.arc, here * self.words + word)
+            miss = np.flatnonzero(self.arc[found] != here * self.words + word)
+            while len(miss):
+                found[miss] = none
+                miss = miss[here[miss] > 0]
+                here[miss] = self.fail[here[miss]]
+                want = here[miss] * self.words + word[miss]
+                again = np.searchsorted(self.arc, want)
+                found[miss] = again
+                miss = miss[self.arc[again] != want]
+            state[:active] = self.target[found]
+            taken[at] = found
+        return list(self.label[taken].T)
+
+
 def _contexts(times: list[np.ndarray], inside: np.ndarray, begin: int) -> list[np.ndarray]:
     """Per order: the count of each place's context, which ends one place before."""
     contexts = [np.zeros(0)]
@@ -231,11 +306,11 @@ class Places:
         self.contexts = _contexts(self.times, inside, begin)
 
 
-def walk(places: Places, n: int, v: int, weight: dict[tuple[int, int], float]):
+def weighed(places: Places, n: int, v: int, weight: dict[tuple[int, int], float]):
     """Per text: tokens, known tokens, base score and the model's score.
 
-    Places fail or take their arcs order by order: where a context was seen,
-    the failure weight comes in, and the arc's share if there is an arc.
+    Puts the weights on the walked counts: where a context was seen, the failure
+    weight comes in, and the arc's share if there was an arc.
     """
     times, contexts = places.times, places.contexts
     p = (times[0] + 1) / (n + v + 1)
@@ -335,7 +410,7 @@ def score(df: DataFrame, training: Column, text_col: str = "text", keep: tuple[s
         totals = [np.concatenate([np.zeros(0, np.int64), *(_counts(x) for o, x in zip(of, parts, strict=True) if o == k)])
                   for k in range(order)]
         counted = counted_of(texts)
-        times, _ = counted.at_places(totals)
+        times = Automaton(counted, totals).walk()
         edges = list(zip(counted.text.starts.tolist(), counted.text.ends.tolist(), strict=True))
         return pa.table([*(texts.column(f.name) for f in kept), texts.column("training"),
                          *(pa.array([_small(x[i:j]) for i, j in edges], pa.binary()) for x in times)],
@@ -355,7 +430,7 @@ def score(df: DataFrame, training: Column, text_col: str = "text", keep: tuple[s
     def read(batches):
         first = len(kept) + 1
         for batch in slices(batches, first, SLICE_BYTES):
-            made = walk(Places(batch, order, begin), n, v, weight)
+            made = weighed(Places(batch, order, begin), n, v, weight)
             yield pa.RecordBatch.from_arrays(
                 [*batch.columns[:first], pa.array(made[0], pa.int64()), pa.array(made[1], pa.int64()),
                  pa.array([n] * batch.num_rows, pa.int64()), pa.array(made[2], pa.float64()), pa.array(made[3], pa.float64())],
