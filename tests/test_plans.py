@@ -93,11 +93,13 @@ def test_no_cross_join(spark, name):
     assert "CartesianProduct" not in text and "BroadcastNestedLoopJoin" not in text
 
 
-def test_recent_rows_of_merged_stream_tables_prune_old_days(spark, table, tmp_path):
+@pytest.mark.parametrize("order", [(), ("timestamp",)])
+def test_recent_rows_of_merged_stream_tables_prune_old_days(spark, table, tmp_path, order):
     """Ranks are taken on reading; the filter on days still reaches the scan."""
+    table = table.withColumn("timestamp", F.unix_millis(F.col("event_timestamp").cast("timestamp")))
     rolled = gold.rolling_metrics(table).select(
         "coin_id", "event_timestamp", "price_usd", "volume_24h", "moving_avg_price",
-        "price_volatility", "date")
+        "price_volatility", "date", *order)
     sinks.write_batch_idempotent(rolled, f"{tmp_path}/{streaming.gold.PERFORMANCE}", 0, ["date"])
     merged = streaming.read_performance(spark, str(tmp_path), "merge")
     day = F.lit("2024-01-20").cast("date")

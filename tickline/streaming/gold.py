@@ -67,8 +67,13 @@ def _revised(batch: DataFrame, root: str, tail: DataFrame, order: Sequence[str],
 
 
 def _newest_rows(stored: DataFrame, order: Sequence[str]) -> DataFrame:
-    """Of rows that were written again, the newest."""
-    return last_rows(stored, [*SERIES, *order], ["batch_id"], 1)
+    """Of rows that were written again, the newest.
+
+    A moment lies in one day, so `date` as part of the key lets a filter on days
+    reach the scan. Order columns that the store lacks tell no rows apart.
+    """
+    held = [c for c in order if c in stored.columns]
+    return last_rows(stored, [*SERIES, "date", *held], ["batch_id"], 1)
 
 
 def _merge_all(batch: DataFrame, batch_id: int, root: str, order: Sequence[str], rows: int,
