@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tickline.llm import bitslices, decontaminate, langid, nearcopies, ngrams, ordering, pieces, pii, recount, warc
+from tickline.llm import bitslices, decontaminate, langid, merkle, nearcopies, ngrams, ordering, pieces, pii, recount, warc
 from tickline.llm.common import fold, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -115,3 +115,16 @@ def op9_order(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ordering.read(spark, folder).select(
         F.col("document").alias("doc_id"), "part", "slot", F.col("used").cast("long").alias("n_tokens"),
         F.sha2(F.array_join(own.cast("array<string>"), " "), 256).alias("ids_sha256"))
+
+
+@query
+def op12_merkle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    fields = ["doc_id", "source", "lang", "n_chars", "text"]
+    upper = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
+    changed = [F.translate("text", upper, upper.lower()) if f == "text" else F.col(f) for f in fields]
+    tampered = F.when(F.crc32(F.col("doc_id").cast("string").cast("binary")) % 5 == 0, merkle.leaf_hash(changed))
+    manifest = merkle.build(table(spark, sf_dir, "documents"), fields, carry=[tampered.alias("tampered")])
+    folded = merkle.fold(F.coalesce("tampered", "leaf"), F.col("path"))
+    return merkle.prove(manifest).select(
+        F.col("id").alias("doc_id"), "leaf", "subroot", "root", merkle.siblings_digest(F.col("path")).alias("proof_sha256"),
+        folded.alias("folded_root")).withColumn("verified", F.col("folded_root") == F.col("root"))
