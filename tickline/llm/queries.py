@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tickline.llm import bitslices, decontaminate, langid, merkle, nearcopies, ngrams, ordering, pieces, pii, recount, warc
+from tickline.llm import bitslices, decontaminate, langid, merkle, nearcopies, ngrams, ordering, pieces, pii, recount, secrets, warc
 from tickline.llm.common import fold, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -128,3 +128,8 @@ def op12_merkle(spark: SparkSession, sf_dir: str) -> DataFrame:
     return merkle.prove(manifest).select(
         F.col("id").alias("doc_id"), "leaf", "subroot", "root", merkle.siblings_digest(F.col("path")).alias("proof_sha256"),
         folded.alias("folded_root")).withColumn("verified", F.col("folded_root") == F.col("root"))
+
+
+@query
+def op11_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return secrets.digests(secrets.find(table(spark, sf_dir, "documents").select("doc_id", "text")))
