@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tickline.llm import bitslices, decontaminate, langid, merkle, nearcopies, ngrams, ordering, pieces, pii, recount, secrets, warc
+from tickline.llm import audit, bitslices, decontaminate, langid, merkle, nearcopies, ngrams, ordering, pieces, pii, recount, secrets, warc
 from tickline.llm.common import fold, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -133,3 +133,44 @@ def op12_merkle(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op11_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secrets.digests(secrets.find(table(spark, sf_dir, "documents").select("doc_id", "text")))
+
+
+@query
+def op13_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    labels = table(spark, sf_dir, "labels")
+    return audit.report(audit.counters(spark, f"{sf_dir.rstrip('/')}/documents.parquet", labels))
+
+
+ORACLES["op13_filter_audit"] = r"""
+WITH d AS (SELECT row_number() OVER () AS place, doc_id, coalesce(source, '') AS part, coalesce(text, '') AS t FROM documents),
+least_id AS (SELECT t, min(doc_id) AS least FROM d GROUP BY t),
+w AS (SELECT *, regexp_extract_all(t, '[^\x20\x09-\x0D]+') AS words FROM d JOIN least_id USING (t)),
+l AS (SELECT doc_id, max(CAST(quality = 1 AS INT)) AS good, max(CAST(toxic = 1 AS INT)) AS toxic FROM labels GROUP BY doc_id),
+m AS (SELECT part, coalesce(good, 0) AS good, coalesce(toxic, 0) AS toxic,
+    CAST(len(words) < 50 AS INT) + 2 * CAST(100 * len(list_distinct(words)) < 65 * len(words) AS INT)
+    + 4 * CAST(100 * (length(t) - length(regexp_replace(t, '[A-Z]', '', 'g'))) > 5 * length(t) AS INT)
+    + 8 * CAST(regexp_matches(t, '[#$%&*|]') AS INT) + 16 * CAST(coalesce(w.doc_id > least, false) AS INT) AS mask
+  FROM w LEFT JOIN l ON l.doc_id = w.doc_id),
+c AS (SELECT part, mask, count(*) AS n, sum(good) AS good, sum(toxic) AS toxic FROM m GROUP BY part, mask),
+f AS (SELECT unnest(['A', 'B', 'C', 'D', 'E']) AS x),
+o AS (SELECT a.x || b.x || c.x || d.x || e.x AS filter_order FROM f a, f b, f c, f d, f e
+  WHERE a.x <> b.x AND a.x <> c.x AND a.x <> d.x AND a.x <> e.x AND b.x <> c.x AND b.x <> d.x AND b.x <> e.x
+    AND c.x <> d.x AND c.x <> e.x AND d.x <> e.x),
+bits AS (SELECT x, CAST(1 << (ascii(x) - 65) AS BIGINT) AS bit FROM f),
+s AS (SELECT filter_order, step, bit, (SELECT coalesce(sum(e.bit), 0) FROM bits e
+      WHERE position(e.x IN filter_order) < step) AS earlier
+  FROM o, generate_series(1, 5) AS g(step), bits WHERE x = substr(filter_order, step, 1)),
+steps AS (SELECT part, filter_order, step, bit,
+    sum(CASE WHEN mask & (CAST(earlier AS BIGINT) | bit) = 0 THEN n ELSE 0 END) AS kept,
+    sum(CASE WHEN mask & CAST(earlier AS BIGINT) = 0 AND mask & bit > 0 THEN n ELSE 0 END) AS removed,
+    sum(CASE WHEN mask & CAST(earlier AS BIGINT) > 0 AND mask & bit > 0 THEN n ELSE 0 END) AS redundant,
+    sum(CASE WHEN mask = bit THEN n ELSE 0 END) AS unique_fails,
+    sum(CASE WHEN mask & CAST(earlier AS BIGINT) = 0 AND mask & bit > 0 THEN good ELSE 0 END) AS good_lost,
+    sum(CASE WHEN mask & CAST(earlier AS BIGINT) = 0 AND mask & bit > 0 THEN toxic ELSE 0 END) AS toxic_lost
+  FROM c, s GROUP BY part, filter_order, step, bit),
+shares AS (SELECT part, bit, sum(removed) AS shapley FROM steps GROUP BY part, bit)
+SELECT part, filter_order, CAST(step AS INT) AS step, CAST(kept AS BIGINT) AS kept, CAST(removed AS BIGINT) AS removed,
+  CAST(redundant AS BIGINT) AS redundant, CAST(unique_fails AS BIGINT) AS unique_fails, CAST(good_lost AS BIGINT) AS good_lost,
+  CAST(toxic_lost AS BIGINT) AS toxic_lost, CAST(shapley AS BIGINT) AS shapley
+FROM steps JOIN shares USING (part, bit)
+"""
