@@ -4,11 +4,13 @@ Base spans are those of the fixed formats (`base_spans`) and always stay. The
 method adds spans of kind "novel". Candidates are unbroken runs of `least` or
 more key characters of two classes (small, capital, digit) in a sensitive
 context: a cue word up to `REACH` characters before in the same line, or a
-known prefix. Each is measured by its marginal compressed bytes: the zstandard
+known prefix; addresses of short names are none. Each is measured by its marginal compressed bytes: the zstandard
 size of the code around it with the candidate less that without it. The
 compressor is primed with a dictionary of identifiers, so names made of known
 words cost little, while random strings cost nearly a byte a character. A
-candidate of at least `novelty` bytes a character is reported.
+candidate of at least `novelty` bytes a character is reported, or of `short`
+bytes where it has under 48 characters, as a short name's few words cost more
+a character, and the compressor can't yet profit from a small alphabet.
 
 The dictionary holds common code words and the identifiers found most often
 around candidates, counted over all documents, each distinct surrounding once
@@ -44,6 +46,7 @@ _ACCESS = re.compile(r"AKIA[A-Z0-9]{14,}+")
 # A match can't begin inside a run of its characters: it would have begun at the run's start.
 _HEX = re.compile(r"(?<![0-9a-f])[0-9a-f]{16,}+")
 _RUN = re.compile(r"(?<![A-Za-z0-9+/_.=~-])[A-Za-z0-9+/_.=~-]{12,}+")
+_PIECES = re.compile(r"[./]")
 _CLASSES = (re.compile("[a-z]"), re.compile("[A-Z]"), re.compile("[0-9]"))
 
 # Words that go before secrets, prefixes of well-known kinds of keys, words of code.
@@ -88,6 +91,8 @@ def candidates(text: str | None, base: list[tuple[int, int, str]], least: int) -
         end = start + len(run)
         if len(run) < least or sum(bool(c.search(run)) for c in _CLASSES) < 2:
             continue
+        if "." in run and "/" in run and max(map(len, _PIECES.split(run))) < 12:  # an address of short names
+            continue
         i = bisect.bisect_left(taken, (end,))
         if i and reach[i - 1] > start:
             continue
@@ -102,14 +107,16 @@ class Novelty:
     """Marginal compressed bytes of a string in its surroundings."""
 
     def __init__(self, words: list[str], level: int = 19):
-        content = " ".join([*CODE_WORDS.split(), *reversed(words)]).encode()  # what is frequent goes last, nearest
+        content = " ".join([*reversed(words), *CODE_WORDS.split()]).encode()  # what is frequent goes last, nearest
         primed = zstandard.ZstdCompressionDict(content, dict_type=zstandard.DICT_TYPE_RAWCONTENT)
         primed.precompute_compress(level=level)
         self._compress = zstandard.ZstdCompressor(level=level, dict_data=primed, write_checksum=False,
                                                   write_content_size=False, write_dict_id=False).compress
 
     def bytes_of(self, value: str, before: str, after: str) -> int:
-        return len(self._compress((before + value + after).encode())) - len(self._compress((before + after).encode()))
+        """A lead-in of known words keeps the compressor from storing short texts as they are."""
+        without, whole = (f"{CODE_WORDS} {before}{x}{after}".encode() for x in ("", value))
+        return len(self._compress(whole)) - len(self._compress(without))
 
 
 _SPAN = T.StructType([T.StructField("kind", T.StringType()), T.StructField("start", T.IntegerType()),
@@ -146,7 +153,7 @@ def identifiers(scanned: DataFrame, words: int) -> list[str]:
     return [r.word for r in counted.orderBy(F.desc("count"), "word").limit(words).collect()]
 
 
-def find(df: DataFrame, text_col: str = "text", least: int = 16, novelty: float = 0.65,
+def find(df: DataFrame, text_col: str = "text", least: int = 16, novelty: float = 0.65, short: float = 0.8,
          dictionary_words: int = 4096) -> DataFrame:
     """`df` without its text column, with `base_spans` and `spans`: arrays of (kind, start, end) in code points."""
     scanned = written(_scan(df, text_col, least), "secret_candidates")
@@ -161,7 +168,8 @@ def find(df: DataFrame, text_col: str = "text", least: int = 16, novelty: float
             spans = []
             for base, opened in zip(batch["base_spans"].to_pylist(), batch["spans"].to_pylist(), strict=True):
                 added = [{"kind": "novel", "start": c["start"], "end": c["end"]} for c in opened
-                         if measure.bytes_of(c["value"], c["before"], c["after"]) >= novelty * len(c["value"])]
+                         if measure.bytes_of(c["value"], c["before"], c["after"])
+                         >= (novelty if len(c["value"]) >= 48 else short) * len(c["value"])]
                 spans.append(sorted([*base, *added], key=lambda s: (s["start"], KINDS.index(s["kind"]))))
             yield pa.RecordBatch.from_arrays([*[batch[f.name] for f in keep], batch["base_spans"], pa.array(spans, kind)],
                                              names=out.names)
