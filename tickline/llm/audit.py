@@ -46,7 +46,9 @@ _SAME = 1 << FILTERS.index("E")
 _HELD_ROWS = 1 << 17
 _SALTS = 32
 _DELTA = "part string, mask int, n long, good long, toxic long"
-_PROVIDER = "spark.sql.streaming.stateStore.providerClass"
+# State off the heap, and no disk set aside ahead for each of many small stores.
+_STATE = {"spark.sql.streaming.stateStore.providerClass": ROCKSDB,
+          "spark.sql.streaming.stateStore.rocksdb.allowFAllocate": "false"}
 
 
 def text_mask(text: Column) -> Column:
@@ -140,7 +142,7 @@ def _bucket_update(number: bool):
 
 
 def counters(spark: SparkSession, path: str, labels: DataFrame, part_col: str = "source", id_col: str = "doc_id",
-             text_col: str = "text", batches: int = 4, bucket_rows: int = 32) -> DataFrame:
+             text_col: str = "text", batches: int = 4, bucket_rows: int = 512) -> DataFrame:
     """(part, mask, n, good, toxic) over all files of the Parquet table at `path`.
 
     `labels` has the id and quality and toxic, 1 if the document is so. The
@@ -184,14 +186,16 @@ def counters(spark: SparkSession, path: str, labels: DataFrame, part_col: str =
         totals = batch.groupBy("part", "mask").agg(*[F.sum(c).alias(c) for c in ("n", "good", "toxic")])
         write_batch_idempotent(totals, f"{root}/counters", batch_id)
 
-    before = spark.conf.get(_PROVIDER, None)
-    spark.conf.set(_PROVIDER, ROCKSDB)
+    before = {k: spark.conf.get(k, None) for k in _STATE}
+    for k, v in _STATE.items():
+        spark.conf.set(k, v)
     try:
         query = (changes.writeStream.foreachBatch(add).outputMode("append")
                  .option("checkpointLocation", f"{root}/checkpoint").trigger(availableNow=True).start())
         query.awaitTermination()
     finally:
-        spark.conf.set(_PROVIDER, before) if before else spark.conf.unset(_PROVIDER)
+        for k, v in before.items():
+            spark.conf.set(k, v) if v is not None else spark.conf.unset(k)
     return (spark.read.schema(none.schema).parquet(f"{root}/counters").groupBy("part", "mask")
             .agg(*[F.sum(c).alias(c) for c in ("n", "good", "toxic")]))
 
