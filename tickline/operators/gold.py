@@ -107,6 +107,13 @@ def daily_partials(df: DataFrame) -> DataFrame:
     )
 
 
+def fold_daily_partials(df: DataFrame) -> DataFrame:
+    """Partials of several parts as one per day and instrument."""
+    totals = ("price_sum", "price_count", "volume_sum", "volume_count", "record_count")
+    return df.groupBy("date", "coin_id").agg(
+        *[F.sum(c).alias(c) for c in totals], F.max("price_max").alias("price_max"), F.min("price_min").alias("price_min"))
+
+
 def merge_daily_partials(df: DataFrame) -> DataFrame:
     """Daily trends of all the parts together."""
     def mean(total: str, count: str, digits: int) -> Column:

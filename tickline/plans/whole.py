@@ -15,6 +15,8 @@ from tickline.plans.batch import Tables, run_batch, run_increment
 from tickline.plans.queries import query
 from tickline.schemas import STREAM_SYNC_TOLERANCE
 from tickline.session import materialise, shared_dir, use_rocksdb
+from tickline.sinks import commits
+from tickline.streaming.gold import DAILY, PERFORMANCE
 
 ORDER = ("event_timestamp", "event_id")
 
@@ -214,7 +216,7 @@ def stream_dedup_late(spark, sf_dir):
     return Q._drained(streaming.dedup(ticks).select("coin_id", "timestamp", "event_timestamp"))
 
 
-def _gold_of(spark, parts, mode: str) -> tuple[str, str]:
+def _gold_of(spark, parts, mode: str, fold: bool = False) -> tuple[str, str]:
     """Each part a run from messages to gold; (gold root, silver table)."""
     use_rocksdb(spark)
     base = shared_dir(spark, "slices")
@@ -228,6 +230,9 @@ def _gold_of(spark, parts, mode: str) -> tuple[str, str]:
         ticks = spark.read.parquet(f"{base}/silver")
         streaming.gold_fanout(sources.stream_table(spark, f"{base}/silver", ticks.schema),
                               f"{base}/gold", f"{base}/c3", mode=mode)
+        if fold:
+            streaming.fold_batches(spark, f"{base}/gold", mode)
+            commits.drop_folded(spark, f"{base}/gold", [PERFORMANCE, DAILY])
     return f"{base}/gold", f"{base}/silver"
 
 
@@ -239,6 +244,44 @@ def stream_rolling_late(spark, sf_dir):
     return streaming.read_performance(spark, root, "merge")
 
 
+@query(Q._STREAM_PERFORMANCE)
+def stream_folded(spark, sf_dir):
+    """Late days again, with all micro-batches folded into one folder per day after each run."""
+    first, middle, last = X.slices(spark, sf_dir)
+    return streaming.read_performance(spark, _gold_of(spark, (first, last, middle), "merge", fold=True)[0], "merge")
+
+
+@query(Q._STREAM_DAILY)
+def stream_daily_folded(spark, sf_dir):
+    """Daily partials folded after each of three runs."""
+    return streaming.read_daily_trends(spark, _gold_of(spark, X.slices(spark, sf_dir), "merge", fold=True)[0], "merge")
+
+
+@query(Q._STREAM_DAILY)
+def stream_daily_upsert(spark, sf_dir):
+    """Daily trends in update mode: each run writes the buckets of the days that it changed."""
+    use_rocksdb(spark)
+    base = shared_dir(spark, "daily_upsert")
+    for part in X.slices(spark, sf_dir):
+        X.messages_of(part).write.mode("append").text(f"{base}/landed")
+        messages = sources.tick_stream(spark, "files", f"{base}/landed")
+        ticks = silver.valid_ticks(silver.parse_ticks(messages), {})
+        streaming.daily_trends_upsert(silver.clean_ticks(ticks, as_of=Q.as_of()), f"{base}/table", f"{base}/checkpoint")
+    return sinks.read_buckets(spark, f"{base}/table")
+
+
+@query(SQL_EVERY + " SELECT user_id, event_id, price_usd, event_timestamp FROM prices JOIN (SELECT event_id, user_id FROM events) USING (event_id)"
+       " QUALIFY row_number() OVER (PARTITION BY user_id ORDER BY event_timestamp DESC) = 1")
+def upsert_buckets(spark, sf_dir):
+    """The latest event of every user over three arrivals, the last days before the middle ones."""
+    path = shared_dir(spark, "users")
+    first, middle, last = X.slices(spark, sf_dir)
+    for part in (first, last, middle):
+        latest = part.select("user_id", "event_id", F.col("value").alias("price_usd"), F.col("ts").alias("event_timestamp"))
+        sinks.upsert_buckets(latest, path, ["user_id"], ["event_timestamp"], buckets=16)
+    return sinks.read_buckets(spark, path)
+
+
 @query(Q._STREAM_PERFORMANCE)
 def stream_replay(spark, sf_dir):
     """All ticks once more under a new checkpoint replace what is there."""

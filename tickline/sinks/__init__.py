@@ -1,3 +1,4 @@
+from tickline.sinks.buckets import prune_buckets, read_buckets, rebucket, upsert_buckets
 from tickline.sinks.tables import (
     align_schema,
     append_stream,
@@ -10,6 +11,6 @@ from tickline.sinks.versions import current_version, prune_versions, read_curren
 
 __all__ = [
     "align_schema", "append_stream", "current_version", "ensure_schema",
-    "overwrite_partitions", "overwrite_table", "prune_versions", "read_current",
-    "upsert", "write_batch_idempotent",
+    "overwrite_partitions", "overwrite_table", "prune_buckets", "prune_versions", "read_buckets",
+    "read_current", "rebucket", "upsert", "upsert_buckets", "write_batch_idempotent",
 ]

@@ -1,5 +1,7 @@
 from tickline.streaming.gold import (
     daily_trends_stream,
+    daily_trends_upsert,
+    fold_batches,
     gold_fanout,
     read_daily_trends,
     read_performance,
@@ -17,7 +19,7 @@ from tickline.streaming.layers import (
 )
 
 __all__ = [
-    "bronze_stream", "collapse_copies", "daily_trends_stream", "dedup", "gold_fanout", "late_rows",
+    "bronze_stream", "collapse_copies", "daily_trends_stream", "daily_trends_upsert", "dedup", "fold_batches", "gold_fanout", "late_rows",
     "read_daily_trends",
     "read_performance", "read_snapshot", "replay_checkpoint", "run_bronze", "run_silver",
     "silver_stream",

@@ -6,9 +6,11 @@ mode="merge"    the tables stay equal to those of one batch run over all rows:
                 snapshots are upserted, rolling windows continue over earlier
                 micro-batches, daily figures are kept as mergeable partials
 
-Both are safe to retry: all writes of a micro-batch are named by its id. These
+Both are safe to retry: all writes of a micro-batch are named by its id, and the
+three tables become visible together, by one commit after the last write. These
 ids start again under a new checkpoint, so a root takes micro-batches of one
 query only; a replay fills a new root, or replaces the old one if asked to.
+`fold_batches` gathers the folders of many micro-batches into one per day.
 """
 
 from __future__ import annotations
@@ -21,11 +23,14 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from tickline.operators import gold
-from tickline.operators.series import last_rows
+from tickline.operators.nearby import SEGMENT, nearby
+from tickline.operators.series import last_rows, over_series
 from tickline.operators.silver import SERIES
 from tickline.schemas import ROLLING_ROWS
 from tickline.session import materialise
-from tickline.sinks import read_current, upsert, write_batch_idempotent
+from tickline.sinks import commits, read_current, upsert, upsert_buckets, write_batch_idempotent
+from tickline.sinks.commits import read_committed
+from tickline.sinks.files import names
 from tickline.sinks.versions import prune_versions, write_version
 
 SNAPSHOT = "latest_snapshot"
@@ -35,35 +40,26 @@ _TAIL = "_rolling_tail"
 
 
 def _append_all(batch: DataFrame, batch_id: int, root: str, order: Sequence[str], rows: int,
-                rank_by: str, unit: str) -> None:
+                rank_by: str, unit: str) -> dict[str, list[str]]:
     write_batch_idempotent(gold.latest_snapshot(batch, order), f"{root}/{SNAPSHOT}", batch_id)
     performance = gold.price_performance(batch, order, rows, rank_by, unit=unit)
     write_batch_idempotent(performance, f"{root}/{PERFORMANCE}", batch_id, ["date"])
     write_batch_idempotent(gold.daily_trends(batch), f"{root}/{DAILY}", batch_id, ["date"])
+    return {table: [f"batch_id={batch_id}"] for table in (SNAPSHOT, PERFORMANCE, DAILY)}
 
 
-def _revised(batch: DataFrame, root: str, tail: DataFrame, order: Sequence[str], held: Sequence[str],
-             rows: int, unit: str, batch_id: int) -> DataFrame | None:
-    """Windows of instruments with late ticks, from the first late moment on.
+def _revised(late: DataFrame, root: str, order: Sequence[str], held: Sequence[str], rows: int, unit: str) -> DataFrame:
+    """Late ticks' windows, and those of the next `rows - 1` stored rows of each.
 
-    None if no tick is older than what the tail holds of its instrument. Rows
-    already stored are recomputed together with the late ones; readers take the
-    newest batch's row of each key.
+    Nothing else changes. Only days around the late ticks are read; readers take
+    the newest batch's row of each key.
     """
-    spark = batch.sparkSession
-    newest = tail.groupBy("coin_id").agg(F.max(F.struct(*order)).alias("newest"))
-    late = (batch.join(newest, "coin_id").filter(F.struct(*order) <= F.col("newest"))
-            .groupBy("coin_id").agg(F.min(F.struct(*order)).alias("first_late")))
-    if late.isEmpty():
-        return None
-    stored = _newest_rows(spark.read.parquet(f"{root}/{PERFORMANCE}").filter(F.col("batch_id") < batch_id),
-                          order).select(*held)
-    known = stored.join(late, "coin_id")
-    after = known.filter(F.struct(*order) >= F.col("first_late")).drop("first_late")
-    before = last_rows(known.filter(F.struct(*order) < F.col("first_late")).drop("first_late"),
-                       SERIES, order, rows - 1)
-    fresh = batch.join(late, "coin_id", "left_semi").select(*held)
-    return gold.rolling_metrics(after.unionByName(fresh), order, rows, unit=unit, prior=before)
+    stored = _newest_rows(read_committed(late.sparkSession, root, PERFORMANCE), order).select(*held)
+    known, fresh = nearby(stored, late, SERIES, order, rows - 1, rows - 1)
+    both = known.withColumn("__late", F.lit(False)).unionByName(fresh.withColumn("__late", F.lit(True)))
+    near = {"__near": lambda w: F.max("__late").over(w.rowsBetween(-(rows - 1), 0))}
+    rolled = over_series(both, [*SERIES, SEGMENT], order, rows - 1, {**gold.rolling_columns(rows), **near}, unit=unit)
+    return rolled.filter("__near")
 
 
 def _newest_rows(stored: DataFrame, order: Sequence[str]) -> DataFrame:
@@ -77,7 +73,7 @@ def _newest_rows(stored: DataFrame, order: Sequence[str]) -> DataFrame:
 
 
 def _merge_all(batch: DataFrame, batch_id: int, root: str, order: Sequence[str], rows: int,
-               rank_by: str, unit: str) -> None:
+               rank_by: str, unit: str) -> dict[str, list[str]]:
     spark = batch.sparkSession
     upsert(gold.latest_snapshot(batch, order), f"{root}/{SNAPSHOT}", SERIES,
            ["event_timestamp"], version=batch_id)
@@ -87,26 +83,32 @@ def _merge_all(batch: DataFrame, batch_id: int, root: str, order: Sequence[str],
     held = [c for c in ("coin_id", "event_timestamp", "price_usd", "market_cap", "volume_24h",
                         "date") if c in batch.columns]
     held = list(dict.fromkeys([*held, *order]))
+    metrics = [*held, "moving_avg_price", "price_volatility"]
     narrow = batch.select(*held)
     earlier = read_current(spark, f"{root}/{_TAIL}", below=batch_id)
-    revised = None if earlier is None else _revised(narrow, root, earlier, order, held, rows, unit, batch_id)
-    if revised is None:
-        rolled = gold.rolling_metrics(narrow, order, rows, unit=unit, prior=earlier)
+    if earlier is None:
+        known, rolled = narrow, gold.rolling_metrics(narrow, order, rows, unit=unit).select(*metrics)
     else:
-        metrics = [*held, "moving_avg_price", "price_volatility"]
-        revised = materialise(revised.select(*metrics), "revised")
-        rest = narrow.join(revised.select("coin_id").distinct(), "coin_id", "left_anti")
-        rolled = gold.rolling_metrics(rest, order, rows, unit=unit, prior=earlier).join(
-            revised.select("coin_id").distinct(), "coin_id", "left_anti").select(*metrics).unionByName(revised)
-    write_batch_idempotent(rolled.select(*held, "moving_avg_price", "price_volatility"),
-                           f"{root}/{PERFORMANCE}", batch_id, ["date"])
-    known = narrow if earlier is None else narrow.unionByName(earlier)
+        # Late is what is not newer than all that came before of its instrument.
+        newest = earlier.groupBy("coin_id").agg(F.max(F.struct(*order)).alias("__newest"))
+        marked = narrow.join(newest, "coin_id", "left").withColumn(
+            "__is_late", F.coalesce(F.struct(*order) <= F.col("__newest"), F.lit(False)))
+        late = marked.filter("__is_late").select(*held)
+        prior = last_rows(earlier.unionByName(late), SERIES, order, rows - 1)
+        rolled = gold.rolling_metrics(marked.filter("not __is_late").select(*held), order, rows,
+                                      unit=unit, prior=prior).select(*metrics)
+        if not late.isEmpty():
+            rolled = rolled.unionByName(
+                materialise(_revised(late, root, order, held, rows, unit).select(*metrics), "revised"))
+        known = narrow.unionByName(earlier)
+    write_batch_idempotent(rolled, f"{root}/{PERFORMANCE}", batch_id, ["date"])
     write_version(last_rows(known, SERIES, order, rows - 1), f"{root}/{_TAIL}", batch_id)
 
     write_batch_idempotent(gold.daily_partials(batch), f"{root}/{DAILY}", batch_id, ["date"])
     # A retry of this micro-batch needs the version before it.
     for table in (SNAPSHOT, _TAIL):
         prune_versions(spark, f"{root}/{table}", keep=3)
+    return {table: [f"batch_id={batch_id}"] for table in (PERFORMANCE, DAILY)}
 
 
 def _claim(spark: SparkSession, root: str, replace: bool) -> None:
@@ -142,8 +144,11 @@ def process_batch(root: str, mode: str = "append", order: Sequence[str] = ("time
         batch = batch.persist(StorageLevel.MEMORY_AND_DISK)
         try:
             if not batch.isEmpty():
-                _claim(batch.sparkSession, root.rstrip("/"), replace)
-                handlers[mode](batch, batch_id, root.rstrip("/"), windows, rows, rank_by, unit)
+                spark, at = batch.sparkSession, root.rstrip("/")
+                _claim(spark, at, replace)
+                if not commits.is_committed(spark, at, batch_id):
+                    written = handlers[mode](batch, batch_id, at, windows, rows, rank_by, unit)
+                    commits.commit(spark, at, batch_id, written)
         finally:
             batch.unpersist()
 
@@ -162,10 +167,10 @@ def gold_fanout(silver: DataFrame, root: str, checkpoint: str, wait: bool = True
 
 
 def read_snapshot(spark: SparkSession, root: str, mode: str = "append") -> DataFrame:
-    path = f"{root.rstrip('/')}/{SNAPSHOT}"
     if mode == "merge":
-        return read_current(spark, path)
-    return spark.read.parquet(path).drop("batch_id")
+        held = commits.state(spark, root)
+        return read_current(spark, f"{root.rstrip('/')}/{SNAPSHOT}", below=held and held.last + 1)
+    return read_committed(spark, root, SNAPSHOT).drop("batch_id")
 
 
 def read_performance(spark: SparkSession, root: str, mode: str = "append",
@@ -173,7 +178,7 @@ def read_performance(spark: SparkSession, root: str, mode: str = "append",
                      keep_order: bool = False) -> DataFrame:
     """`order` is the stream's own; in merge mode its columns tell rows apart and
     are part of the result with keep_order=True, as checks of the keys need them."""
-    stored = spark.read.parquet(f"{root.rstrip('/')}/{PERFORMANCE}")
+    stored = read_committed(spark, root, PERFORMANCE)
     if mode == "append":
         return stored.drop("batch_id")
     stored = _newest_rows(stored, list(dict.fromkeys(["event_timestamp", *order]))).drop("batch_id")
@@ -184,10 +189,50 @@ def read_performance(spark: SparkSession, root: str, mode: str = "append",
 
 
 def read_daily_trends(spark: SparkSession, root: str, mode: str = "append") -> DataFrame:
-    stored = spark.read.parquet(f"{root.rstrip('/')}/{DAILY}").drop("batch_id")
+    stored = read_committed(spark, root, DAILY).drop("batch_id")
     return stored if mode == "append" else gold.merge_daily_partials(stored)
 
 
+def fold_batches(spark: SparkSession, root: str, mode: str = "append",
+                 order: Sequence[str] = ("timestamp",)) -> int | None:
+    """Gather all committed micro-batches into one folder per day and table.
+
+    Days that no batch since the last fold touched keep their folder. In merge
+    mode only the newest row of a key and one partial a day and instrument
+    stay. One commit makes the fold visible; a failed one leaves the batches as
+    they were. Returns the number folded up to, or None if there is nothing to
+    fold. Run it between micro-batches; `commits.drop_folded` then deletes what
+    it replaced.
+    """
+    root = root.rstrip("/")
+    held = commits.state(spark, root)
+    if held is None or not held.batches:
+        return None
+    windows = list(dict.fromkeys(["event_timestamp", *order]))
+    fewer = {PERFORMANCE: lambda df: _newest_rows(df, windows).drop("batch_id"),
+             DAILY: lambda df: gold.fold_daily_partials(df)} if mode == "merge" else {}
+    base = {table: dict(days) for table, days in held.base.items()}
+    for table in (PERFORMANCE, DAILY, *([SNAPSHOT] if mode == "append" else [])):
+        by_day: dict[str, list[str]] = {}
+        for batch in held.batches.values():
+            for folder in batch.get(table, []):
+                days = [d for d in names(spark, f"{root}/{table}/{folder}") if d.startswith("date=")]
+                for day in days if table != SNAPSHOT else [""]:
+                    by_day.setdefault(day, []).append(f"{folder}/{day}".rstrip("/"))
+        if not by_day:
+            continue
+        known = base.setdefault(table, {})
+        read = [f for day, folders in by_day.items() for f in ([known[day]] if day in known else []) + folders]
+        rows = commits.read_folders(spark, root, table, read)
+        rows = fewer[table](rows) if table in fewer else rows.drop("batch_id")
+        # Below all batches, so that a later one's row of the same key is the newer one.
+        number = -(held.last + 1)
+        write_batch_idempotent(rows, f"{root}/{table}", number, [] if table == SNAPSHOT else ["date"])
+        known |= {day: f"batch_id={number}/{day}".rstrip("/") for day in by_day}
+    commits.commit_fold(spark, root, held.last, base)
+    return held.last
+
+
 def daily_trends_stream(silver: DataFrame, watermark: str | None = None) -> DataFrame:
     """Daily trends as a streaming aggregate over all rows so far.
 
@@ -203,3 +248,21 @@ def daily_trends_stream(silver: DataFrame, watermark: str | None = None) -> Data
     totals = local.groupBy(F.window("__local", "1 day").alias("__day"), "coin_id").agg(*gold.daily_columns())
     return totals.select(F.to_date(F.to_utc_timestamp("__day.start", zone)).alias("date"),
                          *[c for c in totals.columns if c != "__day"])
+
+
+def daily_trends_upsert(silver: DataFrame, path: str, checkpoint: str, buckets: int = 64,
+                        wait: bool = True) -> StreamingQuery:
+    """Daily trends kept current in a table of buckets (`read_buckets`).
+
+    The aggregate runs in update mode: a micro-batch hands on the days and
+    instruments that it changed, and only their buckets are written.
+    """
+    def handle(batch: DataFrame, batch_id: int) -> None:
+        _claim(batch.sparkSession, path.rstrip("/"), False)
+        upsert_buckets(batch, path, ["date", "coin_id"], ["record_count"], batch_id, buckets)
+
+    query = (daily_trends_stream(silver).writeStream.outputMode("update").foreachBatch(handle)
+             .option("checkpointLocation", checkpoint).trigger(availableNow=True).start())
+    if wait:
+        query.awaitTermination()
+    return query
