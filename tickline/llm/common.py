@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import ctypes
+import gc
 import os
 import uuid
 from collections.abc import Callable, Iterable, Iterator
@@ -16,6 +18,28 @@ from pyspark.sql.pandas.types import to_arrow_type
 CHUNK_BYTES = 4 << 20
 
 
+_caches: dict[str, Callable[[], None]] = {}
+
+
+def cached(owner: str, clear: Callable[[], None]) -> None:
+    """Note how the caches of an operator's module are emptied."""
+    _caches[owner] = clear
+
+
+def begin(owner: str) -> None:
+    """Call at a task's start: a worker that served another operator's tasks
+    empties that one's caches and gives freed memory back to the system."""
+    for name, clear in _caches.items():
+        if name != owner:
+            clear()
+    gc.collect()
+    pa.default_memory_pool().release_unused()
+    try:
+        ctypes.CDLL(None).malloc_trim(0)
+    except (AttributeError, OSError):  # not this C library
+        pass
+
+
 def shared_dir(spark: SparkSession, name: str) -> str:
     """A new directory below `spark.checkpoint.dir`; below the warehouse if that is unset."""
     base = spark.conf.get("spark.checkpoint.dir", None) or spark.conf.get("spark.sql.warehouse.dir")
@@ -79,6 +103,7 @@ def map_texts(df: DataFrame, text_col: str, results: T.StructType,
     n = len(inputs)
 
     def run(batches):
+        begin(make.__module__)
         function = make()
         for batch in slices(batches, 0, chunk_bytes, rows):
             made = function(*(batch.column(i).to_pylist() for i in range(n)))

@@ -34,7 +34,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tickline.llm.common import map_texts, slices, written
+from tickline.llm.common import begin, map_texts, slices, written
 
 DIMS = 1 << 12
 CHUNK = (1 << 19, 256)  # bytes of text and rows that are counted at once
@@ -196,6 +196,7 @@ def fit(df: DataFrame, text_col: str = "text", lang_col: str = "lang", id_col: s
     sample = written(chosen.select("lang", "text"), "langid_sample")
 
     def frequencies(batches):
+        begin("tickline.llm.langid")
         found, total = np.zeros(DIMS, np.int64), 0
         for batch in slices(batches, 0, *CHUNK):
             counts, _ = gram_counts(batch.column(0).to_pylist())
@@ -228,6 +229,7 @@ def fit(df: DataFrame, text_col: str = "text", lang_col: str = "lang", id_col: s
     shared = df.sparkSession.sparkContext.broadcast((model, np.array([r[2] for r in made])))
 
     def cosines(batches):
+        begin("tickline.llm.langid")
         model, length = shared.value
         seen: dict[int, int] = {}
         for batch in slices(batches, 0, *CHUNK):

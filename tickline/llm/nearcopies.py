@@ -34,7 +34,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tickline.llm.common import slices, written
+from tickline.llm.common import begin, cached, slices, written
 
 SMALL = 24        # members of a bucket that are paired as rows
 BLOCK = 256       # members of a larger bucket in one block
@@ -42,6 +42,7 @@ BROADCAST = 1_000_000   # ids; 8 MB of them
 _ONE, _TWO, _ODD = np.uint32(0x7FEB352D), np.uint32(0x846CA68B), np.uint64(0x9E3779B97F4A7C15)
 _MEMO = 200_000
 _words: dict[bytes, int] = {}
+cached("tickline.llm.nearcopies", _words.clear)
 
 
 def word_hashes(text: str | None) -> np.ndarray:
@@ -106,6 +107,7 @@ def node_of(members: np.ndarray) -> int:
 def sketches(docs: DataFrame, shingle: int, bands: int, rows: int) -> DataFrame:
     """Each row's id, set size, node (null without words) and band keys."""
     def run(batches):
+        begin("tickline.llm.nearcopies")
         for batch in slices(batches, 1):
             sizes, nodes, keys = [], [], []
             for text in batch.column(1).to_pylist():
@@ -134,6 +136,7 @@ def node_sets(docs: DataFrame, wanted: DataFrame, base: DataFrame, shingle: int)
         places = F.broadcast(places)
 
     def run(batches):
+        begin("tickline.llm.nearcopies")
         for batch in slices(batches, 1):
             packed = [shingles(t, shingle).tobytes() for t in batch.column(1).to_pylist()]
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(packed, pa.binary())], names=["node", "members"])

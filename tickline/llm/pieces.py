@@ -33,7 +33,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tickline.llm.common import map_texts
+from tickline.llm.common import cached, map_texts
 
 SPACE = "▁"
 _SIGNS = "".join(chr(c) for c in range(33, 127) if not chr(c).isalpha())
@@ -231,6 +231,7 @@ class PieceModel:
 
 
 _models: dict[str, PieceModel] = {}
+cached("tickline.llm.pieces", _models.clear)
 
 
 def load(path: str) -> PieceModel:
