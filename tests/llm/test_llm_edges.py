@@ -376,15 +376,22 @@ def test_archives_are_plain_zip_files_and_edges(table, tmp_path, spark):
     archives, folder = warc.write(pages, folder=f"file://{tmp_path}/archives", archive_bytes=400)
     got = warc.read(archives).collect()
     assert len(got) == len(rows)
-    kinds = sorted((r.id, r.record_type, r.refers_to, r.payload_bytes) for r in got)
+    kinds = [(r.id, r.record_type, r.refers_to, r.payload_bytes) for r in got]
     assert kinds.count(("1", "response", None, 3)) == 1 and kinds.count(("1", "revisit", "1", 3)) == 1
-    assert ("4", "revisit", "1", 3) in kinds and ("", "revisit", "1", 3) in kinds
+    assert ("4", "revisit", "1", 3) in kinds and (None, "revisit", "1", 3) in kinds
     assert ("2", "response", None, 0) in kinds and ("3", "revisit", "2", 0) in kinds
     for uri in (r.uri for r in archives.collect()):
         with zipfile.ZipFile(uri.removeprefix("file://")) as file:
             assert file.testzip() is None and sorted(file.namelist()) == ["index.cdx", "records.warc"]
     archives, _ = warc.write(pages, revisit_from=5)
     assert {r.record_type for r in warc.read(archives).collect()} == {"response"}
+    heads = []
+    for uri in (r.uri for r in archives.collect()):
+        with zipfile.ZipFile(uri.removeprefix("file:")) as file:
+            heads += [h for h in file.read("records.warc").decode().split("WARC/1.1\r\n") if "WARC-Record-ID" in h]
+    assert all(len([x for x in h.split("\r\n") if x.startswith(f"{name}: ")]) == 1 for h in heads
+               for name in ("WARC-Type", "WARC-Record-ID", "WARC-Date", "WARC-Target-URI", "Content-Length"))
+    assert len({h.split("WARC-Record-ID: ")[1].split("\r\n")[0] for h in heads}) == len(heads) == len(rows)
     archives, _ = warc.write(pages.limit(0))
     assert warc.read(archives).collect() == []
 
@@ -490,3 +497,19 @@ def test_pipeline_stages_on_odd_and_empty_documents(spark, odd, nothing, table,
                 assert out.count() <= docs.count()
             else:
                 assert out.count() == docs.count()
+
+
+def test_long_candidates_are_found_and_redacted(spark, table, prose):
+    pick = random.Random(8)
+    key = lambda n: "".join(pick.choice("abcdefghABCDEFGH0123456789") for _ in range(n))
+    keys = {1000 + n: key(n) for n in (40, 129, 300, 4000)}
+    rows = [(i, f'{prose(i, 30)} token = "{key(40)}" {prose(i + 900, 20)} {pick.randint(10**6, 10**9)} ab@c{i}.org') for i in range(400)]
+    rows += [(i, f'{prose(i, 30)} token = "{k}" {prose(7, 9)}') for i, k in keys.items()]
+    rows += [(2000, f"write to {'a' * 65}[at]{'b' * 70}[dot]" + "[dot]".join("cdefghijkl"))]
+    docs = table(rows, "doc_id long, text string")
+    for start, end, kind in pii.candidates(rows[-1][1]):
+        assert (rows[-1][1][start:end], kind) == (rows[-1][1][9:], "email")
+    trees = pii.fit(docs)
+    clean = {r.doc_id: r.text for r in pii.redact(docs, trees).collect()}
+    assert all(k not in clean[i] and "<secret>" in clean[i] for i, k in keys.items())
+    assert trees.cut["secret"] < 2

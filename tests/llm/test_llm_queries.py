@@ -1,5 +1,6 @@
 """The registered queries: against SQL where there is some, else against brute force, on a whole small table."""
 
+import base64
 import collections
 import hashlib
 import math
@@ -23,7 +24,7 @@ SF = "/root/testdata/sf0.001"
 @pytest.fixture(scope="module")
 def db():
     connection = duckdb.connect()
-    for name in ("documents", "benchmark", "pages", "embeddings"):
+    for name in ("documents", "benchmark", "pages", "embeddings", "labels"):
         connection.sql(f"CREATE VIEW {name} AS SELECT * FROM '{SF}/{name}.parquet'")
     yield connection
     connection.close()
@@ -45,7 +46,7 @@ def test_query_equals_sql(spark, db, name):
 
 
 def test_one_query_for_each_operator():
-    assert {q.split("_")[0] for q in QUERIES} == {f"op{n}" for n in range(1, 11)}
+    assert {q.split("_")[0] for q in QUERIES} == {f"op{n}" for n in range(1, 14)}
 
 
 def test_search_equals_all_products(spark, db):
@@ -153,9 +154,18 @@ def test_archives_return_every_page(spark, db):
     first = {}
     for page, html in sorted(pages):
         first.setdefault(html, page)
-    expected = sorted((p, len(h.encode()), "response" if first[h] == p else "revisit", None if first[h] == p else first[h])
-                      for p, h in pages)
-    assert sorted(result(spark, "op8_warc", "page_id", "payload_bytes", "record_type", "refers_to")) == expected
+    expected = sorted((p, len(h.encode()), base64.b32encode(hashlib.sha1(h.encode()).digest()).decode(),
+                       "response" if first[h] == p else "revisit", None if first[h] == p else first[h]) for p, h in pages)
+    assert sorted(result(spark, "op8_warc", "page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")) == expected
+
+
+def test_archives_of_pages_without_ids(spark, tmp_path):
+    pages = [(None, "u", "<a>"), (None, "u", "<b>"), (7, "u", "<a>"), (None, None, None), (-3, "u", "<c>"), (None, "u", "<b>")]
+    spark.createDataFrame(pages, "page_id long, url string, html string").write.parquet(f"{tmp_path}/pages.parquet")
+    got = QUERIES["op8_warc"](spark, str(tmp_path)).select("page_id", "payload_bytes", "record_type", "refers_to").collect()
+    assert sorted(map(tuple, got), key=repr) == sorted([
+        (None, 3, "revisit", 7), (None, 3, "response", None), (None, 3, "revisit", None), (7, 3, "response", None),
+        (None, 0, "response", None), (-3, 3, "response", None)], key=repr)
 
 
 def test_order_is_a_permutation_that_holds_every_sequence(spark, texts):

@@ -19,16 +19,23 @@ local mount or an object store. A task writes under a name of its own attempt
 and returns it; only returned names are read, so a repeated task does no harm.
 
 Null html counts as empty. Rows that share an id and a payload: one of them is
-the response, the others revisit it by that id. A null id sorts last.
+the response, the others revisit it by that id. A null id sorts last, and is
+read back as null: a record's own identifier is made of the id, if there is one,
+and of the row's place, so rows that share an id have records of their own. An
+empty table gives no archives and no records. A long payload is one record; a
+task holds one of them and a few megabytes more. Only the three named columns
+are read, so others may clash.
 """
 
 from __future__ import annotations
 
 import base64
+import datetime as dt
 import hashlib
 import struct
 import uuid
 import zlib
+from urllib.parse import quote, unquote
 
 import pyarrow as pa
 from pyarrow import fs as pafs
@@ -52,14 +59,25 @@ def digest_of(payload: bytes) -> str:
     return base64.b32encode(hashlib.sha1(payload).digest()).decode()
 
 
-def record(kind: str, ident: str, uri: str, payload: bytes, digest: str, refers: str | None) -> bytes:
+def record_id(ident: str | None, place: int) -> str:
+    """The record's identifier: the row's place, after its id if it has one."""
+    return f"<urn:place:{place}>" if ident is None else f"<urn:page:{quote(ident, safe='')}:{place}>"
+
+
+def page_of(identifier: str) -> str | None:
+    """The row's id in a record's identifier."""
+    _, kind, rest = identifier.strip("<>").split(":", 2)
+    return unquote(rest.rsplit(":", 1)[0]) if kind == "page" else None
+
+
+def record(kind: str, identifier: str, date: str, uri: str, payload: bytes, digest: str, refers: str | None) -> bytes:
     """One WARC/1.1 record. A revisit has no payload; it names the digest and the record that has."""
     body = payload if kind == "response" else b""
-    lines = ["WARC/1.1", f"WARC-Type: {kind}", f"WARC-Record-ID: <urn:page:{ident}>",
+    lines = ["WARC/1.1", f"WARC-Type: {kind}", f"WARC-Record-ID: {identifier}", f"WARC-Date: {date}",
              f"WARC-Target-URI: {uri}", f"WARC-Payload-Digest: sha1:{digest}",
              f"X-Payload-Length: {len(payload)}", "Content-Type: text/html; charset=utf-8"]
     if refers is not None:
-        lines += [f"WARC-Refers-To: <urn:page:{refers}>",
+        lines += [f"WARC-Refers-To: {refers}",
                   "WARC-Profile: http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"]
     head = "\r\n".join([*(" ".join(x.split("\n")).replace("\r", " ") for x in lines), f"Content-Length: {len(body)}"])
     return head.encode() + b"\r\n\r\n" + body + b"\r\n\r\n"
@@ -163,20 +181,24 @@ def plan(pages: DataFrame, id_col: str = "page_id", payload_col: str = "html", u
 
 
 def write(pages: DataFrame, folder: str | None = None, id_col: str = "page_id", payload_col: str = "html",
-          url_col: str = "url", revisit_from: int = 0, archive_bytes: int = 64 << 20) -> tuple[DataFrame, str]:
+          url_col: str = "url", revisit_from: int = 0, archive_bytes: int = 64 << 20,
+          date: dt.datetime | None = None) -> tuple[DataFrame, str]:
     """Write the archives; returns (uri, bytes, records) of each, as a written table, and the folder.
 
+    The records' date is `date`, or the time of this call, in UTC.
     `pages` must be a table, or be written first: its rows are numbered by their
     place, once for the digests and once for the payloads.
     """
     spark = pages.sparkSession
     folder = folder or shared_dir(spark, "archives")
+    moment = (date or dt.datetime.now(dt.UTC)).strftime("%Y-%m-%dT%H:%M:%SZ")
     rows = plan(pages, id_col, payload_col, url_col, revisit_from)
     slim = written(rows.select("id", "place", "sha", "bytes", "shared"), "warc_digests")
     first = slim.where("shared").groupBy("sha").agg(F.min(F.struct(F.col("id").isNull(), "id", "place")).alias("first"),
                                                     F.count("*").alias("times")).where("times > 1")
     # Digests that occur once need no word to their records; the rest are the copies' own rows.
-    kinds = slim.where("shared").join(first, "sha").where("place <> first.place").select("place", F.col("first.id").alias("refers"))
+    kinds = slim.where("shared").join(first, "sha").where("place <> first.place").select(
+        "place", F.col("first.id").alias("refers"), F.col("first.place").alias("refers_place"))
     kinds = written(kinds, "warc_revisits")
     if kinds.count() <= 1_000_000:
         kinds = F.broadcast(kinds)
@@ -200,7 +222,8 @@ def write(pages: DataFrame, folder: str | None = None, id_col: str = "page_id",
                                               names=["uri", "bytes", "records"])
 
         for batch in slices(batches, 2):
-            for ident, url, payload, refers, revisit in zip(*(batch.column(k).to_pylist() for k in range(5)), strict=True):
+            for ident, url, payload, place, refers, refers_place, revisit in zip(
+                    *(batch.column(k).to_pylist() for k in range(7)), strict=True):
                 if out is None:
                     name = f"{folder}/{uuid.uuid4().hex}.zip"
                     out = filesystem.open_output_stream(f"{root}/{name.rsplit('/', 1)[1]}")
@@ -208,8 +231,9 @@ def write(pages: DataFrame, folder: str | None = None, id_col: str = "page_id",
                     zip_.begin(RECORDS)
                 kind = "revisit" if revisit else "response"
                 digest = digest_of(payload)
-                data = record(kind, "" if ident is None else str(ident), url or "", payload, digest,
-                              None if not revisit or refers is None else str(refers))
+                named = record_id(None if ident is None else str(ident), place)
+                first = record_id(None if refers is None else str(refers), refers_place) if revisit else None
+                data = record(kind, named, moment, url or "", payload, digest, first)
                 index.append(f"{zip_.size} {len(data)} {kind} {digest}\n")
                 zip_.add(data)
                 if zip_.size >= archive_bytes:
@@ -218,7 +242,7 @@ def write(pages: DataFrame, folder: str | None = None, id_col: str = "page_id",
         if out is not None:
             yield close()
 
-    made = ready.select("id", "url", "payload", "refers", "revisit").mapInArrow(run, "uri string, bytes long, records long")
+    made = ready.select("id", "url", "payload", "place", "refers", "refers_place", "revisit").mapInArrow(run, "uri string, bytes long, records long")
     return written(made, "warc_archives"), folder
 
 
@@ -294,7 +318,7 @@ def read(archives: DataFrame) -> DataFrame:
                     digest = head["warc-payload-digest"].removeprefix("sha1:")
                     if head["warc-type"] == "response" and digest_of(block) != digest:
                         raise ValueError(f"digest of a record in {uri} differs")
-                    name = lambda k: head[k][10:-1] if k in head else None  # noqa: B023, E731
+                    name = lambda k: page_of(head[k]) if k in head else None  # noqa: B023, E731
                     rows.append((name("warc-record-id"), head["warc-target-uri"], int(head["x-payload-length"]), digest,
                                  head["warc-type"], name("warc-refers-to"), block))
                 yield pa.RecordBatch.from_arrays(
