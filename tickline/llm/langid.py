@@ -185,7 +185,8 @@ def fit(df: DataFrame, text_col: str = "text", lang_col: str = "lang", id_col: s
     """
     rows = df.select(F.col(f"`{text_col}`").cast("string").alias("text"),
                      F.col(f"`{lang_col}`").cast("string").alias("lang"),
-                     F.xxhash64(F.col(f"`{id_col}`").cast("string")).alias("key")) \
+                     F.xxhash64(F.coalesce(F.col(f"`{id_col}`").cast("string"),
+                                           F.col(f"`{text_col}`").cast("string"))).alias("key")) \
         .where("text is not null and lang is not null and lang <> ''")
     sizes = written(rows.groupBy("lang").count(), "langid_sizes")
     if sizes.count() <= 10_000:  # else joined by shuffle
