@@ -7,6 +7,7 @@ from conftest import rows
 
 from tickline import sources
 from tickline.operators import gold, quality
+from tickline.plans import batch
 from tickline.plans.batch import Tables, build_silver, run_batch, run_increment
 from tickline.schemas import INSTRUMENTS, snapshot_schema
 
@@ -211,3 +212,58 @@ def test_increment_takes_the_types_of_the_table(spark, tables):
     got = sources.read_table(spark, moved.silver)
     assert dict(got.dtypes)["ingestion_delay_seconds"] == "double"
     assert got.count() == silver.count() + 14
+
+
+class Follow(Tables):
+    """Gold tables of their own over another lake's silver."""
+
+    def __init__(self, own, silver):
+        super().__init__(own.root)
+        object.__setattr__(self, "_silver", silver)
+
+    @property
+    def silver(self):
+        return self._silver
+
+
+def test_gold_follows_silver_through_increments(spark, tmp_path):
+    """A stream over silver that runs and increments rewrite: gold equals gold of the last state."""
+    lake, followed = Tables(str(tmp_path / "lake")), Tables(str(tmp_path / "followed"))
+    days = [list(range(0, 200, 9)), [300, 310, 4], [95, 96, 700], [701]]
+    for part, moments in enumerate(days):
+        for n in moments:
+            write(f"{lake.root}/new{part}" if part else lake.bronze, n, document(n))
+        if part:
+            run_increment(spark, lake, f"{lake.root}/new{part}", as_of=AS_OF, fatal=[])
+        else:
+            run_batch(spark, lake, as_of=AS_OF, fatal=[])
+        seen = files(followed.performance) if part else set()
+        follow = Follow(followed, lake.silver)
+        batch.follow_silver(spark, follow, str(tmp_path / "checkpoint"))
+        if part == 3:  # one new moment at the end: only its day is written
+            gone = {os.path.basename(os.path.dirname(f)) for f in seen - files(followed.performance)}
+            assert len(gone) <= 1
+        prices = sources.read_table(spark, lake.silver)
+        for name, expected in (("snapshot", gold.latest_snapshot(prices)), ("performance", gold.price_performance(prices)),
+                               ("daily", gold.daily_trends(prices))):
+            got = sources.read_table(spark, getattr(followed, name))
+            assert rows(got, *sorted(expected.columns)) == rows(expected, *sorted(expected.columns)), (part, name)
+
+
+def test_increment_reads_only_days_around_the_news(spark, tmp_path, monkeypatch):
+    lake = Tables(str(tmp_path))
+    for n in range(0, 48 * 30, 12):
+        write(lake.bronze, n, document(n))
+    run_batch(spark, lake, as_of=AS_OF, fatal=[])
+    seen = []
+    find = batch.nearby
+
+    def watched(stored, marks, *options):
+        near, placed = find(stored, marks, *options)
+        seen.append(near.select("date").distinct().count())
+        return near, placed
+
+    monkeypatch.setattr(batch, "nearby", watched)
+    write(f"{lake.root}/new", 0, document(48 * 3 + 5))
+    run_increment(spark, lake, f"{lake.root}/new", as_of=AS_OF, fatal=[])
+    assert seen and max(seen) <= 10  # of 30 days, for a news row and six rows on either side

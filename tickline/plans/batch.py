@@ -8,12 +8,16 @@ from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.streaming import StreamingQuery
 
 from tickline import sources
+from tickline.functions import columns as C
 from tickline.operators import gold, quality, series, silver
+from tickline.operators.nearby import SEGMENT, nearby
 from tickline.schemas import INSTRUMENTS, ROLLING_ROWS
 from tickline.session import materialise, stages
-from tickline.sinks import align_schema, overwrite_partitions, overwrite_table
+from tickline.sinks import align_schema, files, overwrite_partitions, overwrite_table
+from tickline.sources.changes import note_all, note_days, on_days, stream_changes
 
 SORTED = ["coin_id", "event_timestamp"]
 PRICED = ["coin_id", "event_timestamp", "price_usd", "market_cap", "volume_24h", "date"]
@@ -82,6 +86,57 @@ def refresh_gold(prices: DataFrame, tables: Tables, since: dt.date | None,
     overwrite_table(gold.latest_snapshot(recent.unionByName(earlier)), tables.snapshot)
 
 
+def _unique_rows_near(prices: DataFrame, marks: DataFrame, rows: int, following: int) -> DataFrame:
+    """Rows of the days around the marks, with `__new` where a row is one of them."""
+    keys = [*silver.SERIES, "event_timestamp"]
+    near, placed = nearby(prices, marks.select(*keys, "date"), silver.SERIES, ["event_timestamp"], rows, following)
+    fresh = placed.select(*keys).distinct().withColumn("__new", F.lit(True))
+    return near.join(fresh, keys, "left").withColumn("__new", F.coalesce("__new", F.lit(False)))
+
+
+def refresh_days(prices: DataFrame, tables: Tables, changed: DataFrame) -> None:
+    """Bring gold up to date after `changed` rows of silver (keys and date), reading few days.
+
+    Windows change at those rows and at the next ones of their series. What else
+    is on these days keeps its figures; ranks are taken anew per moment.
+    """
+    spark = prices.sparkSession
+    days = [r[0] for r in changed.select("date").distinct().collect()]
+    _replace_days(gold.daily_trends(prices.filter(on_days(days))), tables.daily)
+
+    latest = gold.latest_snapshot(prices.filter(on_days(days)))
+    stored = sources.read_table(spark, tables.snapshot).withColumn("__date", F.to_date("event_timestamp"))
+    other = stored.filter(~F.col("__date").isin(days) | F.col("__date").isNull()).drop("__date")
+    overwrite_table(materialise(gold.latest_snapshot(other.unionByName(latest)), "snapshot"), tables.snapshot)
+
+    held = [c for c in PRICED if c in prices.columns]
+    metrics = ["moving_avg_price", "price_volatility"]
+    near = _unique_rows_near(prices.select(*held), changed, ROLLING_ROWS - 1, ROLLING_ROWS - 1)
+    touched = {"__near": lambda w: F.max("__new").over(w.rowsBetween(-(ROLLING_ROWS - 1), 0))}
+    rolled = materialise(series.over_series(
+        near, [*silver.SERIES, SEGMENT], ["event_timestamp"], ROLLING_ROWS - 1,
+        {**gold.rolling_columns(), **touched}).filter("__near").select(*held, *metrics), "rolled")
+    rewritten = [r[0] for r in rolled.select("date").distinct().collect()]
+    kept = (sources.read_table(spark, tables.performance).filter(on_days(rewritten))
+            .join(rolled.select("coin_id", "event_timestamp"), ["coin_id", "event_timestamp"], "left_anti"))
+    ranked = gold.market_cap_rank(rolled.unionByName(kept.select(*held, *metrics)))
+    columns = [c for c in held if c != "date"]
+    _replace_days(materialise(ranked.select(*columns, *metrics, "market_cap_rank", "date"), "ranked"),
+                  tables.performance, sort_by=SORTED)
+
+
+def follow_silver(spark: SparkSession, tables: Tables, checkpoint: str, wait: bool = True) -> StreamingQuery:
+    """Gold as a stream over silver, whose days batch runs and increments rewrite."""
+    def handle(prices: DataFrame, days: list[dt.date | None]) -> None:
+        with stages(spark):
+            if None in days or not files.exists(spark, tables.performance) or not prices.filter("date IS NULL").isEmpty():
+                write_gold(prices, tables)
+            else:
+                refresh_days(prices, tables, prices.filter(on_days(days)))
+
+    return stream_changes(spark, tables.silver, checkpoint, handle, wait)
+
+
 def _replace_days(df: DataFrame, path: str, sort_by: Sequence[str] = ()) -> None:
     """Overwrite the days in `df`, in the column types that the table has."""
     stored = sources.read_table(df.sparkSession, path)
@@ -97,10 +152,6 @@ def _before(since: dt.date | None) -> Column:
     return F.lit(False) if since is None else F.col("date") < F.lit(since)
 
 
-def _on(days: Sequence[dt.date | None]) -> Column:
-    return F.col("date").isin([d for d in days if d]) | (F.col("date").isNull() if None in days else F.lit(False))
-
-
 def _news(fresh: DataFrame, stored: DataFrame) -> DataFrame:
     """Fresh rows that no stored row of their key equals or beats."""
     held = stored.select(*[F.col(c).alias(f"__{c}") for c in (*silver.SERIES, "event_timestamp", "ingested_at")])
@@ -157,8 +208,10 @@ def run_batch(spark: SparkSession, tables: Tables, coins: Sequence[str] = INSTRU
     documents = sources.read_snapshots(spark, f"{tables.bronze}/*", coins, multi_line)
     landed = _checked(quality.bronze_checks(documents, coins, fatal), "bronze_checks")
 
+    note_all(spark, tables.silver)
     with stages(spark):
         overwrite_table(build_silver(documents, coins, as_of), tables.silver, ["date"], sort_by=SORTED)
+    note_all(spark, tables.silver)
     prices = sources.read_table(spark, tables.silver)
     cleaned = _checked(quality.silver_checks(prices, as_of, fatal=fatal), "silver_checks")
 
@@ -166,6 +219,34 @@ def run_batch(spark: SparkSession, tables: Tables, coins: Sequence[str] = INSTRU
     return quality.union(landed, cleaned, _check_gold(spark, tables, fatal))
 
 
+def _rewrite_silver(rows: DataFrame, tables: Tables, days: Sequence[dt.date | None]) -> None:
+    """Replace days of silver, and tell its streams."""
+    note_days(rows.sparkSession, tables.silver, days)
+    _replace_days(rows, tables.silver, sort_by=SORTED)
+    note_days(rows.sparkSession, tables.silver, days)
+
+
+def _add_dated(spark: SparkSession, tables: Tables, stored: DataFrame, news: DataFrame,
+               dates: Sequence[dt.date], as_of: dt.datetime | None) -> None:
+    """Add news to silver and gold where every row has a date: only days around the news are read."""
+    merged = materialise(
+        silver.dedup_latest(stored.filter(on_days(dates)).unionByName(news, allowMissingColumns=True),
+                            order=silver.LATEST_INGESTED), "merged_prices")
+    table = stored.filter(~F.col("date").isin(list(dates))).unionByName(merged, allowMissingColumns=True)
+    # A flag looks back one row: it may change at the news and at their next rows.
+    near = _unique_rows_near(table, news, 1, 1)
+    touched = series.over_series(near, [*silver.SERIES, SEGMENT], ["event_timestamp"], 1, {
+        "__near": lambda w: F.max("__new").over(w.rowsBetween(-1, 0))}, carry=["__new"])
+    days = [r[0] for r in touched.filter("__near").select("date").distinct().collect()]
+    # Those days are written whole, each row with the one before it at hand.
+    around, _ = nearby(table, table.filter(on_days(days)), silver.SERIES, ["event_timestamp"], 1, 0)
+    flagged = series.over_series(around, [*silver.SERIES, SEGMENT], ["event_timestamp"], 1, {
+        "price_change_flag": lambda w: C.change_flag(F.col("price_usd"), F.lag("price_usd").over(w))}, carry=["price_usd"])
+    rows = materialise(silver.stamp(flagged.filter(on_days(days)).drop(SEGMENT), as_of), "flagged")
+    _rewrite_silver(rows, tables, days)
+    refresh_days(sources.read_table(spark, tables.silver), tables, news)
+
+
 def run_increment(spark: SparkSession, tables: Tables, landed_path: str,
                   coins: Sequence[str] = INSTRUMENTS, as_of: dt.datetime | None = None,
                   multi_line: bool | None = None,
@@ -182,23 +263,28 @@ def run_increment(spark: SparkSession, tables: Tables, landed_path: str,
     landed = _checked(quality.bronze_checks(documents, coins, fatal), "bronze_checks")
     with stages(spark):
         stored = sources.read_table(spark, tables.silver).drop("price_change_flag", "load_timestamp")
-        fresh = silver.clean_snapshots(documents, coins)
-        news = materialise(_news(align_schema(fresh, stored, merge=True), stored), "fresh_prices")
+        fresh = materialise(align_schema(silver.clean_snapshots(documents, coins), stored, merge=True), "fresh_prices")
+        # A stored row of a quote's moment is on the quote's day.
+        same_days = stored.filter(on_days(r[0] for r in fresh.select("date").distinct().collect()))
+        news = materialise(_news(fresh, same_days), "news")
         dates = [r[0] for r in news.select("date").distinct().collect()]
         if not dates:
             return landed
         since = None if None in dates else min(dates)  # undated rows stand before all others
-        merged = materialise(
-            silver.dedup_latest(stored.filter(_from(since)).unionByName(news, allowMissingColumns=True),
-                                order=silver.LATEST_INGESTED), "merged_prices")
-        before = series.last_rows(stored.filter(_before(since)), silver.SERIES, ["event_timestamp"], 1)
-        flagged = silver.add_price_change_flag(merged, prior=materialise(before, "previous_prices"))
-        # The flag looks back one row, the rolling figures a few more.
-        next_rows, window_rows = (_on(_touched(merged, news, n)) for n in (2, ROLLING_ROWS))
-        _replace_days(silver.stamp(flagged.filter(next_rows), as_of), tables.silver, sort_by=SORTED)
-
-        prices = sources.read_table(spark, tables.silver)
-        refresh_gold(prices, tables, since, _on(dates), window_rows)
+        if since and files.exists(spark, tables.snapshot) and stored.filter("date IS NULL").isEmpty():
+            _add_dated(spark, tables, stored, news, dates, as_of)
+        else:
+            merged = materialise(
+                silver.dedup_latest(stored.filter(_from(since)).unionByName(news, allowMissingColumns=True),
+                                    order=silver.LATEST_INGESTED), "merged_prices")
+            before = series.last_rows(stored.filter(_before(since)), silver.SERIES, ["event_timestamp"], 1)
+            flagged = silver.add_price_change_flag(merged, prior=materialise(before, "previous_prices"))
+            # The flag looks back one row, the rolling figures a few more.
+            next_days, window_days = (_touched(merged, news, n) for n in (2, ROLLING_ROWS))
+            _rewrite_silver(silver.stamp(flagged.filter(on_days(next_days)), as_of), tables, next_days)
+
+            refresh_gold(sources.read_table(spark, tables.silver), tables, since, on_days(dates), on_days(window_days))
+    prices = sources.read_table(spark, tables.silver)
     cleaned = _checked(quality.silver_checks(prices.filter(_from(since)), as_of, fatal=fatal),
                        "silver_checks")
     return quality.union(landed, cleaned, _check_gold(spark, tables, fatal, since))
