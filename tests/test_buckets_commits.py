@@ -223,3 +223,35 @@ def test_nearby_grows_until_every_series_has_its_rows(spark, tmp_path):
     near, placed = nearby(stored, lonely, ["coin_id"], ["at"], 1, 1)
     assert set(rows(near.filter("coin_id = 'y'"), "at")) == {(3,), (29,)}
     assert placed.select(SEGMENT).first()[0] == 0
+
+
+# -- checks beside the write ---------------------------------------------------------
+
+def test_measures_of_a_write_equal_those_of_a_scan(spark, tmp_path):
+    import datetime as dt
+
+    from tickline.operators import quality
+    moment = dt.datetime(2024, 1, 1)
+    data = [("bitcoin", moment + dt.timedelta(hours=h), float(h) if h % 5 else None, "UP" if h % 3 else None, h - 2) for h in range(60)]
+    df = spark.createDataFrame(data, "coin_id string, event_timestamp timestamp, price_usd double, price_change_flag string, "
+                                     "ingestion_delay_seconds long").withColumn("date", F.to_date("event_timestamp"))
+    for name, written in (("all", df), ("none", df.limit(0))):
+        measured = sinks.overwrite_table(written, f"{tmp_path}/{name}", ["date"], measures=quality.silver_measures())
+        assert set(measured) == {"null_prices", "unknown_flags", "price_outliers", "negative_delay", "date_partitions", "latest_second"}
+        stored = written if name == "none" else spark.read.parquet(f"{tmp_path}/{name}")
+        as_of = moment + dt.timedelta(hours=70)
+        from_write = quality.silver_checks(stored, as_of, measured=measured)
+        assert rows(from_write) == rows(quality.silver_checks(stored, as_of))
+        scans = [q._jdf.queryExecution().optimizedPlan().toString().count("parquet") for q in
+                 (from_write, quality.silver_checks(stored, as_of))]
+        assert scans[0] == scans[1] - 1 or name == "none"
+
+
+def test_a_stream_reports_its_checks_by_micro_batch(run, spark):
+    run.send(tick("near", 1, 2.0), tick("near", 2, 9.0), tick("near", 2, 9.0), tick("stellar", 2, 0.0))
+    run.bronze()
+    from test_streaming import AS_OF
+    query = streaming.run_silver(run.source("bronze"), f"{run.base}/silver", f"{run.base}/c_silver", as_of=AS_OF,
+                                 rules={"dear": F.col("price_usd") > 5, "nameless": F.col("symbol").isNull()})
+    got = streaming.check_rows(query)
+    assert rows(got.groupBy("check").agg(F.sum("metric"))) == sorted([("rows", 2), ("dear", 1), ("nameless", 0)], key=repr)

@@ -13,6 +13,7 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tickline import functions as C
 from tickline.operators.gold import latest_snapshot
@@ -219,24 +220,43 @@ def bronze_checks(df: DataFrame, coins: Sequence[str] = INSTRUMENTS,
           for coin in coins])
 
 
+_MEASURED = T.StructType([T.StructField(c, T.LongType()) for c in (
+    "null_prices", "unknown_flags", "price_outliers", "negative_delay", "date_partitions", "latest_second")])
+
+
+def silver_measures(bounds: Mapping[str, tuple[float, float]] = PRICE_BOUNDS, distinct: Column | None = None) -> list[Column]:
+    """Aggregates of the checks that need one look at each row.
+
+    Without distinct aggregates, so that a write can observe them; the days of
+    a table are few enough to be gathered.
+    """
+    flag = F.col("price_change_flag")
+    days = F.size(F.collect_set("date")) if distinct is None else distinct
+    made = [F.count_if(F.col("price_usd").isNull()),
+            F.count_if(flag.isNull() | ~flag.isin(*PRICE_FLAGS)),
+            F.count_if(C.outside_bounds(F.col("coin_id"), F.col("price_usd"), bounds)),
+            F.count_if(F.col("ingestion_delay_seconds") < 0),
+            days.cast("long"), F.max(F.unix_timestamp("event_timestamp"))]
+    return [column.alias(name) for column, name in zip(made, _MEASURED.names, strict=True)]
+
+
 def silver_checks(df: DataFrame, as_of: dt.datetime | Column | None = None,
                   sla_minutes: float = FRESHNESS_MINUTES, ratio: float = JUMP_RATIO,
                   bounds: Mapping[str, tuple[float, float]] = PRICE_BOUNDS,
                   fatal: Collection[str] = (), order: Sequence[str] = ("event_timestamp",),
-                  layout: str = "time") -> DataFrame:
+                  layout: str = "time", measured: Mapping[str, int | None] | None = None) -> DataFrame:
     """Batch silver: keys, nulls, flags, partitions, freshness, volume, limits,
-    jumps and clock sync."""
-    flag = F.col("price_change_flag")
-    row = df.agg(
-        F.count_if(F.col("price_usd").isNull()).alias("null_prices"),
-        F.count_if(flag.isNull() | ~flag.isin(*PRICE_FLAGS)).alias("unknown_flags"),
-        F.count_if(C.outside_bounds(F.col("coin_id"), F.col("price_usd"), bounds))
-        .alias("price_outliers"),
-        F.count_if(F.col("ingestion_delay_seconds") < 0).alias("negative_delay"),
-        F.count_distinct("date").alias("date_partitions"),
-        F.max("event_timestamp").alias("latest_ts"),
-    ).withColumn("freshness_minutes",
-                 (F.unix_timestamp(C.load_time(as_of)) - F.unix_timestamp("latest_ts")) / 60)
+    jumps and clock sync.
+
+    measured    what `silver_measures` gave when the table was written; the table
+                is then read for keys and jumps alone
+    """
+    if measured is None:
+        row = df.agg(*silver_measures(bounds, F.count_distinct("date")))
+    else:
+        row = df.sparkSession.createDataFrame([tuple(measured[c] for c in _MEASURED.names)], _MEASURED)
+    row = row.withColumn("freshness_minutes",
+                         (F.unix_timestamp(C.load_time(as_of)) - F.col("latest_second")) / 60)
     age = F.col("freshness_minutes")
     folded = _rows(
         row,

@@ -210,10 +210,11 @@ def run_batch(spark: SparkSession, tables: Tables, coins: Sequence[str] = INSTRU
 
     note_all(spark, tables.silver)
     with stages(spark):
-        overwrite_table(build_silver(documents, coins, as_of), tables.silver, ["date"], sort_by=SORTED)
+        measured = overwrite_table(build_silver(documents, coins, as_of), tables.silver, ["date"],
+                                   sort_by=SORTED, measures=quality.silver_measures())
     note_all(spark, tables.silver)
     prices = sources.read_table(spark, tables.silver)
-    cleaned = _checked(quality.silver_checks(prices, as_of, fatal=fatal), "silver_checks")
+    cleaned = _checked(quality.silver_checks(prices, as_of, fatal=fatal, measured=measured), "silver_checks")
 
     write_gold(prices, tables)
     return quality.union(landed, cleaned, _check_gold(spark, tables, fatal))

@@ -12,6 +12,7 @@ from tickline import sinks, sources, streaming
 from tickline.operators import gold, quality, series, silver
 from tickline.plans import queries as Q
 from tickline.plans.batch import Tables, run_batch, run_increment
+from tickline.plans.batch import follow_silver as follow_gold
 from tickline.plans.queries import query
 from tickline.schemas import STREAM_SYNC_TOLERANCE
 from tickline.session import materialise, shared_dir, use_rocksdb
@@ -202,6 +203,23 @@ def batch_increment_undated(spark, sf_dir):
     return sources.read_table(spark, tables.silver).select("coin_id", "event_timestamp", "price_usd")
 
 
+@query(Q.ORACLES["batch_increment"])
+def follow_silver(spark, sf_dir):
+    """Gold kept by a stream over silver, which a run and two increments rewrite; the middle days arrive last."""
+    lake, documents = Tables(shared_dir(spark, "lake")), X.documents(spark, sf_dir)
+    at = F.col("ingestion_metadata.ingested_at")
+    early, late = at < X.SLICES[0], at >= X.SLICES[1]
+    sources.land_snapshots(documents.filter(early), lake.bronze)
+    run_batch(spark, lake, X.INSTRUMENTS)
+    checkpoint = f"{lake.root}/checkpoint"
+    follow_gold(spark, lake, checkpoint)
+    for n, part in enumerate((late, ~early & ~late)):
+        arrived = sources.land_snapshots(documents.filter(part), f"{lake.root}/arrived{n}")
+        run_increment(spark, lake, arrived, X.INSTRUMENTS)
+        follow_gold(spark, lake, checkpoint)
+    return sources.read_table(spark, lake.performance)
+
+
 # -- several micro-batches ---------------------------------------------------
 
 @query(Q._MESSAGES + Q._UNIQUE)

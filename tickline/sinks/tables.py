@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
@@ -36,20 +36,25 @@ def _spread(df: DataFrame, partition_by: Sequence[str], sort_by: Sequence[str] =
 
 
 def overwrite_table(df: DataFrame, path: str | None = None, partition_by: Sequence[str] = (),
-                    table: str | None = None, sort_by: Sequence[str] = ()) -> None:
+                    table: str | None = None, sort_by: Sequence[str] = (),
+                    measures: Sequence[Column] = ()) -> dict:
     """Replace a whole table: at a path, in the catalog, or both (external).
 
     Rows sorted by what readers filter on let them skip parts of the files.
+    Returns `measures`, aggregates of the rows written, by name. They are taken
+    behind the last shuffle, where Spark counts a repeated task once.
     """
-    writer = _spread(df, partition_by, sort_by).write.format("parquet").mode("overwrite")
+    rows, seen = _spread(df, partition_by, sort_by), Observation()
+    if measures:
+        rows = rows.observe(seen, *measures)
+    writer = rows.write.format("parquet").mode("overwrite")
     if partition_by:
         writer = writer.partitionBy(*partition_by)
     if table is None:
         writer.save(path)
-        return
-    if path is not None:
-        writer = writer.option("path", path)
-    writer.saveAsTable(table)
+    else:
+        (writer if path is None else writer.option("path", path)).saveAsTable(table)
+    return seen.get if measures else {}
 
 
 def overwrite_partitions(df: DataFrame, path: str, partition_by: Sequence[str] = ("date",),

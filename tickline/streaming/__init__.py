@@ -9,6 +9,7 @@ from tickline.streaming.gold import (
 )
 from tickline.streaming.layers import (
     bronze_stream,
+    check_rows,
     collapse_copies,
     dedup,
     late_rows,
@@ -19,7 +20,7 @@ from tickline.streaming.layers import (
 )
 
 __all__ = [
-    "bronze_stream", "collapse_copies", "daily_trends_stream", "daily_trends_upsert", "dedup", "fold_batches", "gold_fanout", "late_rows",
+    "bronze_stream", "check_rows", "collapse_copies", "daily_trends_stream", "daily_trends_upsert", "dedup", "fold_batches", "gold_fanout", "late_rows",
     "read_daily_trends",
     "read_performance", "read_snapshot", "replay_checkpoint", "run_bronze", "run_silver",
     "silver_stream",

@@ -7,7 +7,8 @@ import uuid
 from collections.abc import Iterator, Mapping, Sequence
 
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from tickline.operators import silver
@@ -15,6 +16,9 @@ from tickline.schemas import PRICE_BOUNDS
 from tickline.sinks import append_stream
 
 
+_CHECKS = "checks"
+
+
 def bronze_stream(messages: DataFrame) -> DataFrame:
     """Payloads in `value` to raw tick columns; nothing is filtered here."""
     return silver.parse_ticks(messages)
@@ -85,8 +89,27 @@ def late_rows(query: StreamingQuery) -> int:
                for progress in query.recentProgress for state in progress["stateOperators"])
 
 
-def run_silver(bronze: DataFrame, path: str, checkpoint: str, **options) -> StreamingQuery:
-    return append_stream(silver_stream(bronze, **options), path, checkpoint)
+def run_silver(bronze: DataFrame, path: str, checkpoint: str,
+               rules: Mapping[str, Column] | None = None, **options) -> StreamingQuery:
+    """`rules` {check: predicate} are counted while the rows are written (`check_rows`)."""
+    ticks = silver_stream(bronze, **options)
+    if rules:
+        ticks = ticks.observe(_CHECKS, F.count(F.lit(1)).alias("rows"),
+                              *[F.count_if(broken).alias(name) for name, broken in rules.items()])
+    return append_stream(ticks, path, checkpoint)
+
+
+def check_rows(query: StreamingQuery) -> DataFrame:
+    """(batch_id, check, metric) of what `run_silver` observed, as far as the query's
+    progress reports reach back; `rows` counts the rows written."""
+    found = [(progress["batchId"], check, count) for progress in query.recentProgress
+             for check, count in _observed(progress).items()]
+    return SparkSession.active().createDataFrame(found, "batch_id bigint, check string, metric bigint")
+
+
+def _observed(progress) -> dict[str, int]:
+    metrics = progress["observedMetrics"].get(_CHECKS)
+    return metrics.asDict() if hasattr(metrics, "asDict") else dict(metrics or {})
 
 
 def replay_checkpoint(base: str) -> str:
