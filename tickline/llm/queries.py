@@ -174,3 +174,35 @@ SELECT part, filter_order, CAST(step AS INT) AS step, CAST(kept AS BIGINT) AS ke
   CAST(toxic_lost AS BIGINT) AS toxic_lost, CAST(shapley AS BIGINT) AS shapley
 FROM steps JOIN shares USING (part, bit)
 """
+
+
+ORACLES["op1_bit_slices"] = """
+WITH e AS (SELECT vec_id, list_transform(embedding, lambda x: CAST(floor(1024 * CAST(x AS DOUBLE)) AS BIGINT)) AS v FROM embeddings
+  WHERE vec_id IS NOT NULL AND embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+s AS (SELECT q.vec_id AS query_id, e.vec_id,
+    CAST(list_sum(list_transform(list_zip(q.v, e.v), lambda z: z[1] * z[2])) AS BIGINT) AS score
+  FROM e q JOIN e ON e.vec_id <> q.vec_id WHERE q.vec_id % 100 = 0)
+SELECT query_id, CAST(rank AS INT) AS rank, vec_id, score
+FROM (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS rank FROM s) WHERE rank <= 10
+"""
+
+ORACLES["op5_near_copies"] = r"""
+WITH RECURSIVE d AS (SELECT doc_id, list_filter(regexp_split_to_array(
+        translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[\x20\x09-\x0D]+'),
+        lambda x: x <> '') AS w FROM documents),
+sets AS (SELECT doc_id, list_distinct(list_transform(generate_series(1, len(w) - least(4, len(w)) + 1),
+        lambda i: array_to_string(w[i:i + least(4, len(w)) - 1], ' '))) AS members FROM d WHERE len(w) > 0),
+classes AS (SELECT min(doc_id) AS head, list_sort(members) AS members FROM sets GROUP BY list_sort(members)),
+items AS (SELECT head, len(members) AS n, unnest(members) AS item FROM classes),
+shared AS (SELECT a.head AS a, b.head AS b, count(*) AS meet, any_value(a.n) AS n, any_value(b.n) AS m
+  FROM items a JOIN items b ON a.item = b.item AND a.head < b.head GROUP BY a.head, b.head),
+links AS (SELECT a, b FROM shared WHERE 100 * meet >= 80 * (n + m - meet)),
+edges AS (SELECT a, b FROM links UNION SELECT b, a FROM links),
+reach AS (SELECT head AS a, head AS b FROM classes UNION SELECT r.a, e.b FROM reach r JOIN edges e ON e.a = r.b),
+least_of AS (SELECT a, min(b) AS component FROM reach GROUP BY a),
+found AS (SELECT s.doc_id, len(s.members) AS n, least_of.component FROM sets s
+  JOIN classes c ON c.members = list_sort(s.members) JOIN least_of ON least_of.a = c.head)
+SELECT d.doc_id, CAST(coalesce(f.n, 0) AS BIGINT) AS n_shingles, coalesce(f.component, d.doc_id) AS component_id,
+  coalesce(f.component, d.doc_id) = d.doc_id AS kept
+FROM d LEFT JOIN found f USING (doc_id)
+"""
