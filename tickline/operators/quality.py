@@ -257,29 +257,40 @@ def silver_checks(df: DataFrame, as_of: dt.datetime | Column | None = None,
         row = df.sparkSession.createDataFrame([tuple(measured[c] for c in _MEASURED.names)], _MEASURED)
     row = row.withColumn("freshness_minutes",
                          (F.unix_timestamp(C.load_time(as_of)) - F.col("latest_second")) / 60)
+    folded = _rows(row, *_row_results(sla_minutes, fatal))
+
+    # One pass over the keys gives the repeats and the instruments.
+    keys = (df.groupBy("coin_id", "event_timestamp").agg(F.count(F.lit(1)).alias("n"))
+            .agg(F.count_if(F.col("n") > 1).alias("duplicate_keys"),
+                 F.count_distinct("coin_id").alias("instruments")))
+    jumps = price_jumps(df, ratio, order, layout).agg(F.count(F.lit(1)).alias("price_jumps"))
+    return union(folded, _rows(keys, *_key_results(fatal)), _rows(jumps, _jump_result(fatal)))
+
+
+def _row_results(sla_minutes: float, fatal: Collection[str]) -> list[Column]:
     age = F.col("freshness_minutes")
-    folded = _rows(
-        row,
+    return [
         *[_result(name, _severity(name, "error", fatal), F.col(name))
           for name in ("null_prices", "unknown_flags", "price_outliers", "negative_delay")],
         _result("date_partitions", "info", F.col("date_partitions"), None),
         _result("freshness_minutes", _severity("freshness_minutes", "warn", fatal), age,
                 float(sla_minutes),
-                F.when(age.isNull(), "error").when(age > sla_minutes, "fail").otherwise("pass")))
+                F.when(age.isNull(), "error").when(age > sla_minutes, "fail").otherwise("pass"))]
 
-    # One pass over the keys gives the repeats and the instruments.
-    keys = (df.groupBy("coin_id", "event_timestamp").agg(F.count(F.lit(1)).alias("n"))
-            .agg(F.count_if(F.col("n") > 1).alias("duplicate_keys"),
-                 F.count_distinct("coin_id").alias("instruments")))
-    jumps = price_jumps(df, ratio, order, layout).agg(F.count(F.lit(1)).alias("price_jumps"))
-    return union(
-        folded,
-        _rows(keys,
-              _result("duplicate_keys", _severity("duplicate_keys", "error", fatal),
-                      F.col("duplicate_keys")),
-              _result("instruments", "info", F.col("instruments"), None)),
-        _rows(jumps, _result("price_jumps", _severity("price_jumps", "warn", fatal),
-                             F.col("price_jumps"))))
+
+def _key_results(fatal: Collection[str]) -> list[Column]:
+    return [_result("duplicate_keys", _severity("duplicate_keys", "error", fatal), F.col("duplicate_keys")),
+            _result("instruments", "info", F.col("instruments"), None)]
+
+
+def _jump_result(fatal: Collection[str]) -> Column:
+    return _result("price_jumps", _severity("price_jumps", "warn", fatal), F.col("price_jumps"))
+
+
+def silver_results(row: DataFrame, sla_minutes: float = FRESHNESS_MINUTES,
+                   fatal: Collection[str] = ()) -> DataFrame:
+    """The rows of `silver_checks` from one row that holds all its figures."""
+    return _rows(row, *_row_results(sla_minutes, fatal), *_key_results(fatal), _jump_result(fatal))
 
 
 def stream_silver_checks(df: DataFrame, fatal: Collection[str] = ()) -> DataFrame:

@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import datetime as dt
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -12,9 +12,9 @@ from pyspark.sql.streaming import StreamingQuery
 
 from tickline import sources
 from tickline.functions import columns as C
-from tickline.operators import gold, quality, series, silver
+from tickline.operators import daystate, gold, quality, series, silver
 from tickline.operators.nearby import SEGMENT, nearby
-from tickline.schemas import INSTRUMENTS, ROLLING_ROWS
+from tickline.schemas import INSTRUMENTS, PRICE_BOUNDS, ROLLING_ROWS
 from tickline.session import materialise, stages
 from tickline.sinks import align_schema, files, overwrite_partitions, overwrite_table
 from tickline.sources.changes import note_all, note_days, on_days, stream_changes
@@ -37,6 +37,10 @@ class Tables:
     def silver(self) -> str:
         return f"{self.root}/silver/prices"
 
+    @property
+    def state(self) -> str:
+        return f"{self.root}/silver/check_state"
+
     @property
     def snapshot(self) -> str:
         return f"{self.root}/gold/latest_snapshot"
@@ -137,6 +141,32 @@ def follow_silver(spark: SparkSession, tables: Tables, checkpoint: str, wait: bo
     return stream_changes(spark, tables.silver, checkpoint, handle, wait)
 
 
+def follow_checks(spark: SparkSession, tables: Tables, checkpoint: str | None = None,
+                  bounds: Mapping[str, tuple[float, float]] = PRICE_BOUNDS) -> DataFrame:
+    """The check state of silver (`operators.daystate`), brought up to date.
+
+    Days that were rewritten since the last call are read again, with the days
+    that hold the rows before theirs; the state of all others stays as it is.
+    `daystate.state_checks` gives the check results of the whole table from it.
+    """
+    def handle(prices: DataFrame, days: list[dt.date | None]) -> None:
+        order = ["event_timestamp"]
+        with stages(spark):
+            if None in days or not prices.filter("date IS NULL").isEmpty() or not files.exists(spark, tables.state):
+                made = daystate.day_state(prices, bounds)
+                overwrite_table(materialise(made, "state"), tables.state, ["date"])
+                return
+            changed = on_days(days)
+            near, _ = nearby(prices, prices.filter(changed), silver.SERIES, order, 1, 0)
+            made = materialise(daystate.day_state(near, bounds, series=[*silver.SERIES, SEGMENT], within=changed), "state")
+            held = {r[0] for r in made.select("date").distinct().collect()}
+            gone = daystate.no_state([d for d in days if d not in held], made)
+            overwrite_partitions(made.unionByName(gone), tables.state)
+
+    stream_changes(spark, tables.silver, checkpoint or f"{tables.state}_checkpoint", handle)
+    return sources.read_table(spark, tables.state)
+
+
 def _replace_days(df: DataFrame, path: str, sort_by: Sequence[str] = ()) -> None:
     """Overwrite the days in `df`, in the column types that the table has."""
     stored = sources.read_table(df.sparkSession, path)
@@ -257,7 +287,8 @@ def run_increment(spark: SparkSession, tables: Tables, landed_path: str,
     Gives the tables `run_batch` would rebuild from all documents, but rewrites
     only days that change: those of quotes that are news, and those of the next
     rows that flags and windows look back from. Checks cover the days from the
-    first changed one on.
+    first changed one on; once `follow_checks` keeps a state, those of silver
+    cover the whole table and read the changed days only.
     """
     _whole(spark, landed_path, multi_line)
     documents = sources.read_snapshots(spark, landed_path, coins, multi_line)
@@ -286,6 +317,9 @@ def run_increment(spark: SparkSession, tables: Tables, landed_path: str,
 
             refresh_gold(sources.read_table(spark, tables.silver), tables, since, on_days(dates), on_days(window_days))
     prices = sources.read_table(spark, tables.silver)
-    cleaned = _checked(quality.silver_checks(prices.filter(_from(since)), as_of, fatal=fatal),
-                       "silver_checks")
+    if files.exists(spark, tables.state):
+        found = daystate.state_checks(follow_checks(spark, tables), as_of, fatal=fatal)
+    else:
+        found = quality.silver_checks(prices.filter(_from(since)), as_of, fatal=fatal)
+    cleaned = _checked(found, "silver_checks")
     return quality.union(landed, cleaned, _check_gold(spark, tables, fatal, since))

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from tickline import fixtures as X
 from tickline import sinks, sources, streaming
-from tickline.operators import gold, quality, series, silver
+from tickline.operators import daystate, digests, gold, quality, series, silver
 from tickline.plans import queries as Q
 from tickline.plans.batch import Tables, run_batch, run_increment
 from tickline.plans.batch import follow_silver as follow_gold
@@ -97,7 +97,7 @@ moved AS (SELECT abs((price_usd - lag(price_usd) OVER w) / nullif(lag(price_usd)
 _AGE = f"((SELECT floor(epoch(TIMESTAMP '{X.AS_OF}')) - floor(epoch(max(event_timestamp))) FROM bad) / 60)"
 
 
-@query(SQL_BAD_SILVER + Q._check_sql([
+SQL_SILVER_FAULTS = SQL_BAD_SILVER + Q._check_sql([
     Q._zero("null_prices", "error", "(SELECT count(*) FROM bad WHERE price_usd IS NULL)"),
     Q._zero("unknown_flags", "error", "(SELECT count(*) FROM bad WHERE price_change_flag = 'SIDEWAYS')"),
     Q._zero("price_outliers", "error", f"(SELECT count(*) FROM bad WHERE {Q._OUTSIDE})"),
@@ -108,16 +108,51 @@ _AGE = f"((SELECT floor(epoch(TIMESTAMP '{X.AS_OF}')) - floor(epoch(max(event_ti
       GROUP BY coin_id, event_timestamp HAVING count(*) > 1))"""),
     ("instruments", "info", "'info'", "(SELECT count(DISTINCT coin_id) FROM bad)", "NULL"),
     Q._zero("price_jumps", "warn", "(SELECT count(*) FROM moved WHERE pct_change > 0.20)"),
-]))
-def silver_faults_every_tick(spark, sf_dir):
-    """Every check of the silver table has something to find."""
+])
+
+
+def _bad_silver(spark, sf_dir) -> DataFrame:
+    """Every tick, with something to find for every check of the silver table."""
     flagged = silver.add_price_change_flag(materialise(every_tick(spark, sf_dir)))
     one_in = lambda kind: F.col("event_id") % _BAD[kind] == 0
     once = (flagged.withColumn("price_usd", F.when(~one_in("price"), F.col("price_usd")))
             .withColumn("price_change_flag", F.when(one_in("flag"), "SIDEWAYS").otherwise(F.col("price_change_flag")))
             .withColumn("ingestion_delay_seconds", F.when(one_in("delay"), -5).otherwise(5)))
-    bad = materialise(once.unionByName(once.filter(one_in("again"))))
-    return quality.silver_checks(bad, Q.as_of(), bounds=X.BOUNDS, order=ORDER)
+    return materialise(once.unionByName(once.filter(one_in("again"))))
+
+
+@query(SQL_SILVER_FAULTS)
+def silver_faults_every_tick(spark, sf_dir):
+    """Every check of the silver table has something to find."""
+    return quality.silver_checks(_bad_silver(spark, sf_dir), Q.as_of(), bounds=X.BOUNDS, order=ORDER)
+
+
+def _states(spark, sf_dir) -> DataFrame:
+    """Check state of three runs of days, made one after the other and stored side by side."""
+    bad, path = _bad_silver(spark, sf_dir), shared_dir(spark, "check_state")
+    first, second = (F.lit(d).cast("date") for d in X.SLICES)
+    date = F.col("date")
+    for within in (date < first, (date >= first) & (date < second), date >= second):
+        sinks.overwrite_partitions(daystate.day_state(bad, X.BOUNDS, order=ORDER, within=within), path)
+    return sources.read_table(spark, path)
+
+
+@query(SQL_SILVER_FAULTS)
+def silver_faults_by_state(spark, sf_dir):
+    """The same checks from stored states of days."""
+    return daystate.state_checks(_states(spark, sf_dir), Q.as_of())
+
+
+@query(SQL_BAD_SILVER + """ SELECT coin_id, count(*) AS rows, max(ingestion_delay_seconds) AS max_delay_secs,
+  CAST(sum(ingestion_delay_seconds) AS DOUBLE) / count(*) AS avg_delay_secs, 5 AS delay_p50, true AS moments_close
+  FROM bad GROUP BY coin_id""")
+def delays_by_state(spark, sf_dir):
+    """Delays per instrument from stored states; the estimate of distinct moments is within 3 % of their number."""
+    states = _states(spark, sf_dir)
+    exact = every_tick(spark, sf_dir).groupBy("coin_id").agg(F.count_distinct("event_timestamp").alias("moments"))
+    figures = daystate.delay_figures(states, quantiles=(0.5,)).join(exact, "coin_id")
+    close = F.abs(F.col("distinct_moments") - F.col("moments")) <= F.greatest(F.lit(1), 0.03 * F.col("moments"))
+    return figures.select("coin_id", "rows", "max_delay_secs", "avg_delay_secs", "delay_p50", close.alias("moments_close"))
 
 
 SQL_BAD_GOLD = SQL_PERFORMANCE + """, marked AS (SELECT *, CAST(floor(epoch(event_timestamp)) AS BIGINT) AS s FROM performance),
@@ -220,6 +255,33 @@ def follow_silver(spark, sf_dir):
     return sources.read_table(spark, lake.performance)
 
 
+_UNLIKE = {"price": 211, "gone": 223, "again": 227}
+
+SQL_DIFFERENCES = SQL_PERFORMANCE + f""", l AS (SELECT *, CAST(floor(epoch(event_timestamp)) AS BIGINT) AS s FROM performance
+  WHERE date <> DATE '2024-01-05'),
+kinds AS (SELECT *, date >= DATE '2024-01-15' AS late FROM l)
+SELECT coin_id, event_timestamp,
+  CAST(CASE WHEN s % {_UNLIKE['gone']} = 0 OR s % {_UNLIKE['price']} = 0 THEN 1 ELSE 0 END AS BIGINT) AS left_only,
+  CAST(CASE WHEN s % {_UNLIKE['gone']} = 0 THEN 0
+            WHEN s % {_UNLIKE['price']} = 0 THEN CASE WHEN s % {_UNLIKE['again']} = 0 THEN 2 ELSE 1 END
+            ELSE 1 END AS BIGINT) AS right_only,
+  CASE WHEN s % {_UNLIKE['gone']} <> 0 AND s % {_UNLIKE['price']} = 0 AND s % {_UNLIKE['again']} <> 0
+       THEN 'price_usd' END AS unlike
+FROM kinds WHERE late AND (s % {_UNLIKE['gone']} = 0 OR s % {_UNLIKE['price']} = 0 OR s % {_UNLIKE['again']} = 0)"""
+
+
+@query(SQL_DIFFERENCES)
+def table_differences(spark, sf_dir):
+    """A copy of the performance table with other prices, rows lost and rows repeated from some day on."""
+    left = Q.stored(spark, gold.price_performance(every_tick(spark, sf_dir)).filter("date <> DATE '2024-01-05'"), ("date",))
+    one_in = lambda kind: (F.unix_timestamp(F.col("event_timestamp").cast("timestamp")) % _UNLIKE[kind] == 0) & (
+        F.col("date") >= F.lit("2024-01-15"))
+    once = left.filter(~one_in("gone")).withColumn("price_usd", F.when(one_in("price"), F.col("price_usd") + 1).otherwise(F.col("price_usd")))
+    right = Q.stored(spark, once.unionByName(once.filter(one_in("again"))), ("date",))
+    found = digests.compare(left, right)
+    return found.select("coin_id", "event_timestamp", "left_only", "right_only", F.array_join("columns", ",").alias("unlike"))
+
+
 # -- several micro-batches ---------------------------------------------------
 
 @query(Q._MESSAGES + Q._UNIQUE)

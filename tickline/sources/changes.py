@@ -30,10 +30,10 @@ def _notes(path: str) -> str:
     return f"{path.rstrip('/')}_changes"
 
 
-def on_days(days: Iterable[dt.date | None]) -> Column:
+def on_days(days: Iterable[dt.date | None], column: str = "date") -> Column:
     """Rows of some days; None stands for rows without a date."""
-    days = list(days)
-    return F.col("date").isin([d for d in days if d]) | (F.col("date").isNull() if None in days else F.lit(False))
+    days, day = list(days), F.col(column)
+    return day.isin([d for d in days if d]) | (day.isNull() if None in days else F.lit(False))
 
 
 def note_days(spark: SparkSession, path: str, days: Iterable[dt.date | None]) -> None:
