@@ -1,0 +1,93 @@
+"""De-duplication in two tiers: bounded state, and the silver days of late ticks."""
+
+import datetime as dt
+
+import pytest
+from conftest import rows
+from pyspark.sql import functions as F
+from test_batch import files
+from test_streaming import Run, tick
+
+from tickline import streaming
+from tickline.streaming import tiers
+
+START = dt.datetime(2024, 1, 1)
+DAY = 86400
+
+
+@pytest.fixture
+def run(spark, tmp_path):
+    return Run(spark, tmp_path / "run")
+
+
+def arrive(run, day, *messages, window="1 day"):
+    run.send(*messages)
+    run.bronze()
+    return streaming.run_silver_tiers(run.source("bronze"), f"{run.base}/tiers", f"{run.base}/c_tiers", window=window,
+                                      as_of=START + dt.timedelta(days=day))
+
+
+def keys(run):
+    return rows(run.table("tiers"), "coin_id", "event_timestamp")
+
+
+def test_late_copies_go_and_late_ticks_stay(run):
+    arrive(run, 1, tick("bitcoin", 0, 40_000.0), tick("bitcoin", 0, 40_001.0), tick("bitcoin", 60, 40_000.0))
+    arrive(run, 2, tick("bitcoin", DAY + 5, 40_000.0), tick("bitcoin", 60, 40_009.0))  # a copy in the state
+    arrive(run, 9, tick("bitcoin", 8 * DAY, 41_000.0))
+    arrive(run, 10, tick("bitcoin", 60, 40_010.0), tick("bitcoin", 61, 40_010.0), tick("bitcoin", 61, 40_010.0))  # long gone from it
+    arrive(run, 11, tick("bitcoin", DAY + 5, 1.0e9))  # no valid price
+    expected = sorted((("bitcoin", START + dt.timedelta(seconds=s)) for s in (0, 60, 61, DAY + 5, 8 * DAY)), key=repr)
+    assert keys(run) == expected
+    assert rows(run.table("tiers").filter("second(event_timestamp) = 0 AND minute(event_timestamp) = 1"), "price_usd") == [(40_000.0,)]
+
+
+def test_state_stays_bounded_and_nothing_is_dropped(run):
+    held, sent = [], []
+    for day in range(1, 13):
+        mine = [tick("bitcoin", DAY * day - 30 * k, 40_000.0) for k in range(1, 21)]
+        late = [sent[0]] if sent else []  # a copy of the very first tick, every day
+        query = arrive(run, day, *mine, *late, tick("bitcoin", day, 40_000.0))  # and a tick from the first day
+        sent += mine
+        progress = [p for p in query.recentProgress if p["stateOperators"]]
+        held.append(progress[-1]["stateOperators"][0]["numRowsTotal"])
+        assert streaming.late_rows(query) == 0
+    assert max(held) <= 22 * 4 and held[-1] <= max(held[:5])
+    assert len(keys(run)) == len(set(keys(run))) == 12 * 21
+
+
+def test_a_retried_batch_adds_nothing(run, monkeypatch):
+    write = tiers.write_batch_idempotent
+
+    def dies(*args):
+        write(*args)
+        raise RuntimeError("lost")
+
+    monkeypatch.setattr(tiers, "write_batch_idempotent", dies)
+    with pytest.raises(Exception, match="lost"):
+        arrive(run, 5, tick("bitcoin", 0, 40_000.0), tick("bitcoin", 60, 40_000.0))
+    before = files(f"{run.base}/tiers")
+    monkeypatch.undo()
+    arrive(run, 6, tick("bitcoin", 60, 40_000.0), tick("bitcoin", 120, 40_000.0))
+    assert before and before <= files(f"{run.base}/tiers")  # a stream over silver sees no file twice
+    assert len(keys(run)) == len(set(keys(run))) == 3
+
+
+def test_only_days_of_late_ticks_are_read(run, spark):
+    for day in range(1, 6):
+        arrive(run, day, tick("bitcoin", DAY * day - 60, 40_000.0))
+    stored = run.table("tiers")
+    batch = stored.filter("date = DATE '2024-01-02'").drop("batch_id").withColumn("__late", F.lit(True))
+    found = tiers.new_ticks(batch, stored)
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters" in plan and "2024-01-02" in plan and "2024-01-03" not in plan
+    assert found.isEmpty()
+    on_time = tiers.new_ticks(batch.withColumn("__late", F.lit(False)), stored)
+    assert on_time.count() == 1 and "Anti" not in on_time._jdf.queryExecution().executedPlan().toString()
+
+
+def test_null_event_times_and_empty_batches(run, spark):
+    arrive(run, 1, tick("bitcoin", 0, -1.0))  # nothing valid
+    arrive(run, 2, '{"symbol": "bitcoin", "price": 40000.0, "volume": 1.0}', tick("bitcoin", 5, 40_000.0))
+    arrive(run, 9, tick("bitcoin", 5, 40_000.0))
+    assert keys(run) == [("bitcoin", START + dt.timedelta(seconds=5))]

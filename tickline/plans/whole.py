@@ -296,6 +296,21 @@ def stream_dedup_late(spark, sf_dir):
     return Q._drained(streaming.dedup(ticks).select("coin_id", "timestamp", "event_timestamp"))
 
 
+@query(Q._MESSAGES + Q._UNIQUE)
+def stream_dedup_tiers(spark, sf_dir):
+    """Four arrivals days apart, the last days first, and all ticks once more at the end; state of one day of arrivals."""
+    use_rocksdb(spark)
+    base = shared_dir(spark, "tiers")
+    parts = X.slices(spark, sf_dir)
+    for k, part in enumerate([*reversed(parts), X.table(spark, sf_dir, "events")]):
+        Q._twice(X.messages_of(part)).write.mode("append").text(f"{base}/landed")
+        messages = sources.tick_stream(spark, "files", f"{base}/landed")
+        arrived = F.lit(X.AS_OF).cast("timestamp") + F.make_dt_interval(F.lit(3 * k))
+        streaming.run_silver_tiers(silver.parse_ticks(messages), f"{base}/silver", f"{base}/checkpoint",
+                                   bounds={}, as_of=arrived)
+    return sources.read_table(spark, f"{base}/silver").select("coin_id", "timestamp", "event_timestamp")
+
+
 def _gold_of(spark, parts, mode: str, fold: bool = False) -> tuple[str, str]:
     """Each part a run from messages to gold; (gold root, silver table)."""
     use_rocksdb(spark)

@@ -18,10 +18,11 @@ from tickline.streaming.layers import (
     run_silver,
     silver_stream,
 )
+from tickline.streaming.tiers import dedup_tiers, run_silver_tiers
 
 __all__ = [
-    "bronze_stream", "check_rows", "collapse_copies", "daily_trends_stream", "daily_trends_upsert", "dedup", "fold_batches", "gold_fanout", "late_rows",
+    "bronze_stream", "check_rows", "collapse_copies", "daily_trends_stream", "daily_trends_upsert", "dedup", "dedup_tiers", "fold_batches", "gold_fanout", "late_rows",
     "read_daily_trends",
-    "read_performance", "read_snapshot", "replay_checkpoint", "run_bronze", "run_silver",
+    "read_performance", "read_snapshot", "replay_checkpoint", "run_bronze", "run_silver", "run_silver_tiers",
     "silver_stream",
 ]
