@@ -12,8 +12,10 @@ the k-th best is known. Rows whose coarse score is so near it that the dropped
 bits could matter are then scored exactly.
 
 Blocks hold at most `block_rows` rows and give k rows per query; the k best of
-those are the result. Queries go round in passes of at most `pass_queries`
-(broadcast: a bounded size), each against all blocks; there is no cross join.
+those are the result. The queries are written once and cut by their place into
+passes of at most `pass_queries` (broadcast: a bounded size, also where rows
+repeat), each against all blocks. A pass's result is written and its broadcast
+dropped before the next pass begins; there is no cross join.
 
 Vectors that are null, or hold null or non-finite components, and rows with a
 null id take no part; nor do empty vectors. Only vectors of the query's length
@@ -24,14 +26,16 @@ Scores are computed in 64 bits; values that could exceed them raise an error.
 
 from __future__ import annotations
 
-import math
 from functools import reduce
 
 import numpy as np
 import pyarrow as pa
+from pyspark import Broadcast
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from tickline.llm.common import written
+
 _ALL = np.uint64(0xFFFFFFFFFFFFFFFF)
 
 
@@ -162,13 +166,10 @@ def search(df: DataFrame, is_query: Column, k: int = 10, id_col: str = "vec_id",
     """query_id, rank (from 1), vec_id and score of the k best rows for each query row."""
     rows = df.select(F.col(f"`{id_col}`").cast("long").alias("id"),
                      F.col(f"`{vector_col}`").cast("array<double>").alias("vector"), is_query.alias("is_query")).where("id is not null")
-    asked = rows.where("is_query").select("id", "vector")
-    passes = max(1, math.ceil(asked.count() / pass_queries))
     spark = df.sparkSession
+    asked = written(rows.where("is_query").select("id", "vector", F.monotonically_increasing_id().alias("place")), "queries")
 
-    def searched(queries: list[tuple[int, np.ndarray]]) -> DataFrame:
-        shared = spark.sparkContext.broadcast(queries)
-
+    def searched(shared: Broadcast) -> DataFrame:
         def block(ids, columns):
             column = pa.chunked_array(columns)
             ids = np.concatenate(ids)
@@ -199,11 +200,29 @@ def search(df: DataFrame, is_query: Column, k: int = 10, id_col: str = "vec_id",
         return rows.select("id", "vector").mapInArrow(run, "number long, query_id long, vec_id long, score long")
 
     found = []
-    for number in range(passes):
-        mine = asked.where(F.pmod(F.xxhash64("id", "vector"), F.lit(passes)) == number).toArrow()
-        queries = [(mine.column(0)[int(row)].as_py(), vector) for at, values in scaled(mine.column(1), scale)
-                   for row, vector in zip(at, values, strict=True)]
-        found.append(searched(queries).withColumn("pass", F.lit(number)))
-    ranked = reduce(DataFrame.union, found).withColumn("rank", F.row_number().over(
-        Window.partitionBy("pass", "number").orderBy(F.desc("score"), "vec_id")))
-    return ranked.where(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")
+    for low, high in _passes(asked, pass_queries):
+        mine = asked.where((F.col("place") >= low) & (F.col("place") < high)).select("id", "vector").toArrow()
+        shared = spark.sparkContext.broadcast(
+            [(mine.column(0)[int(row)].as_py(), vector) for at, values in scaled(mine.column(1), scale)
+             for row, vector in zip(at, values, strict=True)])
+        ranked = searched(shared).withColumn("rank", F.row_number().over(
+            Window.partitionBy("number").orderBy(F.desc("score"), "vec_id")))
+        found.append(written(ranked.where(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score"), "found"))
+        shared.destroy()
+    return reduce(DataFrame.union, found)
+
+
+def _passes(asked: DataFrame, most: int) -> list[tuple[int, int]]:
+    """Ranges of places with at most `most` queries each. A place is a partition's
+    number and a row's number in it, so counts by partition tell where to cut."""
+    part = F.shiftrightunsigned("place", 33).alias("part")
+    counts = sorted(tuple(r) for r in asked.groupBy(part).count().collect())
+    cuts, held = [0], 0
+    for number, count in counts:
+        at = 0
+        while held + count - at > most:
+            at += most - held
+            cuts.append((number << 33) + at)
+            held = 0
+        held += count - at
+    return list(zip(cuts, [*cuts[1:], 1 << 62], strict=True))
