@@ -105,6 +105,47 @@ def test_edited_trees_equal_whole_encoding(text, edits):
     assert [x for a, _ in tree.leaves for x in a] == [len(p) for p in vocabulary.pattern.findall(tree.text)]
 
 
+def test_stored_trees_take_edits_and_encode_nothing_else(spark, tmp_path):
+    """Two rounds of edits on written trees; the texts are only encoded when they are planted."""
+    calls = []
+
+    class Counting:
+        def __init__(self, real):
+            self.pattern, self.encoding, self.real = real.pattern, real.encoding, real
+
+        def count(self, pretoken):
+            calls.append(pretoken)
+            return self.real.count(pretoken)
+
+    vocabulary = Counting(load(RANKS))
+    text = "one two  three, four 55 six\n" * 400
+    tree = recount.Tree(text, vocabulary)
+    assert len(calls) == tree.pretokens > 1000
+    for at in (0, 5000, len(text)):
+        calls.clear()
+        tree = recount.Tree(tree.text, vocabulary, tree.even_leaves())
+        tree.edit(at, 3, "new word ")
+        assert 0 < len(calls) < 12
+        assert tree.tokens == len(vocabulary.encoding.encode_ordinary(tree.text))
+    tree.edit(0, 0, "many " * 1000)  # a leaf that grows is cut again
+    leaves = tree.even_leaves()
+    assert max(len(a) for a, _ in leaves) <= 2 * recount.LEAF
+    assert recount.Tree(tree.text, vocabulary, leaves).tokens == tree.tokens
+
+    docs = spark.createDataFrame([(1, text, "clash"), (2, None, "clash"), (3, "", None), (None, "a b", None), (1, text, "clash")],
+                                 "doc_id long, text string, tree string")
+    path = str(tmp_path / "trees")
+    recount.plant(docs, RANKS).write.parquet(path)
+    edit = F.array(F.struct(F.lit(1).alias("start"), F.lit(2).alias("removed"), F.lit("xyz ").alias("inserted")))
+    first = recount.recount(spark.read.parquet(path), edit, RANKS, tree_col="tree")
+    first.select("doc_id", F.col("edited").alias("text"), "tree", "n_after").write.parquet(path + "2")
+    again = recount.recount(spark.read.parquet(path + "2").withColumnRenamed("n_after", "n_first"), edit, RANKS, tree_col="tree").collect()
+    assert len(again) == 5
+    for r in again:
+        assert r.n_before == r.n_first and r.n_encoded < 10
+        assert r.n_after == len(load(RANKS).encoding.encode_ordinary(r.edited))
+
+
 def test_recount_edges(odd, nothing):
     edit = F.array(F.struct(F.lit(2).alias("start"), F.lit(1).alias("removed"), F.lit("new ").alias("inserted")))
     got = recount.recount(odd.withColumn("n_after", F.lit("clash")), edit, RANKS)
@@ -513,3 +554,13 @@ def test_long_candidates_are_found_and_redacted(spark, table, prose):
     clean = {r.doc_id: r.text for r in pii.redact(docs, trees).collect()}
     assert all(k not in clean[i] and "<secret>" in clean[i] for i, k in keys.items())
     assert trees.cut["secret"] < 2
+
+
+def test_passes_of_a_search_are_bounded_where_queries_repeat(table):
+    df = table([(100, [0.5, 0.25], 1)] * 50 + [(k, [k / 64, 0.5], 1) for k in range(1, 40)], "vec_id long, embedding array<float>, score int")
+    asked = df.where("vec_id % 100 = 0").repartition(3).withColumn("place", F.monotonically_increasing_id())
+    cuts = bitslices._passes(asked, 8)
+    counts = [asked.where((F.col("place") >= low) & (F.col("place") < high)).count() for low, high in cuts]
+    assert sum(counts) == 50 and max(counts) <= 8 and len(cuts) == 7
+    got = bitslices.search(df, F.col("vec_id") % 100 == 0, k=2, pass_queries=8).collect()
+    assert len(got) == 50 * 2 and {(r.query_id, r.rank, r.vec_id) for r in got} == {(100, 1, 39), (100, 2, 38)}

@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tickline.llm import audit, bitslices, decontaminate, langid, merkle, nearcopies, ngrams, ordering, pieces, pii, recount, secrets, warc
-from tickline.llm.common import fold, table
+from tickline.llm.common import fold, table, written
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -102,7 +102,9 @@ def op1_bit_slices(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op2_recount(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
-    counted = recount.recount(docs, recount.sample_edits(), public_tokenizers.path("byte_bpe_50k.tiktoken"))
+    vocabulary = public_tokenizers.path("byte_bpe_50k.tiktoken")
+    trees = written(recount.plant(docs, vocabulary), "trees")
+    counted = recount.recount(trees, recount.sample_edits(), vocabulary, tree_col="tree")
     return counted.select("doc_id", "n_before", "n_after", "n_pretokens", "n_encoded",
                           F.sha2(F.coalesce("edited", F.lit("")), 256).alias("edited_sha256"))
 

@@ -9,7 +9,13 @@ stops at the first new boundary that is an old boundary behind the edit, since
 from there on the pattern sees the same text. Only the leaves in between are
 replaced, and sums are renewed along their paths to the root.
 
-Null texts are empty. Starts and lengths out of range are moved into the text;
+`plant` encodes every text once and gives its leaves as a column, to be written
+with the text. `recount` takes such a table and encodes what edits touch, nothing
+else; it gives the renewed leaves back, so that further edits can follow.
+
+Null texts are empty, an empty text has one empty leaf, and a very long text has
+more leaves. An empty table gives an empty one; columns of the input that are
+named like a result are replaced. Starts and lengths out of range are moved into the text;
 a null edit list, a null edit and a null insertion change nothing; other nulls
 in an edit count as 0. Rows are handled one by one, so repeated rows and null
 ids stay.
@@ -30,16 +36,22 @@ LEAF = 64  # pre-tokens in a leaf at first
 _EDIT = T.StructType([T.StructField("start", T.IntegerType()), T.StructField("removed", T.IntegerType()),
                       T.StructField("inserted", T.StringType())])
 
+_LEAVES = T.ArrayType(T.StructType([T.StructField("lengths", T.ArrayType(T.IntegerType())),
+                                    T.StructField("counts", T.ArrayType(T.IntegerType()))]))
+
 
 class Tree:
     """Sums of characters and tokens over a document's pre-tokens."""
 
-    def __init__(self, text: str, vocabulary: BytePairs):
+    def __init__(self, text: str, vocabulary: BytePairs, leaves: list[tuple[list[int], list[int]]] | None = None):
+        """From the leaves that a former tree of this text had; without them all of it is encoded."""
         self.text, self.vocabulary = text, vocabulary
-        pretokens = vocabulary.pattern.findall(text)
-        lengths, counts = [*map(len, pretokens)], [*map(vocabulary.count, pretokens)]
-        self.leaves = [(lengths[i:i + LEAF], counts[i:i + LEAF]) for i in range(0, len(pretokens), LEAF)] or [([], [])]
-        self.pretokens, self.encoded = len(pretokens), 0
+        if leaves is None:
+            pretokens = vocabulary.pattern.findall(text)
+            lengths, counts = [*map(len, pretokens)], [*map(vocabulary.count, pretokens)]
+            leaves = [(lengths[i:i + LEAF], counts[i:i + LEAF]) for i in range(0, len(pretokens), LEAF)]
+        self.leaves = leaves or [([], [])]
+        self.pretokens, self.encoded = sum(len(a) for a, _ in self.leaves), 0
         size = 1
         while size < len(self.leaves):
             size *= 2
@@ -52,6 +64,13 @@ class Tree:
             levels.append(level)
         self.nodes = np.concatenate([np.zeros((1, 2), np.int64), *reversed(levels)])  # children of i: 2i, 2i + 1
 
+    def even_leaves(self) -> list[tuple[list[int], list[int]]]:
+        """The leaves, cut anew so that none is empty or has outgrown its size."""
+        if all(0 < len(a) <= 2 * LEAF for a, _ in self.leaves):
+            return self.leaves
+        lengths, counts = ([x for leaf in self.leaves for x in leaf[i]] for i in (0, 1))
+        return [(lengths[i:i + LEAF], counts[i:i + LEAF]) for i in range(0, len(lengths), LEAF)] or [([], [])]
+
     @property
     def tokens(self) -> int:
         return int(self.nodes[1, 1])
@@ -128,34 +147,56 @@ class Tree:
             self._renew(i)
 
 
-def recount(df: DataFrame, edits: Column, vocabulary_path: str, text_col: str = "text") -> DataFrame:
-    """`df` with edited (the text after all edits), n_before, n_after (tokens),
-    n_pretokens (after) and n_encoded (pre-tokens encoded anew by the edits).
+def plant(df: DataFrame, vocabulary_path: str, text_col: str = "text") -> DataFrame:
+    """`df` with `tree`, the leaves of every text's tree. One pass, no shuffle."""
+    def make():
+        vocabulary = load(vocabulary_path)
+
+        def run(texts):
+            return [[_stored(Tree(text or "", vocabulary).leaves) for text in texts]]
+        return run
+
+    return map_texts(df, text_col, T.StructType([T.StructField("tree", _LEAVES)]), make)
+
+
+def _stored(leaves: list[tuple[list[int], list[int]]]) -> list[dict[str, list[int]]]:
+    return [{"lengths": lengths, "counts": counts} for lengths, counts in leaves]
+
+
+def recount(df: DataFrame, edits: Column, vocabulary_path: str, text_col: str = "text",
+            tree_col: str | None = None) -> DataFrame:
+    """`df` with edited (the text after all
+    edits), n_before, n_after (tokens), n_pretokens (after), n_encoded (pre-tokens
+    encoded anew by the edits) and the renewed tree.
 
-    `edits` is an array of (start, removed, inserted), applied in order.
-    One pass, no shuffle.
+    `edits` is an array of (start, removed, inserted), applied in order. `tree_col`
+    names the leaves that `plant`, or a former call, gave for the text; without it
+    every text is encoded first. To edit further, take `edited` as the text and
+    `tree` as its leaves. One pass, no shuffle.
     """
     results = T.StructType([T.StructField("edited", T.StringType()), T.StructField("n_before", T.LongType()),
                             T.StructField("n_after", T.LongType()), T.StructField("n_pretokens", T.LongType()),
-                            T.StructField("n_encoded", T.LongType())])
+                            T.StructField("n_encoded", T.LongType()), T.StructField("tree", _LEAVES)])
 
     def make():
         vocabulary = load(vocabulary_path)
 
-        def run(texts, changes):
+        def run(texts, changes, trees):
             rows = []
-            for text, edits in zip(texts, changes, strict=True):
-                tree = Tree(text or "", vocabulary)
+            for text, edits, leaves in zip(texts, changes, trees, strict=True):
+                tree = Tree(text or "", vocabulary, leaves and [(leaf["lengths"], leaf["counts"]) for leaf in leaves])
                 before = tree.tokens
                 for edit in edits or ():
                     if edit is not None:
                         tree.edit(edit["start"] or 0, edit["removed"] or 0, edit["inserted"] or "")
-                rows.append((None if text is None and not edits else tree.text, before, tree.tokens, tree.pretokens, tree.encoded))
-            return [list(x) for x in zip(*rows, strict=True)] or [[]] * 5
+                rows.append((None if text is None and not edits else tree.text, before, tree.tokens, tree.pretokens,
+                             tree.encoded, _stored(tree.even_leaves())))
+            return [list(x) for x in zip(*rows, strict=True)] or [[]] * 6
         return run
 
-    return map_texts(df.withColumn("__edits", edits.cast(T.ArrayType(_EDIT))), text_col, results, make,
-                     more=("__edits",)).drop("__edits")
+    held = F.lit(None).cast(_LEAVES) if tree_col is None else F.col(f"`{tree_col}`")
+    return map_texts(df.withColumns({"__edits": edits.cast(T.ArrayType(_EDIT)), "__leaves": held}), text_col, results, make,
+                     more=("__edits", "__leaves")).drop("__edits", "__leaves")
 
 
 def sample_edits(id_col: str = "doc_id", text_col: str = "text", count: int = 3) -> Column:
