@@ -9,8 +9,8 @@ stops at the first new boundary that is an old boundary behind the edit, since
 from there on the pattern sees the same text. Only the leaves in between are
 replaced, and sums are renewed along their paths to the root.
 
-`plant` encodes every text once and gives its leaves as a column, to be written
-with the text. `recount` takes such a table and encodes what edits touch, nothing
+`plant` encodes every text once and gives its leaves, packed, as a column, to be
+written with the text. `recount` takes such a table and encodes what edits touch, nothing
 else; it gives the renewed leaves back, so that further edits can follow.
 
 Null texts are empty, an empty text has one empty leaf, and a very long text has
@@ -23,6 +23,8 @@ ids stay.
 
 from __future__ import annotations
 
+import zlib
+
 import numpy as np
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -36,9 +38,6 @@ LEAF = 64  # pre-tokens in a leaf at first
 _EDIT = T.StructType([T.StructField("start", T.IntegerType()), T.StructField("removed", T.IntegerType()),
                       T.StructField("inserted", T.StringType())])
 
-_LEAVES = T.ArrayType(T.StructType([T.StructField("lengths", T.ArrayType(T.IntegerType())),
-                                    T.StructField("counts", T.ArrayType(T.IntegerType()))]))
-
 
 class Tree:
     """Sums of characters and tokens over a document's pre-tokens."""
@@ -156,11 +155,21 @@ def plant(df: DataFrame, vocabulary_path: str, text_col: str = "text") -> DataFr
             return [[_stored(Tree(text or "", vocabulary).leaves) for text in texts]]
         return run
 
-    return map_texts(df, text_col, T.StructType([T.StructField("tree", _LEAVES)]), make)
+    return map_texts(df, text_col, T.StructType([T.StructField("tree", T.BinaryType())]), make)
+
+
+def _stored(leaves: list[tuple[list[int], list[int]]]) -> bytes:
+    """Leaves as bytes: their number and sizes, all lengths, all counts; small numbers pack well."""
+    numbers = np.array([len(leaves), *(len(a) for a, _ in leaves),
+                        *(x for a, _ in leaves for x in a), *(x for _, b in leaves for x in b)], "<u4")
+    return zlib.compress(numbers.tobytes(), 1)
 
 
-def _stored(leaves: list[tuple[list[int], list[int]]]) -> list[dict[str, list[int]]]:
-    return [{"lengths": lengths, "counts": counts} for lengths, counts in leaves]
+def _leaves(stored: bytes) -> list[tuple[list[int], list[int]]]:
+    numbers = np.frombuffer(zlib.decompress(stored), "<u4")
+    ends = np.cumsum(numbers[1:1 + numbers[0]])[:-1]
+    lengths, counts = np.split(numbers[1 + numbers[0]:], 2)
+    return [(a.tolist(), b.tolist()) for a, b in zip(np.split(lengths, ends), np.split(counts, ends), strict=True)]
 
 
 def recount(df: DataFrame, edits: Column, vocabulary_path: str, text_col: str = "text",
@@ -176,7 +185,7 @@ def recount(df: DataFrame, edits: Column, vocabulary_path: str, text_col: str =
     """
     results = T.StructType([T.StructField("edited", T.StringType()), T.StructField("n_before", T.LongType()),
                             T.StructField("n_after", T.LongType()), T.StructField("n_pretokens", T.LongType()),
-                            T.StructField("n_encoded", T.LongType()), T.StructField("tree", _LEAVES)])
+                            T.StructField("n_encoded", T.LongType()), T.StructField("tree", T.BinaryType())])
 
     def make():
         vocabulary = load(vocabulary_path)
@@ -184,7 +193,7 @@ def recount(df: DataFrame, edits: Column, vocabulary_path: str, text_col: str =
         def run(texts, changes, trees):
             rows = []
             for text, edits, leaves in zip(texts, changes, trees, strict=True):
-                tree = Tree(text or "", vocabulary, leaves and [(leaf["lengths"], leaf["counts"]) for leaf in leaves])
+                tree = Tree(text or "", vocabulary, leaves and _leaves(leaves))
                 before = tree.tokens
                 for edit in edits or ():
                     if edit is not None:
@@ -194,7 +203,7 @@ def recount(df: DataFrame, edits: Column, vocabulary_path: str, text_col: str =
             return [list(x) for x in zip(*rows, strict=True)] or [[]] * 6
         return run
 
-    held = F.lit(None).cast(_LEAVES) if tree_col is None else F.col(f"`{tree_col}`")
+    held = F.lit(None).cast("binary") if tree_col is None else F.col(f"`{tree_col}`")
     return map_texts(df.withColumns({"__edits": edits.cast(T.ArrayType(_EDIT)), "__leaves": held}), text_col, results, make,
                      more=("__edits", "__leaves")).drop("__edits", "__leaves")
 
