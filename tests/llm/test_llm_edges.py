@@ -206,45 +206,54 @@ def test_scores_edges(odd, nothing):
 
 @pytest.mark.parametrize("order", [1, 2, 3])
 def test_next_token_probabilities_sum_to_one(order):
-    """Over the tokens seen and one unseen, after any context."""
+    """Over the tokens seen and one unseen, after any context, as the walks' scores tell."""
     train = ["a b a b c", "a c", "b b a"]
-    weight = {(k, c): 0.3 + 0.1 * k for k in (1, 2) for c in range(5)}
     for context in ("a", "b", "a b", "c c", "unseen", ""):
         probes = [*(f"{context} {w}" for w in ("a", "b", "c", "unseen")), context]
-        texts = [*train, *probes]
+        texts = [*train, *probes, *(f"{p} after" for p in probes[:4])]
         counted = ngrams.Counted(ngrams.Text(texts, order), 60)
-        totals = counted.counts(np.array([True] * 3 + [False] * 5))
-        n, v = 13, 4
+        totals = counted.counts(np.array([True] * 3 + [False] * (len(texts) - 3)))
         assert sum(totals[0][counted.place[0][:13]] > 0) == 13
-        times, contexts = counted.at_places(totals)
-        p = (times[0] + 1) / (n + v + 1)
-        for k in range(1, order):
-            group = np.minimum(ngrams._class(contexts[k]), 4)
-            scale = np.array([weight[k, c] for c in range(5)])[group]
-            p = np.where(contexts[k] > 0, scale * p + (1 - scale) * times[k] / np.maximum(contexts[k], 1), p)
-        length = len(context.split())
-        at = counted.text.starts[3:] + length
-        assert p[at].sum() == pytest.approx(1.0)
+        automaton = ngrams.Automaton(counted, totals, [0.7, 1.9][:order - 1], 13 + 4 + 1)
+        token, inside, steps = counted.text.token, counted.text.inside, []
+        at = counted.text.starts[3:8] + len(context.split())
+        for place in at:  # the probability of the token at a place: what its step adds
+            state, score = automaton.first, 0.0
+            for i in range(place - inside[place], place + 1):
+                score, word = 0.0, counted.place[0][i]
+                while True:
+                    arc = np.searchsorted(automaton.arc, state * automaton.words + word)
+                    if automaton.arc[arc] == state * automaton.words + word:
+                        score, state = score + automaton.label[arc], automaton.target[arc]
+                        break
+                    if not state:
+                        score += automaton.label[-1]
+                        break
+                    score, state = score + automaton.give[state], automaton.fail[state]
+            steps.append(10 ** score)
+        assert len(set(token[at])) == 5
+        assert sum(steps) == pytest.approx(1.0)
 
 
 def plain_scores(texts, learn, order):
-    """Weights from the counts of all texts, and each text's score: n-grams as tuples, one token after the other."""
+    """Masses from the counts of all texts, and each text's score: n-grams as tuples, one token after the other."""
     counts = collections.Counter()
-    padded = [["<s>", *t.split(), "</s>"] for t in texts]
+    padded = [["<s>", *(t or "").split(), "</s>"] for t in texts]
     for words, use in zip(padded, learn, strict=True):
         if use:
             counts["<s>",] += 1
             counts.update(tuple(words[i - k + 1:i + 1]) for i in range(1, len(words)) for k in range(1, order + 1) if k <= i + 1)
     n = sum(c for g, c in counts.items() if len(g) == 1 and g != ("<s>",))
     whole = n + sum(len(g) == 1 and g != ("<s>",) for g in counts) + 1
-    logs = collections.defaultdict(lambda: np.zeros(len(ngrams.GRID)))
-    for words, use in zip(padded, learn, strict=True):
-        for i in range(1, len(words) if use else 0):
-            for k in range(1, min(order - 1, i) + 1):
-                seen, times = counts[tuple(words[i - k:i])], counts[tuple(words[i - k:i + 1])]
-                share = (times - 1) / max(seen - 1, 1)
-                logs[k, seen.bit_length()] += np.log(share * (1 - ngrams.GRID) + counts[words[i],] / whole * ngrams.GRID)
-    weight = {at: float(ngrams.GRID[np.argmax(x)]) for at, x in logs.items()}
+    mass = [0.0]
+    for k in range(1, order):
+        once = sum(len(g) == k + 1 and c == 1 for g, c in counts.items())
+        held = [c for g, c in counts.items() if len(g) == k and g[-1] != "</s>"]
+        low, high = 1e-6, 1e12
+        while high / low > 1 + 1e-13:
+            m = (low * high) ** 0.5
+            low, high = (m, high) if sum(c * m / (c - 1 + m) for c in held) < once else (low, m)
+        mass.append((low * high) ** 0.5 if once and held else 1.0)
     scores = []
     for words in padded:
         total = 0.0
@@ -252,8 +261,7 @@ def plain_scores(texts, learn, order):
             p = (counts[words[i],] + 1) / whole
             for k in range(1, min(order - 1, i) + 1):
                 if seen := counts[tuple(words[i - k:i])]:
-                    scale = weight[k, seen.bit_length()]
-                    p = scale * p + (1 - scale) * counts[tuple(words[i - k:i + 1])] / seen
+                    p = (counts[tuple(words[i - k:i + 1])] + mass[k] * p) / (seen + mass[k])
             total += np.log10(p)
         scores.append(total)
     return scores
@@ -286,7 +294,9 @@ def test_walks_take_arcs_and_fail_as_plain_lookups_do(order):
         training = np.arange(len(texts)) < learn
         counted = ngrams.Counted(ngrams.Text(texts, order), 60)
         totals = counted.counts(training)
-        automaton = ngrams.Automaton(counted, totals)
+        tally = [row for k in range(order) for row in ngrams.tallied(k, counted.keys[k], totals[k])]
+        single = totals[0][(totals[0] > 0) & (counted.keys[0] != ngrams.BEGIN)]
+        automaton = ngrams.Automaton(counted, totals, ngrams.masses(tally, order), int(single.sum()) + len(single) + 1)
         assert (np.diff(automaton.arc) > 0).all()
         depth = np.zeros(len(automaton.fail), int)
         for s in range(1, len(depth)):
@@ -294,8 +304,25 @@ def test_walks_take_arcs_and_fail_as_plain_lookups_do(order):
             while at:
                 at, depth[s] = automaton.fail[at], depth[s] + 1
         assert depth.max() <= order - 1
-        for walked, looked in zip(automaton.walk(), counted.at_places(totals)[0], strict=True):
-            assert (walked == looked).all()
+        assert automaton.walk() == pytest.approx(plain_scores(texts, training, order), rel=1e-9)
+
+
+def test_failures_weigh_in_on_the_way():
+    """Without the failures' weights a walk over unseen continuations scores too high."""
+    counted = ngrams.Counted(ngrams.Text(["a b a c", "b a", "c a b c"], 3), 60)
+    automaton = ngrams.Automaton(counted, counted.counts(np.array([True, True, False])), [0.5, 2.0], 7 + 4 + 1)
+    scores = automaton.walk()
+    assert (automaton.give[1:] < 0).all() and automaton.give[0] == 0
+    automaton.give[:] = 0
+    free = automaton.walk()
+    assert free[:2] == pytest.approx(scores[:2], rel=1e-12) and free[2] > scores[2]
+
+
+def test_masses_are_bounded_without_and_with_odd_counts():
+    assert ngrams.masses([], 3) == [1.0, 1.0] and ngrams.masses([], 1) == []
+    tally = ngrams.tallied(0, np.array([ngrams.END, ngrams.BEGIN, 50, 60], np.uint64), np.array([4, 4, 300, 0]))
+    assert tally == [(1, False, 4, 1, 4), (1, False, ngrams.EXACT + 9, 1, 300), (1, True, 4, 1, 4)]
+    assert ngrams.masses([*tally, (2, False, 1, 304, 304)], 2)[0] > 1e9  # every n-gram occurs once
 
 
 # 5. Near copies

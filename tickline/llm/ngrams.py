@@ -4,31 +4,36 @@ Tokens are words (runs of anything but ASCII blanks, A-Z in lower case) and one
 end per text. The model is an n-gram model of `order`, interpolated with the next
 shorter context:
 
-    p(w | u) = (1 - l) * c(u w) / c(u) + l * p(w | u')
+    p(w | u) = (c(u w) + m p(w | u')) / (c(u) + m)
 
 with u' the context u without its first token, and (c(w) + 1) / (N + V + 1)
 under the empty context; it sums to one over the V tokens seen and one unseen.
-The weight l depends on the order and on how often the context occurs (a class
-per power of two). It is the value on a grid under which all training tokens
-are likeliest, each left out of the corpus counts in turn.
+A context never seen gives way to the next shorter one. The mass m of an order
+is the one under which as many training tokens are expected to fail, each left
+out of the counts in turn, as would do so, namely those whose n-gram occurs once:
+
+    sum over contexts u of c(u) * m / (c(u) - 1 + m) = n-grams that occur once
+
+(beyond 255 the counts of contexts are taken as the mean of their power of two).
 Each block builds an automaton: a state per context seen, sorted arcs (state,
-word) with the n-gram's counts, and a failure link from u to u'. All texts of
-a block advance together, one token a step, each with its state: take the arc
-of the next token if there is one, else fail and try again. A failure weighs l,
-an arc its share; as l is learned from the walked counts themselves, walks note
-counts, and the weights are put on them afterwards.
+word) that carry log p(w | u), and a failure link from u to u' that weighs
+log(m / (c(u) + m)). All texts of a block advance together, one token a step,
+each with its state and its score: take the arc of the next token if there is
+one, else add the failure's weight and try again from the shorter context.
 
 How it is spread out. Documents are dealt into blocks by a hash. A block needs
 the counts of its own n-grams only. It sends their hashes and its own training
 counts, sorted and packed, to buckets of the hash space; a bucket adds the
 counts up over all blocks and sends each block the totals of what it asked for,
-in the order asked. The counts at each place of a text are then written. One
-pass over them adds up the weights' likelihoods (a table of fixed size), and
-with the weights known a second one gives the scores. No table of n-grams is held whole anywhere, n-grams come
+in the order asked. Buckets also tally how many n-grams occur how often, a table
+of fixed size, which gives the masses m; they come to the blocks beside the
+totals, before any walk. No table of n-grams is held whole anywhere, n-grams come
 from all training texts, and both blocks and buckets have a bounded size
 whatever the corpus: their number grows. A frequent n-gram is one entry per
-block, as any other. Words have 64-bit hashes, longer n-grams ones of
-`MARGIN` bits more than the count of tokens needs.
+block, as any other. Rows are dealt by their places, so repeated rows spread over
+blocks; let `df` be a written table, whose rows keep their places in a retry. Words have
+64-bit hashes, longer n-grams ones of `MARGIN` bits more than the count of tokens
+needs (at most 64), so about one in 2 ** (MARGIN - 1) shares another's count.
 
 Null and empty texts are one end token. Ids are not used but for the fold, so
 repeated and null ids are rows like others. Without training rows, N = V = 0.
@@ -43,16 +48,15 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
-from tickline.llm.common import shared_dir, slices
+from tickline.llm.common import slices
 
 BLOCK_BYTES = 6 << 20       # of text in a block
 SLICE_BYTES = 4 << 20       # of text whose words are counted at once
 BUCKET_GRAMS = 1_000_000    # n-grams that a bucket gets, about, over the number of blocks that ask for each
-MARGIN = 22
+MARGIN = 23                 # the lowest bit tells n-grams that end a text
 END, BEGIN = 1, 2
-GRID = np.array([0.005, 0.02, 0.05, 0.1, 0.2, 0.35, 0.5, 0.65, 0.8, 0.9, 0.96, 0.99, 0.999])
+EXACT = 255                 # counts of contexts up to here are tallied one by one
 _ODD = np.uint64(0x9E3779B97F4A7C15)
 
 
@@ -97,7 +101,8 @@ class Text:
             context[self.inside == 0] = BEGIN
             longer = _extended(context, self.token)
             at = np.flatnonzero(self.inside >= k - 2)
-            found.append((at, longer[at] >> np.uint64(64 - bits)))
+            hashed = longer[at] >> np.uint64(64 - bits)
+            found.append((at, hashed & ~np.uint64(1) | (self.token[at] == END)))
         return found
 
 
@@ -129,23 +134,16 @@ class Counted:
         return [np.bincount(p, weights=w, minlength=len(k)).astype(np.int64)
                 for p, w, k in zip(self.place, weights, self.keys, strict=True)]
 
-    def at_places(self, totals: list[np.ndarray]):
-        """Per order: each place's count of its n-gram and of that one's context (0: none), looked up without a walk."""
-        n = len(self.text.token)
-        times = [totals[0][self.place[0][:n]]]
-        begin = totals[0][self.place[0][n]] if len(self.place[0]) > n else 0
-        for k in range(1, len(totals)):
-            here = np.zeros(n, np.int64)
-            here[self.at[k]] = totals[k][self.place[k]]
-            times.append(here)
-        return times, _contexts(times, self.text.inside, begin)
-
 
 class Automaton:
-    """The part of the model that a block's texts can reach. State 0 is the empty context."""
+    """The part of the model that a block's texts can reach. State 0 is the empty context.
 
-    def __init__(self, counted: Counted, totals: list[np.ndarray]):
-        self.text, self.order = counted.text, counted.text.order
+    `totals` are the corpus counts of the block's n-grams, `masses` the m of each
+    context length from 1 on, `whole` N + V + 1.
+    """
+
+    def __init__(self, counted: Counted, totals: list[np.ndarray], masses: list[float], whole: int):
+        self.text, order = counted.text, counted.text.order
         n = len(self.text.token)
         self.word, self.words = counted.place[0][:n], len(counted.keys[0])
         at = [np.arange(n), *counted.at[1:]]
@@ -154,99 +152,108 @@ class Automaton:
             gram.append(np.zeros(n, np.int64))
             gram[-1][where] = place[:len(where)]
         state, states = [], 1  # by length: each n-gram's state
-        for k in range(self.order - 1):
+        for k in range(order - 1):
             seen = totals[k] > 0
             state.append(np.where(seen, states + np.cumsum(seen) - 1, 0))
             states += int(seen.sum())
-        self.first = int(state[0][counted.place[0][n]]) if state and len(self.text.ends) else 0
+        begin = counted.place[0][n] if len(self.text.ends) else 0
+        self.first = int(state[0][begin]) if state and len(self.text.ends) else 0
         self.fail = np.zeros(states, np.int64)
+        self.give = np.zeros(states)  # what a failure weighs
+        for k, numbers in enumerate(state):
+            seen = totals[k] > 0
+            self.give[numbers[seen]] = np.log10(masses[k] / (totals[k][seen] + masses[k]))
+
+        def context(k: int, example: np.ndarray, values: np.ndarray) -> np.ndarray:
+            """Of `values` by n-grams of length k, those of what stands before places."""
+            before = values[gram[k - 1][example - 1]]
+            return np.where(self.text.inside[example] == 0, values[begin], before) if k == 1 else before
+
         arcs, targets, labels = [], [], []
         for k, (where, place) in enumerate(zip(at, counted.place, strict=True)):
             example = np.full(len(counted.keys[k]), -1)
             example[place[:len(where)]] = where  # a place that ends this n-gram
             number = np.flatnonzero((totals[k] > 0) & (example >= 0))
             example = example[number]
-            source = np.zeros(len(number), np.int64)
-            if k:
-                source = state[k - 1][gram[k - 1][example - 1]]
-                if k == 1:
-                    source[self.text.inside[example] == 0] = self.first
-            if k < self.order - 1:
+            source = context(k, example, state[k - 1]) if k else np.zeros(len(number), np.int64)
+            if k < order - 1:
                 target = state[k][number]
                 if k:
                     self.fail[target] = state[k - 1][gram[k - 1][example]]
             else:
                 target = state[k - 1][gram[k - 1][example]] if k else source
+            p = (totals[0][self.word[example]] + 1) / whole
+            for j in range(1, k + 1):
+                p = (totals[j][gram[j][example]] + masses[j - 1] * p) / (context(j, example, totals[j - 1]) + masses[j - 1])
             arcs.append(source * self.words + self.word[example])
             targets.append(target)
-            labels.append(np.stack([totals[j][gram[j][example]] if j <= k else np.zeros(len(number), np.int64)
-                                    for j in range(self.order)], axis=1))
+            labels.append(np.log10(p))
         arcs = np.concatenate(arcs)
         by = np.argsort(arcs)
-        # A last arc that no place takes stands for a token without one.
+        # A last arc that no place takes stands for a token never seen.
         self.arc = np.append(arcs[by], np.iinfo(np.int64).max)
         self.target = np.append(np.concatenate(targets)[by], 0)
-        self.label = np.concatenate([*labels, np.zeros((1, self.order), np.int64)])[np.append(by, len(by))]
+        self.label = np.append(np.concatenate(labels)[by], -math.log10(whole))
 
-    def walk(self) -> list[np.ndarray]:
-        """Per order: each place's count of its n-gram (0: the walk failed to a shorter context)."""
+    def walk(self) -> np.ndarray:
+        """Each text's log10 probability, added up on one way through it."""
         starts, lengths = self.text.starts, self.text.ends - self.text.starts
         by = np.argsort(-lengths, kind="stable")
         starts, lengths = starts[by], lengths[by]
         state = np.full(len(starts), self.first)
-        taken = np.zeros(len(self.text.token), np.int64)
+        score = np.zeros(len(starts))
         none = len(self.arc) - 1
         steps = int(lengths.max(initial=0))
         for step, active in enumerate(np.searchsorted(-lengths, -np.arange(steps), side="left").tolist()):
-            at = starts[:active] + step
-            word, here = self.word[at], state[:active]
-            found = np.searchsorted(self.arc, here * self.words + word)
-            miss = np.flatnonzero(self.arc[found] != here * self.words + word)
+            word, here = self.word[starts[:active] + step], state[:active]
+            want = here * self.words + word
+            found = np.searchsorted(self.arc, want)
+            miss = np.flatnonzero(self.arc[found] != want)
             while len(miss):
                 found[miss] = none
                 miss = miss[here[miss] > 0]
+                score[miss] += self.give[here[miss]]
                 here[miss] = self.fail[here[miss]]
                 want = here[miss] * self.words + word[miss]
                 again = np.searchsorted(self.arc, want)
                 found[miss] = again
                 miss = miss[self.arc[again] != want]
             state[:active] = self.target[found]
-            taken[at] = found
-        return list(self.label[taken].T)
-
-
-def _contexts(times: list[np.ndarray], inside: np.ndarray, begin: int) -> list[np.ndarray]:
-    """Per order: the count of each place's context, which ends one place before."""
-    contexts = [np.zeros(0)]
-    for k in range(1, len(times)):
-        # The k tokens before the place; at most one of them is the begin mark.
-        context = np.concatenate([[0], times[k - 1][:-1]])[:len(inside)]
-        context[inside < k - 1] = 0
-        if k == 1:
-            context[inside == 0] = begin
-        contexts.append(context)
-    return contexts
-
-
-def _class(counts: np.ndarray) -> np.ndarray:
-    return np.frexp(counts.astype(float))[1]
-
-
-def likelihoods(times: list[np.ndarray], contexts: list[np.ndarray], whole: int) -> dict[tuple[int, int], np.ndarray]:
-    """By order and context class: the sum of log p of training tokens under
-    each weight of the grid, each token left out of the counts."""
-    sums: dict[tuple[int, int], np.ndarray] = {}
-    for k in range(1, len(times)):
-        here = (contexts[k] > 0) & (times[k] > 0)
-        if not here.any():
-            continue
-        share = (times[k][here] - 1) / np.maximum(contexts[k][here] - 1, 1)
-        single, group = times[0][here] / whole, _class(contexts[k][here])
-        for g, weight in enumerate(GRID):
-            logs = np.bincount(group, weights=np.log(share * (1 - weight) + single * weight))
-            for c in np.unique(group):
-                sums.setdefault((k, int(c)), np.zeros(len(GRID)))[g] += logs[c]
-    return sums
+            score[:active] += self.label[found]
+        scores = np.zeros(len(starts))
+        scores[by] = score
+        return scores
+
+
+def tallied(k: int, keys: np.ndarray, totals: np.ndarray) -> list[tuple[int, bool, int, int, int]]:
+    """Of distinct n-grams of length k + 1: that length, whether they end a text, a class
+    of their count, and how many they are and how often they occur."""
+    keys, totals = keys[totals > 0], totals[totals > 0]
+    group = np.where(totals <= EXACT, totals, EXACT + np.frexp(totals.astype(float))[1])
+    ended = keys == END if k == 0 else keys & np.uint64(1) == 1
+    rows = []
+    for last in (False, True):
+        times = np.bincount(group[ended == last])
+        sums = np.bincount(group[ended == last], weights=totals[ended == last])
+        rows += [(k + 1, last, int(g), int(times[g]), int(sums[g])) for g in np.flatnonzero(times)]
+    return rows
+
+
+def masses(tally: list[tuple[int, bool, int, int, int]], order: int) -> list[float]:
+    """The mass m of each context length from 1 on; 1 where nothing was learned."""
+    found = []
+    for k in range(1, order):
+        once = sum(times for length, _, group, times, _ in tally if length == k + 1 and group == 1)
+        held = [(total, total / times) for length, last, _, times, total in tally if length == k and not last]
+        low, high = math.log(1e-6), math.log(1e12)
+        for _ in range(100):
+            m = math.exp((low + high) / 2)
+            if sum(total * m / (mean - 1 + m) for total, mean in held) < once:
+                low = math.log(m)
+            else:
+                high = math.log(m)
+        found.append(math.exp((low + high) / 2) if once and held else 1.0)
+    return found
 
 
 def _split(keys: np.ndarray, bits: int, buckets: int) -> tuple[np.ndarray, np.ndarray]:
@@ -294,38 +301,6 @@ def _counts(data: bytes) -> np.ndarray:
     return np.frombuffer(data, f"<u{data[:1].decode()}", offset=1).astype(np.int64)
 
 
-class Places:
-    """Counts at the places of some written texts, one after the other."""
-
-    def __init__(self, batch: pa.RecordBatch, order: int, begin: int):
-        columns = [[_counts(x) for x in batch.column(f"times_{k}").to_pylist()] for k in range(order)]
-        self.times = [np.concatenate([np.zeros(0, np.int64), *column]) for column in columns]
-        self.lengths = np.array([len(x) for x in columns[0]], np.int64)
-        self.starts = np.cumsum(self.lengths) - self.lengths
-        inside = np.arange(len(self.times[0])) - np.repeat(self.starts, self.lengths)
-        self.contexts = _contexts(self.times, inside, begin)
-
-
-def weighed(places: Places, n: int, v: int, weight: dict[tuple[int, int], float]):
-    """Per text: tokens, known tokens, base score and the model's score.
-
-    Puts the weights on the walked counts: where a context was seen, the failure
-    weight comes in, and the arc's share if there was an arc.
-    """
-    times, contexts = places.times, places.contexts
-    p = (times[0] + 1) / (n + v + 1)
-    base = np.log10(p)
-    for k in range(1, len(times)):
-        seen = contexts[k] > 0
-        group = _class(contexts[k])
-        known = sorted(c for o, c in weight if o == k)
-        scale = np.array([weight[k, min(known, key=lambda x: abs(x - c))] if known else 0.5 for c in range(65)])[group]
-        p = np.where(seen, scale * p + (1 - scale) * times[k] / np.maximum(contexts[k], 1), p)
-    sums = [np.add.reduceat(x, places.starts) if len(places.starts) else np.zeros(0)
-            for x in ((times[0] > 0).astype(np.int64), base, np.log10(p))]
-    return places.lengths, *sums
-
-
 def score(df: DataFrame, training: Column, text_col: str = "text", keep: tuple[str, ...] = ("doc_id",),
           order: int = 2) -> DataFrame:
     """`keep`, training, n_tokens, n_known, train_tokens (N), base_score and score of every row."""
@@ -371,7 +346,7 @@ def score(df: DataFrame, training: Column, text_col: str = "text", keep: tuple[s
     bits = min(64, max(n, 1).bit_length() + MARGIN)
     widths = [64, *[bits] * (order - 1)]
 
-    dealt = rows.withColumn("block", F.pmod(F.xxhash64("text", *keep), F.lit(blocks)).cast("int"))
+    dealt = rows.withColumn("block", F.pmod(F.xxhash64(F.monotonically_increasing_id()), F.lit(blocks)).cast("int"))
 
     def counted_of(table: pa.Table) -> Counted:
         return Counted(Text(table.column("text").to_pylist(), order), bits)
@@ -390,16 +365,34 @@ def score(df: DataFrame, training: Column, text_col: str = "text", keep: tuple[s
                          pa.array(keys, pa.binary()), pa.array(times, pa.binary())],
                         names=["k", "bucket", "block", "keys", "counts"])
 
-    def answer(table: pa.Table) -> pa.Table:
+    def added(table: pa.Table):
+        """A bucket's distinct keys and their totals; where each asked key is among them; edges of the rows."""
         keys = [_unpacked(x) for x in table.column("keys").to_pylist()]
         edges = np.cumsum([0, *map(len, keys)])
-        _, place = np.unique(np.concatenate(keys), return_inverse=True)
+        distinct, place = np.unique(np.concatenate(keys), return_inverse=True)
         counts = np.concatenate([_counts(x) for x in table.column("counts").to_pylist()])
-        totals = np.bincount(place, weights=counts).astype(np.int64)[place]
+        return distinct, np.bincount(place, weights=counts).astype(np.int64), place, edges
+
+    def answer(table: pa.Table) -> pa.Table:
+        _, totals, place, edges = added(table)
+        totals = totals[place]
         return pa.table([table.column("block"), table.column("k"), table.column("bucket"),
                          pa.array([_small(totals[i:j]) for i, j in zip(edges[:-1], edges[1:], strict=True)], pa.binary())],
                         names=["block", "k", "bucket", "totals"])
 
+    counters = ["length", "ended", "class", "times", "total"]
+
+    def tally(table: pa.Table) -> pa.Table:
+        keys, totals, _, _ = added(table)
+        found = tallied(table.column("k")[0].as_py(), keys, totals)
+        kinds = (pa.int32(), pa.bool_(), pa.int32(), pa.int64(), pa.int64())
+        return pa.table([pa.array([r[i] for r in found], kind) for i, kind in enumerate(kinds)], names=counters)
+
+    def solve(batches):
+        table = pa.Table.from_batches(batches, pa.schema([(c, pa.int64()) for c in counters]))
+        found = [tuple(r[c] for c in counters) for r in table.to_pylist()]
+        yield pa.RecordBatch.from_arrays([pa.array([masses(found, order)], pa.list_(pa.float64()))], names=["masses"])
+
     kept = [f for f in df.schema if f.name in keep]
     schema = ", ".join([*(f"`{f.name}` {f.dataType.simpleString()}" for f in kept), "training boolean", "n_tokens long",
                         "n_known long", "train_tokens long", "base_score double", "score double"])
@@ -410,44 +403,21 @@ def score(df: DataFrame, training: Column, text_col: str = "text", keep: tuple[s
         totals = [np.concatenate([np.zeros(0, np.int64), *(_counts(x) for o, x in zip(of, parts, strict=True) if o == k)])
                   for k in range(order)]
         counted = counted_of(texts)
-        times = Automaton(counted, totals).walk()
-        edges = list(zip(counted.text.starts.tolist(), counted.text.ends.tolist(), strict=True))
+        text, times = counted.text, totals[0][counted.place[0][:len(counted.text.token)]]
+        learned = answers.column("masses")[0].as_py() or masses([], order)  # null: no training rows
+        made = Automaton(counted, totals, learned, n + v + 1).walk()
+        known, base = (np.add.reduceat(x, text.starts) for x in ((times > 0).astype(np.int64), np.log10((times + 1) / (n + v + 1))))
         return pa.table([*(texts.column(f.name) for f in kept), texts.column("training"),
-                         *(pa.array([_small(x[i:j]) for i, j in edges], pa.binary()) for x in times)],
-                        names=[*(f.name for f in kept), "training", *(f"times_{k}" for k in range(order))])
-
-    def tune(batches):
-        sums: dict[tuple[int, int], np.ndarray] = {}
-        for batch in slices(batches, 0, SLICE_BYTES):
-            places = Places(batch, order, begin)
-            for at, logs in likelihoods(places.times, places.contexts, n + v + 1).items():
-                sums[at] = sums.get(at, 0) + logs
-        for (k, c), logs in sums.items():
-            yield pa.RecordBatch.from_arrays(
-                [pa.array([k] * len(GRID), pa.int32()), pa.array([c] * len(GRID), pa.int32()),
-                 pa.array(np.arange(len(GRID)), pa.int32()), pa.array(logs)], names=["k", "class", "step", "log_p"])
-
-    def read(batches):
-        first = len(kept) + 1
-        for batch in slices(batches, first, SLICE_BYTES):
-            made = weighed(Places(batch, order, begin), n, v, weight)
-            yield pa.RecordBatch.from_arrays(
-                [*batch.columns[:first], pa.array(made[0], pa.int64()), pa.array(made[1], pa.int64()),
-                 pa.array([n] * batch.num_rows, pa.int64()), pa.array(made[2], pa.float64()), pa.array(made[3], pa.float64())],
-                names=[*(f.name for f in kept), "training", "n_tokens", "n_known", "train_tokens", "base_score", "score"])
+                         pa.array(text.ends - text.starts, pa.int64()), pa.array(known, pa.int64()),
+                         pa.array([n] * len(made), pa.int64()), pa.array(base, pa.float64()), pa.array(made, pa.float64())],
+                        names=[*(f.name for f in kept), "training", "n_tokens", "n_known", "train_tokens", "base_score", "score"])
 
     asked = dealt.groupBy("block").applyInArrow(ask, "k int, bucket long, block int, keys binary, counts binary")
-    answered = asked.groupBy("k", "bucket").applyInArrow(answer, "block int, k int, bucket long, totals binary")
-    fields = T.StructType([*kept, T.StructField("training", T.BooleanType()),
-                           *(T.StructField(f"times_{k}", T.BinaryType()) for k in range(order))])
-    path = shared_dir(df.sparkSession, "ngram_places")
-    dealt.groupBy("block").cogroup(answered.groupBy("block")).applyInArrow(place, fields) \
-        .write.option("compression", "zstd").parquet(path)
-    placed = df.sparkSession.read.schema(fields).parquet(path)
-    best: dict[tuple[int, int], tuple[float, float]] = {}
-    for k, c, step, log_p in (placed.where("training").select(*(f"times_{k}" for k in range(order)))
-                              .mapInArrow(tune, "k int, class int, step int, log_p double")
-                              .groupBy("k", "class", "step").agg(F.sum("log_p")).collect() if order > 1 else []):
-        best[k, c] = max(best.get((k, c), (-math.inf, 1.0)), (log_p, float(GRID[step])))
-    weight = {at: w for at, (_, w) in best.items()}
-    return placed.mapInArrow(read, schema)
+    buckets_of = asked.groupBy("k", "bucket")
+    answered = buckets_of.applyInArrow(answer, "block int, k int, bucket long, totals binary")
+    # Both read one exchange; what reaches the one task is a table of fixed size.
+    solved = (buckets_of.applyInArrow(tally, "length int, ended boolean, class int, times long, total long")
+              .groupBy("length", "ended", "class").agg(F.sum("times").alias("times"), F.sum("total").alias("total"))
+              .select(*(F.col(c).cast("long") for c in counters)).repartition(1).mapInArrow(solve, "masses array<double>"))
+    answered = answered.withColumn("masses", solved.scalar())
+    return dealt.groupBy("block").cogroup(answered.groupBy("block")).applyInArrow(place, schema)
