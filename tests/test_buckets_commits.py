@@ -1,5 +1,6 @@
 """Bucketed upserts, commits over several tables, folds, and bounded revision of late ticks."""
 
+import datetime as dt
 import glob
 import os
 
@@ -8,7 +9,8 @@ from conftest import rows
 from pyspark.sql import functions as F
 from test_streaming import EPOCH, Run, check_merged, tick
 
-from tickline import sinks, streaming
+from tickline import sinks, sources, streaming
+from tickline.operators import quality, reports
 from tickline.operators.nearby import SEGMENT, nearby
 from tickline.sinks import commits
 from tickline.streaming import gold as stream_gold
@@ -255,3 +257,66 @@ def test_a_stream_reports_its_checks_by_micro_batch(run, spark):
                                  rules={"dear": F.col("price_usd") > 5, "nameless": F.col("symbol").isNull()})
     got = streaming.check_rows(query)
     assert rows(got.groupBy("check").agg(F.sum("metric"))) == sorted([("rows", 2), ("dear", 1), ("nameless", 0)], key=repr)
+
+
+# -- ranks of folded days, newest days ------------------------------------------
+
+def scanned(df):
+    """Days in the paths of a plan's files."""
+    return {part for file in df.inputFiles() for part in file.split("/") if part.startswith("date=")}
+
+
+def test_folded_days_keep_their_ranks_until_a_batch_touches_them(run, spark):
+    run.send(*[tick(c, 86400 * d + 60 * m, p + m) for d in range(6) for m in (0, 1) for c, p in (("a", 1.0), ("b", 2.0), ("c", 2.0))])
+    root = run.gold("merge")
+    unfolded = rows(streaming.read_performance(spark, root, "merge"))
+    assert streaming.fold_batches(spark, root, "merge") == 0
+    folded = streaming.read_performance(spark, root, "merge")
+    assert "Window" not in folded._jdf.queryExecution().executedPlan().toString()
+    assert rows(folded) == unfolded
+    # Another column to rank by is ranked on reading.
+    other = streaming.read_performance(spark, root, "merge", rank_by="volume_24h")
+    assert "Window" in other._jdf.queryExecution().executedPlan().toString()
+
+    run.send(tick("d", 86400 * 2, 9.0), tick("a", 86400 * 5 + 120, 4.0))  # late into the third day, on time in the last
+    run.gold("merge")
+    merged = streaming.read_performance(spark, root, "merge")
+    top = merged._jdf.queryExecution().optimizedPlan()
+    closed, opened = (top.children().apply(k).toString() for k in (0, 1))
+    assert top.nodeName() == "Union" and "Window" not in closed and "Window" in opened
+    late = merged.filter("coin_id = 'd'").select("event_timestamp")
+    third = merged.join(late, "event_timestamp").collect()
+    assert sorted((r.coin_id, r.market_cap_rank) for r in third) == [("a", 4), ("b", 2), ("c", 2), ("d", 1)]
+    check_merged(run, spark, root)
+    assert streaming.fold_batches(spark, root, "merge") == 1
+    check_merged(run, spark, root)
+    assert set(commits.state(spark, root).notes[stream_gold.PERFORMANCE].values()) == {"price_usd"}
+
+
+@pytest.mark.parametrize("mode", ["merge", "append"])
+def test_recent_rows_of_a_stream_read_the_last_days_only(run, spark, mode):
+    run.send(*[tick(c, 3600 * h, 1.0 + h % 5) for h in range(24 * 8) for c in ("a", "b")])
+    root = run.gold(mode)
+    for _ in range(2):
+        whole = reports.performance_recent(streaming.read_performance(spark, root, mode), 2, ("x", "y"))
+        recent = streaming.recent_performance(spark, root, 2, mode, names=("x", "y"))
+        assert rows(recent) == rows(whole) and recent.count() == 2 * 3
+        assert len(scanned(whole)) == 8 and len(scanned(recent)) == 1
+        streaming.fold_batches(spark, root, mode)
+    nothing = streaming.read_performance(spark, root, mode, first_day=dt.date(2100, 1, 1))
+    assert nothing.count() == 0 and nothing.columns == streaming.read_performance(spark, root, mode).columns
+
+
+def test_newest_day_gives_the_freshness_of_the_table(spark, tmp_path):
+    path = f"{tmp_path}/days"
+    moments = spark.range(24 * 30).selectExpr("timestamp'2024-01-01 00:00:00' + make_interval(0, 0, 0, 0, id) AS event_timestamp")
+    dated = moments.withColumn("date", F.to_date("event_timestamp"))
+    odd = spark.sql("SELECT CAST(null AS timestamp) AS event_timestamp, d AS date FROM VALUES (DATE'2024-03-01'), (null) AS t(d)")
+    sinks.overwrite_table(dated.unionByName(odd), path, ["date"])
+    as_of = dt.datetime(2024, 1, 31)
+    newest = sources.read_newest_day(spark, path)
+    assert scanned(newest) == {"date=2024-01-30"}  # a later day holds no moment
+    assert rows(quality.freshness(newest, as_of=as_of)) == rows(quality.freshness(sources.read_table(spark, path), as_of=as_of))
+    empty = f"{tmp_path}/empty"
+    sinks.overwrite_table(odd, empty, ["date"])
+    assert [r.status for r in quality.freshness(sources.read_newest_day(spark, empty), as_of=as_of).collect()] == ["error"]

@@ -311,11 +311,11 @@ def stream_dedup_tiers(spark, sf_dir):
     return sources.read_table(spark, f"{base}/silver").select("coin_id", "timestamp", "event_timestamp")
 
 
-def _gold_of(spark, parts, mode: str, fold: bool = False) -> tuple[str, str]:
-    """Each part a run from messages to gold; (gold root, silver table)."""
+def _gold_of(spark, parts, mode: str, fold: bool = False, fold_first: int = 0) -> tuple[str, str]:
+    """Each part a run from messages to gold, the first `fold_first` or all of them folded; (gold root, silver table)."""
     use_rocksdb(spark)
     base = shared_dir(spark, "slices")
-    for part in parts:
+    for k, part in enumerate(parts):
         X.messages_of(part).write.mode("append").text(f"{base}/landed")
         messages = sources.tick_stream(spark, "files", f"{base}/landed")
         streaming.run_bronze(messages, f"{base}/bronze", f"{base}/c1")
@@ -325,7 +325,7 @@ def _gold_of(spark, parts, mode: str, fold: bool = False) -> tuple[str, str]:
         ticks = spark.read.parquet(f"{base}/silver")
         streaming.gold_fanout(sources.stream_table(spark, f"{base}/silver", ticks.schema),
                               f"{base}/gold", f"{base}/c3", mode=mode)
-        if fold:
+        if fold or k < fold_first:
             streaming.fold_batches(spark, f"{base}/gold", mode)
             commits.drop_folded(spark, f"{base}/gold", [PERFORMANCE, DAILY])
     return f"{base}/gold", f"{base}/silver"
@@ -346,6 +346,33 @@ def stream_folded(spark, sf_dir):
     return streaming.read_performance(spark, _gold_of(spark, (first, last, middle), "merge", fold=True)[0], "merge")
 
 
+@query(Q._STREAM_PERFORMANCE)
+def stream_ranks_of_folded_days(spark, sf_dir):
+    """Two runs folded with ranks, then late days: the days that they leave alone are not ranked again."""
+    first, middle, last = X.slices(spark, sf_dir)
+    root, _ = _gold_of(spark, (first, last, middle), "merge", fold_first=2)
+    return streaming.read_performance(spark, root, "merge")
+
+
+@query(f"""WITH w AS ({Q._STREAM_PERFORMANCE}) SELECT event_timestamp, coin_id, round(price_usd, 4) AS price_usd,
+  round(moving_avg_price, 4) AS rolling_avg_price, round(price_volatility, 6) AS calculated_volatility_index, market_cap_rank
+FROM w WHERE event_timestamp >= (SELECT max(event_timestamp) FROM w) - INTERVAL 24 HOUR""")
+def stream_recent_performance(spark, sf_dir):
+    """The last day's rows of a merged stream, found by folder names; the days before are not read."""
+    first, middle, last = X.slices(spark, sf_dir)
+    return streaming.recent_performance(spark, _gold_of(spark, (first, last, middle), "merge", fold_first=2)[0], 24, "merge")
+
+
+@query(f"""WITH {X.SQL_TICKS}, newest AS (SELECT max(event_timestamp) AS latest_ts FROM ticks)
+SELECT latest_ts, (epoch(TIMESTAMP '{X.AS_OF}') - epoch(latest_ts)) / 60 AS delay_mins,
+  CASE WHEN (epoch(TIMESTAMP '{X.AS_OF}') - epoch(latest_ts)) / 60 > 30 THEN 'fail' ELSE 'pass' END AS status FROM newest""")
+def freshness_newest_day(spark, sf_dir):
+    """Freshness of a stored table from its newest day alone."""
+    path = shared_dir(spark, "fresh")
+    sinks.overwrite_table(X.ticks(spark, sf_dir), path, ["date"])
+    return quality.freshness(sources.read_newest_day(spark, path), as_of=Q.as_of())
+
+
 @query(Q._STREAM_DAILY)
 def stream_daily_folded(spark, sf_dir):
     """Daily partials folded after each of three runs."""

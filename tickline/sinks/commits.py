@@ -4,7 +4,8 @@ Writers fill folders first and commit them last, with one small file that names
 the folders of every table. Readers take committed folders only, so they see
 the tables of a micro-batch together or not at all. A fold names, per table and
 day, the folder that holds everything up to its number; batches and folds up to
-there are read no more.
+there are read no more. It may note something of a day's folder by table, such as
+the column that its rows are ranked by.
 
     <root>/_commits/b000000000012.json   folders of micro-batch 12, by table
     <root>/_commits/f000000000012.json   folders of all up to 12, by table and day
@@ -14,13 +15,14 @@ from __future__ import annotations
 
 import json
 from collections.abc import Mapping, Sequence
-from dataclasses import dataclass
+from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, SparkSession
 
 from tickline.sinks.files import delete, names, read_text, write_text
 
 _FOLDER = "_commits"
+_NOTES = "_notes"
 
 
 @dataclass(frozen=True)
@@ -31,6 +33,7 @@ class State:
     folded: int
     base: dict[str, dict[str, str]]  # table -> day -> folder
     batches: dict[int, dict[str, list[str]]]  # number -> table -> folders
+    notes: dict[str, dict[str, str]] = field(default_factory=dict)  # table -> day -> note on its folded folder
 
     def folders(self, table: str) -> list[str]:
         return [*self.base.get(table, {}).values(),
@@ -51,7 +54,19 @@ def state(spark: SparkSession, root: str) -> State | None:
     base = json.loads(read_text(spark, _file(root, "f", folded))) if folded >= 0 else {}
     since = sorted(int(n[1:]) for n in found if n[0] == "b" and int(n[1:]) > folded)
     batches = {n: json.loads(read_text(spark, _file(root, "b", n))) for n in since}
-    return State(max([folded, *since]), folded, base, batches)
+    notes = base.pop(_NOTES, {})
+    return State(max([folded, *since]), folded, base, batches, notes)
+
+
+def folders_by_day(spark: SparkSession, root: str, held: State, table: str) -> dict[str, tuple[str | None, list[str]]]:
+    """Per day (the folder name `date=...`): the folded folder and those of batches since; from names alone."""
+    days = {day: (folder, []) for day, folder in held.base.get(table, {}).items()}
+    for number in sorted(held.batches):
+        for folder in held.batches[number].get(table, []):
+            for day in names(spark, f"{root.rstrip('/')}/{table}/{folder}"):
+                if day.startswith("date="):
+                    days.setdefault(day, (None, []))[1].append(f"{folder}/{day}")
+    return days
 
 
 def is_committed(spark: SparkSession, root: str, number: int) -> bool:
@@ -64,8 +79,10 @@ def commit(spark: SparkSession, root: str, number: int, tables: Mapping[str, Seq
     write_text(spark, _file(root, "b", number), json.dumps({t: list(f) for t, f in tables.items()}))
 
 
-def commit_fold(spark: SparkSession, root: str, number: int, base: Mapping[str, Mapping[str, str]]) -> None:
-    write_text(spark, _file(root, "f", number), json.dumps({t: dict(f) for t, f in base.items()}))
+def commit_fold(spark: SparkSession, root: str, number: int, base: Mapping[str, Mapping[str, str]],
+                notes: Mapping[str, Mapping[str, str]] | None = None) -> None:
+    named = {t: dict(f) for t, f in base.items()} | {_NOTES: {t: dict(f) for t, f in (notes or {}).items()}}
+    write_text(spark, _file(root, "f", number), json.dumps(named))
 
 
 def read_folders(spark: SparkSession, root: str, table: str, folders: Sequence[str]) -> DataFrame:

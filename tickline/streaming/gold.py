@@ -10,11 +10,14 @@ Both are safe to retry: all writes of a micro-batch are named by its id, and the
 three tables become visible together, by one commit after the last write. These
 ids start again under a new checkpoint, so a root takes micro-batches of one
 query only; a replay fills a new root, or replaces the old one if asked to.
-`fold_batches` gathers the folders of many micro-batches into one per day.
+`fold_batches` gathers the folders of many micro-batches into one per day. In
+merge mode it ranks the moments of those days once; a day is ranked on reading
+again only if a later micro-batch touched it.
 """
 
 from __future__ import annotations
 
+import datetime as dt
 from collections.abc import Callable, Sequence
 
 from pyspark import StorageLevel
@@ -22,7 +25,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from tickline.operators import gold
+from tickline.operators import gold, reports
 from tickline.operators.nearby import SEGMENT, nearby
 from tickline.operators.series import last_rows, over_series
 from tickline.operators.silver import SERIES
@@ -37,6 +40,7 @@ SNAPSHOT = "latest_snapshot"
 PERFORMANCE = "price_performance"
 DAILY = "daily_trends"
 _TAIL = "_rolling_tail"
+_DAY, _UNDATED = "date=", "date=_"  # days sort below the folder of rows without one
 
 
 def _append_all(batch: DataFrame, batch_id: int, root: str, order: Sequence[str], rows: int,
@@ -175,17 +179,68 @@ def read_snapshot(spark: SparkSession, root: str, mode: str = "append") -> DataF
 
 def read_performance(spark: SparkSession, root: str, mode: str = "append",
                      rank_by: str = "price_usd", order: Sequence[str] = ("timestamp",),
-                     keep_order: bool = False) -> DataFrame:
+                     keep_order: bool = False, first_day: dt.date | None = None) -> DataFrame:
     """`order` is the stream's own; in merge mode its columns tell rows apart and
-    are part of the result with keep_order=True, as checks of the keys need them."""
-    stored = read_committed(spark, root, PERFORMANCE)
+    are part of the result with keep_order=True, as checks of the keys need them.
+
+    With `first_day` older days (and rows without one) are left out; of a root with
+    commits their folders are not even listed by the scan. Days folded with ranks by
+    `rank_by` and not touched since are read as they are, without a window.
+    """
+    held = commits.state(spark, root)
+    closed: list[str] = []
+    if held is None or (mode == "append" and first_day is None):
+        stored = read_committed(spark, root, PERFORMANCE)
+    else:
+        known = commits.folders_by_day(spark, root, held, PERFORMANCE)
+        since = {day: f for day, f in known.items() if first_day is None or _DAY + str(first_day) <= day < _UNDATED}
+        ranked = held.notes.get(PERFORMANCE, {})
+        closed = [folder for day, (folder, later) in since.items()
+                  if mode == "merge" and folder and not later and ranked.get(day) == rank_by]
+        read = [f for folder, later in since.values() for f in [folder, *later] if f and f not in closed]
+        stored = commits.read_folders(spark, root, PERFORMANCE, read) if read else None
+        if not read and not closed:  # the columns alone
+            stored = read_committed(spark, root, PERFORMANCE).filter(F.lit(False))
+    if stored is not None and first_day is not None:
+        stored = stored.filter(F.col("date") >= F.lit(first_day))
     if mode == "append":
         return stored.drop("batch_id")
-    stored = _newest_rows(stored, list(dict.fromkeys(["event_timestamp", *order]))).drop("batch_id")
-    if not keep_order:
-        stored = stored.drop(*[c for c in order if c != "event_timestamp"])
-    columns = [c for c in stored.columns if c != "date"]
-    return gold.market_cap_rank(stored, rank_by).select(*columns, "market_cap_rank", "date")
+
+    def shaped(df: DataFrame, rank: bool) -> DataFrame:
+        df = df.withColumn("date", F.col("date").cast("date"))  # folders without any day give a string
+        if not keep_order:
+            df = df.drop(*[c for c in order if c != "event_timestamp"])
+        columns = [c for c in df.columns if c not in ("date", "market_cap_rank")]
+        return (gold.market_cap_rank(df, rank_by) if rank else df).select(*columns, "market_cap_rank", "date")
+
+    parts = []
+    if closed:
+        parts.append(shaped(commits.read_folders(spark, root, PERFORMANCE, closed).drop("batch_id"), False))
+    if stored is not None:
+        windows = list(dict.fromkeys(["event_timestamp", *order]))
+        parts.append(shaped(_newest_rows(stored, windows).drop("batch_id", "market_cap_rank"), True))
+    return parts[0] if len(parts) == 1 else parts[0].unionByName(parts[1])
+
+
+def recent_performance(spark: SparkSession, root: str, hours: int = 1, mode: str = "append",
+                       names: Sequence[str] = ("rolling_avg_price", "calculated_volatility_index"),
+                       **options) -> DataFrame:
+    """`reports.performance_recent` over a stream's table, from its last days only.
+
+    The newest day comes from the folders' names, the newest moment from that day,
+    so what is read does not grow with the table. `options` go to `read_performance`.
+    """
+    held = commits.state(spark, root)
+    days = commits.folders_by_day(spark, root, held, PERFORMANCE) if held else {}
+    first_day = None
+    for day in sorted((d for d in days if d < _UNDATED), reverse=True):
+        folder, later = days[day]
+        newest = F.max("event_timestamp")
+        first_day = (commits.read_folders(spark, root, PERFORMANCE, [f for f in [folder, *later] if f])
+                     .agg(F.to_date(newest - F.expr(f"INTERVAL {int(hours)} HOURS"))).first()[0])
+        if first_day is not None:
+            break
+    return reports.performance_recent(read_performance(spark, root, mode, first_day=first_day, **options), hours, names)
 
 
 def read_daily_trends(spark: SparkSession, root: str, mode: str = "append") -> DataFrame:
@@ -194,12 +249,12 @@ def read_daily_trends(spark: SparkSession, root: str, mode: str = "append") -> D
 
 
 def fold_batches(spark: SparkSession, root: str, mode: str = "append",
-                 order: Sequence[str] = ("timestamp",)) -> int | None:
+                 order: Sequence[str] = ("timestamp",), rank_by: str = "price_usd") -> int | None:
     """Gather all committed micro-batches into one folder per day and table.
 
     Days that no batch since the last fold touched keep their folder. In merge
     mode only the newest row of a key and one partial a day and instrument
-    stay. One commit makes the fold visible; a failed one leaves the batches as
+    stay, and rows are ranked by `rank_by` within their moment. One commit makes the fold visible; a failed one leaves the batches as
     they were. Returns the number folded up to, or None if there is nothing to
     fold. Run it between micro-batches; `commits.drop_folded` then deletes what
     it replaced.
@@ -209,7 +264,8 @@ def fold_batches(spark: SparkSession, root: str, mode: str = "append",
     if held is None or not held.batches:
         return None
     windows = list(dict.fromkeys(["event_timestamp", *order]))
-    fewer = {PERFORMANCE: lambda df: _newest_rows(df, windows).drop("batch_id"),
+    ranked = {table: dict(days) for table, days in held.notes.items()}
+    fewer = {PERFORMANCE: lambda df: gold.market_cap_rank(_newest_rows(df, windows).drop("batch_id", "market_cap_rank"), rank_by),
              DAILY: lambda df: gold.fold_daily_partials(df)} if mode == "merge" else {}
     base = {table: dict(days) for table, days in held.base.items()}
     for table in (PERFORMANCE, DAILY, *([SNAPSHOT] if mode == "append" else [])):
@@ -229,7 +285,9 @@ def fold_batches(spark: SparkSession, root: str, mode: str = "append",
         number = -(held.last + 1)
         write_batch_idempotent(rows, f"{root}/{table}", number, [] if table == SNAPSHOT else ["date"])
         known |= {day: f"batch_id={number}/{day}".rstrip("/") for day in by_day}
-    commits.commit_fold(spark, root, held.last, base)
+        if mode == "merge" and table == PERFORMANCE:
+            ranked.setdefault(table, {}).update({day: rank_by for day in by_day})
+    commits.commit_fold(spark, root, held.last, base, ranked)
     return held.last
 
 
