@@ -1,6 +1,7 @@
 """Nulls, empty and long texts, ties, repeated rows, empty tables and clashing names, per operator."""
 
 import collections
+import math
 import io
 import random
 import zipfile
@@ -553,6 +554,41 @@ def test_languages_reject_by_a_low_quantile(table, prose):
     assert not any(got[r[0]].rejected or got[r[0]].lang_pred != r[2] for r in rows)
 
 
+def test_languages_are_those_of_the_nearest_centroid(table, prose):
+    """Against one text and one centroid at a time: grams as strings, weights as sums."""
+    def grams(text):
+        runs = "".join(c.lower() if c.isalpha() else " " for c in text).split()
+        found = collections.Counter()
+        for run in runs:
+            padded = f" {run} "
+            found.update(padded[i:i + 2] for i in range(len(padded) - 1))
+            found.update(padded[i:i + 3] for i in range(len(padded) - 2))
+        return found
+
+    def dim(gram):
+        value = 0
+        for c in gram:
+            value = value << 21 | ord(c)
+        return (value * 0x9E3779B97F4A7C15 & (1 << 64) - 1) >> 64 - langid.DIMS.bit_length() + 1
+
+    german = "und der die das nicht ist ein eine mit auf von".split()
+    pick = random.Random(12)
+    mixed = [" ".join([prose(i, i % 30), *pick.choices(german, k=pick.randint(1, 30))]) for i in range(60)]
+    rows = [(i, prose(i, 60) if i % 2 else " ".join(pick.choices(german, k=60)), "en" if i % 2 else "de", "", 0) for i in range(120)]
+    model = langid.fit(table(rows, DOCS))
+    got = {r.doc_id: r for r in langid.identify(table([(i, t, "", "", 0) for i, t in enumerate(mixed)], DOCS), model).collect()}
+    for i, text in enumerate(mixed):
+        counts = collections.Counter()
+        for gram, n in grams(text).items():
+            counts[dim(gram)] += n
+        weights = {d: math.log1p(n) * float(model.idf[d]) for d, n in counts.items()}
+        norm = math.sqrt(sum(w * w for w in weights.values()))
+        cosines = sorted(((sum(w * float(c[d]) for d, w in weights.items()) / norm, name)
+                          for c, name in zip(model.centroids, model.languages, strict=True)), reverse=True)
+        assert got[i].score == pytest.approx(cosines[0][0], abs=1e-4)
+        assert cosines[0][0] - cosines[1][0] < 1e-4 or got[i].lang_pred == cosines[0][1]
+
+
 # Pipeline
 
 def test_pipeline_stages_on_odd_and_empty_documents(spark, odd, nothing, table, tmp_path):
