@@ -26,3 +26,8 @@ def events(spark, tmp_path_factory):
 def test_delays_count_every_event(spark, events):
     # One in 103 has a delay of -5 and one in 107 is repeated: none of these four.
     assert rows(QUERIES["delays_by_state"](spark, events), "coin_id", "rows", "moments_close") == [("click-0", 4, True)]
+
+
+def test_flag_of_every_event(spark, events):
+    assert rows(QUERIES["flag_every_tick"](spark, events), "event_id", "price_change_flag") == [
+        (1, "STABLE"), (2, "UP"), (3, "STABLE"), (4, "DOWN")]
