@@ -31,3 +31,8 @@ def test_delays_count_every_event(spark, events):
 def test_flag_of_every_event(spark, events):
     assert rows(QUERIES["flag_every_tick"](spark, events), "event_id", "price_change_flag") == [
         (1, "STABLE"), (2, "UP"), (3, "STABLE"), (4, "DOWN")]
+
+
+def test_move_of_every_event(spark, events):
+    assert set(rows(QUERIES["moves_every_tick"](spark, events), "price_usd", "prev_price")) == {
+        (10.0, None), (20.0, 10.0), (20.0, 20.0), (5.0, 20.0)}

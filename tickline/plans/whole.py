@@ -58,11 +58,10 @@ def flag_every_tick(spark, sf_dir):
 def moves_every_tick(spark, sf_dir):
     """Every tick's move; jumps are those above the limit."""
     return series.over_series(
-        every_tick(spark, sf_dir).select(*silver.SERIES, "event_timestamp", "price_usd"), silver.SERIES,
-        ["event_timestamp"], 1,
+        every_tick(spark, sf_dir).select(*silver.SERIES, *ORDER, "price_usd"), silver.SERIES, ORDER, 1,
         {"prev_price": lambda w: F.lag("price_usd").over(w),
          "pct_change": lambda w: F.abs(F.try_divide(F.col("price_usd") - F.lag("price_usd").over(w),
-                                                    F.lag("price_usd").over(w)))})
+                                                    F.lag("price_usd").over(w)))}).drop("event_id")
 
 
 @query(SQL_EVERY + Q._JUMPS + " SELECT coin_id, event_timestamp, price_usd, prev_price, pct_change FROM jumps")
