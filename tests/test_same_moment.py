@@ -36,3 +36,8 @@ def test_flag_of_every_event(spark, events):
 def test_move_of_every_event(spark, events):
     assert set(rows(QUERIES["moves_every_tick"](spark, events), "price_usd", "prev_price")) == {
         (10.0, None), (20.0, 10.0), (20.0, 20.0), (5.0, 20.0)}
+
+
+def test_performance_of_every_event(spark, events):
+    assert set(rows(QUERIES["performance_every_tick"](spark, events), "price_usd", "moving_avg_price", "market_cap_rank")) == {
+        (10.0, 10.0, 3), (20.0, 15.0, 1), (20.0, 16.6667, 1), (5.0, 13.75, 1)}
