@@ -41,3 +41,11 @@ def test_move_of_every_event(spark, events):
 def test_performance_of_every_event(spark, events):
     assert set(rows(QUERIES["performance_every_tick"](spark, events), "price_usd", "moving_avg_price", "market_cap_rank")) == {
         (10.0, 10.0, 3), (20.0, 15.0, 1), (20.0, 16.6667, 1), (5.0, 13.75, 1)}
+
+
+def test_daily_upsert_counts_a_message_once(spark, tmp_path):
+    path = f"{tmp_path}/events"
+    sent = [(n, T + dt.timedelta(seconds=s), 3, "click", price, '{"k": 1}') for n, s, price in ((1, 0, 10.0), (2, 0, 10.0), (3, 9, 20.0))]
+    spark.createDataFrame(sent, "event_id long, ts timestamp_ntz, user_id long, event_type string, value double, props string") \
+        .coalesce(1).write.parquet(f"{path}/events.parquet")
+    assert rows(QUERIES["stream_daily_upsert"](spark, path), "coin_id", "daily_avg_price", "record_count") == [("click-0", 15.0, 2)]

@@ -391,8 +391,8 @@ def stream_daily_upsert(spark, sf_dir):
     for part in X.slices(spark, sf_dir):
         X.messages_of(part).write.mode("append").text(f"{base}/landed")
         messages = sources.tick_stream(spark, "files", f"{base}/landed")
-        ticks = silver.valid_ticks(silver.parse_ticks(messages), {})
-        streaming.daily_trends_upsert(silver.clean_ticks(ticks, as_of=Q.as_of()), f"{base}/table", f"{base}/checkpoint")
+        ticks = streaming.silver_stream(streaming.bronze_stream(messages), {}, as_of=Q.as_of())
+        streaming.daily_trends_upsert(ticks, f"{base}/table", f"{base}/checkpoint")
     return sinks.read_buckets(spark, f"{base}/table")
 
 
