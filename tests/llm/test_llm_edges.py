@@ -627,3 +627,12 @@ def test_passes_of_a_search_are_bounded_where_queries_repeat(table):
     assert sum(counts) == 50 and max(counts) <= 8 and len(cuts) == 7
     got = bitslices.search(df, F.col("vec_id") % 100 == 0, k=2, pass_queries=8).collect()
     assert len(got) == 50 * 2 and {(r.query_id, r.rank, r.vec_id) for r in got} == {(100, 1, 39), (100, 2, 38)}
+
+
+def test_pii_learns_from_every_document(table, monkeypatch):
+    rows = [(i, f"call +1 (555) 010-{1000 + i} or 10.0.{i % 256}.9", "en", "a", 1) for i in range(6000)]
+    docs, made, written = table(rows, DOCS), [], pii.written
+    monkeypatch.setattr(pii, "written", lambda df, name: made.append(written(df, name)) or made[-1])
+    assert pii.fit(docs, rounds=1, depth=2) is not None
+    keys = docs.selectExpr("text", "xxhash64(cast(doc_id as string)) AS key").collect()
+    assert made[0].count() == sum(len(pii.training_rows(r.text, r.key)) for r in keys)

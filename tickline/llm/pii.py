@@ -6,13 +6,13 @@ method adds spans: generators with high recall propose overlapping candidates
 trees score each from its format and context, and those above a threshold per
 kind are added, the highest score first, where they overlap nothing chosen yet.
 
-Training needs no labelled table. In a bounded sample of documents, base spans
+Training needs no labelled table, and takes in all documents. In them base spans
 are positive, and so are copies of them rewritten in another format ("+1 (743)
 555-3824" as "743-555-3824", "a.b@c.org" as "a.b [at] c [dot] org"); quoted
 keys after words such as "token" are positive secrets. Candidates of no valid
 format are negative, as are random numbers put in place of base spans. The
-threshold of a kind is the lowest score at which the part of the sample that is
-kept back reaches `precision`; a kind without a candidate there has the threshold
+threshold of a kind is the lowest score at which the documents that are kept
+back, one in eight by a hash of the id, reach `precision`; a kind without a candidate there has the threshold
 that all kinds together reach it at.
 
 A null or empty text has no spans. Whole texts are read, in time linear in the
@@ -230,20 +230,17 @@ def training_rows(text: str, seed: int) -> list[tuple[list[float], float, str]]:
     return made
 
 
-def fit(df: DataFrame, text_col: str = "text", id_col: str = "doc_id", documents: int = 4000,
+def fit(df: DataFrame, text_col: str = "text", id_col: str = "doc_id",
         rounds: int = 20, depth: int = 4, precision: float = 0.99) -> Trees | None:
-    """Train on the candidates of about `documents` documents, picked by a hash of the id
-    (of the text, if it has none) among those with three digits or an @; None if there is no candidate.
+    """Train on the candidates of all documents with three digits or an @; None if there is no candidate.
 
-    The sample is bounded, so are the trees (`rounds` of `depth`) and what the
+    A hash of the id (of the text, if it has none) keeps some back. The candidates' features are
+    written once, a few numbers each. The trees are bounded (`rounds` of `depth`), and so is what the
     driver collects: tree nodes and the kept-back scores in 1,000 steps per kind.
     """
     text = F.col(f"`{text_col}`").cast("string")
     key = F.xxhash64(F.coalesce(F.col(f"`{id_col}`").cast("string"), text))
     rows = df.select(text.alias("text"), key.alias("key")).where("text rlike '[0-9]{3}|@'")
-    total = rows.count()
-    share = min(1.0, documents / max(total, 1))
-    rows = rows.where(F.col("key").bitwiseAND(F.lit((1 << 31) - 1)) < F.lit(share * (1 << 31)))
 
     def examples(batches):
         begin("tickline.llm.pii")
@@ -256,13 +253,13 @@ def fit(df: DataFrame, text_col: str = "text", id_col: str = "doc_id", documents
                     [pa.array(x, pa.list_(pa.float64())), pa.array(label), pa.array(kind), pa.array(part, pa.int32())],
                     names=["x", "label", "kind", "part"])
 
-    sample = written(rows.mapInArrow(examples, "x array<double>, label double, kind string, part int"), "pii_sample")
-    sample = sample.withColumn("features", array_to_vector("x"))
-    labels = sample.where("part <> 0").agg(F.count("*"), F.min("label"), F.max("label")).first()
+    made = written(rows.mapInArrow(examples, "x array<double>, label double, kind string, part int"), "pii_examples")
+    made = made.withColumn("features", array_to_vector("x"))
+    labels = made.where("part <> 0").agg(F.count("*"), F.min("label"), F.max("label")).first()
     if not labels[0] or labels[1] == labels[2]:
         return None
     gbt = GBTClassifier(maxIter=rounds, maxDepth=depth, stepSize=0.3, seed=7, maxBins=32, cacheNodeIds=False)
-    model = gbt.fit(sample.where("part <> 0"))
+    model = gbt.fit(made.where("part <> 0"))
     path = shared_dir(df.sparkSession, "pii_trees")
     model.save(path)
     nodes = df.sparkSession.read.parquet(f"{path}/data").select("treeID", "nodeData.*").collect()
@@ -282,7 +279,7 @@ def fit(df: DataFrame, text_col: str = "text", id_col: str = "doc_id", documents
             yield pa.RecordBatch.from_arrays([batch.column(1), batch.column(2), pa.array((score * 1000).astype(np.int32))],
                                              names=["label", "kind", "step"])
 
-    steps = (sample.where("part = 0").select("x", "label", "kind").mapInArrow(scored, "label double, kind string, step int")
+    steps = (made.where("part = 0").select("x", "label", "kind").mapInArrow(scored, "label double, kind string, step int")
              .groupBy("kind", "step").agg(F.sum("label"), F.count("*")).collect())
     for kind in KINDS:
         own = [s for s in steps if s[0] == kind] or steps
