@@ -589,6 +589,24 @@ def test_languages_are_those_of_the_nearest_centroid(table, prose):
         assert cosines[0][0] - cosines[1][0] < 1e-4 or got[i].lang_pred == cosines[0][1]
 
 
+def test_language_centroids_are_sums_of_all_rows(table, prose):
+    """Rows of two kinds in several tasks, more than a task holds: each counts in its kind's centroid."""
+    german = "und der die das nicht ist ein eine mit auf von".split()
+    pick = random.Random(5)
+    texts = [prose(i, 8) if i % 3 else " ".join(pick.choices(german, k=8)) for i in range(3000)]
+    rows = [(i, t, "xx", "", 0) for i, t in enumerate(texts)] + [(-1, "12 34", "xx", "", 0), (-2, "5", "yy", "", 0)]
+    docs = table(rows, DOCS).repartition(2)
+    for centroids in (1, 2):
+        model = langid.fit(docs, centroids=centroids)
+        points = langid.vectors(langid.gram_counts(texts)[0], model.idf)
+        kinds = [points] if centroids == 1 else [points[0::3], np.concatenate([points[1::3], points[2::3]])]
+        expected = [k.sum(0) / np.linalg.norm(k.sum(0)) for k in kinds]
+        got = [c for c, name in zip(model.centroids, model.languages, strict=True) if name == "xx"]
+        assert len(got) == centroids and "yy" in model.languages
+        for e in expected:
+            assert max(float(e @ c) for c in got) == pytest.approx(1, abs=1e-6)
+
+
 # Pipeline
 
 def test_pipeline_stages_on_odd_and_empty_documents(spark, odd, nothing, table, tmp_path):

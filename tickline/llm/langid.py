@@ -3,10 +3,13 @@
 A text's vector counts its character pairs and triples (letters in lower case,
 anything else one space) in `DIMS` hashed columns, as log(1 + count) times the
 inverse document frequency, at unit length. Document frequencies cover all
-labelled rows offered for training. The centroids of a language are the
-clusters of a sample of at most about `per_language` of its rows, chosen by a
-hash of the id (spherical k-means; clusters of a few odd rows go). A text gets the language of the centroid
-with the largest cosine.
+labelled rows offered for training, and so do the centroids: a task gathers its
+rows of a language into at most `LEADERS` sums of like rows, Spark merges the
+sums of the tasks in two levels, and the clusters of what is left (spherical
+k-means; clusters of a few odd rows go) are the language's centroids, each the
+sum of its rows. Which rows meet in a task sways the sums a little, so the
+centroids are the same for the same input in the same partitions. A text gets
+the language of the centroid with the largest cosine.
 
 Rejection is by distance: a text is rejected if its cosine is below `slack`
 times the `low` quantile of the cosines that all labelled rows of its language
@@ -30,16 +33,20 @@ from dataclasses import dataclass
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tickline.llm.common import begin, map_texts, slices, written
+from tickline.llm.common import begin, map_texts, slices
 
 DIMS = 1 << 12
 CHUNK = (1 << 19, 256)  # bytes of text and rows that are counted at once
 BANDS = 65
 BINS = 200  # steps of the cosine in a histogram
+LEADERS = 16  # sums of like rows that a task or a merge hands on per language
+HELD = 1024  # rows that a task holds before it gathers them
+GROUPS = 64  # merges of a language's sums before the last one
 UNKNOWN = "und"
 _SPACE = 32
 _fold: np.ndarray | None = None
@@ -95,36 +102,59 @@ def vectors(counts: np.ndarray, idf: np.ndarray) -> np.ndarray:
     return weighted / np.where(norms > 0, norms, 1)
 
 
-def cluster(points: np.ndarray, k: int, rounds: int = 12) -> np.ndarray:
-    """Spherical k-means; begins with far-apart rows, so equal input gives equal centroids."""
-    chosen = [int(np.argmax(points @ points.mean(0)))]
+def cluster(sums: np.ndarray, k: int, rounds: int = 12) -> tuple[np.ndarray, np.ndarray]:
+    """Spherical k-means of sums of rows: centroids and each sum's number of the nearest.
+    Begins with far-apart sums, so equal input gives equal centroids."""
+    points = _unit(sums)
+    chosen = [int(np.argmax(points @ sums.sum(0)))]
     nearest = points @ points[chosen[0]]
     while len(chosen) < min(k, len(points)):
         chosen.append(int(np.argmin(nearest)))
         nearest = np.maximum(nearest, points @ points[chosen[-1]])
     centres = points[chosen]
+    best = np.argmax(points @ centres.T, axis=1)
     for _ in range(rounds):
+        before = best
+        centres = _unit(np.stack([sums[best == c].sum(0) if (best == c).any() else centres[c]
+                                  for c in range(len(centres))]))
         best = np.argmax(points @ centres.T, axis=1)
-        sums = np.stack([points[best == c].sum(0) if (best == c).any() else centres[c]
-                         for c in range(len(centres))])
-        centres = sums / np.maximum(np.linalg.norm(sums, axis=1, keepdims=True), 1e-12)
-    return centres
+        if (best == before).all():
+            break
+    return centres, best
 
 
-def main_clusters(points: np.ndarray, k: int, share: float = 0.02, rounds: int = 3) -> tuple[np.ndarray, np.ndarray]:
+def _unit(sums: np.ndarray) -> np.ndarray:
+    return sums / np.maximum(np.linalg.norm(sums, axis=1, keepdims=True), 1e-12)
+
+
+def gathered(sums: np.ndarray, rows: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Sums of rows, and how many rows each has, as at most `LEADERS` of them; no row
+    is lost but those without a gram, where others have some."""
+    some = sums.any(1)
+    if not some.any():
+        return sums[:1], rows[:1]
+    sums, rows = sums[some], rows[some]
+    if len(sums) <= LEADERS:
+        return sums, rows
+    _, best = cluster(sums, LEADERS, 4)
+    used = np.unique(best)
+    return np.stack([sums[best == c].sum(0) for c in used]), np.array([rows[best == c].sum() for c in used])
+
+
+def main_clusters(sums: np.ndarray, rows: np.ndarray, k: int, share: float = 0.02,
+                  rounds: int = 3) -> tuple[np.ndarray, np.ndarray]:
     """Centroids and the lengths of their rows' sums. Clusters of one row or under `share`
     of the rows are odd rows: the others are clustered again without them."""
     while True:
-        centres = cluster(points, k)
-        best = np.argmax(points @ centres.T, axis=1)
-        size = np.bincount(best, minlength=len(centres))
-        keep = size >= max(2, share * len(points))
+        _, best = cluster(sums, k)
+        size = np.bincount(best, rows, min(k, len(sums)))
+        keep = size >= max(2, share * rows.sum())
         keep[np.argmax(size)] = True
         rounds -= 1
         if keep.all() or not rounds:
-            sums = np.array([np.linalg.norm(points[best == c].sum(0)) for c in np.flatnonzero(keep)])
-            return centres[keep], sums
-        points = points[keep[best]]
+            found = np.stack([sums[best == c].sum(0) for c in np.flatnonzero(keep)])
+            return _unit(found), np.linalg.norm(found, axis=1)
+        sums, rows = sums[keep[best]], rows[keep[best]]
 
 
 def band(letters: np.ndarray) -> np.ndarray:
@@ -174,27 +204,17 @@ class LanguageModel:
         return names, np.where(some, score, 0.0), ~some | (score < self.floor[best, band(letters)])
 
 
-def fit(df: DataFrame, text_col: str = "text", lang_col: str = "lang", id_col: str = "doc_id",
-        centroids: int = 3, per_language: int = 400, slack: float = 0.7, low: float = 0.01,
-        least: int = 200) -> LanguageModel:
+def fit(df: DataFrame, text_col: str = "text", lang_col: str = "lang",
+        centroids: int = 3, slack: float = 0.7, low: float = 0.01, least: int = 200) -> LanguageModel:
     """Learn from all rows of `df` that have a text and a language.
 
-    One pass counts rows by language, one counts documents by gram, one counts
-    cosines. The sample is written to the shared folder; it and the centroids are small whatever
-    the input (`per_language` rows and `centroids` vectors per language).
+    One pass counts documents by gram, one gathers the rows into sums, one counts
+    cosines. A task hands on at most `LEADERS` sums per language, and a merge reads those of one
+    in `GROUPS` tasks; the driver gets `centroids` vectors per language.
     """
     rows = df.select(F.col(f"`{text_col}`").cast("string").alias("text"),
-                     F.col(f"`{lang_col}`").cast("string").alias("lang"),
-                     F.xxhash64(F.coalesce(F.col(f"`{id_col}`").cast("string"),
-                                           F.col(f"`{text_col}`").cast("string"))).alias("key")) \
+                     F.col(f"`{lang_col}`").cast("string").alias("lang")) \
         .where("text is not null and lang is not null and lang <> ''")
-    sizes = written(rows.groupBy("lang").count(), "langid_sizes")
-    if sizes.count() <= 10_000:  # else joined by shuffle
-        sizes = F.broadcast(sizes)
-    chosen = (rows.join(sizes, "lang")
-              .where(F.col("key").bitwiseAND(F.lit((1 << 31) - 1))
-                     < F.lit(float(1 << 31)) * per_language / F.col("count")))
-    sample = written(chosen.select("lang", "text"), "langid_sample")
 
     def frequencies(batches):
         begin("tickline.llm.langid")
@@ -214,13 +234,60 @@ def fit(df: DataFrame, text_col: str = "text", lang_col: str = "lang", id_col: s
         found[dim] = n
     idf = (np.log((1 + found[DIMS]) / (1 + found[:DIMS])) + 1).astype(np.float32)
 
+    kept = "lang string, part int, no int, rows long, total binary"
+
+    def gather(batches):
+        begin("tickline.llm.langid")
+        part, held, fresh = TaskContext.get().partitionId(), {}, {}
+
+        def fold():
+            for lang, new in fresh.items():
+                old = held.get(lang, (np.zeros((0, DIMS), np.float32), np.zeros(0, np.int64)))
+                held[lang] = gathered(np.concatenate([old[0], *new]),
+                                      np.append(old[1], np.ones(sum(map(len, new)), np.int64)))
+            fresh.clear()
+
+        def hand_on():
+            for lang, (sums, rows) in held.items():
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array([lang] * len(rows)), pa.array([part] * len(rows), pa.int32()),
+                     pa.array(range(len(rows)), pa.int32()), pa.array(rows, pa.int64()),
+                     pa.array([x.astype("<f4").tobytes() for x in sums], pa.binary())],
+                    names=["lang", "part", "no", "rows", "total"])
+            held.clear()
+
+        waiting = 0
+        for batch in slices(batches, 0, *CHUNK):
+            points = vectors(gram_counts(batch.column(0).to_pylist())[0], idf)
+            of = np.array(batch.column(1).to_pylist(), object)
+            for lang in dict.fromkeys(of.tolist()):
+                fresh.setdefault(lang, []).append(points[of == lang])
+            waiting += len(of)
+            if waiting >= HELD:
+                fold()
+                waiting = 0
+                if len(held) * LEADERS > 2 * HELD:  # very many languages
+                    yield from hand_on()
+        fold()
+        yield from hand_on()
+
+    def sums_of(group: pd.DataFrame) -> tuple[np.ndarray, np.ndarray]:
+        # The sums themselves break ties: a task that handed on more than once repeats its numbers.
+        group = group.sort_values(["part", "no", "rows", "total"])
+        return np.stack([np.frombuffer(x, "<f4") for x in group.total]), group.rows.to_numpy()
+
+    def merge(group: pd.DataFrame) -> pd.DataFrame:
+        sums, rows = gathered(*sums_of(group))
+        return pd.DataFrame({"lang": group.lang.iloc[0], "part": group.part.min(), "no": range(len(rows)), "rows": rows,
+                             "total": [x.astype("<f4").tobytes() for x in sums]})
+
     def centres(group: pd.DataFrame) -> pd.DataFrame:
-        points = np.concatenate([vectors(gram_counts(group.text[i:i + 64].tolist())[0], idf)
-                                 for i in range(0, len(group), 64)])
-        found, sums = main_clusters(points[np.lexsort(points.T[::-1][:8])], centroids)
-        return pd.DataFrame({"lang": group.lang.iloc[0], "centre": [c.tolist() for c in found], "length": sums})
+        found, lengths = main_clusters(*sums_of(group), centroids)
+        return pd.DataFrame({"lang": group.lang.iloc[0], "centre": [c.tolist() for c in found], "length": lengths})
 
-    made = sorted(sample.groupBy("lang").applyInPandas(centres, "lang string, centre array<float>, length double").collect())
+    made = sorted(rows.select("text", "lang").mapInArrow(gather, kept)
+                  .groupBy("lang", F.col("part") % GROUPS).applyInPandas(merge, kept)
+                  .groupBy("lang").applyInPandas(centres, "lang string, centre array<float>, length double").collect())
     model = LanguageModel([r[0] for r in made], np.array([r[1] for r in made], np.float32).reshape(-1, DIMS), idf,
                           np.zeros((len(made), BANDS)))
     if not made:
@@ -236,7 +303,7 @@ def fit(df: DataFrame, text_col: str = "text", lang_col: str = "lang", id_col: s
         for batch in slices(batches, 0, *CHUNK):
             counts, letters = gram_counts(batch.column(0).to_pylist())
             own = np.array([number.get(x, -1) for x in batch.column(1).to_pylist()])
-            # Taken out of the sum of a centroid's rows, whether it was among them or not.
+            # Taken out of the sum of a centroid's rows: out of each, as its own is not noted.
             cosine = vectors(counts, model.idf) @ model.centroids.T
             left = (length * cosine - 1) / np.sqrt(np.maximum(length * length - 2 * length * cosine + 1, 1e-6))
             score = np.clip(np.where(of == own[:, None], left, 0).max(1), 0, 1)
