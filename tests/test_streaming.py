@@ -280,3 +280,21 @@ def test_stream_can_be_watched(run):
                                 wait=False)
     query.awaitTermination(60)
     assert query.exception() is None and run.table("t").count() == 3
+
+
+@pytest.mark.parametrize("mode", ["append", "merge"])
+def test_a_batch_is_kept_by_the_columns_of_gold_alone(run, spark, mode):
+    run.send(*FIRST)
+    unread = run.silver().withColumn("unread", F.raise_error(F.lit("read")).cast("string"))
+    root = f"{run.base}/direct"
+    process_batch(root, mode)(unread, 0)
+    assert streaming.read_performance(spark, root, mode).count() == 3
+
+
+def test_silver_spares_the_count_of_its_state(run, spark):
+    run.send(*FIRST, *FIRST)
+    run.bronze()
+    query = streaming.run_silver(run.source("bronze"), f"{run.base}/silver", f"{run.base}/c_silver", as_of=AS_OF)
+    held = [p["stateOperators"][0]["numRowsTotal"] for p in query.recentProgress if p["stateOperators"]]
+    assert held and max(held) == 0 and run.table("silver").count() == 3
+    assert spark.conf.get("spark.sql.streaming.stateStore.rocksdb.trackTotalNumberOfRows", None) is None

@@ -40,6 +40,8 @@ SNAPSHOT = "latest_snapshot"
 PERFORMANCE = "price_performance"
 DAILY = "daily_trends"
 _TAIL = "_rolling_tail"
+_LATE = "__is_late"
+_HELD = ("coin_id", "event_timestamp", "price_usd", "market_cap", "volume_24h", "date")
 _DAY, _UNDATED = "date=", "date=_"  # days sort below the folder of rows without one
 
 
@@ -76,35 +78,43 @@ def _newest_rows(stored: DataFrame, order: Sequence[str]) -> DataFrame:
     return last_rows(stored, [*SERIES, "date", *held], ["batch_id"], 1)
 
 
+def _marked(rows: DataFrame, root: str, batch_id: int, order: Sequence[str]) -> DataFrame:
+    """`rows` and whether each is late: not newer than all that came before of its instrument."""
+    earlier = read_current(rows.sparkSession, f"{root}/{_TAIL}", below=batch_id)
+    if earlier is None:
+        return rows.withColumn(_LATE, F.lit(False))
+    newest = earlier.groupBy("coin_id").agg(F.max(F.struct(*order)).alias("__newest"))
+    return rows.join(newest, "coin_id", "left").withColumn(
+        _LATE, F.coalesce(F.struct(*order) <= F.col("__newest"), F.lit(False))).drop("__newest")
+
+
 def _merge_all(batch: DataFrame, batch_id: int, root: str, order: Sequence[str], rows: int,
                rank_by: str, unit: str) -> dict[str, list[str]]:
     spark = batch.sparkSession
-    upsert(gold.latest_snapshot(batch, order), f"{root}/{SNAPSHOT}", SERIES,
+    narrow = batch.drop(_LATE)
+    held = narrow.columns
+    # The snapshot and the tail need the same few rows of the batch.
+    recent = materialise(last_rows(narrow, SERIES, order, max(1, rows - 1)), "recent")
+    upsert(gold.latest_snapshot(recent, order), f"{root}/{SNAPSHOT}", SERIES,
            ["event_timestamp"], version=batch_id)
 
     # Rank is left to the reader: a moment's instruments may come in several
     # micro-batches.
-    held = [c for c in ("coin_id", "event_timestamp", "price_usd", "market_cap", "volume_24h",
-                        "date") if c in batch.columns]
-    held = list(dict.fromkeys([*held, *order]))
     metrics = [*held, "moving_avg_price", "price_volatility"]
-    narrow = batch.select(*held)
     earlier = read_current(spark, f"{root}/{_TAIL}", below=batch_id)
     if earlier is None:
-        known, rolled = narrow, gold.rolling_metrics(narrow, order, rows, unit=unit).select(*metrics)
+        known, rolled = recent, gold.rolling_metrics(narrow, order, rows, unit=unit).select(*metrics)
     else:
-        # Late is what is not newer than all that came before of its instrument.
-        newest = earlier.groupBy("coin_id").agg(F.max(F.struct(*order)).alias("__newest"))
-        marked = narrow.join(newest, "coin_id", "left").withColumn(
-            "__is_late", F.coalesce(F.struct(*order) <= F.col("__newest"), F.lit(False)))
-        late = marked.filter("__is_late").select(*held)
-        prior = last_rows(earlier.unionByName(late), SERIES, order, rows - 1)
-        rolled = gold.rolling_metrics(marked.filter("not __is_late").select(*held), order, rows,
+        late, prior = batch.filter(_LATE).select(*held), earlier
+        some_late = not late.isEmpty()
+        if some_late:
+            prior = last_rows(earlier.unionByName(late), SERIES, order, rows - 1)
+        rolled = gold.rolling_metrics(batch.filter(~F.col(_LATE)).select(*held), order, rows,
                                       unit=unit, prior=prior).select(*metrics)
-        if not late.isEmpty():
+        if some_late:
             rolled = rolled.unionByName(
                 materialise(_revised(late, root, order, held, rows, unit).select(*metrics), "revised"))
-        known = narrow.unionByName(earlier)
+        known = recent.unionByName(earlier)
     write_batch_idempotent(rolled, f"{root}/{PERFORMANCE}", batch_id, ["date"])
     write_version(last_rows(known, SERIES, order, rows - 1), f"{root}/{_TAIL}", batch_id)
 
@@ -115,13 +125,17 @@ def _merge_all(batch: DataFrame, batch_id: int, root: str, order: Sequence[str],
     return {table: [f"batch_id={batch_id}"] for table in (PERFORMANCE, DAILY)}
 
 
+def _mark_of(spark: SparkSession) -> str:
+    """Name of the file by which the running query claims its root."""
+    return f"_query_{spark.sparkContext.getLocalProperty('sql.streaming.queryId') or 'none'}"
+
+
 def _claim(spark: SparkSession, root: str, replace: bool) -> None:
     """Note the query that fills `root`; another one's micro-batches do not mix with it."""
-    query = spark.sparkContext.getLocalProperty("sql.streaming.queryId") or "none"
     jvm_path = spark._jvm.org.apache.hadoop.fs.Path
     folder = jvm_path(root)
     fs = folder.getFileSystem(spark._jsc.hadoopConfiguration())
-    mine = jvm_path(f"{root}/_query_{query}")
+    mine = jvm_path(f"{root}/{_mark_of(spark)}")
     if fs.exists(mine):
         return
     others = [s.getPath().getName() for s in fs.listStatus(folder)] if fs.exists(folder) else []
@@ -144,11 +158,16 @@ def process_batch(root: str, mode: str = "append", order: Sequence[str] = ("time
     windows = list(dict.fromkeys(["event_timestamp", *order]))
 
     def handle(batch: DataFrame, batch_id: int) -> None:
-        # One read serves all three tables.
+        spark, at = batch.sparkSession, root.rstrip("/")
+        # One read serves all three tables, of the columns that they are made of. Rows are
+        # marked before they are kept; a root that is not this query's yet holds nothing of it.
+        batch = batch.select(*dict.fromkeys([*[c for c in _HELD if c in batch.columns], *windows]))
+        if mode == "merge":
+            batch = (_marked(batch, at, batch_id, windows) if _mark_of(spark) in names(spark, at)
+                     else batch.withColumn(_LATE, F.lit(False)))
         batch = batch.persist(StorageLevel.MEMORY_AND_DISK)
         try:
             if not batch.isEmpty():
-                spark, at = batch.sparkSession, root.rstrip("/")
                 _claim(spark, at, replace)
                 if not commits.is_committed(spark, at, batch_id):
                     written = handlers[mode](batch, batch_id, at, windows, rows, rank_by, unit)

@@ -13,6 +13,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from tickline.operators import silver
 from tickline.schemas import PRICE_BOUNDS
+from tickline.session import uncounted_state
 from tickline.sinks import append_stream
 
 
@@ -91,12 +92,18 @@ def late_rows(query: StreamingQuery) -> int:
 
 def run_silver(bronze: DataFrame, path: str, checkpoint: str,
                rules: Mapping[str, Column] | None = None, **options) -> StreamingQuery:
-    """`rules` {check: predicate} are counted while the rows are written (`check_rows`)."""
+    """`rules` {check: predicate} are counted while the rows are written (`check_rows`).
+
+    The state's own rows are not counted (`uncounted_state`).
+    """
     ticks = silver_stream(bronze, **options)
     if rules:
         ticks = ticks.observe(_CHECKS, F.count(F.lit(1)).alias("rows"),
                               *[F.count_if(broken).alias(name) for name, broken in rules.items()])
-    return append_stream(ticks, path, checkpoint)
+    with uncounted_state(ticks.sparkSession):  # a stream keeps the settings that it is started with
+        query = append_stream(ticks, path, checkpoint, wait=False)
+    query.awaitTermination()
+    return query
 
 
 def check_rows(query: StreamingQuery) -> DataFrame:
