@@ -1,8 +1,10 @@
 """Nulls, empty and long texts, ties, repeated rows, empty tables and clashing names, per operator."""
 
 import collections
-import math
+import glob
 import io
+import math
+import os
 import random
 import zipfile
 
@@ -10,6 +12,7 @@ import numpy as np
 import public_tokenizers
 import pytest
 import sentencepiece
+import tiktoken
 from hypothesis import given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
@@ -27,7 +30,7 @@ from tickline.llm import (
     recount,
     warc,
 )
-from tickline.llm.bytepairs import load
+from tickline.llm.bytepairs import PATTERN, load
 from tickline.llm.common import written
 
 PIECES = public_tokenizers.path("piece_bpe_32k.model")
@@ -506,6 +509,40 @@ def test_order_edges(odd, nothing, spark):
     assert n == 0 and ordering.read(spark, folder).collect() == []
 
 
+def test_order_in_passes_leaves_no_shuffle_files(odd, spark):
+    """Each pass writes its own shards, and what it moved is gone before the next one."""
+    disk = spark.sparkContext._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager()
+    moved = lambda: {f for top in disk.localDirsString() for f in glob.glob(f"{top}/*/shuffle_*.data")}
+    ids = ordering.coded(odd, RANKS)
+    whole, n = ordering.write(ids, key=3, length=16, shard_slots=700, passes=1)
+    expected = sorted(map(repr, ordering.read(spark, whole).collect()))
+    before = moved()
+    folder, again = ordering.write(ids, key=3, length=16, shard_slots=700, passes=4)
+    assert n == again > 4 * 700
+    # The counts by partition, and by pass, stay until the driver collects its garbage; a shard's ids are larger.
+    assert not [f for f in moved() - before if os.path.getsize(f) > 1000]
+    assert spark.conf.get("spark.sql.classic.shuffleDependency.fileCleanup.enabled", "false") == "false"
+    assert sorted(map(repr, ordering.read(spark, folder).collect())) == expected
+
+
+def test_order_digests_are_those_of_the_ids(odd, spark):
+    folder, n = ordering.write(ordering.coded(odd, RANKS), key=3, length=16, shard_slots=100)
+    own = F.slice("ids", F.lit(1), F.col("used")).cast("array<string>")
+    expected = ordering.read(spark, folder, start=50).select("slot", "document", "part", "used", F.sha2(F.array_join(own, " "), 256))
+    assert sorted(map(repr, map(tuple, ordering.digests(spark, folder, start=50).collect()))) == sorted(map(repr, map(tuple, expected.collect())))
+
+
+@settings(deadline=None)
+@given(st.lists(st.sampled_from(["<|endoftext|>", "<|", "|>", "endoftext", " ", "\n", "é", "中", "a", "'s", "12", "\u2028"]), max_size=12))
+def test_ids_know_no_special_text(parts):
+    """tiktoken finds special texts without a search at every character only if there are some; none is special here."""
+    vocabulary = load(RANKS)
+    assert vocabulary.encoding.special_tokens_set
+    plain = tiktoken.Encoding("plain", pat_str=PATTERN, mergeable_ranks=vocabulary.encoding._mergeable_ranks, special_tokens={})
+    text = "".join(parts)
+    assert np.frombuffer(vocabulary.ids(text), "<u2").tolist() == plain.encode_ordinary(text)
+
+
 # 10. Languages
 
 def test_gram_counts_do_not_depend_on_neighbours(prose):

@@ -19,9 +19,12 @@ class BytePairs:
     def __init__(self, path: str):
         with open(path, "rb") as file:
             ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, file)}
-        self.encoding = tiktoken.Encoding("ranks", pat_str=PATTERN, mergeable_ranks=ranks, special_tokens={})
-        self.pattern = regex.compile(PATTERN)
         self.end = max(ranks.values()) + 1
+        # Without special tokens tiktoken searches for the empty string at every character. Texts
+        # that hold this one are encoded as any other text, as no special token is allowed.
+        special = {"<|endoftext|>": self.end}
+        self.encoding = tiktoken.Encoding("ranks", pat_str=PATTERN, mergeable_ranks=ranks, special_tokens=special)
+        self.pattern = regex.compile(PATTERN)
         self.counts: dict[str, int] = {}
 
     def count(self, pretoken: str) -> int:

@@ -16,6 +16,7 @@ from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_type
 
 CHUNK_BYTES = 4 << 20
+_CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 
 
 _caches: dict[str, Callable[[], None]] = {}
@@ -46,11 +47,19 @@ def shared_dir(spark: SparkSession, name: str) -> str:
     return f"{base.rstrip('/')}/llm-{uuid.uuid4().hex}/{name}"
 
 
-def written(df: DataFrame, name: str) -> DataFrame:
+def written(df: DataFrame, name: str, clean: bool = False) -> DataFrame:
     """`df` written once to the shared folder and read back: later readers do not
-    recompute it, and it outlives lost executors."""
-    path = shared_dir(df.sparkSession, name)
-    df.write.parquet(path)
+    recompute it, and it outlives lost executors. With `clean`, the shuffle files of
+    the write go at its end, not when the driver happens to collect its garbage."""
+    conf, path = df.sparkSession.conf, shared_dir(df.sparkSession, name)
+    before = conf.get(_CLEANUP, None)
+    if clean:
+        conf.set(_CLEANUP, "true")
+    try:
+        df.write.parquet(path)
+    finally:
+        if clean:
+            conf.unset(_CLEANUP) if before is None else conf.set(_CLEANUP, before)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 

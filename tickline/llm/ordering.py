@@ -11,7 +11,9 @@ Slots are written in ranges: shard s holds the slots from s * shard_slots on, a
 record of `stride` bytes for each, so slot and byte position follow from one
 another. Reading begins at any slot and runs on sequentially. A shard is
 written under a temporary name and then renamed; its content is the same in
-every attempt, so repeated tasks do no harm.
+every attempt, so repeated tasks do no harm. Shards are written in passes over the table
+of ids, each for a range of them, so only a part of the sequences lies in shuffle
+files at a time.
 
 Numbers follow the rows' order in the table of ids, which is written first:
 the order is settled there, and retries cannot change it.
@@ -22,6 +24,8 @@ are rows of their own.
 
 from __future__ import annotations
 
+import hashlib
+import itertools
 import json
 import math
 import uuid
@@ -34,7 +38,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tickline.llm.bytepairs import load
-from tickline.llm.common import map_texts, shared_dir, slices, written
+from tickline.llm.common import CHUNK_BYTES, map_texts, shared_dir, slices, written
 from tickline.llm.warc import file_system
 
 HEAD = np.dtype([("document", "<i8"), ("part", "<i4"), ("used", "<i4")])  # before the ids of each record
@@ -80,78 +84,76 @@ def number_of(slots: np.ndarray, n: int, key: int, rounds: int = 6) -> np.ndarra
     return numbers.astype(np.int64)
 
 
-def _planes(ids: np.ndarray) -> tuple[bytes, bytes]:
-    """Low and high bytes apart: each compresses far better alone."""
-    pairs = np.ascontiguousarray(ids, "<u2").view(np.uint8).reshape(-1, 2)
-    return pairs[:, 0].tobytes(), pairs[:, 1].tobytes()
-
-
-def _ids(low: bytes, high: bytes) -> np.ndarray:
-    return np.frombuffer(low, np.uint8).astype("<u2") | np.frombuffer(high, np.uint8).astype("<u2") << 8
-
-
 def coded(df: DataFrame, vocabulary_path: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """Every row's id and its ids with an end id, as low and high bytes; a written table."""
+    """Every row's id, the number of its ids with an end id, and those as packed uint16; a written table."""
     def make():
         vocabulary = load(vocabulary_path)
         end = np.array([vocabulary.end], "<u2").tobytes()
-        return lambda texts: list(zip(*(_planes(np.frombuffer(vocabulary.ids(t or "") + end, "<u2")) for t in texts), strict=True))
+
+        def code(texts):
+            packed = [vocabulary.ids(t or "") + end for t in texts]
+            return [len(p) // 2 for p in packed], packed
+        return code
 
     slim = df.select(F.col(f"`{id_col}`").cast("long").alias("document"), F.col(f"`{text_col}`").cast("string").alias("text"))
-    results = T.StructType([T.StructField("low", T.BinaryType()), T.StructField("high", T.BinaryType())])
-    made = map_texts(slim, "text", results, make).select("document", "low", "high")
+    results = T.StructType([T.StructField("n", T.IntegerType()), T.StructField("ids", T.BinaryType())])
+    made = map_texts(slim, "text", results, make).select("document", "n", "ids")
     path = shared_dir(df.sparkSession, "order_ids")
     made.write.option("compression", "zstd").parquet(path)
     return df.sparkSession.read.schema(made.schema).parquet(path)
 
 
 def write(ids: DataFrame, key: int, length: int = 256, shard_slots: int = 1 << 15,
-          folder: str | None = None) -> tuple[str, int]:
+          folder: str | None = None, passes: int = 2) -> tuple[str, int]:
     """Write the shards and a manifest; returns the folder and the number of sequences.
 
     Only one number per input partition reaches the driver (where its sequences
-    begin). Sequences move once, to the shard that their slots are in; those of
-    some neighbouring documents that go to one shard travel together, compressed.
+    begin). Sequences move once, in the pass of the shard that their slots are in; those
+    of some neighbouring documents that go to one shard travel together, compressed.
     """
     spark = ids.sparkSession
     folder = folder or shared_dir(spark, "shards")
-    rows = ids.select("document", "low", "high", F.monotonically_increasing_id().alias("place"))
-    parts = F.ceil(F.length("low") / length)
-    begins, n = {}, 0
-    for partition, count in sorted(rows.groupBy(F.shiftright("place", 33).alias("p")).agg(F.sum(parts)).collect()):
-        begins[partition] = n
+    rows = ids.select("document", "n", "ids", F.monotonically_increasing_id().alias("place"))
+    spans, n = {}, 0
+    parts = F.sum(F.ceil(F.col("n") / length))
+    for partition, count in sorted(rows.groupBy(F.shiftright("place", 33).alias("p")).agg(parts).collect()):
+        spans[partition] = n, n + count
         n += count
-    where = spark.sparkContext.broadcast(begins)
+    where = spark.sparkContext.broadcast(spans)
     entry = np.dtype([("at", "<i4"), *HEAD.descr])
 
-    def cut(batches):
-        held = None
-        squeeze = zstandard.ZstdCompressor(level=1).compress
-        for batch in slices(batches, 1):
-            if held is None:
-                held = where.value[batch.column(3)[0].as_py() >> 33]
-            tokens = [_ids(x.as_buffer(), y.as_buffer()) for x, y in zip(batch.column(1), batch.column(2), strict=True)]
-            sizes = np.array([len(t) for t in tokens])
-            counts = -(-sizes // length)
-            row = np.repeat(np.arange(len(sizes)), counts)
-            part = np.concatenate([np.arange(c) for c in counts])
-            used = np.minimum(length, sizes[row] - part * length)
-            matrix = np.zeros((len(row), length), "<u2")
-            matrix[np.arange(length) < used[:, None]] = np.concatenate(tokens)
-            slots = slot_of(np.arange(held, held + len(row)), n, key)
-            held += len(row)
-            heads = np.zeros(len(row), entry)
-            heads["at"], heads["part"], heads["used"] = slots % shard_slots, part, used
-            heads["document"] = pa.compute.fill_null(batch.column(0), _NULL).to_numpy(zero_copy_only=False)[row]
-            shard = slots // shard_slots
-            order = np.argsort(shard, kind="stable")
-            found, starts = np.unique(shard[order], return_index=True)
-            groups = np.split(order, starts[1:])
-            planes = [_planes(matrix[g]) for g in groups]
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(found, pa.int32()), pa.array([squeeze(heads[g].tobytes()) for g in groups], pa.binary()),
-                 *(pa.array([squeeze(p[k]) for p in planes], pa.binary()) for k in (0, 1))],
-                names=["shard", "heads", "low", "high"])
+    def cut(first, last):
+        def run(batches):
+            partition = held = None
+            squeeze = zstandard.ZstdCompressor(level=3).compress
+            for batch in slices(batches, 2, 2 * CHUNK_BYTES):
+                if held is None:
+                    partition = batch.column(3)[0].as_py() >> 33
+                    held = where.value[partition][0]
+                sizes = batch.column(1).to_numpy(zero_copy_only=False).astype(np.int64)
+                counts = -(-sizes // length)
+                row = np.repeat(np.arange(len(sizes)), counts)
+                part = np.arange(len(row)) - np.repeat(np.cumsum(counts) - counts, counts)
+                slots = slot_of(np.arange(held, held + len(row)), n, key)
+                held += len(row)
+                shard = slots // shard_slots
+                order = np.argsort(shard, kind="stable")
+                order = order[np.searchsorted(shard[order], first):np.searchsorted(shard[order], last)]
+                used = np.minimum(length, sizes[row] - part * length)
+                matrix = np.zeros((len(row), length), "<u2")
+                matrix[np.arange(length) < used[:, None]] = np.frombuffer(b"".join(x.as_buffer() for x in batch.column(2)), "<u2")
+                heads = np.zeros(len(row), entry)
+                heads["at"], heads["part"], heads["used"] = slots % shard_slots, part, used
+                heads["document"] = pa.compute.fill_null(batch.column(0), _NULL).to_numpy(zero_copy_only=False)[row]
+                found, starts = np.unique(shard[order], return_index=True)
+                groups = np.split(order, starts[1:]) if len(order) else []
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(found, pa.int32()), pa.array([squeeze(heads[g].tobytes()) for g in groups], pa.binary()),
+                     pa.array([squeeze(matrix[g].tobytes()) for g in groups], pa.binary())],
+                    names=["shard", "heads", "ids"])
+            if held is not None and held != where.value[partition][1]:
+                raise ValueError(f"partition {partition} of the table of ids is not the one that was counted")
+        return run
 
     record = np.dtype([*HEAD.descr, ("ids", "<u2", (length,))])
     shards = max(1, math.ceil(n / shard_slots))
@@ -160,14 +162,14 @@ def write(ids: DataFrame, key: int, length: int = 256, shard_slots: int = 1 << 1
         out, filled = None, 0
         unpack = zstandard.ZstdDecompressor().decompress
         for batch in batches:
-            for shard, *packed in zip(*(batch.column(k).to_pylist() for k in range(4)), strict=True):
+            for shard, *packed in zip(*(batch.column(k).to_pylist() for k in range(3)), strict=True):
                 if out is None:
                     number, out = shard, np.zeros(min(shard_slots, n - shard * shard_slots), record)
-                heads, low, high = map(unpack, packed)
+                heads, tokens = map(unpack, packed)
                 heads = np.frombuffer(heads, entry)
                 for name in HEAD.names:
                     out[name][heads["at"]] = heads[name]
-                out["ids"][heads["at"]] = _ids(low, high).reshape(-1, length)
+                out["ids"][heads["at"]] = np.frombuffer(tokens, "<u2").reshape(-1, length)
                 filled += len(heads)
         if out is not None:
             if filled != len(out):
@@ -181,12 +183,17 @@ def write(ids: DataFrame, key: int, length: int = 256, shard_slots: int = 1 << 1
             yield pa.RecordBatch.from_arrays([pa.array([number], pa.int64()), pa.array([len(out)], pa.int64())],
                                              names=["shard", "sequences"])
 
-    moved = rows.mapInArrow(cut, "shard int, heads binary, low binary, high binary")
-    # One task per shard, whatever the default number of partitions.
-    stored = written(moved.repartitionById(shards, F.col("shard")).mapInArrow(store, "shard long, sequences long"), "order_shards")
-    done = stored.agg(F.count("*"), F.sum("sequences")).first()
-    if n and (done[0], done[1]) != (shards, n):
-        raise ValueError(f"{done[1]} of {n} sequences written")
+    bounds = sorted({shards * k // passes for k in range(passes + 1)})
+    written_shards = written_sequences = 0
+    for first, last in itertools.pairwise(bounds):
+        moved = rows.mapInArrow(cut(first, last), "shard int, heads binary, ids binary")
+        # One task per shard, whatever the default number of partitions.
+        dealt = moved.repartitionById(last - first, F.col("shard") - first)
+        stored = written(dealt.mapInArrow(store, "shard long, sequences long"), "order_shards", clean=True)
+        done = stored.agg(F.count("*"), F.coalesce(F.sum("sequences"), F.lit(0))).first()
+        written_shards, written_sequences = written_shards + done[0], written_sequences + done[1]
+    if n and (written_shards, written_sequences) != (shards, n):
+        raise ValueError(f"{written_sequences} of {n} sequences written")
     filesystem, root = file_system(folder)
     filesystem.create_dir(root, recursive=True)
     with filesystem.open_output_stream(f"{root}/manifest.json") as stream:
@@ -218,25 +225,48 @@ def stream(folder: str, start: int = 0, stop: int | None = None, block: int = 40
                 start, at = start + count, at + count
 
 
-def read(spark, folder: str, start: int = 0) -> DataFrame:
-    """slot, document, part, used (ids that are the document's own) and ids of the
-    records from slot `start` on; one task per shard."""
+def _by_shard(spark, folder: str, start: int, schema: str, name: str, make) -> DataFrame:
+    """slot, document, part, used and one column that `make()` gives a task the function for,
+    from records; one task per shard."""
     info = manifest(folder)
     n, slots = info["sequences"], info["shard_slots"]
     first = start // slots
     shards = spark.range(first, max(first, math.ceil(n / slots)), 1, max(1, math.ceil(n / slots) - first))
 
     def run(batches):
+        function = make()
         for batch in batches:
             for shard in batch.column(0).to_pylist():
                 for at, records in stream(folder, max(start, shard * slots), min(n, (shard + 1) * slots)):
-                    width = records["ids"].shape[1]
-                    values = pa.array(np.ascontiguousarray(records["ids"]).reshape(-1).astype(np.int32))
                     document = np.ascontiguousarray(records["document"])
                     yield pa.RecordBatch.from_arrays(
                         [pa.array(np.arange(at, at + len(records))), pa.array(document, mask=document == _NULL),
                          pa.array(np.ascontiguousarray(records["part"])), pa.array(np.ascontiguousarray(records["used"])),
-                         pa.ListArray.from_arrays(pa.array(np.arange(len(records) + 1, dtype=np.int32) * width), values)],
-                        names=["slot", "document", "part", "used", "ids"])
+                         function(records)],
+                        names=["slot", "document", "part", "used", name])
+
+    return shards.mapInArrow(run, f"slot long, document long, part int, used int, {name} {schema}")
+
+
+def read(spark, folder: str, start: int = 0) -> DataFrame:
+    """slot, document, part, used (ids that are the document's own) and ids of the
+    records from slot `start` on; one task per shard."""
+    def lists(records):
+        width = records["ids"].shape[1]
+        values = pa.array(np.ascontiguousarray(records["ids"]).reshape(-1).astype(np.int32))
+        return pa.ListArray.from_arrays(pa.array(np.arange(len(records) + 1, dtype=np.int32) * width), values)
+
+    return _by_shard(spark, folder, start, "array<int>", "ids", lambda: lists)
+
+
+def digests(spark, folder: str, start: int = 0) -> DataFrame:
+    """As `read`, with the hex sha256 of a record's own ids, in decimal and joined by a space, for them."""
+    def make():
+        decimals = np.array([b"%d " % k for k in range(1 << 16)])  # filled up with zero bytes
+
+        def hashed(records):
+            rows = zip(decimals[records["ids"]], records["used"].tolist(), strict=True)
+            return pa.array([hashlib.sha256(row[:used].tobytes().translate(None, b"\0")[:-1]).hexdigest() for row, used in rows], pa.string())
+        return hashed
 
-    return shards.mapInArrow(run, "slot long, document long, part int, used int, ids array<int>")
+    return _by_shard(spark, folder, start, "string", "ids_sha256", make)
