@@ -329,6 +329,35 @@ def test_masses_are_bounded_without_and_with_odd_counts():
     assert ngrams.masses([*tally, (2, False, 1, 304, 304)], 2)[0] > 1e9  # every n-gram occurs once
 
 
+def test_vocabulary_leaves_out_begin_marks():
+    texts = ["a b a c", "b a", "", None, "only here"]
+    counted = ngrams.Counted(ngrams.Text(texts, 2), 60)
+    for learn, n, v in ((5, 13, 6), (4, 10, 4), (0, 0, 0)):
+        totals = counted.counts(np.arange(5) < learn)
+        tally = [row for k in range(2) for row in ngrams.tallied(k, counted.keys[k], totals[k])]
+        assert ngrams.vocabulary(tally) == (n, v)
+
+
+@pytest.mark.parametrize("order", [1, 2])
+def test_scores_tokenise_a_text_twice(spark, table, monkeypatch, order):
+    """Once for the counts and once for the walk; N and V come from the counts."""
+    docs = table([(i, f"w{i % 7} x w{i % 3}", "en", "a", 1) for i in range(40)], DOCS)
+    seen, text = spark.sparkContext.accumulator(0), ngrams.Text
+
+    def counting(texts, *more):
+        seen.add(len(texts))
+        return text(texts, *more)
+
+    monkeypatch.setattr(ngrams, "Text", counting)
+    got = ngrams.score(docs, F.col("doc_id") % 5 != 0, order=order).collect()
+    assert seen.value == 80
+    assert {r.train_tokens for r in got} == {4 * 32}
+    words = collections.Counter(w for i in range(40) if i % 5 for w in (f"w{i % 7}", "x", f"w{i % 3}", ""))
+    for r in got:
+        base = sum(np.log10((words[w] + 1) / (4 * 32 + len(words) + 1)) for w in (f"w{r.doc_id % 7}", "x", f"w{r.doc_id % 3}", ""))
+        assert r.base_score == pytest.approx(base, rel=1e-12)
+
+
 # 5. Near copies
 
 def test_near_copies_edges(odd, nothing, prose, table):

@@ -26,14 +26,15 @@ the counts of its own n-grams only. It sends their hashes and its own training
 counts, sorted and packed, to buckets of the hash space; a bucket adds the
 counts up over all blocks and sends each block the totals of what it asked for,
 in the order asked. Buckets also tally how many n-grams occur how often, a table
-of fixed size, which gives the masses m; they come to the blocks beside the
-totals, before any walk. No table of n-grams is held whole anywhere, n-grams come
-from all training texts, and both blocks and buckets have a bounded size
-whatever the corpus: their number grows. A frequent n-gram is one entry per
-block, as any other. Rows are dealt by their places, so repeated rows spread over
+of fixed size, which gives the masses m, N and V; they come to the blocks beside the
+totals, before any walk, so a text is tokenised twice in all. No table of n-grams
+is held whole anywhere, n-grams come from all training texts, and both blocks and
+buckets have a bounded size whatever the corpus: their number grows. A frequent
+n-gram is one entry per block, as any other. Rows are dealt by their places, so repeated rows spread over
 blocks; let `df` be a written table, whose rows keep their places in a retry. Words have
 64-bit hashes, longer n-grams ones of `MARGIN` bits more than the count of tokens
-needs (at most 64), so about one in 2 ** (MARGIN - 1) shares another's count.
+that the texts have room for needs (at most 64), so no more than about one in
+2 ** (MARGIN - 1) shares another's count.
 
 Null and empty texts are one end token. Ids are not used but for the fold, so
 repeated and null ids are rows like others. Without training rows, N = V = 0.
@@ -49,10 +50,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tickline.llm.common import slices
-
 BLOCK_BYTES = 6 << 20       # of text in a block
-SLICE_BYTES = 4 << 20       # of text whose words are counted at once
 BUCKET_GRAMS = 1_000_000    # n-grams that a bucket gets, about, over the number of blocks that ask for each
 MARGIN = 23                 # the lowest bit tells n-grams that end a text
 END, BEGIN = 1, 2
@@ -256,6 +254,13 @@ def masses(tally: list[tuple[int, bool, int, int, int]], order: int) -> list[flo
     return found
 
 
+def vocabulary(tally: list[tuple[int, bool, int, int, int]]) -> tuple[int, int]:
+    """N and V: of single words without begin marks, of which a text has one, as it has one end."""
+    single = [(last, times, total) for length, last, _, times, total in tally if length == 1]
+    texts = sum(total for last, _, total in single if last)
+    return sum(total for *_, total in single) - texts, sum(times for _, times, _ in single) - (texts > 0)
+
+
 def _split(keys: np.ndarray, bits: int, buckets: int) -> tuple[np.ndarray, np.ndarray]:
     """Which bucket (equal parts of the hash space) each sorted key is in, as runs."""
     top = keys >> np.uint64(max(0, bits - 32))
@@ -307,43 +312,10 @@ def score(df: DataFrame, training: Column, text_col: str = "text", keep: tuple[s
     rows = df.select(*(F.col(f"`{c}`") for c in keep), training.alias("training"),
                      F.col(f"`{text_col}`").cast("string").alias("text"))
 
-    def survey(batches):
-        """Distinct words (kind 0), the number of tokens (1), of bytes (2) and of training texts (3)."""
-        seen, tokens, size, learned = np.zeros(0, np.uint64), 0, 0, 0
-
-        def longs(kind, values):
-            for at in range(0, len(values), 1 << 16):
-                part = values[at:at + (1 << 16)]
-                yield pa.RecordBatch.from_arrays([pa.array([kind] * len(part), pa.int32()), pa.array(part, pa.int64())],
-                                                 names=["kind", "value"])
-
-        for batch in slices(batches, 0, SLICE_BYTES):
-            texts = batch.column(0).to_pylist()
-            learn = np.array(batch.column(1).to_pylist(), bool)
-            size += sum(len(t or "") for t in texts) + 64 * len(texts)
-            if not learn.any():
-                continue
-            token = Text([t for t, x in zip(texts, learn, strict=True) if x], 1).token
-            tokens += len(token)
-            learned += int(learn.sum())
-            seen = np.union1d(seen, token)
-            if len(seen) >= BUCKET_GRAMS:
-                yield from longs(0, seen.view(np.int64))
-                seen = seen[:0]
-        yield from longs(0, seen.view(np.int64))
-        for kind, value in ((1, tokens), (2, size), (3, learned)):
-            yield from longs(kind, np.array([value]))
-
-    # One line per distinct word, then a table of fixed size.
-    once = (rows.select("text", "training").mapInArrow(survey, "kind int, value long")
-            .groupBy("kind", "value").agg(F.count("*").alias("times")))
-    found = {kind: (count, total) for kind, count, total in once.groupBy("kind").agg(
-        F.count("*"), F.sum(F.when(F.col("kind") > 0, F.col("value") * F.col("times")))).collect()}
-    v = found.get(0, (0, 0))[0]
-    n, size, begin = (found.get(kind, (0, 0))[1] for kind in (1, 2, 3))
+    size = rows.agg(F.sum(F.coalesce(F.octet_length("text"), F.lit(0)).cast("long") + 64)).collect()[0][0] or 0
     blocks = max(1, math.ceil(size / BLOCK_BYTES))
     buckets = max(1, math.ceil(size / 8 * order / BUCKET_GRAMS))
-    bits = min(64, max(n, 1).bit_length() + MARGIN)
+    bits = min(64, (size // 2).bit_length() + MARGIN)  # a token has two bytes, or ends a text
     widths = [64, *[bits] * (order - 1)]
 
     dealt = rows.withColumn("block", F.pmod(F.xxhash64(F.monotonically_increasing_id()), F.lit(blocks)).cast("int"))
@@ -391,7 +363,9 @@ def score(df: DataFrame, training: Column, text_col: str = "text", keep: tuple[s
     def solve(batches):
         table = pa.Table.from_batches(batches, pa.schema([(c, pa.int64()) for c in counters]))
         found = [tuple(r[c] for c in counters) for r in table.to_pylist()]
-        yield pa.RecordBatch.from_arrays([pa.array([masses(found, order)], pa.list_(pa.float64()))], names=["masses"])
+        n, v = vocabulary(found)
+        yield pa.RecordBatch.from_arrays([pa.array([masses(found, order)], pa.list_(pa.float64())),
+                                          pa.array([n], pa.int64()), pa.array([v], pa.int64())], names=["masses", "n", "v"])
 
     kept = [f for f in df.schema if f.name in keep]
     schema = ", ".join([*(f"`{f.name}` {f.dataType.simpleString()}" for f in kept), "training boolean", "n_tokens long",
@@ -404,9 +378,10 @@ def score(df: DataFrame, training: Column, text_col: str = "text", keep: tuple[s
                   for k in range(order)]
         counted = counted_of(texts)
         text, times = counted.text, totals[0][counted.place[0][:len(counted.text.token)]]
-        learned = answers.column("masses")[0].as_py() or masses([], order)  # null: no training rows
-        made = Automaton(counted, totals, learned, n + v + 1).walk()
-        known, base = (np.add.reduceat(x, text.starts) for x in ((times > 0).astype(np.int64), np.log10((times + 1) / (n + v + 1))))
+        model = answers.column("model")[0].as_py() or {"masses": masses([], order), "n": 0, "v": 0}  # null: no training rows
+        n, whole = model["n"], model["n"] + model["v"] + 1
+        made = Automaton(counted, totals, model["masses"], whole).walk()
+        known, base = (np.add.reduceat(x, text.starts) for x in ((times > 0).astype(np.int64), np.log10((times + 1) / whole)))
         return pa.table([*(texts.column(f.name) for f in kept), texts.column("training"),
                          pa.array(text.ends - text.starts, pa.int64()), pa.array(known, pa.int64()),
                          pa.array([n] * len(made), pa.int64()), pa.array(base, pa.float64()), pa.array(made, pa.float64())],
@@ -418,6 +393,6 @@ def score(df: DataFrame, training: Column, text_col: str = "text", keep: tuple[s
     # Both read one exchange; what reaches the one task is a table of fixed size.
     solved = (buckets_of.applyInArrow(tally, "length int, ended boolean, class int, times long, total long")
               .groupBy("length", "ended", "class").agg(F.sum("times").alias("times"), F.sum("total").alias("total"))
-              .select(*(F.col(c).cast("long") for c in counters)).repartition(1).mapInArrow(solve, "masses array<double>"))
-    answered = answered.withColumn("masses", solved.scalar())
+              .select(*(F.col(c).cast("long") for c in counters)).repartition(1).mapInArrow(solve, "masses array<double>, n long, v long"))
+    answered = answered.withColumn("model", solved.select(F.struct("masses", "n", "v")).scalar())
     return dealt.groupBy("block").cogroup(answered.groupBy("block")).applyInArrow(place, schema)
