@@ -338,6 +338,26 @@ def test_vocabulary_leaves_out_begin_marks():
         assert ngrams.vocabulary(tally) == (n, v)
 
 
+def test_runs_of_keys_and_counts_are_packed_together():
+    pick = np.random.default_rng(3)
+    apart = np.unique(pick.integers(0, 1 << 64, 5000, np.uint64))
+    near = np.unique(pick.integers(7 << 32, 9 << 32, 5000, np.uint64))  # many of equal high bits
+    ends = np.array([0, 1, 255, 256, (1 << 64) - 1], np.uint64)
+    for keys, bits in ((apart, 64), (near, 36), (apart >> np.uint64(14), 50), (ends, 64), (np.unique(np.concatenate([apart, near])), 64)):
+        for buckets in (1, 3, 40, 7500):
+            _, edges = ngrams._split(keys, bits, buckets)
+            packed = ngrams._packed(keys, edges)
+            got, runs = ngrams._unpacked(packed)
+            assert (got == keys).all() and (runs == edges).all() and len(packed) == len(edges) - 1
+            back, runs = ngrams._unpacked(packed[::-1])  # in any order
+            assert (np.sort(back) == keys).all() and (np.diff(runs) == np.diff(edges)[::-1]).all()
+            counts = pick.choice([0, 3, 255, 256, 65536, 1 << 32, 1 << 40], len(keys), p=[.5, .3, .1, .07, .01, .01, .01])
+            assert (ngrams._counts(ngrams._small(counts, edges)) == counts).all()
+    nothing = np.zeros(0, np.uint64)
+    assert ngrams._packed(nothing, np.array([0])) == ngrams._small(nothing, np.array([0])) == []
+    assert len(ngrams._counts([])) == 0
+
+
 @pytest.mark.parametrize("order", [1, 2])
 def test_scores_tokenise_a_text_twice(spark, table, monkeypatch, order):
     """Once for the counts and once for the walk; N and V come from the counts."""

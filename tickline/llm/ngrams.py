@@ -269,41 +269,80 @@ def _split(keys: np.ndarray, bits: int, buckets: int) -> tuple[np.ndarray, np.nd
     return found.astype(np.int64), np.append(starts, len(keys))
 
 
-def _packed(keys: np.ndarray) -> bytes:
-    """Sorted keys: where many share their high 32 bits, the runs of equal high
-    bits and each one's low bits; else their differences, as wide as the largest."""
-    high, times = np.unique(keys >> np.uint64(32), return_counts=True)
-    if len(high) * 8 < len(keys):
-        return (np.array([0, len(high)], "<u4").tobytes() + high.astype("<u8").tobytes()
-                + times.astype("<u4").tobytes() + keys.astype("<u4").tobytes())
-    steps = np.diff(keys).astype("<u8")
-    width = max(1, (int(steps.max(initial=0)).bit_length() + 7) // 8)
-    return (np.array([width], "<u4").tobytes() + keys[:1].astype("<u8").tobytes()
-            + np.ascontiguousarray(steps.view(np.uint8).reshape(-1, 8)[:, :width]).tobytes())
-
-
-def _unpacked(data: bytes) -> np.ndarray:
-    width = int(np.frombuffer(data, "<u4", 1)[0])
-    if width:
-        raw = np.frombuffer(data, np.uint8, offset=12).reshape(-1, width)
-        wide = np.zeros((len(raw), 8), np.uint8)
-        wide[:, :width] = raw
-        return np.cumsum(np.concatenate([np.frombuffer(data, "<u8", 1, 4), wide.reshape(-1).view("<u8")]), dtype=np.uint64)
-    n = int(np.frombuffer(data, "<u4", 1, 4)[0])
-    high, times = np.frombuffer(data, "<u8", n, 8), np.frombuffer(data, "<u4", n, 8 + 8 * n)
-    low = np.frombuffer(data, "<u4", offset=8 + 12 * n).astype(np.uint64)
-    return np.repeat(high, times) << np.uint64(32) | low
-
+def _packed(keys: np.ndarray, edges: np.ndarray) -> list[bytes]:
+    """Each run of sorted keys between `edges`: where many share their high 32 bits,
+    the runs of equal high bits and each one's low bits; else their differences, as
+    wide as the run's largest. The work is per key: with many buckets runs are short."""
+    if not len(keys):
+        return []
+    starts = edges[:-1]
+    steps = np.diff(keys, prepend=keys[:1]).astype("<u8")
+    steps[starts] = 0
+    tops = np.maximum.reduceat(steps, starts)
+    width = 1 + sum((tops >> np.uint64(8 * i) > 0).astype(int) for i in range(1, 8))
+    fresh = np.diff(keys >> np.uint64(32), prepend=keys[:1]) > 0
+    fresh[starts] = True
+    dense = np.add.reduceat(fresh, starts, dtype=np.int64) * 8 < np.diff(edges)
+    raw = steps.view(np.uint8).reshape(-1, 8)
+    flat = {w: raw[:, :w].tobytes() for w in set(width.tolist())}
+    first, head = keys[starts].astype("<u8").tobytes(), np.arange(9, dtype="<u4").tobytes()
+    found = []
+    for r, (i, j, w, many) in enumerate(zip(starts.tolist(), edges[1:].tolist(), width.tolist(), dense.tolist(), strict=True)):
+        if many:
+            high, times = np.unique(keys[i:j] >> np.uint64(32), return_counts=True)
+            found.append(np.array([0, len(high)], "<u4").tobytes() + high.astype("<u8").tobytes()
+                         + times.astype("<u4").tobytes() + keys[i:j].astype("<u4").tobytes())
+        else:
+            found.append(head[4 * w:4 * w + 4] + first[8 * r:8 * r + 8] + flat[w][(i + 1) * w:j * w])
+    return found
 
-def _small(values: np.ndarray) -> bytes:
-    """Counts, in the narrowest unsigned type."""
-    top = int(values.max()) if len(values) else 0
-    kind = "u1" if top < 1 << 8 else "u2" if top < 1 << 16 else "u4" if top < 1 << 32 else "u8"
-    return kind[1].encode() + values.astype(f"<{kind}").tobytes()
 
+def _unpacked(data: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+    """The keys of all packed runs, one run after the other, and the runs' edges."""
+    def field(i: int, j: int, kind: str) -> np.ndarray:
+        return np.frombuffer(b"".join([x[i:j] for x in data]), kind)
 
-def _counts(data: bytes) -> np.ndarray:
-    return np.frombuffer(data, f"<u{data[:1].decode()}", offset=1).astype(np.int64)
+    width, size = field(0, 4, "<u4").astype(np.int64), np.fromiter(map(len, data), np.int64, len(data))
+    length = np.where(width > 0, (size - 12) // np.maximum(width, 1) + 1, (size - 8 - 12 * field(4, 8, "<u4").astype(np.int64)) // 4)
+    edges = np.concatenate([[0], np.cumsum(length)]).astype(np.int64)
+    starts, steps = edges[:-1], np.zeros(edges[-1], np.uint64)
+    for w in set(width[width > 0].tolist()):
+        raw = np.frombuffer(b"".join([data[r][12:] for r in np.flatnonzero(width == w).tolist()]), np.uint8).reshape(-1, w)
+        wide = np.zeros((len(raw), 8), np.uint8)
+        wide[:, :w] = raw
+        here = np.repeat(width == w, length)
+        here[starts] = False
+        steps[here] = wide.reshape(-1).view("<u8")
+    steps[starts] = field(4, 12, "<u8")
+    keys = np.cumsum(steps, dtype=np.uint64)
+    keys -= np.repeat(keys[starts] - steps[starts], length)  # each run begins anew; sums may wrap
+    for r in np.flatnonzero(width == 0).tolist():
+        x, n = data[r], int(np.frombuffer(data[r], "<u4", 1, 4)[0])
+        high, times = np.frombuffer(x, "<u8", n, 8), np.frombuffer(x, "<u4", n, 8 + 8 * n)
+        low = np.frombuffer(x, "<u4", offset=8 + 12 * n).astype(np.uint64)
+        keys[edges[r]:edges[r + 1]] = np.repeat(high, times) << np.uint64(32) | low
+    return keys, edges
+
+
+def _small(values: np.ndarray, edges: np.ndarray) -> list[bytes]:
+    """Each run of counts, in the narrowest unsigned type."""
+    if not len(values):
+        return []
+    tops = np.maximum.reduceat(values, edges[:-1])
+    width = np.select([tops < 1 << 8, tops < 1 << 16, tops < 1 << 32], [1, 2, 4], 8).tolist()
+    flat = {w: values.astype(f"<u{w}").tobytes() for w in set(width)}
+    return [b"%d" % w + flat[w][i * w:j * w] for i, j, w in zip(edges[:-1].tolist(), edges[1:].tolist(), width, strict=True)]
+
+
+def _counts(data: list[bytes]) -> np.ndarray:
+    """The counts of all runs, one run after the other."""
+    width = np.array([x[0] - ord("0") for x in data], np.int64)
+    length = (np.fromiter(map(len, data), np.int64, len(data)) - 1) // width
+    counts = np.zeros(int(length.sum()), np.int64)
+    for w in set(width.tolist()):
+        runs = np.flatnonzero(width == w).tolist()
+        counts[np.repeat(width == w, length)] = np.frombuffer(b"".join([data[r][1:] for r in runs]), f"<u{w}")
+    return counts
 
 
 def score(df: DataFrame, training: Column, text_col: str = "text", keep: tuple[str, ...] = ("doc_id",),
@@ -329,8 +368,7 @@ def score(df: DataFrame, training: Column, text_col: str = "text", keep: tuple[s
         asked = []
         for k, (keys, times) in enumerate(zip(counted.keys, counts, strict=True)):
             number, edges = _split(keys, widths[k], buckets)
-            asked += [(k, b, _packed(keys[i:j]), _small(times[i:j]))
-                      for b, i, j in zip(number.tolist(), edges[:-1], edges[1:], strict=True)]
+            asked += zip([k] * len(number), number.tolist(), _packed(keys, edges), _small(times, edges), strict=True)
         k, bucket, keys, times = zip(*asked, strict=True)
         return pa.table([pa.array(k, pa.int32()), pa.array(bucket, pa.int64()),
                          pa.array([table.column("block")[0].as_py()] * len(asked), pa.int32()),
@@ -339,17 +377,15 @@ def score(df: DataFrame, training: Column, text_col: str = "text", keep: tuple[s
 
     def added(table: pa.Table):
         """A bucket's distinct keys and their totals; where each asked key is among them; edges of the rows."""
-        keys = [_unpacked(x) for x in table.column("keys").to_pylist()]
-        edges = np.cumsum([0, *map(len, keys)])
-        distinct, place = np.unique(np.concatenate(keys), return_inverse=True)
-        counts = np.concatenate([_counts(x) for x in table.column("counts").to_pylist()])
+        keys, edges = _unpacked(table.column("keys").to_pylist())
+        distinct, place = np.unique(keys, return_inverse=True)
+        counts = _counts(table.column("counts").to_pylist())
         return distinct, np.bincount(place, weights=counts).astype(np.int64), place, edges
 
     def answer(table: pa.Table) -> pa.Table:
         _, totals, place, edges = added(table)
-        totals = totals[place]
         return pa.table([table.column("block"), table.column("k"), table.column("bucket"),
-                         pa.array([_small(totals[i:j]) for i, j in zip(edges[:-1], edges[1:], strict=True)], pa.binary())],
+                         pa.array(_small(totals[place], edges), pa.binary())],
                         names=["block", "k", "bucket", "totals"])
 
     counters = ["length", "ended", "class", "times", "total"]
@@ -374,8 +410,7 @@ def score(df: DataFrame, training: Column, text_col: str = "text", keep: tuple[s
     def place(texts: pa.Table, answers: pa.Table) -> pa.Table:
         answers = answers.sort_by([("k", "ascending"), ("bucket", "ascending")])
         of, parts = answers.column("k").to_pylist(), answers.column("totals").to_pylist()
-        totals = [np.concatenate([np.zeros(0, np.int64), *(_counts(x) for o, x in zip(of, parts, strict=True) if o == k)])
-                  for k in range(order)]
+        totals = [_counts([x for o, x in zip(of, parts, strict=True) if o == k]) for k in range(order)]
         counted = counted_of(texts)
         text, times = counted.text, totals[0][counted.place[0][:len(counted.text.token)]]
         model = answers.column("model")[0].as_py() or {"masses": masses([], order), "n": 0, "v": 0}  # null: no training rows
